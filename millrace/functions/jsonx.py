@@ -49,28 +49,23 @@ def whole_number(text: Column) -> Column:
     return F.when(text.rlike(INTEGER_TEXT), F.trim(text).try_cast("long"))
 
 
+# First ``{`` to last ``}`` after it, with what surrounds them; and an object that is never closed.
+AROUND_OBJECT = r"(?s)^[^{]*(\{.*\})[^}]*$"
+OPEN_OBJECT = r"(?s)^[^{]*(\{[^}]*)$"
+OUTER_SPACE = r"^\s+|\s+$"
+
+
 def heal_json_text(text: Column | str) -> Column:
     """Strip a code fence and surrounding prose; close an object that was cut off."""
-    raw = F.col(text) if isinstance(text, str) else text
-    space = r"^\s+|\s+$"
-    body = F.regexp_replace(raw, space, "")
+    body = F.regexp_replace(text, OUTER_SPACE, "")
     body = F.regexp_replace(body, r"^```(?:json)?\n", "")
-    body = F.regexp_replace(F.regexp_replace(body, r"\n```$", ""), space, "")
-    first = F.locate("{", body)
-    last = F.length(body) + 1 - F.locate("}", F.reverse(body))
-    has_last = (F.locate("}", body) > 0) & (last > first)
-    cut = F.when(has_last, F.substring(body, first, last - first + 1)).otherwise(
-        F.concat(F.substring(body, first, F.length(body)), F.lit("}")))
-    return F.when(first > 0, cut).otherwise(body)
+    body = F.regexp_replace(F.regexp_replace(body, r"\n```$", ""), OUTER_SPACE, "")
+    return F.regexp_replace(trim_to_object(body), OPEN_OBJECT, "$1}")
 
 
 def trim_to_object(line: Column | str) -> Column:
     """First ``{`` to last ``}`` of a line that has both in that order, else the line as it is."""
-    body = F.col(line) if isinstance(line, str) else line
-    first = F.locate("{", body)
-    last = F.length(body) + 1 - F.locate("}", F.reverse(body))
-    ok = (first > 0) & (F.locate("}", body) > 0) & (last > first)
-    return F.when(ok, F.substring(body, first, last - first + 1)).otherwise(body)
+    return F.regexp_replace(line, AROUND_OBJECT, "$1")
 
 
 def json_flatten(df: DataFrame, row_id: str, text: str, depth: int = 12) -> DataFrame:

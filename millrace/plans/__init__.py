@@ -1,4 +1,4 @@
 """Registered queries."""
 
-from millrace.plans import relational, timeseries, versioned  # noqa: F401
+from millrace.plans import quality, relational, sources, timeseries, versioned  # noqa: F401
 from millrace.plans.registry import ORACLES, QUERIES  # noqa: F401
