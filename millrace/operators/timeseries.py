@@ -57,20 +57,21 @@ def _equal_keys(left: str, right: str, keys: list[str]) -> Column:
     return cond
 
 
-def _sweep(events: DataFrame, keys: list[str], ts: str, width: int) -> tuple[DataFrame, DataFrame]:
-    arrive = events.withColumn("_t", F.col(ts)).withColumn("_kind", F.lit(1)).withColumn("_d", F.lit(1))
-    leave = events.withColumn("_t", F.col(ts) + width + 1).withColumn("_kind", F.lit(0)).withColumn("_d", F.lit(-1))
+def _sweep(events: DataFrame, ts: str, width: int, weight: str | None = None) -> tuple[DataFrame, DataFrame]:
+    n = F.lit(1) if weight is None else F.col(weight)
+    arrive = events.withColumn("_t", F.col(ts)).withColumn("_kind", F.lit(1)).withColumn("_d", n)
+    leave = events.withColumn("_t", F.col(ts) + width + 1).withColumn("_kind", F.lit(0)).withColumn("_d", -n)
     return arrive, leave
 
 
-def sliding_count(events: DataFrame, keys: list[str], ts: str, seq: str, width: int,
-                  name: str = "window_count", hot_rows: int | None = None) -> DataFrame:
+def sliding_count(events: DataFrame, keys: list[str], ts: str, seq: str, width: int, name: str = "window_count",
+                  weight: str | None = None, hot_rows: int | None = None) -> DataFrame:
     """Events in ``[t - width, t]`` at each event, counting those that came no later than itself.
 
     Every event enters the count at ``t`` and leaves just after ``t + width``; the count is then one
-    running sum, so dense windows cost no more than sparse ones.
+    running sum, so dense windows cost no more than sparse ones. A row may stand for ``weight`` events.
     """
-    arrive, leave = _sweep(events, keys, ts, width)
+    arrive, leave = _sweep(events, ts, width, weight)
     counted = running(arrive.unionByName(leave), keys, ["_t", "_kind", seq],
                       [Running(name, "sum", F.col("_d"))], hot_rows=hot_rows)
     return counted.where(F.col("_kind") == 1).drop("_t", "_kind", "_d")
@@ -79,7 +80,7 @@ def sliding_count(events: DataFrame, keys: list[str], ts: str, seq: str, width:
 def window_probe_count(events: DataFrame, probes: DataFrame, keys: list[str], ts: str, width: int,
                        name: str = "window_count", hot_rows: int | None = None) -> DataFrame:
     """Events in ``[t - width, t]`` at each probe time; a probe adds nothing itself."""
-    arrive, leave = _sweep(events.select(*keys, ts), keys, ts, width)
+    arrive, leave = _sweep(events.select(*keys, ts), ts, width)
     steps = arrive.unionByName(leave).groupBy(*keys, "_t", "_kind").agg(F.sum("_d").alias("_d"))
     asked = probes.withColumn("_t", F.col(ts)).withColumn("_kind", F.lit(2)).withColumn("_d", F.lit(0))
     every = steps.unionByName(asked, allowMissingColumns=True)
