@@ -9,6 +9,15 @@ NUMBER_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that is computed exactly once per row.
+
+    A plain computed column is copied into every filter pushed below it, so a parse that six checks
+    look at would run six times. The planner does not move conditions through a generator.
+    """
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def parsed(text: Column | str) -> Column:
     """VARIANT of a JSON text, null when it is broken."""
     return F.try_parse_json(F.col(text) if isinstance(text, str) else text)
@@ -76,8 +85,8 @@ def json_flatten(df: DataFrame, row_id: str, text: str, depth: int = 12) -> Data
     nested deeper than ``depth`` raises instead of losing leaves.
     """
     spark = df.sparkSession
-    level = df.select(F.col(row_id).alias("row_id"), F.lit("").alias("path"), parsed(text).alias("v")).where(
-        F.col("v").isNotNull())
+    level = once(df.select(F.col(row_id).alias("row_id"), F.lit("").alias("path"), text), "v", parsed(text)).where(
+        F.col("v").isNotNull()).drop(text)
     for _ in range(depth):
         level = spark.sql(
             """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.jsonx import field, heal_json_text, is_text, number, parsed, whole_number
+from millrace.functions.jsonx import field, heal_json_text, is_text, number, once, parsed, whole_number
 from millrace.operators.quality import violations
 
 # Fixed values of the contracts.
@@ -36,7 +36,7 @@ def tx_validate(df: DataFrame, text: str, heal: bool = True) -> DataFrame:
     """
     v = F.col("_v")
     source = heal_json_text(text) if heal else F.col(text)
-    rows = df.withColumn("_v", parsed(source))
+    rows = once(df, "_v", parsed(source))
     amount, currency = number(field(v, "amount")), F.upper(field(v, "currency"))
     stamp = _iso_time(field(v, "timestamp"))
     failed = violations({
@@ -92,7 +92,7 @@ def order_violations(o: Column) -> Column:
 
 def order_contract(df: DataFrame, text: str) -> DataFrame:
     """Parsed order and its violations, per JSON text."""
-    return df.withColumn("order", F.from_json(text, ORDER_SHAPE)).withColumn(
+    return once(df, "order", F.from_json(text, ORDER_SHAPE)).withColumn(
         "violations", order_violations(F.col("order")))
 
 
@@ -122,13 +122,12 @@ def drift_normalise(df: DataFrame, text: str, name: str = "order") -> DataFrame:
     order = F.struct(
         F.coalesce(o["order_id"], o["ord_number"]).alias("order_id"), customer.alias("customer"),
         items.alias("items"), o["total_amount"].alias("total_amount"), o["order_date"].alias("order_date"))
-    return df.withColumn("_d", d).withColumn(name, order).drop("_d").withColumn(
+    return once(once(df, "_d", d), name, order).drop("_d").withColumn(
         "violations", order_violations(F.col(name)))
 
 
-def analysis_violations(text: Column) -> Column:
-    """Fields of an analysis answer that break the contract."""
-    v = parsed(text)
+def analysis_violations(v: Column) -> Column:
+    """Fields of a parsed analysis answer that break the contract."""
     confidence = number(field(v, "confidence"))
     return violations({
         "sentiment": field(v, "sentiment").isin(SENTIMENTS),
@@ -152,8 +151,8 @@ def first_valid_wins(candidates: DataFrame, request: str, tier: str, output: str
 
     One row per request: ``winner`` is null when every tier failed. One grouped pass, no window.
     """
-    marked = candidates.select(
-        request, tier, output, F.size(analysis_violations(F.col(output))).alias("_bad"),
+    marked = once(candidates, "_v", parsed(output)).select(
+        request, tier, output, F.size(analysis_violations(F.col("_v"))).alias("_bad"),
         token_cost(F.col(tier), F.col(tokens_in), F.col(tokens_out)).alias("_cost"))
     per_tier = []
     for i, t in enumerate(tiers):
@@ -186,12 +185,13 @@ FALLBACK_ANSWER = "No reliable answer was found in the sources."
 def answer_gate(df: DataFrame, text: str) -> DataFrame:
     """Accept an answer with enough confidence, no retry wish and a source; else the fallback text."""
     shape = "struct<answer:string,confidence:double,needs_retry:boolean,sources:array<string>>"
-    a = F.from_json(text, shape)
+    a = F.col("_a")
     ok = F.coalesce(
         (a["confidence"] >= CONFIDENCE_FLOOR) & ~a["needs_retry"] & (F.size(a["sources"]) >= 1)
         & a["answer"].isNotNull(), F.lit(False))
-    return df.withColumn("status", F.when(ok, "accepted").otherwise("fallback")).withColumn(
-        "answer", F.when(F.col("status") == "accepted", a["answer"]).otherwise(FALLBACK_ANSWER))
+    return once(df, "_a", F.from_json(text, shape)).withColumn(
+        "status", F.when(ok, "accepted").otherwise("fallback")).withColumn(
+        "answer", F.when(ok, a["answer"]).otherwise(FALLBACK_ANSWER)).drop("_a")
 
 
 def tool_call_parse(df: DataFrame, text: str) -> DataFrame:

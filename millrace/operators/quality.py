@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.jsonx import (
-    field, is_integer, is_present, is_text, kind_of, number, parsed, whole_number)
+    field, is_integer, is_present, is_text, kind_of, number, once, parsed, whole_number)
 
 UNKNOWN_EMAIL = "unknown@example.com"
 UNKNOWN_DEVICE = "unknown"
@@ -25,11 +25,9 @@ def split_valid(df: DataFrame, violation: str = "violations") -> tuple[DataFrame
 
 def sensor_cleanse(lines: DataFrame, text: str = "value") -> DataFrame:
     """Sensor id and finite temperature of each readable line; other lines are dropped."""
-    v = parsed(text)
-    rows = lines.withColumn("_v", v).where(F.col("_v").isNotNull())
     v = F.col("_v")
-    reading = rows.where(is_present(v, "sensor_id") & is_present(v, "temperature")).withColumn(
-        "temperature", number(field(v, "temperature")))
+    rows = once(lines, "_v", parsed(text)).where(is_present(v, "sensor_id") & is_present(v, "temperature"))
+    reading = rows.withColumn("temperature", number(field(v, "temperature")))
     kept = [c for c in lines.columns if c != text]
     return reading.where(F.col("temperature").isNotNull()).select(
         *kept, field(v, "sensor_id").alias("sensor_id"), "temperature")
@@ -38,7 +36,7 @@ def sensor_cleanse(lines: DataFrame, text: str = "value") -> DataFrame:
 def user_contract(lines: DataFrame, text: str = "value") -> DataFrame:
     """``user_id`` and ``country`` must be JSON text."""
     v = F.col("_v")
-    rows = lines.withColumn("_v", parsed(text))
+    rows = once(lines, "_v", parsed(text))
     return rows.select(
         *lines.columns, field(v, "user_id").alias("user_id"), field(v, "country").alias("country"),
         violations({"user_id": is_text(v, "user_id"), "country": is_text(v, "country")}).alias("violations"))
@@ -47,7 +45,7 @@ def user_contract(lines: DataFrame, text: str = "value") -> DataFrame:
 def transaction_contract(lines: DataFrame, text: str = "value") -> DataFrame:
     """``user_id`` must be JSON text and ``amount`` a JSON integer; nothing is cast."""
     v = F.col("_v")
-    rows = lines.withColumn("_v", parsed(text))
+    rows = once(lines, "_v", parsed(text))
     return rows.select(
         *lines.columns, field(v, "user_id").alias("user_id"),
         F.when(is_integer(v, "amount"), field(v, "amount", "long")).alias("amount"),
@@ -79,7 +77,7 @@ def _epoch(variant: Column, path: str) -> Column:
 def userlog_contract(lines: DataFrame, text: str = "value") -> DataFrame:
     """timestamp, user_id and event_name present and not null, user not blank, timestamp a number."""
     v = F.col("_v")
-    rows = lines.withColumn("_v", parsed(text))
+    rows = once(lines, "_v", parsed(text))
     filled = lambda p: F.coalesce(kind_of(v, p) != "VOID", F.lit(False))
     stamp = _epoch(v, "timestamp")
     return rows.select(
@@ -95,7 +93,7 @@ def userlog_contract(lines: DataFrame, text: str = "value") -> DataFrame:
 def serverlog_contract(lines: DataFrame, text: str = "value") -> DataFrame:
     """``ts`` a number and ``val`` text, both not null."""
     v = F.col("_v")
-    rows = lines.withColumn("_v", parsed(text))
+    rows = once(lines, "_v", parsed(text))
     stamp = _epoch(v, "ts")
     return rows.select(
         *lines.columns, stamp.alias("ts"), field(v, "val").alias("val"),
@@ -125,7 +123,7 @@ def coalesce_contact(df: DataFrame, preferred: str, backup: str, name: str = "co
 
 def _tags(df: DataFrame, payload: str) -> DataFrame:
     schema = "struct<device:string,tags:array<string>>"
-    return df.withColumn("_p", F.from_json(payload, schema)).withColumn(
+    return once(df, "_p", F.from_json(payload, schema)).withColumn(
         "device", F.coalesce("_p.device", F.lit(UNKNOWN_DEVICE)))
 
 

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from millrace.functions.jsonx import once
 from millrace.functions.vectors import cosine, squared_distance
 from millrace.operators.running import hinted
 from millrace.session import scratch_dir
@@ -33,18 +34,24 @@ def bm25_search(docs: DataFrame, queries: DataFrame, ident: str, tokens: str, qu
     """BM25 ranking of ``docs`` for every query. ``tokens`` and ``terms`` are word arrays.
 
     Words no query asks for are dropped before anything is shuffled. The words asked for meet the
-    documents in a map-side join, so a word found everywhere is not gathered in one task.
+    documents in a map-side join, so a word found everywhere is not gathered in one task. Every
+    document also counts one empty word, which carries the collection's size through the same
+    shuffle: the texts are read and split once.
     """
     asked = queries.select(query, F.explode(F.array_distinct(terms)).alias("term"))
     n_asked = asked.count()
-    words = hinted(asked.select("term").distinct(), n_asked)
-    size = docs.agg(F.count(F.lit(1)).alias("_n"), F.avg(F.size(tokens)).alias("_avg"))
+    words = hinted(queries.select(F.explode(F.concat(terms, F.array(F.lit("")))).alias("term")).distinct(), n_asked)
+    split = once(docs.select(ident, tokens), "_t", F.concat(tokens, F.array(F.lit(""))))
     found = (
-        docs.select(ident, F.size(tokens).alias("_len"), F.explode(tokens).alias("term"))
+        split.select(ident, (F.size("_t") - 1).alias("_len"), F.explode_outer("_t").alias("term"))
         .join(words, "term", "left_semi")
         .groupBy(ident, "_len", "term").agg(F.count(F.lit(1)).alias("_tf"))
     )
-    spread = found.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
+    spread = found.groupBy("term").agg(
+        F.sum(F.when(F.col("_tf") > 0, 1)).alias("_df"), F.sum("_len").alias("_total"))
+    all_docs = F.col("term") == ""
+    size = spread.agg(F.max(F.when(all_docs, F.col("_df"))).alias("_n"),
+                      F.max(F.when(all_docs, F.col("_total") / F.col("_df"))).alias("_avg"))
     idf = F.log(1 + (F.col("_n") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
     weights = spread.join(F.broadcast(size)).select("term", idf.alias("_idf"), "_avg")
     weighted = asked.join(weights, "term")

@@ -6,9 +6,9 @@ arrival order and breaks ties. Every operator takes key columns and stays exact
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
-from millrace.operators.running import NO_HOT_KEYS, Running, find_hot_keys, running
+from millrace.operators.running import NO_HOT_KEYS, Running, find_hot_keys, hinted, running, same_keys
 
 # Fixed values of the session and alert rules.
 SESSION_GAP_SECONDS = 1800
@@ -24,37 +24,44 @@ def click_filter(df: DataFrame, status: str = "status", amount: str = "amount")
 
 
 def rolling_mean(df: DataFrame, keys: list[str], second: str, amount: str, seq: str,
-                 seconds: int = ROLLING_SECONDS, spans: int = 64) -> DataFrame:
-    """Mean of ``amount`` over ``(t - seconds, t]`` for every row.
+                 seconds: int = ROLLING_SECONDS, spans: int = 64, hot_rows: int = 50_000) -> DataFrame:
+    """Mean of ``amount`` over ``(t - seconds, t]`` for every row. Ties show the amount that arrived last.
 
-    Rows of one second are added up first, so a frame never holds more than ``seconds`` rows however
-    hot the key. Each key is then cut into spans of ``spans`` frames; the last frame of a span is
-    repeated in the next one as history. Ties show the amount that arrived last.
+    Each key is cut into spans of ``spans`` frames, and the last frame of a span is repeated in the
+    next one as history, so one shuffle gives tasks of bounded size. In a span with more than
+    ``hot_rows`` rows the rows of one second are added up first; there a frame holds at most
+    ``seconds`` rows however dense the data.
     """
     span = seconds * spans
-    per_second = df.groupBy(*keys, second).agg(
-        F.sum(amount).alias("_sum"), F.count(amount).alias("_n"),
-        F.max_by(amount, seq).alias("_last"))
-    own = F.floor(F.col(second) / span).cast("long")
+    cols = df.columns
     feeds_next = F.col(second) > (F.col("_own") + 1) * span - seconds
-    spread = per_second.withColumn("_own", own).withColumn(
-        "_span", F.explode(F.when(feeds_next, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
-    w = W.partitionBy(*keys, "_span").orderBy(second).rangeBetween(-(seconds - 1), 0)
-    means = (
-        spread.withColumn("_mean", F.sum("_sum").over(w) / F.sum("_n").over(w))
-        .where(F.col("_span") == F.col("_own"))
-        .select(*keys, second, F.col("_last").alias("_amount"), "_mean")
-    )
-    rows = df.alias("r").join(means.alias("m"), _equal_keys("r", "m", [*keys, second]), "inner")
-    kept = [F.col(f"r.{c}") for c in df.columns if c != amount]
-    return rows.select(*kept, F.col("m._amount").alias(amount), F.col("m._mean").alias("rolling_mean_amount"))
-
-
-def _equal_keys(left: str, right: str, keys: list[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
-    return cond
+    spread = df.withColumn("_own", F.floor(F.col(second) / span).cast("long")).withColumn(
+        "_span", F.explode_outer(F.when(feeds_next, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
+    by = [*keys, "_span"]
+    hot = find_hot_keys(spread, by, hot_rows)
+    w = W.partitionBy(*by).orderBy(second).rangeBetween(-(seconds - 1), 0)
+    here = F.col("_span") == F.col("_own")
+
+    def plain(rows: DataFrame) -> DataFrame:
+        tied = W.partitionBy(*by).orderBy(second).rangeBetween(0, 0)
+        return rows.withColumn("_mean", F.avg(amount).over(w)).withColumn(
+            "_last", F.max(F.struct(F.col(seq).alias("s"), F.col(amount).alias("a"))).over(tied)["a"]).where(here)
+
+    def dense(rows: DataFrame) -> DataFrame:
+        per_second = rows.groupBy(*by, second).agg(
+            F.sum(amount).alias("_sum"), F.count(amount).alias("_n"), F.max_by(amount, seq).alias("_last"))
+        means = per_second.select(*by, second, "_last", (F.sum("_sum").over(w) / F.sum("_n").over(w)).alias("_mean"))
+        mine = rows.where(here)
+        return mine.join(means, same_keys(mine, means, [*by, second])).select(*[mine[c] for c in mine.columns], "_mean", "_last")
+
+    if hot.keys is None:
+        out = plain(spread)
+    else:
+        few = hinted(hot.keys, hot.n_keys)
+        match = same_keys(spread, hot.keys, by)
+        out = plain(spread.join(few, match, "left_anti")).unionByName(dense(spread.join(few, match, "left_semi")))
+    return out.select(*[c for c in cols if c != amount], F.col("_last").alias(amount),
+                      F.col("_mean").alias("rolling_mean_amount"))
 
 
 def _sweep(events: DataFrame, ts: str, width: int, weight: str | None = None) -> tuple[DataFrame, DataFrame]:

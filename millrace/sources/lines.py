@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from millrace.functions.jsonx import once
+
 # Column types of a record class; any other annotation is read as text.
 FIELD_TYPES = {"int": "bigint", "float": "double", "str": "string", "bool": "boolean"}
 ROLL_BYTES = 100_000
@@ -19,7 +21,7 @@ def jsonl_scan_defensive(lines: DataFrame, schema: StructType | str, text: str =
     """Typed records of readable lines, and the unreadable lines as they came."""
     ddl = schema if isinstance(schema, str) else ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = lines.withColumn("_r", F.from_json(
+    parsed = once(lines, "_r", F.from_json(
         text, f"{ddl}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
     kept = [c for c in lines.columns if c != text]
     good = parsed.where(F.col("_r._corrupt").isNull() & F.col("_r").isNotNull()).select(*kept, "_r.*").drop("_corrupt")
@@ -30,14 +32,13 @@ def jsonl_scan_defensive(lines: DataFrame, schema: StructType | str, text: str =
 def error_line_scan(lines: DataFrame, needle: str = "ERROR", field: str = "log", text: str = "value") -> DataFrame:
     """``field`` of the lines that contain ``needle`` anywhere. The text test comes before the parse."""
     hit = lines.where(F.col(text).contains(needle))
-    return hit.withColumn(field, F.get_json_object(text, f"$.{field}")).where(F.col(field).isNotNull())
+    return once(hit, field, F.get_json_object(text, f"$.{field}")).where(F.col(field).isNotNull())
 
 
 def prefiltered_parse_agg(lines: DataFrame, text: str = "value") -> DataFrame:
     """Sum of ``amount`` per user over successful records; unreadable lines and amounts are skipped."""
     hit = lines.where(F.col(text).contains("success"))
-    v = F.try_parse_json(F.col(text))
-    rows = hit.select(v.alias("v")).where(F.try_variant_get("v", "$.status", "string") == "success")
+    rows = once(hit, "v", F.try_parse_json(text)).where(F.try_variant_get("v", "$.status", "string") == "success")
     kind = F.schema_of_variant(F.try_variant_get("v", "$.amount", "variant"))
     numeric = (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
     has_user = F.try_variant_get("v", "$.user_id", "variant").isNotNull()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.functions.jsonx import once
+
 RECORDS = "array<struct<id:bigint,name:string,score:bigint>>"
 
 
@@ -28,7 +30,7 @@ def page_payload_ingest(pages: DataFrame, cursor: str, payload: str, record: str
     lost = asked.join(read.select("page"), "page", "left_anti").limit(1).collect()
     if lost:
         raise MissingPage(f"page {lost[0]['page']} was announced but never arrived")
-    rows = read.select("page", F.explode("_records").alias("r")).select("page", "r.*")
+    rows = read.select("page", F.explode_outer("_records").alias("r")).where(F.col("r").isNotNull()).select("page", "r.*")
     return rows.dropDuplicates([dedup_on]) if dedup_on else rows
 
 
@@ -53,7 +55,7 @@ def _ddl(fields: dict[str, str]) -> str:
 def meeting_explode(payloads: DataFrame, text: str = "value") -> DataFrame:
     """One row per speech of each meeting payload, with our column names."""
     shape = f"struct<{_ddl(MEETING_FIELDS)}, speechRecord: array<struct<{_ddl(SPEECH_FIELDS)}>>>"
-    meetings = payloads.select(F.from_json(text, shape).alias("m"))
+    meetings = once(payloads.select(text), "m", F.from_json(text, shape))
     return meetings.select("m", F.explode("m.speechRecord").alias("s")).select(
         *[F.col(f"m.{s}").alias(n) for n, s in MEETING_FIELDS.items()],
         *[F.col(f"s.{s}").alias(n) for n, s in SPEECH_FIELDS.items()])
