@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.running import hinted
-from millrace.session import cut_lineage, scratch_dir
+from millrace.session import scratch_dir, stage_table
 
 
 class CycleError(ValueError):
@@ -16,35 +16,39 @@ class CycleError(ValueError):
         self.residual = residual
 
 
+def _count(stored: DataFrame) -> int:
+    """Rows of a stored table, from its footers."""
+    return stored.select().count()
+
+
 def topo_levels(edges: DataFrame, nodes: DataFrame | None = None, node: str = "node",
                 parent: str = "parent") -> DataFrame:
     """Level of every node: 0 without parents, else one above its highest parent.
 
     Any order by level is a build order. Parents that were never declared count as nodes. Every
-    round places all nodes whose parents are placed and drops the edges that lead to them, so a
-    round works on what is left; results go to a table round by round.
+    round drops the edges that lead to nodes just placed and places the nodes left without any, so a
+    round works on the edges that remain; both are tables, and lineage never spans two rounds.
     """
     spark = edges.sparkSession
-    links = edges.where(F.col(parent).isNotNull()).select(node, parent).distinct()
+    links = stage_table(edges.where(F.col(parent).isNotNull()).select(node, parent).distinct(), "links")
     every = edges.select(node).union(links.select(F.col(parent).alias(node)))
     if nodes is not None:
         every = every.union(nodes.select(node))
-    left, links = cut_lineage(every.distinct()), cut_lineage(links)
-    path, level, remaining = scratch_dir(spark, "levels"), 0, left.count()
-    schema = f"{node} {left.schema[node].dataType.simpleString()}, level int"
-    if remaining == 0:
-        return spark.createDataFrame([], schema)
-    while remaining:
-        waiting = links.select(node).distinct()
-        ready = cut_lineage(left.join(waiting, node, "left_anti"))
-        placed = ready.count()
-        if placed == 0:
-            raise CycleError(left, sorted(str(r[0]) for r in left.limit(10).collect()))
-        ready.withColumn("level", F.lit(level)).write.mode("append").parquet(path)
-        small = hinted(ready, placed)
-        left = cut_lineage(left.join(small, node, "left_anti"))
-        links = cut_lineage(links.join(
-            small.select(F.col(node).alias("_p")), F.col(parent) == F.col("_p"), "left_anti"))
-        remaining -= placed
+    path, level = scratch_dir(spark, "levels"), 0
+    schema = f"{node} {every.schema[node].dataType.simpleString()}"
+    every.distinct().join(links.select(node).distinct(), node, "left_anti").write.parquet(f"{path}/level=0")
+    placed = spark.read.schema(schema).parquet(f"{path}/level=0")
+    waiting, ready = _count(links), _count(placed)
+    while waiting:
+        small = hinted(placed.select(F.col(node).alias("_p")), ready)
+        rest = stage_table(links.join(small, F.col(parent) == F.col("_p"), "left_anti"), "links")
+        # A node that waited and waits no more has all its parents placed.
         level += 1
-    return spark.read.schema(schema).parquet(path)
+        links.select(node).distinct().join(rest.select(node).distinct(), node, "left_anti").write.parquet(
+            f"{path}/level={level}")
+        placed = spark.read.schema(schema).parquet(f"{path}/level={level}")
+        left, ready = _count(rest), _count(placed)
+        if left == waiting:
+            raise CycleError(rest.select(node).distinct(), sorted({str(r[0]) for r in rest.limit(10).collect()}))
+        links, waiting = rest, left
+    return spark.read.schema(f"{schema}, level int").parquet(path)

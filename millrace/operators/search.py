@@ -41,9 +41,10 @@ def bm25_search(docs: DataFrame, queries: DataFrame, ident: str, tokens: str, qu
     asked = queries.select(query, F.explode(F.array_distinct(terms)).alias("term"))
     n_asked = asked.count()
     words = hinted(queries.select(F.explode(F.concat(terms, F.array(F.lit("")))).alias("term")).distinct(), n_asked)
-    split = once(docs.select(ident, tokens), "_t", F.concat(tokens, F.array(F.lit(""))))
+    split = once(docs.select(ident, tokens), "_t", F.concat(tokens, F.array(F.lit("")))).withColumn(
+        "_len", F.size("_t") - 1)
     found = (
-        split.select(ident, (F.size("_t") - 1).alias("_len"), F.explode_outer("_t").alias("term"))
+        split.select(ident, "_len", F.explode_outer("_t").alias("term"))
         .join(words, "term", "left_semi")
         .groupBy(ident, "_len", "term").agg(F.count(F.lit(1)).alias("_tf"))
     )

@@ -11,7 +11,12 @@ from millrace.operators.relational import checked_broadcast
 from millrace.operators.versioned import upsert_by_key
 from millrace.plans.registry import query
 from millrace.session import scratch_dir
-from millrace.sources.tables import table
+from millrace.sources.tables import spread, table
+
+
+def _documents(spark, d):
+    return spread(table(spark, d, "documents"))
+
 
 TRIM = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
 
@@ -22,12 +27,12 @@ SELECT doc_id, CAST(pos - 1 AS INTEGER) AS pos, sentence FROM (
     SELECT doc_id, list_filter(list_transform(string_split_regex(text, '[。.]'), lambda x: {TRIM.format('x')}), lambda x: x <> '') AS s
     FROM documents))""")
 def sentence_split(spark, d):
-    return ch.sentence_split(table(spark, d, "documents").select("doc_id", "text"), "text")
+    return ch.sentence_split(_documents(spark, d).select("doc_id", "text"), "text")
 
 
 @query("token_estimate", "SELECT doc_id, CAST(greatest(5, ceil(length(text) / 4.0)) AS BIGINT) AS tokens FROM documents")
 def token_estimate(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.token_estimate("text").alias("tokens"))
+    return _documents(spark, d).select("doc_id", tx.token_estimate("text").alias("tokens"))
 
 
 @query("fixed_chunk", """
@@ -36,12 +41,12 @@ WITH p AS (SELECT doc_id, source, text, CASE WHEN length(text) <= 200 THEN 1 ELS
 c AS (SELECT doc_id, source, text, unnest(range(0, n)) AS i FROM p)
 SELECT doc_id, source, printf('chunk_%03d', i + 1) AS chunk_id, substring(text, CAST(i * 180 + 1 AS BIGINT), 200) AS content FROM c""")
 def fixed_chunk(spark, d):
-    return ch.fixed_chunk(table(spark, d, "documents").select("doc_id", "text", "source"), "text", "source")
+    return ch.fixed_chunk(_documents(spark, d).select("doc_id", "text", "source"), "text", "source")
 
 
 @query("chunk_id", "SELECT doc_id, md5(source || lang || text) AS chunk_id FROM documents")
 def chunk_id(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.chunk_id("source", "lang", "text").alias("chunk_id"))
+    return _documents(spark, d).select("doc_id", tx.chunk_id("source", "lang", "text").alias("chunk_id"))
 
 
 STOP_SQL = ", ".join(f"'{w}'" for w in tx.STOP_WORDS)
@@ -50,7 +55,7 @@ TOKENS_SQL = f"list_filter(regexp_extract_all(lower(text), '{tx.WORD}'), lambda
 
 @query("tokenize", f"SELECT doc_id, coalesce(array_to_string({TOKENS_SQL}, ' '), '') AS content_tokenized FROM documents")
 def tokenize(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.tokenize("text").alias("content_tokenized"))
+    return _documents(spark, d).select("doc_id", tx.tokenize("text").alias("content_tokenized"))
 
 
 def bm25_sql(top: int, docs: str = "documents") -> str:
@@ -75,7 +80,7 @@ def _asked(spark, d):
 
 @query("bm25_search", f"WITH {bm25_sql(10)} SELECT item_id, doc_id, round(score, 6) AS score, rank FROM by_word")
 def bm25_search(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", tx.tokens("text").alias("tokens"))
+    docs = _documents(spark, d).select("doc_id", tx.tokens("text").alias("tokens"))
     out = se.bm25_search(docs, _asked(spark, d), "doc_id", "tokens", "item_id", "terms", 10)
     return out.select("item_id", "doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
@@ -84,7 +89,7 @@ def bm25_search(spark, d):
 SELECT doc_id, length(text) AS text_chars, md5(text) AS rebuilt_md5, true AS within_size FROM documents""")
 def recursive_chunk(spark, d):
     """Pieces of every document, put together again without the overlaps: nothing lost, none too long."""
-    pieces = table(spark, d, "documents").select("doc_id", ch.recursive_chunks("text").alias("p"))
+    pieces = _documents(spark, d).select("doc_id", ch.recursive_chunks("text").alias("p"))
     rebuilt = F.aggregate("p", F.lit(""), lambda acc, p: F.concat(
         acc, p["content"].substr(F.length(acc) - p["start"] + 1, F.length(p["content"]))))
     within = F.forall("p", lambda p: F.length(p["content"]) <= ch.RECURSIVE_SIZE)
@@ -193,7 +198,7 @@ fused AS (SELECT item_id, doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 12) AS r
 
 def _searchable(spark, d):
     vectors = table(spark, d, "embeddings").select("vec_id", "embedding")
-    docs = table(spark, d, "documents").select("doc_id", tx.tokens("text").alias("tokens"))
+    docs = _documents(spark, d).select("doc_id", tx.tokens("text").alias("tokens"))
     chunks = docs.join(vectors, F.col("doc_id") == F.col("vec_id")).drop("vec_id")
     asked = _asked(spark, d).join(vectors, F.col("item_id") == F.col("vec_id")).select(
         "item_id", "terms", F.col("embedding").alias("q"))
@@ -261,7 +266,7 @@ def candidate_pool(spark, d):
 @query("embed_rows")
 def embed_rows(spark, d):
     """A vector per document from the stand-in encoder, with its length."""
-    rows = ch.embed_rows(table(spark, d, "documents").select("doc_id", "text"), "text", ch.hashed_bag_encoder(64))
+    rows = ch.embed_rows(_documents(spark, d).select("doc_id", "text"), "text", ch.hashed_bag_encoder(64))
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     return rows.select("doc_id", F.size("vector").alias("dims"), F.round(length, 4).alias("length"))
 
@@ -269,7 +274,7 @@ def embed_rows(spark, d):
 @query("rag_build")
 def rag_build(spark, d):
     """Documents to speeches to chunks with ids, tokens and vectors; the second run changes nothing."""
-    speeches = table(spark, d, "documents").select(
+    speeches = _documents(spark, d).select(
         F.concat(F.lit("M"), "doc_id").alias("issue_id"), F.concat(F.lit("M"), "doc_id", F.lit("-1")).alias("speech_id"),
         F.col("source").alias("speaker"), F.lit("2026-03-12").alias("date"), F.col("lang").alias("name_of_meeting"),
         F.col("text").alias("speech"))

@@ -7,10 +7,23 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+SMALL_BYTES = 256 * 1024 * 1024
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input to all cores before costly per-row work.
+
+    A file with one row group is read by one task. Inputs beyond ``SMALL_BYTES`` have splits enough
+    and stay as they are, so nothing large is shuffled for this.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SMALL_BYTES else df
+
+
 def parquet_sink(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` and return the stored rows."""
     df.write.mode("overwrite").parquet(path)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.running import Running, running
 from millrace.operators.timeseries import ALERT_THRESHOLD, number_arrival_sessions, sliding_count
+from millrace.session import stage_table
 from millrace.sources.tables import path_exists
 
 Step = Callable[[DataFrame, DataFrame | None], tuple[DataFrame, DataFrame]]
@@ -26,9 +27,11 @@ def run_stateful(stream: DataFrame, step: Step, path: str, wait: float = 3600) -
     def handle(rows: DataFrame, batch: int) -> None:
         before = f"{path}/state/{batch - 1}"
         state = spark.read.parquet(before) if batch and path_exists(spark, before) else None
+        rows.persist()
         output, left = step(rows, state)
         left.write.mode("overwrite").parquet(f"{path}/state/{batch}")
         output.write.mode("overwrite").parquet(f"{path}/out/batch={batch}")
+        rows.unpersist()
 
     query = stream.writeStream.foreachBatch(handle).option(
         "checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
@@ -61,7 +64,7 @@ def session_step(key: str, ts: str, order: list[str], gap: int) -> Step:
             F.min_by("_start", F.struct(*by)).alias("session_start"), F.max("_ts").alias("session_end"),
             F.sum("_n").alias("event_count"))
         newest = sessions.groupBy(F.col(key).alias("_k")).agg(F.max("session_no").alias("_last"))
-        marked = sessions.join(newest, F.col(key).eqNullSafe(F.col("_k")))
+        marked = stage_table(sessions.join(newest, F.col(key).eqNullSafe(F.col("_k"))), "sessions")
         return (marked.where(F.col("session_no") < F.col("_last")).select(*cols),
                 marked.where(F.col("session_no") == F.col("_last")).select(*cols))
     return step
