@@ -263,15 +263,21 @@ def candidate_pool(spark, d):
     return pool.withColumn("rank", F.col("rank").cast("long"))
 
 
-@query("embed_rows")
+@query("embed_rows", r"""
+WITH w AS (SELECT doc_id, unnest(string_split_regex('passage: ' || lower(text), '\s+')) AS word FROM documents),
+s AS (SELECT doc_id, CAST('0x' || md5(word)[1:8] AS UBIGINT) % 64 AS slot, count(*) AS n FROM w WHERE word <> '' GROUP BY ALL),
+z AS (SELECT doc_id, sqrt(sum(n * n)) AS size FROM s GROUP BY doc_id)
+SELECT doc_id, CAST(slot AS INTEGER) AS slot, round(n / size, 4) AS weight FROM s JOIN z USING (doc_id)""")
 def embed_rows(spark, d):
-    """A vector per document from the stand-in encoder, with its length."""
+    """The non-zero parts of every document's vector from the stand-in encoder."""
     rows = ch.embed_rows(_documents(spark, d).select("doc_id", "text"), "text", ch.hashed_bag_encoder(64))
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    return rows.select("doc_id", F.size("vector").alias("dims"), F.round(length, 4).alias("length"))
+    parts = rows.select("doc_id", F.posexplode("vector").alias("slot", "x")).where(F.col("x") != 0)
+    return parts.select("doc_id", "slot", F.round(F.col("x").cast("double"), 4).alias("weight"))
 
 
-@query("rag_build")
+@query("rag_build", """
+SELECT lang AS meeting_name, count(*) FILTER (length(text) > 0) AS speeches, 0::BIGINT AS added_by_rerun, true AS within_size
+FROM documents GROUP BY lang""")
 def rag_build(spark, d):
     """Documents to speeches to chunks with ids, tokens and vectors; the second run changes nothing."""
     speeches = _documents(spark, d).select(
@@ -284,5 +290,10 @@ def rag_build(spark, d):
     first = spark.read.parquet(f"{root}/1")
     upsert_by_key(first, built, ["chunk_id"]).write.parquet(f"{root}/2")
     second = spark.read.parquet(f"{root}/2")
-    per = lambda df, n: df.groupBy("meeting_name").agg(F.count(F.lit(1)).alias(n), F.sum(F.length("content")).alias(f"{n}_chars"))
-    return per(first, "chunks").join(per(second, "after_rerun"), "meeting_name")
+    built_by = first.groupBy("meeting_name").agg(
+        F.count_distinct("speech_id").alias("speeches"), F.count(F.lit(1)).alias("_n"),
+        F.max(F.length("content")).alias("_longest"))
+    again = second.groupBy("meeting_name").agg(F.count(F.lit(1)).alias("_m"))
+    return built_by.join(again, "meeting_name").select(
+        "meeting_name", "speeches", (F.col("_m") - F.col("_n")).alias("added_by_rerun"),
+        (F.col("_longest") <= ch.RECURSIVE_SIZE).alias("within_size"))

@@ -27,7 +27,7 @@ def model_lines(lines: DataFrame) -> DataFrame:
 
 
 def split_sink(stream: DataFrame, check: Callable[[DataFrame], DataFrame], path: str, batch_rows: int | None = None,
-               wait: float = 3600) -> None:
+               checkpoint: str | None = None, wait: float = 3600) -> None:
     """Write rows without violations to ``ok`` and the others to ``dlq``, each batch under its number.
 
     ``batch_rows`` bounds the rows per file. The checked batch is stored once and both outputs are
@@ -45,7 +45,7 @@ def split_sink(stream: DataFrame, check: Callable[[DataFrame], DataFrame], path:
             writer.parquet(f"{path}/{name}/batch={batch}")
 
     query = stream.writeStream.foreachBatch(handle).option(
-        "checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+        "checkpointLocation", checkpoint or f"{path}/checkpoint").trigger(availableNow=True).start()
     if not query.awaitTermination(wait):
         query.stop()
         raise TimeoutError("the stream did not finish in time")

@@ -1,0 +1,110 @@
+"""Streams: late rows, restarts, repeated batches, bounded runs."""
+
+import json
+
+from pyspark.sql import functions as F
+
+from millrace.operators.quality import transaction_contract
+from millrace.streaming import sinks, stateful, windows as win
+
+
+def put(spark, folder, rows):
+    spark.createDataFrame([(json.dumps(r),) for r in rows], "value string").coalesce(1).write.mode("append").text(folder)
+
+
+def view(at, page="p"):
+    return {"event_time": f"2026-01-01T{at}:00Z", "user_id": "u", "page": page}
+
+
+def test_late_rows_are_dropped_after_the_watermark(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "run")
+    run = lambda: win.run_available(win.tumbling_count(
+        win.json_stream(spark, folder, win.PAGE_VIEW), "event_time", "page"), out)
+    put(spark, folder, [view("10:01"), view("10:03"), view("10:40")])
+    run()
+    put(spark, folder, [view("10:02"), view("10:36"), view("11:30")])
+    query = run()
+    dropped = sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+    got = {(r["window_start"].strftime("%H:%M"), r["count"]) for r in spark.read.parquet(f"{out}/out").collect()}
+    assert got == {("10:00", 2), ("10:35", 1), ("10:40", 1)}
+    assert dropped == 1
+
+
+def test_update_and_complete_modes(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    put(spark, folder, [view("10:01"), view("10:03"), view("10:40")])
+    for mode, newest in (("update", lambda d: win.newest_rows(d, ["window_start", "window_end", "page"])),
+                         ("complete", win.newest_batch)):
+        out = str(tmp_path / mode)
+        win.run_available(win.tumbling_count(win.json_stream(spark, folder, win.PAGE_VIEW), "event_time", "page"), out, mode)
+        assert sorted(r["count"] for r in newest(spark.read.parquet(f"{out}/out")).collect()) == [1, 2]
+
+
+def test_rate_source(spark, tmp_path):
+    out = str(tmp_path / "rate")
+    query = win.rate_tumbling_count(spark, 50, "1 second", "0 seconds").writeStream.outputMode("append").option(
+        "checkpointLocation", f"{out}/checkpoint").format("parquet").start(f"{out}/out")
+    query.awaitTermination(15)
+    query.stop()
+    rows = spark.read.parquet(f"{out}/out").collect()
+    assert rows and all(r["count"] > 0 and (r["window_end"] - r["window_start"]).total_seconds() == 1 for r in rows)
+
+
+def test_sessions_across_batches_equal_one_run(spark, tmp_path):
+    import random
+    from test_timeseries import arrival_model
+    rng = random.Random(3)
+    stream = [(rng.choice("abc"), max(0, i * 4 + rng.randrange(-60, 60))) for i in range(300)]
+    folder, out = str(tmp_path / "in"), str(tmp_path / "run")
+    step = stateful.session_step("user", "ts", ["seq"], 15)
+    for n, part in enumerate((range(0, 90), range(90, 91), range(91, 300))):
+        put(spark, folder, [{"user": stream[i][0], "ts": stream[i][1], "seq": i} for i in part])
+        stateful.run_stateful(win.json_stream(spark, folder, "user string, ts bigint, seq bigint"), step, out)
+    closed = [tuple(r)[:4] for r in spark.read.parquet(f"{out}/out").drop("batch").collect()]
+    still_open = [tuple(r) for r in spark.read.parquet(f"{out}/state/2").collect()]
+    assert sorted(closed + still_open) == arrival_model(stream, 15)
+    assert len(still_open) == 3
+
+
+def test_alert_state_keeps_only_the_window(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "run")
+    step = stateful.alert_step("k", "ts", "seq", 60)
+    times = [100, 110, 120, 170, 400]
+    for i, t in enumerate(times):
+        put(spark, folder, [{"k": "x", "ts": t, "seq": i}])
+        stateful.run_stateful(win.json_stream(spark, folder, "k string, ts bigint, seq bigint"), step, out)
+    alerts = spark.read.parquet(f"{out}/out").collect()
+    assert sorted((r["ts"], r["window_count"]) for r in alerts) == [(120, 3), (170, 3)]
+    assert [r["ts"] for r in spark.read.parquet(f"{out}/state/4").collect()] == [400]
+
+
+def test_late_flags_across_batches(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "run")
+    step = stateful.late_step("g", "ts", ["seq"])
+    for part in ([(100, 0), (105, 1)], [(101, 2), (110, 3)], [(108, 4), (112, 5)]):
+        put(spark, folder, [{"g": "all", "ts": t, "seq": s} for t, s in part])
+        stateful.run_stateful(win.json_stream(spark, folder, "g string, ts bigint, seq bigint"), step, out)
+    rows = spark.read.parquet(f"{out}/out").orderBy("seq").collect()
+    assert [r["is_late"] for r in rows] == [False, False, True, False, True, False]
+
+
+def test_repeated_batch_overwrites_itself(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "run")
+    put(spark, folder, [{"user_id": "u", "amount": 5}, {"user_id": "u", "amount": "5"}])
+    for attempt in range(2):  # without its checkpoint the stream runs batch 0 again
+        sinks.split_sink(sinks.text_stream(spark, folder), transaction_contract, out,
+                         checkpoint=str(tmp_path / f"checkpoint-{attempt}"))
+    assert spark.read.parquet(f"{out}/ok").count() == 1 and spark.read.parquet(f"{out}/dlq").count() == 1
+
+
+def test_micro_batches(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "run")
+    tx = lambda i, amount: json.dumps({"transaction_id": f"tx_{i}", "user_id": "usr_1", "amount": amount,
+                                       "currency": "JPY", "timestamp": "2026-06-25T15:00:00Z"})
+    text = ["```json", *[tx(i, 1.5) for i in range(7)], "", "note " + tx(8, 2) + " end", tx(9, -1), "{broken", "```"]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("\n".join(text))  # no line break at the end
+    sinks.micro_batch_sink(sinks.text_stream(spark, folder), out)
+    ok = spark.read.parquet(f"{out}/ok").withColumn("file", F.input_file_name())
+    assert ok.count() == 8 and max(r["count"] for r in ok.groupBy("file").count().collect()) <= 3
+    assert sorted(r["violations"][0] for r in spark.read.parquet(f"{out}/dlq").collect()) == ["amount", "json"]
