@@ -15,12 +15,23 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     A plain computed column is copied into every filter pushed below it, so a parse that six checks
     look at would run six times. The planner does not move conditions through a generator.
     """
-    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+    return df.withColumn("_once", value).select(*df.columns, F.explode_outer(F.array("_once")).alias(name))
+
+
+# Fixed value: follows the text so that a parse which stops early is noticed.
+END_MARK = "\u2402end"
 
 
 def parsed(text: Column | str) -> Column:
-    """VARIANT of a JSON text, null when it is broken."""
-    return F.try_parse_json(F.col(text) if isinstance(text, str) else text)
+    """VARIANT of a JSON text, null when it is broken or anything follows the JSON value.
+
+    The built-in parser reads one value and ignores the rest of the text. Here the text is read as
+    the first of two array items; only if the second is still the mark did the text end in time.
+    """
+    body = F.col(text) if isinstance(text, str) else text
+    pair = F.try_parse_json(F.concat(F.lit("["), body, F.lit(f',"{END_MARK}"]')))
+    whole = F.try_variant_get(pair, "$[1]", "string") == END_MARK
+    return F.when(whole, F.try_variant_get(pair, "$[0]", "variant"))
 
 
 def field(variant: Column, path: str, kind: str = "string") -> Column:

@@ -47,10 +47,11 @@ def tx_validate(df: DataFrame, text: str, heal: bool = True) -> DataFrame:
         "timestamp": stamp.isNotNull(),
     })
     readable = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    return rows.select(
-        *df.columns, field(v, "transaction_id").alias("transaction_id"), field(v, "user_id").alias("user_id"),
+    checked = F.struct(
+        field(v, "transaction_id").alias("transaction_id"), field(v, "user_id").alias("user_id"),
         amount.alias("amount"), currency.alias("currency"), stamp.alias("timestamp"),
         F.when(readable, failed).otherwise(F.array(F.lit("json"))).alias("violations"))
+    return once(rows, "_c", checked).select(*df.columns, "_c.*")
 
 
 def tx_validate_dlq(df: DataFrame, index: str, text: str, heal: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -64,21 +65,24 @@ def tx_validate_dlq(df: DataFrame, index: str, text: str, heal: bool = True) ->
     return good, bad
 
 
-ORDER_SHAPE = (
-    "struct<order_id:string,customer:struct<customer_id:string,email:string,membership:string>,"
-    "items:array<struct<item_id:string,price:string,quantity:string>>,total_amount:string,order_date:string>"
-)
+PARTY = "struct<customer_id:string,email:string,membership:string>"
+ITEMS = "array<struct<item_id:string,price:string,quantity:string>>"
 
 
-def order_violations(o: Column) -> Column:
+def _costs(items: Column) -> Column:
+    """Price times quantity of every item, null where an item breaks its contract."""
+    def cost(i: Column) -> Column:
+        price, quantity = number(i["price"]), whole_number(i["quantity"])
+        return F.when(i["item_id"].isNotNull() & (price > 0) & (quantity > 0), price * quantity)
+    return F.transform(items, cost)
+
+
+def order_violations(o: Column, costs: Column) -> Column:
     """Fields of a nested order (all leaves as text) that break the contract."""
-    item_ok = lambda i: F.coalesce(
-        i["item_id"].isNotNull() & (number(i["price"]) > 0) & (whole_number(i["quantity"]) > 0), F.lit(False))
-    items_ok = F.forall(o["items"], item_ok)
-    expected = F.aggregate(
-        o["items"], F.lit(0.0), lambda acc, i: acc + number(i["price"]) * whole_number(i["quantity"]))
+    items_ok = F.forall(costs, lambda c: c.isNotNull())
+    expected = F.aggregate(costs, F.lit(0.0), lambda acc, c: acc + c)
     total = number(o["total_amount"])
-    sum_ok = F.when(items_ok & (F.size(o["items"]) > 0), F.abs(total - expected) <= 0.01).otherwise(F.lit(True))
+    sum_ok = F.when(items_ok & (F.size(costs) > 0), F.abs(total - expected) <= 0.01).otherwise(F.lit(True))
     return violations({
         "order_id": o["order_id"].isNotNull(),
         "customer.customer_id": o["customer"]["customer_id"].isNotNull(),
@@ -92,38 +96,41 @@ def order_violations(o: Column) -> Column:
 
 def order_contract(df: DataFrame, text: str) -> DataFrame:
     """Parsed order and its violations, per JSON text."""
-    return once(df, "order", F.from_json(text, ORDER_SHAPE)).withColumn(
-        "violations", order_violations(F.col("order")))
+    v = F.col("_v")
+    order = F.struct(
+        field(v, "order_id").alias("order_id"), field(v, "customer", PARTY).alias("customer"),
+        field(v, "items", ITEMS).alias("items"), field(v, "total_amount").alias("total_amount"),
+        field(v, "order_date").alias("order_date"))
+    return _judged(once(once(df, "_v", parsed(text)), "order", order).drop("_v"), "order")
 
 
-DRIFTED_SHAPE = (
-    "struct<order_id:string,ord_number:string,"
-    "customer:struct<customer_id:string,cust_id:string,email:string,membership:string>,"
-    "cust_info:struct<customer_id:string,cust_id:string,email:string,membership:string>,"
-    "customer_id:string,customer_email:string,customer_membership:string,"
-    "items:array<struct<item_id:string,price:string,quantity:string,qty:string>>,"
-    "total_amount:string,order_date:string>"
-)
+def _judged(df: DataFrame, name: str) -> DataFrame:
+    priced = once(df, "_costs", _costs(F.col(name)["items"]))
+    return priced.withColumn("violations", order_violations(F.col(name), F.col("_costs"))).drop("_costs")
+
+
+DRIFTED_ITEMS = "array<struct<item_id:string,price:string,quantity:string,qty:string>>"
+# Where each field may be found, best place first.
+ALIASES = {
+    "order_id": ["order_id", "ord_number"],
+    "customer_id": ["customer.customer_id", "customer.cust_id", "cust_info.customer_id", "cust_info.cust_id", "customer_id"],
+    "email": ["customer.email", "cust_info.email", "customer_email"],
+    "membership": ["customer.membership", "cust_info.membership", "customer_membership"],
+}
 
 
 def drift_normalise(df: DataFrame, text: str, name: str = "order") -> DataFrame:
     """Orders with renamed or flattened fields, mapped back to the contract's shape by fixed aliases."""
-    d = F.from_json(text, DRIFTED_SHAPE)
-    o = F.col("_d")
-    items = F.transform(o["items"], lambda i: F.struct(
+    v = F.col("_v")
+    found = {name: F.coalesce(*[field(v, place) for place in places]) for name, places in ALIASES.items()}
+    items = F.transform(field(v, "items", DRIFTED_ITEMS), lambda i: F.struct(
         i["item_id"].alias("item_id"), i["price"].alias("price"),
         F.coalesce(i["quantity"], i["qty"]).alias("quantity")))
-    customer = F.struct(
-        F.coalesce(o["customer"]["customer_id"], o["customer"]["cust_id"], o["cust_info"]["customer_id"],
-                   o["cust_info"]["cust_id"], o["customer_id"]).alias("customer_id"),
-        F.coalesce(o["customer"]["email"], o["cust_info"]["email"], o["customer_email"]).alias("email"),
-        F.coalesce(o["customer"]["membership"], o["cust_info"]["membership"],
-                   o["customer_membership"]).alias("membership"))
+    customer = F.struct(*[found[n].alias(n) for n in ("customer_id", "email", "membership")])
     order = F.struct(
-        F.coalesce(o["order_id"], o["ord_number"]).alias("order_id"), customer.alias("customer"),
-        items.alias("items"), o["total_amount"].alias("total_amount"), o["order_date"].alias("order_date"))
-    return once(once(df, "_d", d), name, order).drop("_d").withColumn(
-        "violations", order_violations(F.col(name)))
+        found["order_id"].alias("order_id"), customer.alias("customer"), items.alias("items"),
+        field(v, "total_amount").alias("total_amount"), field(v, "order_date").alias("order_date"))
+    return _judged(once(once(df, "_v", parsed(text)), name, order).drop("_v"), name)
 
 
 def analysis_violations(v: Column) -> Column:
@@ -200,7 +207,7 @@ def tool_call_parse(df: DataFrame, text: str) -> DataFrame:
     name = F.nullif(F.regexp_extract(t, CALL_PATTERN, 1), F.lit(""))
     args = F.regexp_extract(t, CALL_PATTERN, 2)
     final = t.rlike(FINAL_PATTERN)
-    broken = name.isNotNull() & F.try_parse_json(args).isNull()
+    broken = name.isNotNull() & parsed(args).isNull()
     kind = F.when(broken, "error").when(name.isNotNull(), "call").when(final, "final").otherwise("none")
     return df.select(
         "*", kind.alias("kind"), name.alias("tool"), F.when(name.isNotNull(), args).alias("args"),

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+SESSION = {"spark.sql.session.timeZone": "UTC", "spark.sql.variant.allowDuplicateKeys": "true"}
+
+
 def build_session(master: str = "local[*]", app: str = "millrace", shuffle_partitions: int = 8,
                   **conf: str) -> SparkSession:
     """A session for tests and benchmarks. A cluster job brings its own."""
@@ -15,22 +18,22 @@ def build_session(master: str = "local[*]", app: str = "millrace", shuffle_parti
         SparkSession.builder.master(master).appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for key, value in conf.items():
+    for key, value in {**SESSION, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Times are compared in UTC everywhere."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Times are compared in UTC everywhere; of a repeated JSON key the last value counts."""
+    for key, value in SESSION.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from millrace.functions.jsonx import once
+from millrace.functions.jsonx import once, parsed
 
 # Column types of a record class; any other annotation is read as text.
 FIELD_TYPES = {"int": "bigint", "float": "double", "str": "string", "bool": "boolean"}
@@ -19,14 +19,10 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def jsonl_scan_defensive(lines: DataFrame, schema: StructType | str, text: str = "value") -> tuple[DataFrame, DataFrame]:
     """Typed records of readable lines, and the unreadable lines as they came."""
-    ddl = schema if isinstance(schema, str) else ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = once(lines, "_r", F.from_json(
-        text, f"{ddl}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    shape = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    read = once(once(lines, "_v", parsed(text)), "_r", F.try_variant_get("_v", "$", shape.simpleString()))
     kept = [c for c in lines.columns if c != text]
-    good = parsed.where(F.col("_r._corrupt").isNull() & F.col("_r").isNotNull()).select(*kept, "_r.*").drop("_corrupt")
-    bad = parsed.where(F.col("_r._corrupt").isNotNull() | F.col("_r").isNull()).select(*lines.columns)
-    return good, bad
+    return read.where(F.col("_r").isNotNull()).select(*kept, "_r.*"), read.where(F.col("_r").isNull()).select(*lines.columns)
 
 
 def error_line_scan(lines: DataFrame, needle: str = "ERROR", field: str = "log", text: str = "value") -> DataFrame:
@@ -38,7 +34,7 @@ def error_line_scan(lines: DataFrame, needle: str = "ERROR", field: str = "log",
 def prefiltered_parse_agg(lines: DataFrame, text: str = "value") -> DataFrame:
     """Sum of ``amount`` per user over successful records; unreadable lines and amounts are skipped."""
     hit = lines.where(F.col(text).contains("success"))
-    rows = once(hit, "v", F.try_parse_json(text)).where(F.try_variant_get("v", "$.status", "string") == "success")
+    rows = once(hit, "v", parsed(text)).where(F.try_variant_get("v", "$.status", "string") == "success")
     kind = F.schema_of_variant(F.try_variant_get("v", "$.amount", "variant"))
     numeric = (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
     has_user = F.try_variant_get("v", "$.user_id", "variant").isNotNull()

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.jsonx import heal_json_text, json_flatten
+from millrace.functions.jsonx import heal_json_text, json_flatten, parsed
 from millrace.operators import model_outputs as mo, quality as q
 from millrace.sources import lines as ln, payloads as pay, tables as tab
 
@@ -22,6 +22,17 @@ def test_sensors(spark, rows):
     assert sorted(rows(q.sensor_cleanse(lines(spark, texts)))) == [("s1", 22.5), ("s3", 25.0), ("s5", 18.0)]
 
 
+@pytest.mark.parametrize("text,readable", [
+    ('{"a": 1}', True), (' {"a": 1} ', True), ('{"a": 1} x', False), ('{"a": 1}}', False), ('{"a": 1}]', False),
+    ('{"a": 1}, {"a": 2}', False), ('{"a": 1}, "b": {"c": 2}', False), ("{'a': 1}", False), ("", False), ("{", False),
+    ('[{"a": 1}]', True), ("5", True), ('{"a": 1, "a": 2}', True)])
+def test_only_whole_texts_are_json(spark, text, readable):
+    got = lines(spark, [text]).select(parsed("value").cast("string")).first()[0]
+    assert (got is not None) == readable
+    if "a\": 2}" in text and readable:
+        assert got == '{"a":2}'
+
+
 def test_transactions_are_not_cast(spark):
     texts = ['{"user_id": "u1", "amount": 1000}', '{"user_id": "u1", "amount": "1000"}', '{"user_id": "u1", "amount": true}',
              '{"user_id": 7, "amount": 1}', '{"user_id": "u1"}', "{"]
