@@ -244,6 +244,6 @@ def release_note_markdown(version: str, title: str, summary: str, features: str,
 
 def release_note_rollup(notes: DataFrame, appended: str) -> DataFrame:
     """Every note with its Markdown and whether it is the one appended last."""
-    last = notes.agg(F.max(appended).alias("_last"))
+    last = notes.agg(F.max(appended)).scalar()
     made = notes.withColumn("markdown", release_note_markdown("version", "title", "summary", "features", "fixes"))
-    return made.join(F.broadcast(last)).withColumn("is_latest", F.col(appended) == F.col("_last")).drop("_last")
+    return made.withColumn("is_latest", F.col(appended) == last)

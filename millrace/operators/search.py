@@ -51,10 +51,10 @@ def bm25_search(docs: DataFrame, queries: DataFrame, ident: str, tokens: str, qu
     spread = found.groupBy("term").agg(
         F.sum(F.when(F.col("_tf") > 0, 1)).alias("_df"), F.sum("_len").alias("_total"))
     all_docs = F.col("term") == ""
-    size = spread.agg(F.max(F.when(all_docs, F.col("_df"))).alias("_n"),
-                      F.max(F.when(all_docs, F.col("_total") / F.col("_df"))).alias("_avg"))
-    idf = F.log(1 + (F.col("_n") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
-    weights = spread.join(F.broadcast(size)).select("term", idf.alias("_idf"), "_avg")
+    n_docs = spread.agg(F.max(F.when(all_docs, F.col("_df")))).scalar()
+    mean_len = spread.agg(F.max(F.when(all_docs, F.col("_total") / F.col("_df")))).scalar()
+    idf = F.log(1 + (n_docs - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
+    weights = spread.select("term", idf.alias("_idf"), mean_len.alias("_avg"))
     weighted = asked.join(weights, "term")
     part = F.col("_idf") * F.col("_tf") * (K1 + 1) / (
         F.col("_tf") + K1 * (1 - B + B * F.col("_len") / F.col("_avg")))

@@ -138,14 +138,13 @@ def page_payload_ingest(spark, d):
     """One landed page per customer, each naming the next; every ninth carries no list."""
     c = table(spark, d, "customer")
     k = F.col("c_custkey")
-    last = c.agg(F.max("c_custkey").alias("last"))
     first = obj(id=k.cast("string"), name=quoted(F.col("c_name")), score=F.col("c_nationkey").cast("string"))
     bare = obj(id=k.cast("string"), name=quoted(F.col("c_name")))
     second = obj(id=(k + 1_000_000_000).cast("string"), name=quoted(F.col("c_mktsegment")), score="7")
     records = F.concat(F.lit("["), F.when(k % 4 == 1, bare).otherwise(first), F.lit(","), second, F.lit("]"))
-    following = F.when(k == F.col("last"), "null").otherwise(quoted(F.concat(F.lit("cur_"), k + 1)))
+    following = F.when(k == c.agg(F.max("c_custkey")).scalar(), "null").otherwise(quoted(F.concat(F.lit("cur_"), k + 1)))
     payload = obj(records=F.when(k % 9 == 2, '"none"').otherwise(records), next_cursor=following)
-    pages = c.join(F.broadcast(last)).select(F.concat(F.lit("cur_"), k).alias("cursor"), payload.alias("payload"))
+    pages = c.select(F.concat(F.lit("cur_"), k).alias("cursor"), payload.alias("payload"))
     out = pay.page_payload_ingest(pages, "cursor", "payload")
     return out.withColumn("score", F.coalesce("score", F.lit(-1)))
 

@@ -28,7 +28,8 @@ def jsonl_scan_defensive(lines: DataFrame, schema: StructType | str, text: str =
 def error_line_scan(lines: DataFrame, needle: str = "ERROR", field: str = "log", text: str = "value") -> DataFrame:
     """``field`` of the lines that contain ``needle`` anywhere. The text test comes before the parse."""
     hit = lines.where(F.col(text).contains(needle))
-    return once(hit, field, F.get_json_object(text, f"$.{field}")).where(F.col(field).isNotNull())
+    read = once(hit, "_v", parsed(text)).withColumn(field, F.try_variant_get("_v", f"$.{field}", "string"))
+    return read.drop("_v").where(F.col(field).isNotNull())
 
 
 def prefiltered_parse_agg(lines: DataFrame, text: str = "value") -> DataFrame:

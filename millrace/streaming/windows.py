@@ -61,8 +61,7 @@ def newest_rows(updates: DataFrame, keys: list[str]) -> DataFrame:
 
 def newest_batch(updates: DataFrame) -> DataFrame:
     """What a complete-mode stream wrote last."""
-    last = updates.agg(F.max("batch").alias("_last"))
-    return updates.join(F.broadcast(last), F.col("batch") == F.col("_last")).drop("batch", "part", "_last")
+    return updates.where(F.col("batch") == updates.agg(F.max("batch")).scalar()).drop("batch", "part")
 
 
 def feed(slices: list[DataFrame], folder: str, run: Callable[[], object]) -> None:
