@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.running import Running, find_hot_keys, running
@@ -45,27 +45,26 @@ def token_bucket(df: DataFrame, keys: list[str], ts: str, seq: str, capacity: in
     hot = find_hot_keys(instants, keys, hot_rows)
     seen = running(instants, keys, [ts], [Running("_prev", "max", F.col(ts), before=True)], hot=hot)
     refills = (F.col(ts) - F.col("_prev")) * tokens >= capacity * period
-    fresh = F.when(F.col("_prev").isNull() | refills, 1).otherwise(0)
-    stretches = running(seen, keys, [ts], [Running("_stretch", "sum", fresh)], hot=hot).select(
-        *keys, F.col(ts).cast("long").alias(ts), "_n", "_stretch")
-    names = [*keys, "_stretch"]
+    fresh = seen.withColumn("_first", F.when(F.col("_prev").isNull() | refills, 1).otherwise(0))
+    stretches = running(fresh, keys, [ts], [Running("_stretch", "sum", F.col("_first"))], hot=hot).select(
+        *keys, "_stretch", F.col(ts).cast("long").alias(ts), "_n", "_first")
     schema = stretches.select(*keys, ts).schema.add("_granted", "long")
 
-    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, credit, last = None, 0, 0
-        for pdf in frames:
-            granted = np.zeros(len(pdf), dtype=np.int64)
-            t, n = pdf[ts].to_numpy(), pdf["_n"].to_numpy()
-            rows = list(pdf[names].itertuples(index=False, name=None))
-            starts = [0] + [i for i in range(1, len(rows)) if rows[i] != rows[i - 1]] if rows else []
-            for a, b in zip(starts, [*starts[1:], len(rows)]):
-                if rows[a] != current:
-                    current, credit, last = rows[a], capacity * period, int(t[a])
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        credit, last = 0, 0
+        for batch in batches:
+            t, n, first = (batch.column(c).to_numpy() for c in (ts, "_n", "_first"))
+            granted = np.zeros(len(t), dtype=np.int64)
+            cuts = [0, *np.flatnonzero(first[1:]) + 1, len(t)] if len(t) else []
+            for a, b in zip(cuts, cuts[1:]):
+                if first[a]:
+                    credit, last = capacity * period, int(t[a])
                 granted[a:b], credit, last = _grant(t[a:b], n[a:b], credit, last, capacity, tokens, period)
-            yield pdf[[*keys, ts]].assign(_granted=granted)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in (*keys, ts)), pa.array(granted)], names=[*keys, ts, "_granted"])
 
-    ordered = stretches.repartition(*names).sortWithinPartitions(*names, ts)
-    granted = ordered.mapInPandas(walk, schema)
+    ordered = stretches.repartition(*keys, "_stretch").sortWithinPartitions(*keys, "_stretch", ts)
+    granted = ordered.mapInArrow(walk, schema)
     placed = running(df, [*keys, ts], [seq], [Running("_place", "sum", F.lit(1))], hot_rows=hot_rows)
     cond = F.lit(True)
     for c in [*keys, ts]:

@@ -144,9 +144,14 @@ def _ranked(parts: DataFrame, base: DataFrame, ident: str, queries: DataFrame, q
 
 def _query_blocks(queries: DataFrame, query: str, vector: str) -> Iterator[tuple[list[int], np.ndarray]]:
     """Queries in blocks of bounded size; each block fits the driver and is shipped to the tasks."""
-    blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
-    for b in range(blocks):
-        rows = queries.where(F.pmod(F.xxhash64(query), F.lit(blocks)) == b).select(query, vector).collect()
+    rows = queries.select(query, vector).limit(QUERY_BLOCK + 1).collect()
+    if len(rows) <= QUERY_BLOCK:
+        parts = [rows]
+    else:
+        blocks = math.ceil(queries.count() / QUERY_BLOCK)
+        parts = (queries.where(F.pmod(F.xxhash64(query), F.lit(blocks)) == b).select(query, vector).collect()
+                 for b in range(blocks))
+    for rows in parts:
         if rows:
             yield [r[0] for r in rows], np.array([r[1] for r in rows], dtype=np.float64)
 

@@ -172,11 +172,12 @@ def test_token_bucket_model(spark, hot):
     rng = random.Random(2)
     data = sorted((rng.choice("ab"), rng.randrange(300)) for _ in range(300))
     rows_in = [(k, t, i) for i, (k, t) in enumerate(data)]
+    rows_in += [(None, t, 1000 + i) for i, (_, t) in enumerate(data[:80])]
     capacity, tokens, period = 4, 2, 7
     out = {r["seq"]: r["allowed"] for r in rate_limit.token_bucket(
         spark.createDataFrame(rows_in, "k string, ts long, seq long"), ["k"], "ts", "seq", capacity, tokens, period,
         hot_rows=hot).collect()}
-    for key in "ab":
+    for key in ("a", "b", None):
         credit, last = capacity * period, None
         for k, t, i in rows_in:
             if k != key:
