@@ -231,12 +231,19 @@ def llm_json_heal(spark, d):
     return _answers(spark, d).select(ID, F.md5(heal_json_text("answer")).alias("healed_md5"))
 
 
-@query("tx_validate_dlq", f"""
-SELECT event_id, CASE WHEN event_id % 8 IN (5, 6, 7) THEN 'dlq' ELSE 'ok' END AS output,
-       CASE event_id % 8 WHEN 5 THEN 'amount' WHEN 6 THEN 'user_id,currency' WHEN 7 THEN 'json' ELSE '' END AS failed_fields,
-       CASE event_id % 8 WHEN 3 THEN 'GBP' WHEN 4 THEN 'EUR' WHEN 5 THEN '' WHEN 6 THEN '' WHEN 7 THEN '' ELSE 'JPY' END AS currency,
-       CASE WHEN event_id % 8 IN (5, 6, 7) THEN 0.0::DOUBLE WHEN event_id % 8 = 4 THEN {CENTS} + 0.5::DOUBLE ELSE {CENTS}::DOUBLE END AS amount
-FROM events""")
+# An answer is refused for its shape, or because its amount is not positive once rounded to cents.
+TX_SQL = f"""
+judged AS (SELECT *, {CENTS} AS c, event_id % 8 AS m FROM events),
+verdict AS (SELECT *, CASE WHEN m = 7 THEN 'json' WHEN m = 6 AND c = 0 THEN 'user_id,amount,currency' WHEN m = 6 THEN 'user_id,currency'
+                           WHEN m = 5 OR (m <> 4 AND c = 0) THEN 'amount' ELSE '' END AS failed_fields FROM judged)
+"""
+
+
+@query("tx_validate_dlq", f"""WITH {TX_SQL}
+SELECT event_id, CASE WHEN failed_fields = '' THEN 'ok' ELSE 'dlq' END AS output, failed_fields,
+       CASE WHEN failed_fields <> '' THEN '' WHEN m = 3 THEN 'GBP' WHEN m = 4 THEN 'EUR' ELSE 'JPY' END AS currency,
+       CASE WHEN failed_fields <> '' THEN 0.0::DOUBLE WHEN m = 4 THEN c + 0.5::DOUBLE ELSE c::DOUBLE END AS amount
+FROM verdict""")
 def tx_validate_dlq(spark, d):
     good, bad = mo.tx_validate_dlq(_answers(spark, d), "event_id", "answer")
     fields = F.regexp_replace("error_reason", ": invalid value(, )?", ",")

@@ -267,12 +267,15 @@ def candidate_pool(spark, d):
 WITH w AS (SELECT doc_id, unnest(string_split_regex('passage: ' || lower(text), '\s+')) AS word FROM documents),
 s AS (SELECT doc_id, CAST('0x' || md5(word)[1:8] AS UBIGINT) % 64 AS slot, count(*) AS n FROM w WHERE word <> '' GROUP BY ALL),
 z AS (SELECT doc_id, sqrt(sum(n * n)) AS size FROM s GROUP BY doc_id)
-SELECT doc_id, CAST(slot AS INTEGER) AS slot, round(n / size, 4) AS weight FROM s JOIN z USING (doc_id)""")
+SELECT doc_id, CAST(slot AS INTEGER) AS slot, CAST(floor(n / size * 100 + 0.317) AS BIGINT) AS weight FROM s JOIN z USING (doc_id)""")
 def embed_rows(spark, d):
-    """The non-zero parts of every document's vector from the stand-in encoder."""
+    """The non-zero parts of every document's vector from the stand-in encoder, in hundredths.
+
+    The offset keeps exact halves, where single and double precision part, away from the cut.
+    """
     rows = ch.embed_rows(_documents(spark, d).select("doc_id", "text"), "text", ch.hashed_bag_encoder(64))
     parts = rows.select("doc_id", F.posexplode("vector").alias("slot", "x")).where(F.col("x") != 0)
-    return parts.select("doc_id", "slot", F.round(F.col("x").cast("double"), 4).alias("weight"))
+    return parts.select("doc_id", "slot", F.floor(F.col("x").cast("double") * 100 + 0.317).alias("weight"))
 
 
 @query("rag_build", """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.quality import transaction_contract
 from millrace.operators.relational import union_sources, union_streams
-from millrace.plans.quality import _answers, obj, pick, quoted
+from millrace.plans.quality import TX_SQL, _answers, obj, pick, quoted
 from millrace.plans.registry import DELAY_SQL, EVENTS_SQL, delayed, events, query
 from millrace.session import scratch_dir
 from millrace.sources.tables import table
@@ -158,11 +158,11 @@ def stream_error_alert(spark, d):
     return spark.read.parquet(f"{out}/out").drop("batch")
 
 
-@query("micro_batch_sink", """
-SELECT CASE WHEN event_id % 8 IN (3, 5, 6, 7) THEN 'dlq' ELSE 'ok' END AS output,
-       CASE WHEN event_id % 8 IN (3, 7) THEN '' ELSE 'tx_' || event_id END AS transaction_id,
-       CASE event_id % 8 WHEN 5 THEN 'amount' WHEN 6 THEN 'user_id,currency' WHEN 3 THEN 'json' WHEN 7 THEN 'json' ELSE '' END AS failed_fields
-FROM events""")
+@query("micro_batch_sink", f"""WITH {TX_SQL},
+lines AS (SELECT *, CASE WHEN m = 3 THEN 'json' ELSE failed_fields END AS failed FROM verdict)
+SELECT CASE WHEN failed = '' THEN 'ok' ELSE 'dlq' END AS output,
+       CASE WHEN failed = 'json' THEN '' ELSE 'tx_' || event_id END AS transaction_id, failed AS failed_fields
+FROM lines""")
 def micro_batch_sink(spark, d):
     folder, out = scratch_dir(spark, "stream-in"), scratch_dir(spark, "stream-out")
     _answers(spark, d).select(F.col("answer").alias("value")).write.text(folder)
