@@ -28,10 +28,12 @@ def run_stateful(stream: DataFrame, step: Step, path: str, wait: float = 3600) -
         before = f"{path}/state/{batch - 1}"
         state = spark.read.parquet(before) if batch and path_exists(spark, before) else None
         rows.persist()
-        output, left = step(rows, state)
-        left.write.mode("overwrite").parquet(f"{path}/state/{batch}")
-        output.write.mode("overwrite").parquet(f"{path}/out/batch={batch}")
-        rows.unpersist()
+        try:
+            output, left = step(rows, state)
+            left.write.mode("overwrite").parquet(f"{path}/state/{batch}")
+            output.write.mode("overwrite").parquet(f"{path}/out/batch={batch}")
+        finally:
+            rows.unpersist()
 
     query = stream.writeStream.foreachBatch(handle).option(
         "checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
