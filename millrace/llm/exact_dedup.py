@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.session import stage_table
 
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 500
 MAX_DEPTH = 16
 
 

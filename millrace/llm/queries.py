@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.chat import PART_TURNS, render_chats
 from millrace.llm.exact_dedup import exact_dedup
+from millrace.llm.mixing import DIMENSIONS, TOPICS, Targets, sampling_table
 from millrace.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from millrace.llm.url_filter import judge_urls
 
 
 @query("op3_exact_dedup", """
@@ -37,3 +39,50 @@ SELECT p.conv_id, (pos - 1) // {PART_TURNS} AS part, turns, copies,
 FROM p JOIN kept ON p.conv_id IS NOT DISTINCT FROM kept.conv_id GROUP BY ALL""")
 def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return render_chats(table(spark, folder, "conversations"))
+
+
+def _mixing_sql(rounds: int = 12) -> str:
+    """The same fit, one window per rescaling, written out."""
+    hits = ", ".join(f"len(regexp_extract_all(t, '{p}')) AS h{i}" for i, p in enumerate(TOPICS.values()))
+    best = "greatest(" + ", ".join(f"h{i}" for i in range(len(TOPICS))) + ")"
+    topic = "CASE WHEN " + best + " = 0 THEN 'general' " + " ".join(
+        f"WHEN h{i} = {best} THEN '{n}'" for i, n in enumerate(TOPICS)) + " END"
+    power = Targets().exponents
+    steps, last = [], "fit"
+    for r in range(rounds):
+        for d in DIMENSIONS:
+            steps.append(f"w_{r}_{d} AS MATERIALIZED (SELECT * REPLACE (coalesce(round(weight * t_{d} * n_all / nullif("
+                         f"sum(weight) OVER (PARTITION BY {d}), 0), 6), 0) AS weight) FROM {last})")
+            last = f"w_{r}_{d}"
+    natural = ", ".join(f"sum(tokens) OVER (PARTITION BY {d})::DOUBLE AS n_{d}" for d in DIMENSIONS)
+    raw = ", ".join(f"pow(n_{d} / n_all, {power[d]}) AS r_{d}" for d in DIMENSIONS)
+    scaled = ", ".join(f"round(r_{d} / sum(r_{d} * tokens / n_{d}) OVER (), 12) AS t_{d}" for d in DIMENSIONS)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(lang, 'unknown') AS lang,
+                  coalesce(text, '') AS t, trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')) AS words FROM documents),
+h AS (SELECT *, {hits} FROM d),
+m AS MATERIALIZED (SELECT doc_id, t, source, lang, {topic} AS topic,
+       CASE WHEN words = '' THEN 0 ELSE length(words) - length(replace(words, ' ', '')) + 1 END AS tokens FROM h),
+c AS (SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens FROM m GROUP BY ALL HAVING sum(tokens) > 0),
+n AS (SELECT *, sum(tokens) OVER ()::BIGINT AS n_all, {natural} FROM c),
+s AS (SELECT *, {raw} FROM n),
+fit AS MATERIALIZED (SELECT *, {scaled}, tokens::DOUBLE AS weight FROM s),
+{", ".join(steps)},
+p AS (SELECT source, lang, topic, round((weight / tokens) / max(weight / tokens) OVER (), 9) AS chance FROM {last}),
+o AS (SELECT doc_id, t, source, lang, topic, tokens,
+             CASE WHEN tokens = 0 THEN 1.0 ELSE coalesce(chance, 0.0) END::DOUBLE AS probability
+      FROM m LEFT JOIN p USING (source, lang, topic))
+SELECT doc_id, source, lang, topic, tokens, probability,
+       ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, t)), 1, 8))::UBIGINT / 4294967296.0 < probability AS kept
+FROM o"""
+
+
+@query("op1_mixing", _mixing_sql())
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return sampling_table(table(spark, folder, "documents")).select(
+        "doc.doc_id", *DIMENSIONS, "tokens", "probability", "kept")
+
+
+@query("op6_url_filter")
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(table(spark, folder, "pages"))
