@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.chat import PART_TURNS, render_chats
 from millrace.llm.exact_dedup import exact_dedup
+from millrace.llm.language_id import held_out, predict_languages, train_dictionaries
 from millrace.llm.mixing import DIMENSIONS, TOPICS, Targets, sampling_table
 from millrace.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from millrace.llm.simhash_vp import hex_fingerprint, near_duplicates
 from millrace.llm.url_filter import judge_urls
 
 
@@ -86,3 +88,16 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_url_filter")
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"))
+
+
+@query("op9_simhash_near_dedup")
+def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents")).select(
+        "doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return predict_languages(docs, train_dictionaries(docs)).select(
+        "doc.doc_id", held_out(F.col("doc.doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
