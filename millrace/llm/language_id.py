@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 SAMPLE_DOCS = 64
 DICTIONARY_BYTES = 65_536
@@ -113,9 +113,9 @@ def predict_languages(docs: DataFrame, contents: dict[str, bytes], margin: float
                 ["doc", "lang_pred", "score", "margin", "rejected"])
 
     own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
-    schema = own.schema.add("lang_pred", "string").add("score", "double").add("margin", "double").add(
+    added = T.StructType().add("lang_pred", "string").add("score", "double").add("margin", "double").add(
         "rejected", "boolean")
-    return own.mapInArrow(code, schema)
+    return own.mapInArrow(code, T.StructType(own.schema.fields + added.fields))
 
 
 def accepted(docs: DataFrame, **options) -> DataFrame:

@@ -17,12 +17,13 @@ from millrace.session import stage_table
 
 DIMENSIONS = ("source", "lang", "topic")
 
-# Fixed word patterns of the bundled topics, in order of precedence on ties; ``general`` is the rest.
+# Marks of the bundled topics, in order of precedence on ties; ``general`` is the rest.
 TOPICS = {
-    "legal": r"(?i)\b(licen[sc]ed?|copyright|rights reserved|warranty|gnu|apache)\b",
-    "contact": r"[A-Za-z0-9._]+@[A-Za-z0-9.]+",
-    "table": r" \| ",
+    "legal": ("icense", "opyright", "ights reserved", "arranty"),
+    "contact": ("@",),
+    "table": (" | ",),
 }
+WORD = r"\S+"
 
 
 @dataclass(frozen=True)
@@ -39,18 +40,21 @@ class Targets:
 
 def token_count(text: Column) -> Column:
     """Words between blanks; 0 for null and blank texts."""
-    trimmed = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
-    return F.when(trimmed == "", F.lit(0)).otherwise(
-        F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "), F.lit(""))) + 1).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def _occurrences(text: Column, mark: str) -> Column:
+    """How often ``mark`` occurs; literal replacement is several times cheaper than a pattern."""
+    return (F.octet_length(text) - F.octet_length(F.replace(text, F.lit(mark), F.lit("")))) / len(mark.encode())
 
 
 def topic_of(text: Column) -> Column:
-    """The topic whose pattern occurs most often; ties go to the first one, no occurrence to ``general``."""
+    """The topic whose marks occur most often; ties go to the first one, no occurrence to ``general``."""
     text = F.coalesce(text, F.lit(""))
-    hits = [F.struct(F.regexp_count(text, F.lit(p)).alias("n"), F.lit(-i).alias("at"), F.lit(t).alias("topic"))
-            for i, (t, p) in enumerate(TOPICS.items())]
-    return F.greatest(*hits, F.struct(F.lit(0).alias("n"), F.lit(1).alias("at"), F.lit("general").alias("topic")))[
-        "topic"]
+    hits = [F.struct(sum((_occurrences(text, m) for m in marks), F.lit(0.0)).cast("long").alias("n"),
+                     F.lit(-i).alias("at"), F.lit(t).alias("topic")) for i, (t, marks) in enumerate(TOPICS.items())]
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(1).alias("at"), F.lit("general").alias("topic"))
+    return F.greatest(*hits, none)["topic"]
 
 
 def mixed_features(docs: DataFrame, topic: Column | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.llm.chat import PART_TURNS, render_chats
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.language_id import held_out, predict_languages, train_dictionaries
-from millrace.llm.mixing import DIMENSIONS, TOPICS, Targets, sampling_table
+from millrace.llm.mixing import DIMENSIONS, TOPICS, WORD, Targets, sampling_table
 from millrace.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from millrace.llm.simhash_vp import hex_fingerprint, near_duplicates
 from millrace.llm.url_filter import judge_urls
@@ -45,7 +45,8 @@ def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 def _mixing_sql(rounds: int = 12) -> str:
     """The same fit, one window per rescaling, written out."""
-    hits = ", ".join(f"len(regexp_extract_all(t, '{p}')) AS h{i}" for i, p in enumerate(TOPICS.values()))
+    hits = ", ".join(" + ".join(f"(strlen(t) - strlen(replace(t, '{m}', ''))) // {len(m.encode())}" for m in marks)
+                     + f" AS h{i}" for i, marks in enumerate(TOPICS.values()))
     best = "greatest(" + ", ".join(f"h{i}" for i in range(len(TOPICS))) + ")"
     topic = "CASE WHEN " + best + " = 0 THEN 'general' " + " ".join(
         f"WHEN h{i} = {best} THEN '{n}'" for i, n in enumerate(TOPICS)) + " END"
@@ -61,10 +62,10 @@ def _mixing_sql(rounds: int = 12) -> str:
     scaled = ", ".join(f"round(r_{d} / sum(r_{d} * tokens / n_{d}) OVER (), 12) AS t_{d}" for d in DIMENSIONS)
     return f"""
 WITH d AS (SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(lang, 'unknown') AS lang,
-                  coalesce(text, '') AS t, trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')) AS words FROM documents),
+                  coalesce(text, '') AS t FROM documents),
 h AS (SELECT *, {hits} FROM d),
 m AS MATERIALIZED (SELECT doc_id, t, source, lang, {topic} AS topic,
-       CASE WHEN words = '' THEN 0 ELSE length(words) - length(replace(words, ' ', '')) + 1 END AS tokens FROM h),
+       len(regexp_extract_all(t, '{WORD}')) AS tokens FROM h),
 c AS (SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens FROM m GROUP BY ALL HAVING sum(tokens) > 0),
 n AS (SELECT *, sum(tokens) OVER ()::BIGINT AS n_all, {natural} FROM c),
 s AS (SELECT *, {raw} FROM n),
