@@ -8,6 +8,7 @@ from millrace.llm.chat import PART_TURNS, render_chats
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.language_id import held_out, predict_languages, train_dictionaries
 from millrace.llm.mixing import DIMENSIONS, TOPICS, WORD, Targets, sampling_table
+from millrace.llm.quality import score_quality
 from millrace.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from millrace.llm.simhash_vp import hex_fingerprint, near_duplicates
 from millrace.llm.url_filter import judge_urls
@@ -102,3 +103,8 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return predict_languages(docs, train_dictionaries(docs)).select(
         "doc.doc_id", held_out(F.col("doc.doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op7_quality_classifier")
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
