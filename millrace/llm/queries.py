@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.chat import PART_TURNS, render_chats
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.language_id import held_out, predict_languages, train_dictionaries
 from millrace.llm.mixing import DIMENSIONS, TOPICS, WORD, Targets, sampling_table
+from millrace.llm.packing import pack_documents
 from millrace.llm.quality import score_quality
 from millrace.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from millrace.llm.simhash_vp import hex_fingerprint, near_duplicates
@@ -108,3 +110,10 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_quality_classifier")
 def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
+                         F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
