@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.llm.ann import nearest
 from millrace.llm.chat import PART_TURNS, render_chats
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.language_id import held_out, predict_languages, train_dictionaries
@@ -117,3 +118,9 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
                          F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op2_nearest_neighbours")
+def op2_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    found = nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
