@@ -9,6 +9,7 @@ from millrace.llm.ann import nearest
 from millrace.llm.chat import PART_TURNS, render_chats
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.language_id import held_out, predict_languages, train_dictionaries
+from millrace.llm.line_dedup import drop_repeated_lines
 from millrace.llm.mixing import DIMENSIONS, TOPICS, WORD, Targets, sampling_table
 from millrace.llm.packing import pack_documents
 from millrace.llm.quality import score_quality
@@ -124,3 +125,8 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op2_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     found = nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query("op8_line_dedup")
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return drop_repeated_lines(table(spark, folder, "documents")).select("doc.doc_id", "lines", "dropped", "text")
