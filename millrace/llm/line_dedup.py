@@ -1,20 +1,21 @@
 """Fuzzy line de-duplication in DataFrame expressions only.
 
 Lines are normalised (letters and digits, lower case) and SimHashed over their words; equal ones are one row
-from then on. Two fingerprints within ``radius`` bits agree in at least ``BLOCKS - radius`` of ``BLOCKS`` bit
-blocks, so they meet in a bucket of ``BLOCKS - radius`` blocks (pigeonhole). Lines that meet and are near enough are linked
+from then on. Two fingerprints within ``radius`` bits agree in at least ``blocks - radius`` of ``blocks`` bit
+blocks, so they meet in a bucket of that many blocks (pigeonhole). Lines that meet and are near enough are linked
 when their edit similarity over words reaches ``similarity``; of each connected group the first occurrence stays.
 
-Groups can be dense, so pairs are not enumerated: every fingerprint is first compared with its bucket's
-smallest one, and only bucket mates that these links leave unconnected are paired. No link between lines of
-different components is left out, while a bucket of one component costs as many comparisons as it has rows.
+The votes of the words are added up by one hash aggregation whose map side folds a line before anything is
+shuffled. Fingerprints are compared, not lines: of the lines with one fingerprint a representative
+stands for the others that are linked to it, and only lines which that leaves in different components are
+paired. No link between lines of different components is left out.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.components import connected_components
 from millrace.session import stage_table
@@ -24,8 +25,9 @@ BLOCKS = 5
 RADIUS = 3
 SIMILARITY = 0.8
 BROADCAST_BYTES = 32 << 20
-# Lane widths and the number of words up to which their counters hold.
-LANES = [(7, 63), (9, 255), (21, (1 << 20) - 1), (63, None)]
+# Seven counters of nine bits side by side in one number; they hold the votes of 255 words.
+LANE, SEGMENT_WORDS = 9, 255
+ONES = sum(1 << at for at in range(0, BITS - LANE + 1, LANE))
 
 
 def normalise(line: Column) -> Column:
@@ -38,59 +40,76 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _shift(value: Column, by: Column) -> Column:
-    return F.call_function("shiftrightunsigned", value, by)
+def votes(word_hash: Column) -> list[Column]:
+    """Sums over word hashes: counter ``j`` of sum ``k`` counts bit ``k + LANE * j``."""
+    return [F.sum(F.shiftrightunsigned(word_hash, k).bitwiseAND(F.lit(ONES))).alias(f"s{k}") for k in range(LANE)]
 
 
-def _majority(hashes: Column, n: Column, width: int) -> Column:
-    """Bits set in over half of ``hashes``, with counters of ``width`` bits side by side in one number.
+def majority(n: Column) -> Column:
+    """Fingerprint from the sums ``s0 ..`` of fewer than ``SEGMENT_WORDS`` words: bits set in over half of n.
 
-    Counter ``j`` of sum ``k`` belongs to bit ``k + width * j``. Adding ``2 ** (width - 1) - 1 - n div 2`` to a
-    counter sets its top bit exactly when the count is over half of n.
+    Adding ``2 ** (LANE - 1) - 1 - n div 2`` to a counter sets its top bit exactly when it is over half of n.
     """
-    ones = sum(1 << at for at in range(0, BITS - width + 1, width))
-    lift = (F.lit((1 << (width - 1)) - 1).cast("long") - F.floor(n / 2)) * F.lit(ones)
+    lift, out = (F.lit((1 << (LANE - 1)) - 1).cast("long") - F.floor(n / 2)) * F.lit(ONES), None
+    for k in range(LANE):
+        bits = F.shiftleft(F.shiftrightunsigned(F.col(f"s{k}") + lift, LANE - 1).bitwiseAND(F.lit(ONES)), k)
+        out = bits if out is None else out.bitwiseOR(bits)
+    return out
 
-    def bits(k: Column) -> Column:
-        total = F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a + _shift(h, k).bitwiseAND(F.lit(ones)))
-        return F.call_function("shiftleft", _shift(total + lift, F.lit(width - 1)).bitwiseAND(F.lit(ones)), k)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(width - 1)), F.lit(0).cast("long"),
-                       lambda f, k: f.bitwiseOR(bits(k)))
+def line_segments(docs: DataFrame) -> DataFrame:
+    """Votes per ``SEGMENT_WORDS`` words of each line with content of ``docs(doc_id, text)``.
 
-
-def simhash(words: Column) -> Column:
-    """SimHash of ``BITS`` bits over the words of an array, repeats included."""
-    def of(hashes: Column) -> Column:
-        n, out = F.size(hashes), None
-        for width, most in reversed(LANES):
-            own = _majority(hashes, n, width)
-            out = own if out is None else F.when(n <= most, own).otherwise(out)
-        return out
-    return _let(F.transform(words, lambda w: F.xxhash64(w)), of)
-
-
-def buckets(fp: Column, radius: int = RADIUS, blocks: int = BLOCKS) -> Column:
-    """One number per choice of ``blocks - radius`` blocks: the choice and the bits of these blocks."""
+    doc_id, text_key, line_no (from 0), key (of the normalised line), segment, n and either fp, for a line of
+    one segment, or the sums ``s0 ..``.
+    """
+    own = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split(
+        F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
+    # Behind a generator the normalised line is computed once, however often it is read.
+    normal = own.select("doc_id", "text_key", "line_no", F.explode(F.array(normalise(F.col("line")))).alias("normal"))
+    keyed = normal.where(F.col("normal") != "").select(
+        "doc_id", "text_key", "line_no", F.unhex(F.md5("normal")).alias("key"), F.split("normal", " ").alias("words"))
+    words = keyed.select("doc_id", "text_key", "line_no", "key", F.posexplode("words").alias("at", "word"))
+    segment = F.floor(F.col("at") / SEGMENT_WORDS).alias("segment")
+    summed = words.groupBy("doc_id", "text_key", "line_no", "key", segment).agg(
+        F.count(F.lit(1)).alias("n"), *votes(F.xxhash64("word")))
+    alone = (F.col("segment") == 0) & (F.col("n") < SEGMENT_WORDS)
+    return summed.select("doc_id", "text_key", "line_no", "key", "segment", "n", F.when(alone, majority(F.col("n")))
+                         .alias("fp"), *[F.when(~alone, F.col(f"s{k}")).alias(f"s{k}") for k in range(LANE)])
+
+
+def fingerprinted(segments: DataFrame) -> DataFrame:
+    """doc_id, text_key, line_no, key and fp of each line."""
+    place = ["doc_id", "text_key", "line_no", "key"]
+    long = segments.where(F.col("fp").isNull()).groupBy(*place).agg(F.sum("n").alias("n"), *[
+        F.sum(F.shiftrightunsigned(f"s{b % LANE}", b // LANE * LANE).bitwiseAND(F.lit((1 << LANE) - 1))).alias(f"b{b}")
+        for b in range(BITS)])
+    bits = [F.when(F.col(f"b{b}") * 2 > F.col("n"), F.lit(1 << b)).otherwise(F.lit(0)) for b in range(BITS)]
+    joined = bits[0].cast("long")
+    for b in bits[1:]:
+        joined = joined.bitwiseOR(b)
+    return segments.where(F.col("fp").isNotNull()).select(*place, "fp").union(long.select(*place, joined.alias("fp")))
+
+
+def masks(radius: int, blocks: int) -> list[int]:
+    """The bits of each choice of ``blocks - radius`` blocks."""
     edges = [BITS * i // blocks for i in range(blocks + 1)]
-    out = []
-    for i, chosen in enumerate(combinations(range(blocks), blocks - radius)):
-        mask = sum((1 << edges[b + 1]) - (1 << edges[b]) for b in chosen)
-        out.append(F.xxhash64(F.lit(i), fp.bitwiseAND(F.lit(mask))))
-    return F.array(*out)
-
-
-def _bits_apart(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b))
+    return [sum((1 << edges[b + 1]) - (1 << edges[b]) for b in chosen)
+            for chosen in combinations(range(blocks), blocks - radius)]
 
 
-def line_rows(docs: DataFrame) -> DataFrame:
-    """Lines with content of ``docs(doc_id, text)``: doc_id, text_key, line_no (from 0), key, fp."""
-    own = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split(
-        F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
-    normal = own.select("doc_id", "text_key", "line_no", normalise(F.col("line")).alias("normal"))
-    return normal.where(F.col("normal") != "").select(
-        "doc_id", "text_key", "line_no", F.md5("normal").alias("key"), simhash(F.split("normal", " ")).alias("fp"))
+def near_fingerprints(fps: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """Pairs ``x < y`` of ``fps(fp)`` within ``radius`` bits, each once."""
+    chosen = masks(radius, blocks)
+    spread = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in chosen]))
+                        .alias("choice", "bits"))
+    x, y = spread.alias("x"), spread.alias("y")
+    apart = F.col("x.fp").bitwiseXOR(F.col("y.fp"))
+    on = (F.col("x.choice") == F.col("y.choice")) & (F.col("x.bits") == F.col("y.bits")) & (
+        F.col("x.fp") < F.col("y.fp")) & (F.bit_count(apart) <= radius)
+    for i, m in enumerate(chosen[:-1]):  # they meet in every choice they agree on; the first one counts
+        on = on & ((F.col("x.choice") <= i) | (apart.bitwiseAND(F.lit(m)) != 0))
+    return x.join(y, on).select(F.col("x.fp").alias("x"), F.col("y.fp").alias("y"))
 
 
 def _word_codes(line: Column) -> Column:
@@ -105,73 +124,69 @@ def _small(df: DataFrame, rows: int, width: int) -> DataFrame:
     return F.broadcast(df) if rows * width <= BROADCAST_BYTES else df
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs ``(a, b)`` of line keys whose texts are similar enough."""
-    pairs = stage_table(pairs.distinct(), "pairs")
+def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, similarity: float) -> DataFrame | None:
+    """The pairs ``(a, b)`` of line keys whose texts are similar enough; None when there are no pairs."""
+    pairs = stage_table(pairs, "pairs")
+    if pairs.isEmpty():
+        return None
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     places = stage_table(lines.join(keys, "key", "left_semi").select("key", "first.*"), "places")
     where = places.select("key", "line_no", F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"))
     own = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     found = own.join(_small(where, places.count(), 96), own["doc_id"].eqNullSafe(F.col("_doc")) &
                      (own["text_key"] == F.col("_key")))
-    texts = stage_table(found.groupBy("key").agg(F.first(_word_codes(F.get(F.split("text", "\n"), F.col("line_no"))))
-                                                 .alias("codes")), "codes")
+    line = F.get(F.split("text", "\n"), F.col("line_no"))
+    texts = stage_table(found.select("key", _word_codes(line).alias("codes")).dropDuplicates(["key"]), "codes")
     a = texts.select(F.col("key").alias("a"), F.col("codes").alias("codes_a"))
     b = texts.select(F.col("key").alias("b"), F.col("codes").alias("codes_b"))
-    longer = F.greatest(F.length("codes_a"), F.length("codes_b"))
-    most = F.floor(longer * F.lit(1 - similarity) + 1e-9).cast("int")
+    most = F.floor(F.greatest(F.length("codes_a"), F.length("codes_b")) * F.lit(1 - similarity) + 1e-9).cast("int")
     near = F.abs(F.length("codes_a") - F.length("codes_b")) <= most
-    return pairs.join(a, "a").join(b, "b").where(near & (F.call_function(
-        "levenshtein", F.col("codes_a"), F.col("codes_b"), most) >= 0)).select("a", "b")
+    return stage_table(pairs.join(a, "a").join(b, "b").where(near & (F.call_function(
+        "levenshtein", F.col("codes_a"), F.col("codes_b"), most) >= 0)).select("a", "b"), "links")
 
 
 def line_groups(lines: DataFrame, docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY,
                 blocks: int = BLOCKS) -> DataFrame:
     """(node, component) of the distinct ``lines(key, fp, first)`` that are linked to another one."""
     fps = stage_table(lines.groupBy("fp").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("n")), "fps")
-    spread = fps.select("fp", "n", F.posexplode(buckets(F.col("fp"), radius, blocks)).alias("choice", "bucket"))
-    w = W.partitionBy("bucket")
-    members = spread.withColumn("low", F.min("fp").over(w)).withColumn("high", F.max("fp").over(w)).where(
-        (F.col("low") != F.col("high")) | ((F.col("n") > 1) & (F.col("choice") == 0)))
-    members = stage_table(members.select("bucket", "fp", "low"), "members")
-
-    to_low = members.where((F.col("fp") != F.col("low")) & (_bits_apart(F.col("fp"), F.col("low")) <= radius))
-    to_low = to_low.select("fp", "low").distinct()
-    rep = fps.select("fp", F.col("rep").alias("a"))
-    low = fps.select(F.col("fp").alias("low"), F.col("rep").alias("b"))
-    same = lines.join(fps.where(F.col("n") > 1), "fp").where(F.col("key") != F.col("rep"))
-    first = _verified(to_low.join(rep, "fp").join(low, "low").select("a", "b").union(
-        same.select(F.col("key").alias("a"), F.col("rep").alias("b"))), lines, docs, similarity)
-    first = stage_table(first, "first")
-
-    linked = connected_components(first)
-    active = members.select("bucket", "fp").join(lines.select("fp", "key"), "fp")
-    placed = active.join(linked, active["key"] == linked["node"], "left").select(
-        "bucket", "fp", "key", F.coalesce("component", "key").alias("component"))
-    # Only buckets with several components can hold a link that is still missing.
-    mixed = placed.withColumn("least", F.min("component").over(w)).withColumn(
-        "most", F.max("component").over(w)).where(F.col("least") != F.col("most")).drop("least", "most")
-    mixed = stage_table(mixed, "mixed")
-    x, y = mixed.alias("x"), mixed.alias("y")
-    rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & (
-        _bits_apart(F.col("x.fp"), F.col("y.fp")) <= radius)).select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
-    second = _verified(rest, lines, docs, similarity)
-    return connected_components(first.union(second))
+    near = stage_table(near_fingerprints(fps, radius, blocks), "near")
+    several = lines.join(fps.where(F.col("n") > 1).select("fp", "rep"), "fp")
+    x, y = (fps.select(F.col("fp").alias(c), F.col("rep").alias(k)) for c, k in (("x", "a"), ("y", "b")))
+    pairs = near.join(x, "x").join(y, "y").select("a", "b").union(
+        several.where(F.col("key") != F.col("rep")).select(F.col("key").alias("a"), F.col("rep").alias("b")))
+    links = _verified(pairs, lines, docs, similarity)
+    if links is None:
+        return lines.limit(0).select(F.col("key").alias("node"), F.col("key").alias("component"))
+    groups = stage_table(connected_components(links), "groups")
+
+    # What the representatives leave open: near lines of different components.
+    open_ = near.union(fps.where(F.col("n") > 1).select("fp", "fp"))
+    ends = open_.select(F.col("x").alias("fp")).union(open_.select("y")).distinct()
+    placed = lines.join(ends, "fp", "left_semi").join(groups, F.col("key") == groups["node"], "left").select(
+        "fp", "key", F.coalesce("component", "key").alias("component"))
+    placed = stage_table(placed, "placed")
+    a, b = placed.alias("a"), placed.alias("b")
+    rest = open_.join(a, F.col("x") == F.col("a.fp")).join(b, (F.col("y") == F.col("b.fp")) & (
+        F.col("a.component") != F.col("b.component")) & ((F.col("x") != F.col("y")) | (F.col("a.key") < F.col("b.key"))))
+    tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = rest.select(F.least("a.key", "b.key").alias("a"), F.greatest("a.key", "b.key").alias("b"))
+    more = _verified(rest.join(tried, ["a", "b"], "left_anti"), lines, docs, similarity)
+    return groups if more is None else connected_components(links.union(more))
 
 
 def repeated_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY,
                    blocks: int = BLOCKS) -> DataFrame:
     """Line occurrences that are not the first of their group: doc_id, text_key, line_no."""
-    rows = stage_table(line_rows(docs), "lines")
+    segments = stage_table(line_segments(docs), "segments")
     place = F.struct(F.col("doc_id").isNull().alias("unnumbered"), "doc_id", "text_key", "line_no")
-    lines = stage_table(rows.groupBy("key").agg(F.min(place).alias("first"), F.max("fp").alias("fp"),
-                                                F.count(F.lit(1)).alias("copies")), "distinct")
-    linked = stage_table(line_groups(lines, docs, radius, similarity, blocks), "groups")
-    grouped = lines.join(linked, lines["key"] == linked["node"], "left").select(
-        "key", "first", "copies", "component")
+    lines = stage_table(fingerprinted(segments).groupBy("key").agg(
+        F.min(place).alias("first"), F.max("fp").alias("fp"), F.count(F.lit(1)).alias("copies")), "distinct")
+    groups = stage_table(line_groups(lines, docs, radius, similarity, blocks), "groups")
+    grouped = lines.join(groups, lines["key"] == groups["node"], "left").select("key", "first", "copies", "component")
     kept = grouped.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("first").alias("kept"))
     affected = grouped.where((F.col("copies") > 1) | F.col("component").isNotNull()).join(
         kept, "component", "left").select("key", F.coalesce("kept", "first").alias("kept"))
+    rows = segments.where(F.col("segment") == 0)
     found = rows.join(affected, "key").where(~place.eqNullSafe(F.col("kept")))
     return stage_table(found.select("doc_id", "text_key", "line_no"), "repeated")
 
@@ -185,9 +200,10 @@ def drop_repeated_lines(docs: DataFrame, **options) -> DataFrame:
     document: they lose the same lines. A null text has no lines and stays null. An empty table gives
     no rows. Columns besides doc_id and text are carried in ``doc``, whatever their names.
     """
-    gone = repeated_lines(docs, **options).groupBy("doc_id", "text_key").agg(
+    repeated = repeated_lines(docs, **options)
+    gone = repeated.groupBy(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).agg(
         F.collect_set("line_no").alias("gone"))
-    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "gone")
+    gone = _small(gone, repeated.count(), 64)
     own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), F.xxhash64("text").alias("text_key"))
     met = own.join(gone, own["doc.doc_id"].eqNullSafe(gone["_doc"]) & (own["text_key"] == gone["_key"]), "left")
     text = F.col("doc.text")

@@ -5,9 +5,9 @@ import random
 import pytest
 import regex
 import xxhash
-from pyspark.sql import functions as F
 
-from millrace.llm.line_dedup import BITS, drop_repeated_lines, simhash, without_repeated_lines
+from millrace.llm.line_dedup import (BITS, drop_repeated_lines, fingerprinted, line_segments, near_fingerprints,
+                                      without_repeated_lines)
 
 
 def plain_simhash(words):
@@ -63,12 +63,25 @@ def brute_force(docs, radius=3, similarity=0.8):
     return out
 
 
-@pytest.mark.parametrize("n", [1, 2, 63, 64, 255, 256, 3000])
-def test_simhash(spark, n):
+@pytest.mark.parametrize("n", [1, 2, 63, 254, 255, 256, 510, 3000])
+def test_fingerprints(spark, n):
     rng = random.Random(n)
     words = [f"w{rng.randrange(50)}" for _ in range(n)]
-    got = spark.createDataFrame([(words,)], "w array<string>").select(simhash(F.col("w"))).first()[0]
-    assert got == plain_simhash(words)
+    docs = spark.createDataFrame([(1, "\n".join([" ".join(words), "- -", "other"]))], "doc_id long, text string")
+    got = [(r["line_no"], r["fp"]) for r in fingerprinted(line_segments(docs)).orderBy("line_no").collect()]
+    assert got == [(0, plain_simhash(words)), (2, plain_simhash(["other"]))]
+
+
+@pytest.mark.parametrize("blocks", [4, 5, 6])
+def test_near_fingerprints(spark, blocks):
+    rng = random.Random(blocks)
+    fps = [rng.getrandbits(63) for _ in range(150)]
+    fps += [f ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63)) for f in fps[:100]]
+    fps += [f ^ 1 for f in fps[120:200]]
+    fps = sorted(set(fps))
+    got = [tuple(r) for r in near_fingerprints(spark.createDataFrame([(f,) for f in fps], "fp long"), 3, blocks).collect()]
+    want = {(a, b) for a in fps for b in fps if a < b and bin(a ^ b).count("1") <= 3}
+    assert set(got) == want and len(got) == len(want)
 
 
 def frame(spark, docs):
