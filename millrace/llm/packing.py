@@ -11,10 +11,10 @@ short. That one is cut into powers of two, which need no padding.
 
 from __future__ import annotations
 
+import json
 import os
-import re
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,53 +25,178 @@ WINDOW = 2_048
 END_ID = 1
 SHARD_TOKENS = 1_000_000
 SHARD_DOCS = 4_096
-QUERY_TERMS = 24
+QUERY_TERMS = 12
 NEIGHBOURS = 16
 K1, B = 1.2, 0.75
-CACHE_PIECES = 200_000
-CACHE_CHARS = 8_000_000
+CACHE_PIECES = 1_000_000
+CACHE_IDS = 8_000_000
+TEXT_BYTES = 1 << 20
 
-_BLANK_AT_BLANK = re.compile(r"[^\S ] | [^\S ]")
-_SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
+# Fixed: how byte-level BPE files of this kind split a text into words.
+BYTE_LEVEL_SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+_IS_BLANK = np.zeros(256, bool)
+_IS_BLANK[[*range(9, 14), *range(28, 33)]] = True
+# Lead bytes of the characters among which all wider blanks are.
+_WIDE_LEAD = [0xC2, 0xE1, 0xE2, 0xE3]
+_MAY_BE_WHITE = _IS_BLANK.copy()
+_MAY_BE_WHITE[_WIDE_LEAD] = True
 
 PIECES = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+def _bytes_of_alphabet() -> dict[str, int]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for the next free characters."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out, free = {chr(b): b for b in plain}, 256
+    for b in range(256):
+        if b not in plain:
+            out[chr(free)] = b
+            free += 1
+    return out
+
+
+def fast_encoder(path: str):
+    """A tiktoken encoder with the ids of a byte-level BPE tokenizer file, or None where the file is another kind.
+
+    Merging by rank is merging by id exactly when every merge made the next id; that is checked.
+    """
+    spec = json.loads(open(path, encoding="utf-8").read())
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    if (model["type"], split.get("type"), split.get("use_regex"), split.get("add_prefix_space")) != (
+            "BPE", "ByteLevel", True, False) or spec.get("normalizer") or spec.get("post_processor"):
+        return None
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    if any(model["vocab"].get(a + b) != 256 + i for i, (a, b) in enumerate(pairs)):
+        return None
+    import tiktoken
+    of, added = _bytes_of_alphabet(), {t["content"] for t in spec["added_tokens"]}
+    ranks = {bytes(of[c] for c in token): i for token, i in model["vocab"].items() if token not in added}
+    return tiktoken.Encoding("file", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 class TokenIds:
-    """Token ids of texts as little-endian 32-bit bytes, with a cache of pieces between single blanks.
+    """Token ids of texts, with a cache of pieces between blanks.
 
-    The tokenizer never merges across a blank that stands alone between two other characters, so the ids of a
-    text are those of its pieces, each with the blank before it.
+    A blank alone between two other characters always starts a token, so the ids of a text are those of its
+    pieces, each with the blank before it. Pieces are found, hashed (64 bits) and looked up as arrays;
+    only pieces not seen before are encoded.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
-        self.chars = 0
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        if text[:1] == " " or text[-1:] == " " or "  " in text or _BLANK_AT_BLANK.search(text):
-            return _SAFE_BLANK.split(text)
-        return text.split(" ")
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [self.pieces(t) for t in texts]
-        heads = self._encode([p[0] for p in split])
-        new = list(set().union(*(p[1:] for p in split)) - self.cache.keys())
-        self.cache.update(zip(new, self._encode([" " + p for p in new])))
-        self.chars += sum(map(len, new))
-        get = self.cache.__getitem__
-        out = [head + b"".join(map(get, p[1:])) for head, p in zip(heads, split)]
-        if len(self.cache) > CACHE_PIECES or self.chars > CACHE_CHARS:
-            self.cache, self.chars = {}, 0
-        return out
+        self.tokenizer, self.fast, self.end_id = Tokenizer.from_file(path), fast_encoder(path), end_id
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.line_feed = self._ids("\n")[0]
+        self._grow(1 << 20)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        # piece 0 is the end of a document
+        self.pool, self.at, self.size = [np.array([self.end_id], "<u4")], np.array([0]), np.array([1])
+        self.held = 1
+
+    def _grow(self, n: int) -> None:
+        """Powers of the hash base and of its inverse."""
+        base = np.full(n, 0x9E3779B97F4A7C15, np.uint64)
+        back = np.full(n, pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64)
+        base[0] = back[0] = 1
+        self.powers, self.inverse = np.cumprod(base), np.cumprod(back)
+
+    def _ids(self, text: str) -> list[int]:
+        if self.fast is None or any(t in text for t in self.added):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.fast(text)
+
+    def _encode(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces ``data[start:stop]``, one after the other, and how many each has.
+
+        No piece has white space inside, so they go in as lines of one text: a line feed between them is a
+        token of its own.
+        """
+        length = stop - start + 1
+        before = np.cumsum(length) - length
+        lines = data[np.minimum(np.repeat(start - before, length) + np.arange(int(length.sum())), len(data) - 1)]
+        lines[before + length - 1] = 10
+        ids = np.array(self._ids(lines[:-1].tobytes().decode()), "<u4")
+        ends = np.flatnonzero(ids == self.line_feed)
+        if len(ends) != len(start) - 1:
+            return self._encode_alone(data, start, stop)
+        return ids[ids != self.line_feed], np.diff(np.concatenate([[-1], ends, [len(ids)]])) - 1
+
+    def _encode_alone(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        found = [self._ids(raw[i:j].decode()) for i, j in zip(start.tolist(), stop.tolist())]
+        sizes = np.array([len(f) for f in found])
+        return np.fromiter(chain.from_iterable(found), "<u4", int(sizes.sum())), sizes
+
+    def _learn(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Encode new pieces into the pool; their numbers."""
+        odd = np.concatenate([[0], np.cumsum(_MAY_BE_WHITE[data])])
+        alone = odd[stop] - odd[start + (data[start] == 32)] > 0
+        numbers = np.zeros(len(start), np.int64)
+        for at, encode in ((np.flatnonzero(~alone), self._encode), (np.flatnonzero(alone), self._encode_alone)):
+            if len(at):
+                ids, sizes = encode(data, start[at], stop[at])
+                numbers[at] = np.arange(len(self.at), len(self.at) + len(at))
+                self.at = np.concatenate([self.at, self.held + np.cumsum(sizes) - sizes])
+                self.size = np.concatenate([self.size, sizes])
+                self.pool.append(ids)
+                self.held += len(ids)
+        self.pool = [np.concatenate(self.pool)]
+        return numbers
+
+    def _cuts(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Positions of blanks that stand alone between two other characters of one text."""
+        at = np.flatnonzero(data == 32)
+        padded = np.concatenate([np.full(3, 32, np.uint8), data, np.full(1, 32, np.uint8)])
+        p3, p2, p1, n1 = (padded[at + k] for k in (0, 1, 2, 4))
+        # Taking too many characters for wide blanks only makes longer pieces.
+        wide = (p2 == 0xC2) | ((p3 >= 0xE1) & (p3 <= 0xE3) & (p1 >= 0x80)) | _MAY_BE_WHITE[n1]
+        at = at[~(_IS_BLANK[p1] | wide)]
+        bounds = np.zeros(len(data) + 1, bool)
+        bounds[starts] = True
+        return at[~bounds[at] & ~bounds[at + 1]]
+
+    def __call__(self, texts: pa.StringArray) -> list[np.ndarray]:
+        """The ids of each text and the end id."""
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        offsets -= offsets[0]
+        if len(data) >= len(self.powers):
+            self._grow(len(data) + 1)
+        full = offsets[:-1][np.diff(offsets) > 0]
+        start = np.sort(np.concatenate([full, self._cuts(data, offsets)]))
+        stop = np.append(start[1:], len(data))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.powers[:len(data)], out=sums[1:])
+        hashes, first, inverse = np.unique((sums[stop] - sums[start]) * self.inverse[start], return_index=True,
+                                           return_inverse=True)
+        place = np.searchsorted(self.keys, hashes)
+        seen = np.zeros(len(hashes), bool)
+        inside = place < len(self.keys)
+        seen[inside] = self.keys[place[inside]] == hashes[inside]
+        new = np.flatnonzero(~seen)
+        if len(new):
+            numbers = self._learn(data, start[first[new]], stop[first[new]])
+            self.keys = np.insert(self.keys, place[new], hashes[new])
+            self.numbers = np.insert(self.numbers, place[new], numbers)
+            place = np.searchsorted(self.keys, hashes)
+        # the pieces of each text in order, then its end
+        per_text = np.bincount(np.searchsorted(offsets, start, side="right") - 1, minlength=len(texts))
+        piece = np.zeros(len(start) + len(texts), np.int64)
+        is_end = np.zeros(len(piece), bool)
+        is_end[np.cumsum(per_text + 1) - 1] = True
+        piece[~is_end] = self.numbers[place][inverse] if len(start) else []
+        length = self.size[piece]
+        before = np.cumsum(length) - length
+        ids = self.pool[0][np.repeat(self.at[piece] - before, length) + np.arange(int(length.sum()))]
+        cut = (before + length)[is_end]
+        if len(self.keys) > CACHE_PIECES or self.held > CACHE_IDS:
+            self._forget()
+        return np.split(ids, cut[:-1])
 
 
 class Shard:
@@ -121,7 +246,7 @@ class Packer:
     def _close(self) -> None:
         offset = 0
         for doc_id, start, ids, total in self.open:
-            self.rows.append((doc_id, start, ids.tobytes(), total, self.next_id, offset))
+            self.rows.append((doc_id, start, ids.astype("<u4").tobytes(), total, self.next_id, offset))
             offset += len(ids)
         self.next_id += 1
         self.open, self.filled = [], 0
@@ -185,13 +310,13 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id
     lost task gives the same pieces.
     """
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    near = F.array_min(F.transform(F.split(F.lower("text"), " "), lambda w: F.xxhash64(w)))
-    ranged = own.select(near.alias("near"), "doc_id", F.xxhash64("text").alias("key"), "text").repartitionByRange(
-        "near", "doc_id", "key").sortWithinPartitions("near", "doc_id", "key")
+    near = F.array_min(F.transform(F.split("text", " "), lambda w: F.xxhash64(w)))
+    ranged = own.select(near.alias("near"), "doc_id", F.xxhash64("text").alias("key"), "text",
+                        F.octet_length("text").alias("bytes")).repartitionByRange("near", "doc_id", "key")
+    ranged = ranged.sortWithinPartitions("near", "doc_id", "key")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer = TokenIds(tokenizer), Packer(TaskContext.get().partitionId(), window)
-        end = np.array([end_id], np.uint32)
+        encode, packer = TokenIds(tokenizer, end_id), Packer(TaskContext.get().partitionId(), window)
         doc_ids, arrays, tokens = [], [], 0
 
         def rows() -> pa.RecordBatch:
@@ -202,12 +327,14 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id
                                               ["doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                for doc_id, ids in zip(part.column(1).to_pylist(), encode(part.column(3).to_pylist())):
-                    doc_ids.append(doc_id)
-                    arrays.append(np.concatenate([np.frombuffer(ids, "<u4"), end]))
-                    tokens += len(arrays[-1])
+            ends = np.cumsum(batch.column(4).to_numpy()) // TEXT_BYTES
+            for at in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(ends)) + 1):
+                if not len(at):
+                    continue
+                part = batch.slice(int(at[0]), len(at))
+                doc_ids += part.column(1).to_pylist()
+                arrays += encode(part.column(3))
+                tokens += sum(map(len, arrays[-len(at):]))
                 if tokens >= shard_tokens or len(arrays) >= SHARD_DOCS:
                     packer.shard(doc_ids, arrays)
                     doc_ids, arrays, tokens = [], [], 0
