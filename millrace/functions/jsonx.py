@@ -30,7 +30,7 @@ def parsed(text: Column | str) -> Column:
     """
     body = F.col(text) if isinstance(text, str) else text
     pair = F.try_parse_json(F.concat(F.lit("["), body, F.lit(f',"{END_MARK}"]')))
-    whole = F.try_variant_get(pair, "$[1]", "string") == END_MARK
+    whole = (F.try_variant_get(pair, "$[1]", "string") == END_MARK) & F.try_variant_get(pair, "$[2]", "variant").isNull()
     return F.when(whole, F.try_variant_get(pair, "$[0]", "variant"))
 
 
@@ -69,6 +69,8 @@ def whole_number(text: Column) -> Column:
     return F.when(text.rlike(INTEGER_TEXT), F.trim(text).try_cast("long"))
 
 
+# A fenced block, wherever it stands in a text.
+FENCED = r"(?s)```(?:json)?\s*\n(.*?)\n\s*```"
 # First ``{`` to last ``}`` after it, with what surrounds them; and an object that is never closed.
 AROUND_OBJECT = r"(?s)^[^{]*(\{.*\})[^}]*$"
 OPEN_OBJECT = r"(?s)^[^{]*(\{[^}]*)$"
@@ -77,7 +79,9 @@ OUTER_SPACE = r"^\s+|\s+$"
 
 def heal_json_text(text: Column | str) -> Column:
     """Strip a code fence and surrounding prose; close an object that was cut off."""
-    body = F.regexp_replace(text, OUTER_SPACE, "")
+    whole = F.col(text) if isinstance(text, str) else text
+    fenced = F.regexp_extract(whole, FENCED, 1)
+    body = F.regexp_replace(F.when(fenced.contains("{"), fenced).otherwise(whole), OUTER_SPACE, "")
     body = F.regexp_replace(body, r"^```(?:json)?\n", "")
     body = F.regexp_replace(F.regexp_replace(body, r"\n```$", ""), OUTER_SPACE, "")
     return F.regexp_replace(trim_to_object(body), OPEN_OBJECT, "$1}")
@@ -88,33 +92,44 @@ def trim_to_object(line: Column | str) -> Column:
     return F.regexp_replace(line, AROUND_OBJECT, "$1")
 
 
-def json_flatten(df: DataFrame, row_id: str, text: str, depth: int = 12) -> DataFrame:
+STRING_TEXT = r'"(?:[^"\\]++|\\.)*+"'
+
+
+def nesting(text: Column) -> Column:
+    """How many objects and lists are open at most in a JSON text; brackets inside strings do not count."""
+    brackets = F.regexp_replace(F.regexp_replace(text, STRING_TEXT, ""), r"[^\[\]{}]", "")
+    step = F.transform(F.split(brackets, ""), lambda c: F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0))
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    return F.aggregate(step, start, lambda a, s: F.struct(
+        (a["now"] + s).alias("now"), F.greatest(a["most"], a["now"] + s).alias("most")))["most"]
+
+
+def json_flatten(df: DataFrame, row_id: str, text: str) -> DataFrame:
     """One row per leaf of a JSON text: dotted ``path``, ``value`` as text and JSON ``type``.
 
-    Each pass opens one level of every object and array with the built-in VARIANT generator. List
-    positions are path steps, empty containers leave no row, a JSON null is a leaf. A document
-    nested deeper than ``depth`` raises instead of losing leaves.
+    Each pass opens one level of every object and array with the built-in VARIANT generator; one
+    aggregate over the texts tells how many passes the deepest document needs. List positions are path
+    steps, empty containers leave no row, a JSON null is a leaf.
     """
     spark = df.sparkSession
-    level = once(df.select(F.col(row_id).alias("row_id"), F.lit("").alias("path"), text), "v", parsed(text)).where(
-        F.col("v").isNotNull()).drop(text)
+    rows = once(df.select(F.col(row_id).alias("_row"), F.col(text).alias("_text")), "_v", parsed("_text")).where(
+        F.col("_v").isNotNull())
+    depth = rows.agg(F.max(nesting(F.col("_text")))).first()[0] or 0
+    level = rows.select("_row", F.lit("").alias("_path"), "_v")
     for _ in range(depth):
         level = spark.sql(
             """
-            SELECT row_id,
-                   CASE WHEN e.value IS NULL THEN path
-                        WHEN path = '' THEN coalesce(e.key, cast(e.pos AS string))
-                        ELSE concat(path, '.', coalesce(e.key, cast(e.pos AS string))) END AS path,
-                   coalesce(e.value, v) AS v
-            FROM {level}, LATERAL variant_explode_outer(v) AS e
+            SELECT _row,
+                   CASE WHEN e.value IS NULL THEN _path
+                        WHEN _path = '' THEN coalesce(e.key, cast(e.pos AS string))
+                        ELSE concat(_path, '.', coalesce(e.key, cast(e.pos AS string))) END AS _path,
+                   coalesce(e.value, _v) AS _v
+            FROM {level}, LATERAL variant_explode_outer(_v) AS e
             """,
             level=level,
         )
-    kind = F.schema_of_variant("v")
-    open_kind = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    # Empty containers survive every pass unchanged; a container with content here is too deep.
-    empty = F.to_json("v").isin("{}", "[]")
-    too_deep = F.raise_error(F.lit("json_flatten: document is nested too deeply"))
-    checked = level.withColumn("_keep", F.when(open_kind & ~empty, too_deep.cast("boolean")).otherwise(~open_kind))
-    return checked.where("_keep").select(
-        "row_id", "path", F.when(kind != "VOID", F.col("v").cast("string")).alias("value"), kind.alias("type"))
+    kind = F.schema_of_variant("_v")
+    leaf = ~(kind.startswith("OBJECT") | kind.startswith("ARRAY"))  # only empty containers are left beside leaves
+    return level.where(leaf).select(
+        F.col("_row").alias("row_id"), F.col("_path").alias("path"),
+        F.when(kind != "VOID", F.col("_v").cast("string")).alias("value"), kind.alias("type"))

@@ -65,8 +65,42 @@ def tx_validate_dlq(df: DataFrame, index: str, text: str, heal: bool = True) ->
     return good, bad
 
 
-PARTY = "struct<customer_id:string,email:string,membership:string>"
-ITEMS = "array<struct<item_id:string,price:string,quantity:string>>"
+ITEMS = "array<struct<item_id:variant,price:string,quantity:string,qty:string>>"
+
+
+def streamed_transaction(df: DataFrame, text: str) -> DataFrame:
+    """Transactions of a streamed model output: text ids and currency, a positive amount, nothing else.
+
+    A text that is no JSON object has the single violation ``json``.
+    """
+    v = F.col("_v")
+    rows = once(df, "_v", parsed(F.col(text)))
+    amount = number(field(v, "amount"))
+    failed = violations({
+        "transaction_id": is_text(v, "transaction_id"), "user_id": is_text(v, "user_id"), "amount": amount > 0,
+        "currency": is_text(v, "currency")})
+    readable = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    checked = F.struct(
+        field(v, "transaction_id").alias("transaction_id"), field(v, "user_id").alias("user_id"), amount.alias("amount"),
+        field(v, "currency").alias("currency"),
+        F.when(readable, failed).otherwise(F.array(F.lit("json"))).alias("violations"))
+    return once(rows, "_c", checked).select(*df.columns, "_c.*")
+
+
+def _text_of(variant: Column) -> Column:
+    """The text of a JSON string; numbers and other kinds are null."""
+    return F.when(F.schema_of_variant(variant) == "STRING", F.try_variant_get(variant, "$", "string"))
+
+
+def _text_at(v: Column, *places: str) -> Column:
+    """The text at the first of ``places`` that is there; null when that is no JSON string."""
+    return _text_of(F.coalesce(*[F.try_variant_get(v, f"$.{p}", "variant") for p in places]))
+
+
+def _items(v: Column, renamed: bool = False) -> Column:
+    return F.transform(field(v, "items", ITEMS), lambda i: F.struct(
+        _text_of(i["item_id"]).alias("item_id"), i["price"].alias("price"),
+        (F.coalesce(i["quantity"], i["qty"]) if renamed else i["quantity"]).alias("quantity")))
 
 
 def _costs(items: Column) -> Column:
@@ -98,8 +132,9 @@ def order_contract(df: DataFrame, text: str) -> DataFrame:
     """Parsed order and its violations, per JSON text."""
     v = F.col("_v")
     order = F.struct(
-        field(v, "order_id").alias("order_id"), field(v, "customer", PARTY).alias("customer"),
-        field(v, "items", ITEMS).alias("items"), field(v, "total_amount").alias("total_amount"),
+        _text_at(v, "order_id").alias("order_id"),
+        F.struct(*[_text_at(v, f"customer.{n}").alias(n) for n in ("customer_id", "email", "membership")]).alias("customer"),
+        _items(v).alias("items"), field(v, "total_amount").alias("total_amount"),
         field(v, "order_date").alias("order_date"))
     return _judged(once(once(df, "_v", parsed(text)), "order", order).drop("_v"), "order")
 
@@ -109,7 +144,6 @@ def _judged(df: DataFrame, name: str) -> DataFrame:
     return priced.withColumn("violations", order_violations(F.col(name), F.col("_costs"))).drop("_costs")
 
 
-DRIFTED_ITEMS = "array<struct<item_id:string,price:string,quantity:string,qty:string>>"
 # Where each field may be found, best place first.
 ALIASES = {
     "order_id": ["order_id", "ord_number"],
@@ -122,13 +156,10 @@ ALIASES = {
 def drift_normalise(df: DataFrame, text: str, name: str = "order") -> DataFrame:
     """Orders with renamed or flattened fields, mapped back to the contract's shape by fixed aliases."""
     v = F.col("_v")
-    found = {name: F.coalesce(*[field(v, place) for place in places]) for name, places in ALIASES.items()}
-    items = F.transform(field(v, "items", DRIFTED_ITEMS), lambda i: F.struct(
-        i["item_id"].alias("item_id"), i["price"].alias("price"),
-        F.coalesce(i["quantity"], i["qty"]).alias("quantity")))
+    found = {name: _text_at(v, *places) for name, places in ALIASES.items()}
     customer = F.struct(*[found[n].alias(n) for n in ("customer_id", "email", "membership")])
     order = F.struct(
-        found["order_id"].alias("order_id"), customer.alias("customer"), items.alias("items"),
+        found["order_id"].alias("order_id"), customer.alias("customer"), _items(v, renamed=True).alias("items"),
         field(v, "total_amount").alias("total_amount"), field(v, "order_date").alias("order_date"))
     return _judged(once(once(df, "_v", parsed(text)), name, order).drop("_v"), name)
 
@@ -194,7 +225,7 @@ def answer_gate(df: DataFrame, text: str) -> DataFrame:
     shape = "struct<answer:string,confidence:double,needs_retry:boolean,sources:array<string>>"
     a = F.col("_a")
     ok = F.coalesce(
-        (a["confidence"] >= CONFIDENCE_FLOOR) & ~a["needs_retry"] & (F.size(a["sources"]) >= 1)
+        a["confidence"].between(CONFIDENCE_FLOOR, 1.0) & ~a["needs_retry"] & (F.size(a["sources"]) >= 1)
         & a["answer"].isNotNull(), F.lit(False))
     return once(df, "_a", F.from_json(text, shape)).withColumn(
         "status", F.when(ok, "accepted").otherwise("fallback")).withColumn(

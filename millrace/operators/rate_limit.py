@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from millrace.operators.running import Running, find_hot_keys, running
 
@@ -39,15 +40,20 @@ def token_bucket(df: DataFrame, keys: list[str], ts: str, seq: str, capacity: in
 
     Requests of one instant are counted first. A pause long enough to fill the bucket whatever its
     level separates stretches that do not depend on each other; a stretch is read as a sorted stream
-    of instants, with the level as its only state.
+    of instants, with the level as its only state. Times that are no integers are counted in millionths.
     """
+    columns, given = df.columns, ts
+    whole = isinstance(df.schema[given].dataType, IntegralType)
+    period = period if whole else period * 1_000_000
+    df = df.withColumn("_tick", (F.col(given) if whole else F.round(F.col(given) * 1_000_000)).cast("long"))
+    ts = "_tick"
     instants = df.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("_n"))
     hot = find_hot_keys(instants, keys, hot_rows)
     seen = running(instants, keys, [ts], [Running("_prev", "max", F.col(ts), before=True)], hot=hot)
     refills = (F.col(ts) - F.col("_prev")) * tokens >= capacity * period
     fresh = seen.withColumn("_first", F.when(F.col("_prev").isNull() | refills, 1).otherwise(0))
     stretches = running(fresh, keys, [ts], [Running("_stretch", "sum", F.col("_first"))], hot=hot).select(
-        *keys, "_stretch", F.col(ts).cast("long").alias(ts), "_n", "_first")
+        *keys, "_stretch", ts, "_n", "_first")
     schema = stretches.select(*keys, ts).schema.add("_granted", "long")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,7 +76,7 @@ def token_bucket(df: DataFrame, keys: list[str], ts: str, seq: str, capacity: in
     for c in [*keys, ts]:
         cond = cond & F.col(f"r.{c}").eqNullSafe(F.col(f"g.{c}"))
     return placed.alias("r").join(granted.alias("g"), cond).select(
-        *[F.col(f"r.{c}") for c in df.columns], (F.col("_place") <= F.col("_granted")).alias("allowed"))
+        *[F.col(f"r.{c}") for c in columns], (F.col("_place") <= F.col("_granted")).alias("allowed"))
 
 
 def token_bucket_wait(df: DataFrame, keys: list[str], ts: str, seq: str, amount: str, capacity: int, tokens: int,

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import IntegralType
 
 from millrace.operators.running import BROADCAST_ROWS, Running, find_hot_keys, running
 
@@ -54,9 +55,12 @@ def top_n_dense(df: DataFrame, group: str, amount: str, n: int, name: str = "den
 
 
 def rank_variants(df: DataFrame, keys: list[str], amount: str, tie: str, hot_rows: int | None = None) -> DataFrame:
-    """row_number, rank and dense_rank side by side, by falling amount, for groups of any size."""
+    """row_number, rank and dense_rank side by side, by falling amount (null last), for groups of any size."""
     hot = find_hot_keys(df, keys, hot_rows)
-    ordered = df.withColumn("_down", -F.col(amount))
+    value = F.col(amount)
+    if isinstance(df.schema[amount].dataType, IntegralType):
+        value = value.cast("decimal(20,0)")  # the smallest integer has no negative
+    ordered = df.withColumn("_down", F.struct(value.isNull().alias("none"), F.coalesce(-value, F.lit(0)).alias("down")))
     order = ["_down", tie]
     step = running(ordered, keys, order, [
         Running("row_number", "sum", F.lit(1)),

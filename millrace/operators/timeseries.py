@@ -143,9 +143,13 @@ def sessionize_arrival(df: DataFrame, keys: list[str], ts: str, order: list[str]
 
 def interval_merge(df: DataFrame, keys: list[str], start: str = "start", end: str = "end",
                    hot_rows: int | None = None) -> DataFrame:
-    """Union of overlapping or touching intervals, per key or (without keys) over the whole table."""
+    """Union of overlapping or touching intervals, per key or (without keys) over the whole table.
+
+    Equal intervals are one from the start, so the order over the rest is complete.
+    """
+    df = df.select(*keys, start, end).distinct()
     hot = find_hot_keys(df, keys, hot_rows) if keys else None
-    seen = running(df.select(*keys, start, end), keys, [start, end],
+    seen = running(df, keys, [start, end],
                    [Running("_reach", "max", F.col(end), before=True)], hot=hot, hot_rows=hot_rows)
     fresh = F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), 1).otherwise(0)
     islands = running(seen, keys, [start, end], [Running("_island", "sum", fresh)], hot=hot, hot_rows=hot_rows)

@@ -199,7 +199,7 @@ def json_flatten_query(spark, d):
     many = F.concat(F.lit("["), quoted(F.col("o_orderpriority")), F.lit(',{"flag":true},{},[]]'))
     text = obj(info=obj(id=F.col("o_custkey").cast("string"), deep=deep), list=F.when(k % 3 == 0, "[]").otherwise(many))
     rows = spread(table(spark, d, "orders")).select(k, text.alias("value"))
-    return json_flatten(rows, "o_orderkey", "value", depth=4)
+    return json_flatten(rows, "o_orderkey", "value")
 
 
 # A stored model answer per event, wrapped or broken in eight ways.
@@ -259,24 +259,26 @@ def _order_texts(spark, d):
     qty, price = F.col("l_quantity").cast("long").cast("string"), F.floor("l_extendedprice").cast("string")
     total = (F.floor("l_extendedprice") * F.col("l_quantity").cast("long") + 5).cast("string")
     second = obj(item_id='"H"', price="2.5", quantity="2")
-    def order(order_id="order_id", customer=None, price=price, quantity=qty, total=total, email='"a.b@example.com"',
-              level='"VIP"', quantity_name="quantity", customer_name="customer", id_name="customer_id"):
+    def order(order_id="order_id", customer=None, price=price, quantity=qty, total=total, email='"mona@mail.example"',
+              level='"VIP"', quantity_name="quantity", customer_name="customer", id_name="customer_id",
+              key_text=quoted(key)):
         who = obj(**{id_name: quoted(F.concat(F.lit("C"), "l_suppkey")), "email": email, "membership": level})
         item = obj(**{"item_id": quoted(F.col("l_partkey")), "price": price, quantity_name: quantity})
-        parts = {order_id: quoted(key)}
+        parts = {order_id: key_text}
         if customer is None:
             parts[customer_name] = who
         else:
             parts.update(customer)
         parts.update(items=F.concat(F.lit("["), item, F.lit(","), second, F.lit("]")), total_amount=total,
-                     order_date='"2026-07-14T09:00:00Z"')
+                     order_date='"2031-02-03T04:05:06Z"')
         return obj(**parts)
-    text = pick(F.col("l_partkey"), 7, {
-        1: order(price='"10.00 USD"', quantity='"two"'),
+    text = pick(F.col("l_partkey"), 8, {
+        7: order(key_text=key.cast("string")),
+        1: order(price='"about 9"', quantity='"a pair"'),
         2: order(order_id="ord_number", customer_name="cust_info", id_name="cust_id", quantity_name="qty"),
-        3: order(email='"invalid_email_format"', level='"regular_customer"', price="-5.0"),
+        3: order(email='"mona at home"', level='"Friend"', price="-0.5"),
         4: order(customer={"customer_id": quoted(F.concat(F.lit("C"), "l_suppkey")),
-                           "customer_email": '"a.b@example.com"', "customer_membership": '"Guest"'}),
+                           "customer_email": '"mona@mail.example"', "customer_membership": '"Guest"'}),
         5: order(total="1.0"), 6: F.lit('{"order_id": ')}, order())
     return spread(table(spark, d, "lineitem")).select("l_orderkey", "l_linenumber", "l_partkey", text.alias("value"))
 
@@ -285,7 +287,7 @@ ALL_FIELDS = "order_id,customer.customer_id,customer.email,customer.membership,i
 
 
 @query("order_contract", f"""
-SELECT l_orderkey, l_linenumber, l_partkey, CASE l_partkey % 7 WHEN 1 THEN 'items'
+SELECT l_orderkey, l_linenumber, l_partkey, CASE l_partkey % 8 WHEN 7 THEN 'order_id' WHEN 1 THEN 'items'
   WHEN 2 THEN 'order_id,customer.customer_id,customer.email,customer.membership,items'
   WHEN 3 THEN 'customer.email,customer.membership,items' WHEN 4 THEN 'customer.customer_id,customer.email,customer.membership'
   WHEN 5 THEN 'total_amount' WHEN 6 THEN '{ALL_FIELDS}' ELSE '' END AS violations FROM lineitem""")
@@ -294,9 +296,9 @@ def order_contract(spark, d):
 
 
 @query("drift_normalise", f"""
-SELECT l_orderkey, l_linenumber, l_partkey, CASE l_partkey % 7 WHEN 1 THEN 'items' WHEN 3 THEN 'customer.email,customer.membership,items'
+SELECT l_orderkey, l_linenumber, l_partkey, CASE l_partkey % 8 WHEN 7 THEN 'order_id' WHEN 1 THEN 'items' WHEN 3 THEN 'customer.email,customer.membership,items'
   WHEN 5 THEN 'total_amount' WHEN 6 THEN '{ALL_FIELDS}' ELSE '' END AS violations,
-  CASE WHEN l_partkey % 7 = 6 THEN '' ELSE 'C' || l_suppkey END AS customer_id FROM lineitem""")
+  CASE WHEN l_partkey % 8 = 6 THEN '' ELSE 'C' || l_suppkey END AS customer_id FROM lineitem""")
 def drift_normalise(spark, d):
     out = _listed(mo.drift_normalise(_order_texts(spark, d), "value"))
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "violations",
@@ -309,9 +311,9 @@ SELECT event_id, CASE WHEN event_id % 4 IN (1, 2) THEN 'expensive' WHEN event_id
              + CASE WHEN event_id % 4 = 0 THEN 0 ELSE ((200 + event_id % 50) * 0.003::DOUBLE + 120 * 0.015::DOUBLE) / 1000 END, 9) AS cost
 FROM events""")
 def first_valid_wins(spark, d):
-    good = F.lit('{"sentiment": "neutral", "confidence": 0.6, "reasoning": "It works but is nothing special."}')
+    good = F.lit('{"sentiment": "neutral", "confidence": 0.6, "reasoning": "Does its job, no more than that."}')
     cheap = pick(ID, 4, {
-        1: F.lit('{"sentiment": "very positive", "confidence": 1.5, "reasoning": "Fast"}'), 2: F.lit("The server crashed."),
+        1: F.lit('{"sentiment": "delighted", "confidence": 1.2, "reasoning": "Quick"}'), 2: F.lit("No idea at all."),
         3: F.lit('{"sentiment": "neutral", "confidence": 0.6, "reasoning": "Fast"}')}, good)
     costly = pick(ID, 4, {3: F.lit("no answer")}, good)
     call = lambda tier, out, t_in, t_out: F.struct(
@@ -323,13 +325,13 @@ def first_valid_wins(spark, d):
 
 
 @query("answer_gate", f"""
-SELECT doc_id, CASE WHEN doc_id % 6 IN (0, 5) THEN 'accepted' ELSE 'fallback' END AS status,
-       CASE WHEN doc_id % 6 IN (0, 5) THEN 'answer ' || doc_id ELSE '{mo.FALLBACK_ANSWER}' END AS answer FROM documents""")
+SELECT doc_id, CASE WHEN doc_id % 7 IN (0, 5) THEN 'accepted' ELSE 'fallback' END AS status,
+       CASE WHEN doc_id % 7 IN (0, 5) THEN 'answer ' || doc_id ELSE '{mo.FALLBACK_ANSWER}' END AS answer FROM documents""")
 def answer_gate(spark, d):
     k = F.col("doc_id")
     def reply(confidence="0.9", retry="false", sources='["a"]'):
         return obj(answer=quoted(F.concat(F.lit("answer "), k)), confidence=confidence, needs_retry=retry, sources=sources)
-    text = pick(k, 6, {1: reply(confidence="0.69"), 2: reply(retry="true"), 3: reply(sources="[]"), 4: F.lit("no json"),
+    text = pick(k, 7, {6: reply(confidence="1.3"), 1: reply(confidence="0.69"), 2: reply(retry="true"), 3: reply(sources="[]"), 4: F.lit("no json"),
                        5: reply(confidence="0.7")}, reply())
     return mo.answer_gate(table(spark, d, "documents").select(k, text.alias("reply")), "reply").drop("reply")
 

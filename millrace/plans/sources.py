@@ -107,7 +107,7 @@ def rolled_file_sink(spark, d):
     path = scratch_dir(spark, "rolled")
     rows = table(spark, d, "events").select("event_id", "event_type", cents().alias("cents"))
     ln.rolled_file_sink(rows, path)
-    back = spark.read.schema(rows.schema).json(path)
+    back = spark.read.schema(rows.schema).option("recursiveFileLookup", True).json(path)
     return back.select("*", (F.col("_metadata.file_size") <= ln.ROLL_BYTES).alias("within_bound"))
 
 

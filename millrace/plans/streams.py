@@ -159,7 +159,8 @@ def stream_error_alert(spark, d):
 
 
 @query("micro_batch_sink", f"""WITH {TX_SQL},
-lines AS (SELECT *, CASE WHEN m = 3 THEN 'json' ELSE failed_fields END AS failed FROM verdict)
+lines AS (SELECT *, CASE WHEN m IN (3, 7) THEN 'json' WHEN m = 5 OR (m <> 4 AND c = 0) THEN 'amount' ELSE '' END AS failed
+          FROM verdict)
 SELECT CASE WHEN failed = '' THEN 'ok' ELSE 'dlq' END AS output,
        CASE WHEN failed = 'json' THEN '' ELSE 'tx_' || event_id END AS transaction_id, failed AS failed_fields
 FROM lines""")

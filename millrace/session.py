@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,10 +39,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where none is set."""
+    """The shared folder named by ``spark.checkpoint.dir``. A temporary one only where none is set and all tasks
+    run on this machine; elsewhere executors could not read each other's files, so that raises."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="millrace-")
     if spark.sparkContext.getCheckpointDir() is None:

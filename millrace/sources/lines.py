@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -71,9 +75,20 @@ def jsonl_sink(df: DataFrame, path: str) -> None:
 def rolled_file_sink(df: DataFrame, path: str, max_bytes: int = ROLL_BYTES) -> None:
     """JSON lines in files of at most ``max_bytes``; a record is never split.
 
-    The longest line fixes the records per file, so the bound holds for every file. A single line
-    longer than the bound gets a file of its own.
+    Each task starts the next file when the next line would pass the bound; a single longer line gets a
+    file of its own. Files lie in folders ``file=<task>-<number>``; read them with ``recursiveFileLookup``.
     """
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, file, used = TaskContext.get().partitionId(), 0, 0
+        for batch in batches:
+            names = []
+            for size in batch.column(1).to_pylist():
+                if used and used + size > max_bytes:
+                    file, used = file + 1, 0
+                used += size
+                names.append(f"{task}-{file}")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string())], ["value", "file"])
+
     lines = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    longest = lines.agg(F.max(F.octet_length("value") + 1)).first()[0] or 1
-    lines.write.mode("append").option("maxRecordsPerFile", max(1, max_bytes // longest)).text(path)
+    sized = lines.select("value", (F.octet_length("value") + 1).alias("bytes"))
+    sized.mapInArrow(number, "value string, file string").write.mode("append").partitionBy("file").text(path)

@@ -36,9 +36,14 @@ def safe_query(query: Column) -> Column:
 
 
 def partitioned_snapshot_write(df: DataFrame, path: str) -> None:
-    """One folder per source, query and capture time. Rows of a folder are written side by side."""
-    df.withColumn("query", safe_query(F.col("query"))).write.mode("append").partitionBy(
-        "source", "query", "captured_at").parquet(path)
+    """One folder per source, query and capture time, with few files each.
+
+    Rows of a folder go to one task, so the number of files does not grow with the tasks; the rebalance
+    splits a folder that is too large for one.
+    """
+    folders = ["source", "query", "captured_at"]
+    named = df.withColumn("query", safe_query(F.col("query")))
+    named.hint("rebalance", *folders).write.mode("append").partitionBy(*folders).parquet(path)
 
 
 def warehouse_columns(df: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.jsonx import trim_to_object
-from millrace.operators.model_outputs import tx_validate
+from millrace.operators.model_outputs import streamed_transaction
+from millrace.streaming.windows import finish
 
 BATCH_ROWS = 3
 
@@ -23,11 +24,11 @@ def text_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
 def model_lines(lines: DataFrame) -> DataFrame:
     """Transaction texts of a model's output: no blanks, no fences, cut to the object."""
     kept = lines.where((F.trim("value") != "") & ~F.ltrim("value").startswith("```"))
-    return tx_validate(kept.select(trim_to_object(F.trim("value")).alias("value")), "value", heal=False)
+    return streamed_transaction(kept.select(trim_to_object(F.trim("value")).alias("value")), "value")
 
 
 def split_sink(stream: DataFrame, check: Callable[[DataFrame], DataFrame], path: str, batch_rows: int | None = None,
-               checkpoint: str | None = None, wait: float = 3600) -> None:
+               checkpoint: str | None = None, wait: float | None = None) -> None:
     """Write rows without violations to ``ok`` and the others to ``dlq``, each batch under its number.
 
     ``batch_rows`` bounds the rows per file. The checked batch is stored once and both outputs are
@@ -46,9 +47,7 @@ def split_sink(stream: DataFrame, check: Callable[[DataFrame], DataFrame], path:
 
     query = stream.writeStream.foreachBatch(handle).option(
         "checkpointLocation", checkpoint or f"{path}/checkpoint").trigger(availableNow=True).start()
-    if not query.awaitTermination(wait):
-        query.stop()
-        raise TimeoutError("the stream did not finish in time")
+    finish(query, wait)
 
 
 def micro_batch_sink(stream: DataFrame, path: str, batch_rows: int = BATCH_ROWS) -> None:

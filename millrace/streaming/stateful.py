@@ -15,18 +15,20 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.operators.running import Running, running
 from millrace.operators.timeseries import ALERT_THRESHOLD, number_arrival_sessions, sliding_count
 from millrace.session import stage_table
-from millrace.sources.tables import path_exists
+from millrace.streaming.windows import finish
 
 Step = Callable[[DataFrame, DataFrame | None], tuple[DataFrame, DataFrame]]
 
 
-def run_stateful(stream: DataFrame, step: Step, path: str, wait: float = 3600) -> None:
-    """Process what has arrived with ``step(rows, state) -> (output, new state)`` and stop."""
+def run_stateful(stream: DataFrame, step: Step, path: str, wait: float | None = None) -> None:
+    """Process what has arrived with ``step(rows, state) -> (output, new state)`` and stop.
+
+    The state of the batch before must be there; a batch never goes on as if nothing had come before it.
+    """
     spark = stream.sparkSession
 
     def handle(rows: DataFrame, batch: int) -> None:
-        before = f"{path}/state/{batch - 1}"
-        state = spark.read.parquet(before) if batch and path_exists(spark, before) else None
+        state = spark.read.parquet(f"{path}/state/{batch - 1}") if batch else None
         rows.persist()
         try:
             output, left = step(rows, state)
@@ -37,9 +39,7 @@ def run_stateful(stream: DataFrame, step: Step, path: str, wait: float = 3600) -
 
     query = stream.writeStream.foreachBatch(handle).option(
         "checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
-    if not query.awaitTermination(wait):
-        query.stop()
-        raise TimeoutError("the stream did not finish in time")
+    finish(query, wait)
 
 
 def last_state(stream: DataFrame, path: str, batches: int) -> DataFrame:

@@ -35,22 +35,31 @@ def rate_tumbling_count(spark: SparkSession, rows_per_second: int = 10, size: st
     return tumbling_count(rate.withColumn("source", F.lit("rate")), "timestamp", "source", size, delay)
 
 
-def run_available(stream: DataFrame, path: str, mode: str = "append", wait: float = 3600) -> StreamingQuery:
-    """Process what has arrived and stop. Append goes to a Parquet table, other modes to one folder per batch.
+def finish(running: StreamingQuery, wait: float | None) -> StreamingQuery:
+    """Wait for the end of a stream, without a limit unless ``wait`` seconds are given."""
+    if wait is None:
+        running.awaitTermination()
+    elif not running.awaitTermination(wait):
+        running.stop()
+        raise TimeoutError("the stream did not finish in time")
+    return running
+
 
-    A batch that is run again overwrites its own folder, so a restart repeats nothing.
+def run_available(stream: DataFrame, path: str, mode: str = "append", wait: float | None = None,
+                  every: str | None = None) -> StreamingQuery:
+    """Process what has arrived and stop, or with ``every`` go on in processing-time intervals.
+
+    Append goes to a Parquet table, other modes to one folder per batch. A batch that is run again
+    overwrites its own folder, so a restart repeats nothing.
     """
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(
-        availableNow=True)
+        **({"processingTime": every} if every else {"availableNow": True}))
     if mode == "append":
         running = writer.format("parquet").start(f"{path}/out")
     else:
         running = writer.foreachBatch(
             lambda df, n: df.withColumn("batch", F.lit(n)).write.mode("overwrite").parquet(f"{path}/out/part={n}")).start()
-    if not running.awaitTermination(wait):
-        running.stop()
-        raise TimeoutError("the stream did not finish in time")
-    return running
+    return running if every else finish(running, wait)
 
 
 def newest_rows(updates: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,28 +5,22 @@ import pytest
 from millrace.operators import graph, rate_limit, relational as rel, versioned as ver
 from millrace.sources.tables import SnapshotTable
 
-ORDERS = [
-    ("ORD-001", "C-01", "P-1", "Electronics", 59800, "2026-01-01 10:00:00"),
-    ("ORD-001", "C-01", "P-1", "Electronics", 59800, "2026-01-01 10:05:00"),
-    ("ORD-002", "C-02", "P-2", "Books", 1500, "2026-01-01 11:00:00"),
-    ("ORD-003", "C-03", "P-3", "Electronics", 12000, "2026-01-01 12:00:00"),
-    ("ORD-004", "C-01", "P-4", "Books", 2800, "2026-01-02 09:00:00"),
-    ("ORD-005", "C-04", "P-5", "Electronics", 98000, "2026-01-02 10:00:00"),
-    ("ORD-005", "C-04", "P-5", "Electronics", 98000, "2026-01-02 10:01:00"),
-    ("ORD-006", "C-02", "P-6", "Books", 5500, "2026-01-02 11:00:00"),
-]
+# Three rows of one id, ties in the amount, a null amount.
+ORDERS = [(f"b{n}", f"k{n % 3}", f"p{n}", cat, amount, f"2031-05-{day:02d} 08:00:00") for n, cat, amount, day in [
+    (1, "tools", 70, 9), (1, "tools", 65, 3), (1, "tools", 60, 20), (2, "tools", 80, 4), (3, "tools", 65, 5),
+    (4, "tools", 15, 6), (5, "seeds", 9, 7), (6, "seeds", 9, 8), (7, "seeds", 2, 9), (8, "seeds", 1, 1), (8, "seeds", 30, 2)]]
 ORDER_DDL = "order_id string, customer_id string, product_id string, category string, amount long, ordered_at string"
 
 
 def test_dedup_and_top_two(spark):
     df = spark.createDataFrame(ORDERS, ORDER_DDL)
     once = rel.dedup_first(df, ["order_id"], ["ordered_at"])
-    assert once.count() == 6
+    assert once.count() == 8
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, rel.dedup_first_sql(df, ["order_id"], ["ordered_at"]).collect()))
     top = rel.top_n_dense(once, "category", "amount", 2).orderBy("category", "dense_rank")
-    assert [(r["category"], r["order_id"], r["amount"], r["dense_rank"]) for r in top.collect()] == [
-        ("Books", "ORD-006", 5500, 1), ("Books", "ORD-004", 2800, 2),
-        ("Electronics", "ORD-005", 98000, 1), ("Electronics", "ORD-001", 59800, 2)]
+    assert [(r["category"], r["order_id"], r["amount"], r["dense_rank"]) for r in top.orderBy("category", "dense_rank", "order_id").collect()] == [
+        ("seeds", "b5", 9, 1), ("seeds", "b6", 9, 1), ("seeds", "b7", 2, 2),
+        ("tools", "b2", 80, 1), ("tools", "b1", 65, 2), ("tools", "b3", 65, 2)]
 
 
 def test_top_n_keeps_ties(spark):
@@ -51,15 +45,15 @@ def test_countries_last_user_row_wins(spark, rows):
 
 
 def test_broadcast_and_pivot(spark, rows):
-    sales = spark.createDataFrame([
-        ("T1", "U1", "S1", "Electronics", 120000), ("T2", "U2", "S1", "Books", 1500), ("T3", "U3", "S2", "Books", 2000),
-        ("T4", "U1", "S1", "Clothing", 8000), ("T5", "U2", "S1", "Electronics", 50000), ("T6", "U2", "S9", "Books", 7)],
-        "transaction_id string, user_id string, store_id string, category string, amount long")
-    stores = spark.createDataFrame([("S1", "A", "Kanto"), ("S2", "B", "Kansai")], "store_id string, store_name string, region string")
+    sold = [(f"t{i}", f"w{i % 4}", "tea" if i % 3 else "rye", i + 1) for i in range(10)] + [("t10", "w7", "tea", 50), ("t11", "w0", "tin", 9)]
+    sales = spark.createDataFrame(sold, "transaction_id string, store_id string, category string, amount long")
+    areas = {"w0": "north", "w1": "south", "w2": "north", "w3": "west"}
+    stores = spark.createDataFrame([(k, k.upper(), a) for k, a in areas.items()], "store_id string, store_name string, region string")
     joined = rel.small_side_left_join(sales, stores, "store_id")
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
-    out = rel.pivot_sum(joined, "region", "category", ["Electronics", "Books", "Clothing"], "amount")
-    assert sorted(rows(out), key=str) == sorted([("Kanto", 170000, 1500, 8000), ("Kansai", 0, 2000, 0), (None, 0, 7, 0)], key=str)
+    out = rel.pivot_sum(joined, "region", "category", ["tea", "rye", "ink"], "amount")
+    total = lambda a, c: sum(n for _, w, k, n in sold if areas.get(w) == a and k == c)
+    assert sorted(rows(out), key=str) == sorted(((a, total(a, "tea"), total(a, "rye"), 0) for a in ("north", "south", "west", None)), key=str)
 
 
 def test_large_side_is_not_broadcast(spark):
@@ -88,18 +82,22 @@ def test_order_totals(spark, rows, orders, revenue, count):
 HISTORY = "customer_id string, name string, email string, is_current boolean, valid_from string, valid_to string"
 
 
+OPEN = "9999-12-31"
+
+
 def history(spark):
-    return spark.createDataFrame([("C-01", "Alice", "a@old.example", True, "2024-01-01", "9999-12-31"),
-                                  ("C-02", "Bob", "b@example.com", True, "2024-01-01", "9999-12-31")], HISTORY)
+    return spark.createDataFrame([("h3", "Noor", "n@mail.example", True, "2030-06-01", OPEN),
+                                  ("h5", "Ilse", "i@mail.example", True, "2030-07-01", OPEN),
+                                  ("h8", "Wim", "w@mail.example", True, "2030-08-01", OPEN)], HISTORY)
 
 
 def batch(spark):
-    return spark.createDataFrame([("C-01", "Alice", "a@new.example"), ("C-03", "Carol", "c@example.com")],
-                                 "customer_id string, name string, email string")
+    return spark.createDataFrame([("h8", "Wim", "wim@post.example"), ("h9", "Ada", "a@mail.example"),
+                                  ("h3", "Noor", "n@mail.example")], "customer_id string, name string, email string")
 
 
 def merge(h, b):
-    return ver.scd2_merge(h, b, "customer_id", "email", ["name", "email"], "2024-02-01")
+    return ver.scd2_merge(h, b, "customer_id", "email", ["name", "email"], "2031-01-15")
 
 
 def test_scd2_merge_and_time_travel(spark, rows, tmp_path):
@@ -107,26 +105,24 @@ def test_scd2_merge_and_time_travel(spark, rows, tmp_path):
     t.commit(history(spark), "WRITE")
     t.commit(merge(t.read(), batch(spark)), "MERGE")
     t.commit(merge(t.read(), batch(spark)), "MERGE")
-    expected = [
-        ("C-01", "Alice", "a@new.example", True, "2024-02-01", "9999-12-31"),
-        ("C-01", "Alice", "a@old.example", False, "2024-01-01", "2024-02-01"),
-        ("C-02", "Bob", "b@example.com", True, "2024-01-01", "9999-12-31"),
-        ("C-03", "Carol", "c@example.com", True, "2024-02-01", "9999-12-31")]
+    expected = sorted([r for r in rows(history(spark)) if r[0] != "h8"] + [
+        ("h8", "Wim", "w@mail.example", False, "2030-08-01", "2031-01-15"),
+        ("h8", "Wim", "wim@post.example", True, "2031-01-15", OPEN), ("h9", "Ada", "a@mail.example", True, "2031-01-15", OPEN)])
     assert sorted(rows(t.read(1))) == expected
     assert sorted(rows(t.read(2))) == expected
-    assert t.read(0).count() == 2
+    assert t.read(0).count() == 3
     assert [(r["version"], r["operation"], r["num_rows"]) for r in t.history().orderBy("version").collect()] == [
-        (0, "WRITE", 2), (1, "MERGE", 4), (2, "MERGE", 4)]
+        (0, "WRITE", 3), (1, "MERGE", 5), (2, "MERGE", 5)]
     with pytest.raises(ValueError):
         t.read(9)
 
 
 def test_scd2_ignores_names_and_null_emails(spark, rows):
-    b = spark.createDataFrame([("C-01", "Alicia", "a@old.example"), ("C-02", "Bob", None)],
+    b = spark.createDataFrame([("h3", "Noora", "n@mail.example"), ("h5", "Ilse", None)],
                               "customer_id string, name string, email string")
     assert sorted(rows(merge(history(spark), b))) == sorted(rows(history(spark)))
-    strict = ver.scd2_merge(history(spark), b, "customer_id", "email", ["name", "email"], "2024-02-01", null_safe=True)
-    assert strict.count() == 3
+    strict = ver.scd2_merge(history(spark), b, "customer_id", "email", ["name", "email"], "2031-01-15", null_safe=True)
+    assert strict.count() == 4
 
 
 def test_scd2_refuses_two_rows_per_key(spark):
@@ -135,11 +131,11 @@ def test_scd2_refuses_two_rows_per_key(spark):
 
 
 def test_snapshot_delta(spark):
-    current = spark.createDataFrame([("1", 10), ("2", 5)], "external_id string, score long")
-    previous = spark.createDataFrame([("1", 3), ("2", 5)], "external_id string, score long")
+    current = spark.createDataFrame([("x", 8), ("y", 1), ("z", 4)], "external_id string, score long")
+    previous = spark.createDataFrame([("x", 5), ("z", 4), ("w", 2)], "external_id string, score long")
     out = ver.snapshot_delta_join(current, previous).collect()
-    assert [(r["external_id"], r["score_prev"], r["score_delta"]) for r in out] == [("1", 3, 7)]
-    assert sorted(r["score_delta"] for r in ver.snapshot_delta_join(current, None).collect()) == [5, 10]
+    assert sorted((r["external_id"], r["score_prev"], r["score_delta"]) for r in out) == [("x", 5, 3), ("y", None, 1)]
+    assert sorted(r["score_delta"] for r in ver.snapshot_delta_join(current, None).collect()) == [1, 4, 8]
 
 
 def test_upserts(spark, rows):
