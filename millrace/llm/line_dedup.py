@@ -13,7 +13,7 @@ paired. No link between lines of different components is left out.
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations, count
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -79,7 +79,7 @@ def line_segments(docs: DataFrame) -> DataFrame:
 
 
 def fingerprinted(segments: DataFrame) -> DataFrame:
-    """doc_id, text_key, line_no, key and fp of each line."""
+    """doc_id, text_key, line_no, key, n (words) and fp of each line."""
     place = ["doc_id", "text_key", "line_no", "key"]
     long = segments.where(F.col("fp").isNull()).groupBy(*place).agg(F.sum("n").alias("n"), *[
         F.sum(F.shiftrightunsigned(f"s{b % LANE}", b // LANE * LANE).bitwiseAND(F.lit((1 << LANE) - 1))).alias(f"b{b}")
@@ -88,7 +88,8 @@ def fingerprinted(segments: DataFrame) -> DataFrame:
     joined = bits[0].cast("long")
     for b in bits[1:]:
         joined = joined.bitwiseOR(b)
-    return segments.where(F.col("fp").isNotNull()).select(*place, "fp").union(long.select(*place, joined.alias("fp")))
+    return segments.where(F.col("fp").isNotNull()).select(*place, "n", "fp").union(
+        long.select(*place, "n", joined.alias("fp")))
 
 
 def masks(radius: int, blocks: int) -> list[int]:
@@ -98,15 +99,26 @@ def masks(radius: int, blocks: int) -> list[int]:
             for chosen in combinations(range(blocks), blocks - radius)]
 
 
-def near_fingerprints(fps: DataFrame, radius: int, blocks: int) -> DataFrame:
-    """Pairs ``x < y`` of ``fps(fp)`` within ``radius`` bits, each once."""
+def most_edits(words: Column | int, similarity: float):
+    """Edits that leave two lines of at most ``words`` words similar enough."""
+    allowed = words * (1 - similarity) + 1e-9
+    return int(allowed) if isinstance(words, int) else F.floor(allowed).cast("int")
+
+
+def near_fingerprints(fps: DataFrame, radius: int, blocks: int, similarity: float = SIMILARITY) -> DataFrame:
+    """Pairs ``x < y`` of ``fps(fp, shortest, longest)`` within ``radius`` bits, each once.
+
+    Pairs whose word counts (between ``shortest`` and ``longest``) differ too much for ``similarity`` are left out.
+    """
     chosen = masks(radius, blocks)
-    spread = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in chosen]))
+    spread = fps.select("fp", "shortest", "longest", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in chosen]))
                         .alias("choice", "bits"))
     x, y = spread.alias("x"), spread.alias("y")
     apart = F.col("x.fp").bitwiseXOR(F.col("y.fp"))
     on = (F.col("x.choice") == F.col("y.choice")) & (F.col("x.bits") == F.col("y.bits")) & (
         F.col("x.fp") < F.col("y.fp")) & (F.bit_count(apart) <= radius)
+    for a, b in (("x", "y"), ("y", "x")):
+        on = on & (F.col(f"{a}.longest") >= F.col(f"{b}.shortest") - most_edits(F.col(f"{b}.shortest"), similarity))
     for i, m in enumerate(chosen[:-1]):  # they meet in every choice they agree on; the first one counts
         on = on & ((F.col("x.choice") <= i) | (apart.bitwiseAND(F.lit(m)) != 0))
     return x.join(y, on).select(F.col("x.fp").alias("x"), F.col("y.fp").alias("y"))
@@ -139,7 +151,7 @@ def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, similarity: f
     texts = stage_table(found.select("key", _word_codes(line).alias("codes")).dropDuplicates(["key"]), "codes")
     a = texts.select(F.col("key").alias("a"), F.col("codes").alias("codes_a"))
     b = texts.select(F.col("key").alias("b"), F.col("codes").alias("codes_b"))
-    most = F.floor(F.greatest(F.length("codes_a"), F.length("codes_b")) * F.lit(1 - similarity) + 1e-9).cast("int")
+    most = most_edits(F.greatest(F.length("codes_a"), F.length("codes_b")), similarity)
     near = F.abs(F.length("codes_a") - F.length("codes_b")) <= most
     return stage_table(pairs.join(a, "a").join(b, "b").where(near & (F.call_function(
         "levenshtein", F.col("codes_a"), F.col("codes_b"), most) >= 0)).select("a", "b"), "links")
@@ -147,30 +159,43 @@ def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, similarity: f
 
 def line_groups(lines: DataFrame, docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY,
                 blocks: int = BLOCKS) -> DataFrame:
-    """(node, component) of the distinct ``lines(key, fp, first)`` that are linked to another one."""
-    fps = stage_table(lines.groupBy("fp").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("n")), "fps")
-    near = stage_table(near_fingerprints(fps, radius, blocks), "near")
-    several = lines.join(fps.where(F.col("n") > 1).select("fp", "rep"), "fp")
-    x, y = (fps.select(F.col("fp").alias(c), F.col("rep").alias(k)) for c, k in (("x", "a"), ("y", "b")))
-    pairs = near.join(x, "x").join(y, "y").select("a", "b").union(
-        several.where(F.col("key") != F.col("rep")).select(F.col("key").alias("a"), F.col("rep").alias("b")))
-    links = _verified(pairs, lines, docs, similarity)
+    """(node, component) of the distinct ``lines(key, fp, n, first)`` that are linked to another one.
+
+    Lines so short that a single edit makes them different can have no partner and are left out.
+    """
+    fewest = next(w for w in count(1) if most_edits(w, similarity))
+    able = lines.where(F.col("n") >= fewest)
+    fps = able.groupBy("fp").agg(F.count(F.lit(1)).alias("lines"), F.min("n").alias("shortest"), F.max("n").alias("longest"))
+    fps = stage_table(fps, "fps")
+    near = stage_table(near_fingerprints(fps, radius, blocks, similarity), "near")
+    shared = fps.where(F.col("lines") > 1).select("fp")
+    ends = near.select(F.col("x").alias("fp")).union(near.select("y")).union(shared).distinct()
+    held = able.join(ends, "fp", "left_semi")
+    reps = held.groupBy("fp").agg(F.min("key").alias("rep"))
+    held = stage_table(held.join(reps, "fp").select("fp", "key", "rep", "first"), "held")
+
+    # Representatives of near fingerprints, and lines with the representative of their own fingerprint.
+    reps = held.where(F.col("key") == F.col("rep"))
+    a, b = (reps.select(F.col("fp").alias(c), F.col("key").alias(k)) for c, k in (("x", "a"), ("y", "b")))
+    pairs = near.join(a, "x").join(b, "y").select("a", "b").union(
+        held.where(F.col("key") != F.col("rep")).select("key", "rep"))
+    links = _verified(pairs, held, docs, similarity)
     if links is None:
         return lines.limit(0).select(F.col("key").alias("node"), F.col("key").alias("component"))
     groups = stage_table(connected_components(links), "groups")
 
-    # What the representatives leave open: near lines of different components.
-    open_ = near.union(fps.where(F.col("n") > 1).select("fp", "fp"))
-    ends = open_.select(F.col("x").alias("fp")).union(open_.select("y")).distinct()
-    placed = lines.join(ends, "fp", "left_semi").join(groups, F.col("key") == groups["node"], "left").select(
-        "fp", "key", F.coalesce("component", "key").alias("component"))
+    # What that leaves open: near lines of different components of which one is no representative.
+    placed = held.join(groups, held["key"] == groups["node"], "left").select(
+        "fp", "key", (F.col("key") != F.col("rep")).alias("other"), F.coalesce("component", "key").alias("component"))
     placed = stage_table(placed, "placed")
     a, b = placed.alias("a"), placed.alias("b")
-    rest = open_.join(a, F.col("x") == F.col("a.fp")).join(b, (F.col("y") == F.col("b.fp")) & (
-        F.col("a.component") != F.col("b.component")) & ((F.col("x") != F.col("y")) | (F.col("a.key") < F.col("b.key"))))
-    tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = rest.select(F.least("a.key", "b.key").alias("a"), F.greatest("a.key", "b.key").alias("b"))
-    more = _verified(rest.join(tried, ["a", "b"], "left_anti"), lines, docs, similarity)
+    apart = F.col("a.component") != F.col("b.component")
+    across = near.join(a, F.col("x") == F.col("a.fp")).join(b, (F.col("y") == F.col("b.fp")) & apart & (
+        F.col("a.other") | F.col("b.other")))
+    within = a.where("other").join(b.where("other"), (F.col("a.fp") == F.col("b.fp")) & apart & (
+        F.col("a.key") < F.col("b.key")))
+    rest = across.select("a.key", "b.key").union(within.select("a.key", "b.key")).toDF("a", "b")
+    more = _verified(rest, held, docs, similarity)
     return groups if more is None else connected_components(links.union(more))
 
 
@@ -180,7 +205,8 @@ def repeated_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SI
     segments = stage_table(line_segments(docs), "segments")
     place = F.struct(F.col("doc_id").isNull().alias("unnumbered"), "doc_id", "text_key", "line_no")
     lines = stage_table(fingerprinted(segments).groupBy("key").agg(
-        F.min(place).alias("first"), F.max("fp").alias("fp"), F.count(F.lit(1)).alias("copies")), "distinct")
+        F.min(place).alias("first"), F.max("fp").alias("fp"), F.max("n").alias("n"),
+        F.count(F.lit(1)).alias("copies")), "distinct")
     groups = stage_table(line_groups(lines, docs, radius, similarity, blocks), "groups")
     grouped = lines.join(groups, lines["key"] == groups["node"], "left").select("key", "first", "copies", "component")
     kept = grouped.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("first").alias("kept"))

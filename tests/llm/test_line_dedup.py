@@ -79,7 +79,8 @@ def test_near_fingerprints(spark, blocks):
     fps += [f ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63)) for f in fps[:100]]
     fps += [f ^ 1 for f in fps[120:200]]
     fps = sorted(set(fps))
-    got = [tuple(r) for r in near_fingerprints(spark.createDataFrame([(f,) for f in fps], "fp long"), 3, blocks).collect()]
+    got = [tuple(r) for r in near_fingerprints(spark.createDataFrame(
+        [(f, 9, 9) for f in fps], "fp long, shortest int, longest int"), 3, blocks).collect()]
     want = {(a, b) for a in fps for b in fps if a < b and bin(a ^ b).count("1") <= 3}
     assert set(got) == want and len(got) == len(want)
 
