@@ -21,6 +21,7 @@ RRF_K = 60
 DIGITS = 9
 QUERY_BLOCK = 512
 CELL_FILE_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
 def top_k(scored: DataFrame, query: str, ident: str, score: str, k: int) -> DataFrame:
@@ -63,11 +64,13 @@ def bm25_search(docs: DataFrame, queries: DataFrame, ident: str, tokens: str, qu
     return top_k(scored, query, ident, "score", k)
 
 
-def nearest(base: DataFrame, vector: str, probe: list[float], k: int, metric: str = "cosine") -> DataFrame:
-    """The ``k`` rows nearest to one vector, without Python workers."""
+def nearest(base: DataFrame, vector: str, probe: list[float], k: int, metric: str = "cosine",
+            ident: str | None = None) -> DataFrame:
+    """The ``k`` rows nearest to one vector, ties by ``ident``, without Python workers."""
     q = F.array(*[F.lit(float(x)) for x in probe])
     score = cosine(F.col(vector), q) if metric == "cosine" else -squared_distance(F.col(vector), q)
-    return base.withColumn("score", F.round(score, DIGITS)).orderBy(F.col("score").desc()).limit(k)
+    ties = [F.col(ident)] if ident else []
+    return base.withColumn("score", F.round(score, DIGITS)).orderBy(F.col("score").desc(), *ties).limit(k)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -96,34 +99,6 @@ def _ids(column: pa.Array) -> np.ndarray:
     return out.astype(str) if out.dtype == object else out
 
 
-class _Best:
-    """The best ``k`` (score, id) pairs per query seen by one task."""
-
-    def __init__(self, n: int, k: int):
-        self.k = k
-        self.ids: list[np.ndarray | None] = [None] * n
-        self.scores: list[np.ndarray] = [np.empty(0)] * n
-
-    def add(self, which: int, ids: np.ndarray, scores: np.ndarray) -> None:
-        if len(ids) > self.k:
-            edge = np.partition(-scores, self.k - 1)[self.k - 1]
-            keep = np.flatnonzero(-scores <= edge)
-            ids, scores = ids[keep], scores[keep]
-        if self.ids[which] is not None:
-            ids, scores = np.concatenate([self.ids[which], ids]), np.concatenate([self.scores[which], scores])
-        keep = np.lexsort((ids, -scores))[: self.k]
-        self.ids[which], self.scores[which] = ids[keep], scores[keep]
-
-    def batches(self, names: list) -> Iterator[pa.RecordBatch]:
-        seen = [(n, i, s) for n, i, s in zip(names, self.ids, self.scores) if i is not None]
-        if seen:
-            owner = [n for n, i, _ in seen for _ in range(len(i))]
-            ids = [x for _, i, _ in seen for x in i.tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(owner), pa.array(ids), pa.array(np.concatenate([s for _, _, s in seen]), pa.float64())],
-                names=["_q", "_id", "_s"])
-
-
 def _id_type(df: DataFrame, column: str) -> str:
     return "string" if df.schema[column].dataType.simpleString() == "string" else "bigint"
 
@@ -142,45 +117,79 @@ def _ranked(parts: DataFrame, base: DataFrame, ident: str, queries: DataFrame, q
     return top_k(named, query, ident, "score", k)
 
 
-def _query_blocks(queries: DataFrame, query: str, vector: str) -> Iterator[tuple[list[int], np.ndarray]]:
-    """Queries in blocks of bounded size; each block fits the driver and is shipped to the tasks."""
-    rows = queries.select(query, vector).limit(QUERY_BLOCK + 1).collect()
-    if len(rows) <= QUERY_BLOCK:
-        parts = [rows]
-    else:
-        blocks = math.ceil(queries.count() / QUERY_BLOCK)
-        parts = (queries.where(F.pmod(F.xxhash64(query), F.lit(blocks)) == b).select(query, vector).collect()
-                 for b in range(blocks))
-    for rows in parts:
-        if rows:
-            yield [r[0] for r in rows], np.array([r[1] for r in rows], dtype=np.float64)
+def _query_blocks(queries: DataFrame, query: str, vector: str, cell: Column | None = None
+                  ) -> tuple[DataFrame, int]:
+    """Queries gathered in rows of about ``QUERY_BLOCK`` (per cell): ``_cell, _block, _queries``; and how many blocks.
+
+    Nothing passes through the driver but the count and the width. The rows are broadcast only while all query
+    vectors together stay below ``BROADCAST_BYTES``; beyond that the join shuffles.
+    """
+    cells = (F.lit(0) if cell is None else cell).alias("_cell")
+    asked = queries.select(_typed_id(queries, query), F.transform(vector, lambda x: x.cast("double")).alias("_v"), cells)
+    sizes = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_v")).alias("w")).first()
+    blocks = max(1, math.ceil(sizes["n"] / QUERY_BLOCK))
+    gathered = asked.groupBy(
+        "_cell", F.pmod(F.xxhash64(query, "_v"), F.lit(blocks)).cast("int").alias("_block")).agg(
+        F.collect_list(F.struct(F.col(query).alias("q"), F.col("_v").alias("v"))).alias("_queries"))
+    small = cell is None and sizes["n"] * (8 * (sizes["w"] or 0) + 32) <= BROADCAST_BYTES
+    return (F.broadcast(gathered) if small else gathered), blocks
+
+
+def _chunks(base: DataFrame, ident: str, vector: str, cell: Column | None = None) -> DataFrame:
+    """Rows of ``base`` in batches: ``_cell, _ids, _x`` (vectors as one block of doubles)."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cells, x = batch.column(2).to_numpy(), _matrix(batch.column(1))
+            for c in np.unique(cells):
+                at = np.flatnonzero(cells == c)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([c], pa.int32()), pa.array([batch.column(0).take(pa.array(at)).to_pylist()],
+                                                         pa.list_(batch.column(0).type)), pa.array([x[at].tobytes()])],
+                    names=["_cell", "_ids", "_x"])
+
+    rows = base.select(_typed_id(base, ident), vector, (F.lit(0) if cell is None else cell).cast("int").alias("_cell"))
+    return rows.mapInArrow(pack, f"_cell int, _ids array<{_id_type(base, ident)}>, _x binary")
+
+
+def _scored(met: DataFrame, base: DataFrame, ident: str, queries: DataFrame, query: str, k: int, metric: str) -> DataFrame:
+    """The best ``k`` of every query over rows of ``_ids, _x, _queries``."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids = _ids(batch.column(0)[i].values)
+                x = np.frombuffer(batch.column(1)[i].as_buffer(), np.float64).reshape(len(ids), -1)
+                asked = batch.column(2)[i].values
+                s = _scores(_matrix(asked.field("v")), x, metric)
+                names, owner, hits = asked.field("q").to_pylist(), [], []
+                for j in range(len(s)):
+                    keep = np.arange(len(ids))
+                    if len(ids) > k:  # with all ties at the edge, which the ids decide
+                        keep = np.flatnonzero(-s[j] <= np.partition(-s[j], k - 1)[k - 1])
+                    best = keep[np.lexsort((ids[keep], -s[j][keep]))[:k]]
+                    owner += [names[j]] * len(best)
+                    hits.append(best)
+                rows = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
+                cols = np.concatenate(hits)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(owner), pa.array(ids[cols].tolist()), pa.array(s[rows, cols], pa.float64())],
+                    names=["_q", "_id", "_s"])
+
+    parts = met.select("_ids", "_x", "_queries").mapInArrow(scan, _hits_schema(base, ident, queries, query))
+    return _ranked(parts, base, ident, queries, query, k)
 
 
 def vector_topk(base: DataFrame, queries: DataFrame, ident: str, vector: str, query: str, query_vector: str, k: int,
                 metric: str = "cosine") -> DataFrame:
     """The exact ``k`` nearest rows of ``base`` for every query.
 
-    Each task multiplies its rows with a block of queries and hands on ``k`` rows per query, so the
-    vectors themselves are never shuffled. Ids are whole numbers.
+    Rows are multiplied in batches with blocks of queries; a batch hands on ``k`` rows per query. While the
+    queries are small the vectors of ``base`` are not shuffled. Ids are whole numbers or texts.
     """
-    sc = base.sparkSession.sparkContext
-    schema = _hits_schema(base, ident, queries, query)
-    out = base.sparkSession.createDataFrame([], schema)
-    for names, q in _query_blocks(queries, query, query_vector):
-        shared = sc.broadcast((names, q))
-
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            names, q = shared.value
-            best = _Best(len(names), k)
-            for batch in batches:
-                if batch.num_rows:
-                    ids, s = _ids(batch.column(0)), _scores(q, _matrix(batch.column(1)), metric)
-                    for i in range(len(names)):
-                        best.add(i, ids, s[i])
-            yield from best.batches(names)
-
-        out = out.unionByName(base.select(_typed_id(base, ident), vector).mapInArrow(scan, schema))
-    return _ranked(out, base, ident, queries, query, k)
+    gathered, blocks = _query_blocks(queries, query, query_vector)
+    chunks = _chunks(base, ident, vector).select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
+    return _scored(chunks.join(gathered, "_block"), base, ident, queries, query, k, metric)
 
 
 class CellIndex:
@@ -218,46 +227,32 @@ class CellIndex:
         path = scratch_dir(spark, "cells")
         placed.write.parquet(f"{path}/flat")
         flat = spark.read.parquet(f"{path}/flat")
-        counts = {r["cell"]: r["n"] for r in flat.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-        pieces = F.lit(1)
-        for c, n in counts.items():
-            if n > CELL_FILE_ROWS:
-                pieces = F.when(F.col("cell") == c, math.ceil(n / CELL_FILE_ROWS)).otherwise(pieces)
-        total = sum(math.ceil(n / CELL_FILE_ROWS) for n in counts.values())
-        flat.withColumn("_piece", F.pmod(F.xxhash64(ident), pieces)).repartition(max(total, 1), "cell", "_piece").drop(
-            "_piece").write.partitionBy("cell").parquet(f"{path}/by_cell")
+        sizes = flat.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL_FILE_ROWS).cast("long").alias("_pieces"))
+        total = sizes.agg(F.sum("_pieces")).first()[0] or 1
+        flat.join(F.broadcast(sizes), "cell").withColumn("_piece", F.pmod(F.xxhash64(ident), F.col("_pieces"))).repartition(
+            total, "cell", "_piece").drop("_piece", "_pieces").write.partitionBy("cell").parquet(f"{path}/by_cell")
         return cls(f"{path}/by_cell", centres, ident, vector, spark)
 
     def search(self, queries: DataFrame, query: str, query_vector: str, k: int, nprobe: int = 8,
                metric: str = "cosine") -> DataFrame:
         """Best ``k`` among the rows of the ``nprobe`` nearest cells; all cells give the exact answer."""
         table = self.spark.read.parquet(self.path)
-        ident, vector = self.ident, self.vector
-        schema = _hits_schema(table, ident, queries, query)
-        out = self.spark.createDataFrame([], schema)
-        for names, q in _query_blocks(queries, query, query_vector):
-            order = np.argsort(-_scores(q, self.centres, "cosine"), axis=1, kind="stable")[:, :nprobe]
-            by_cell = {int(c): np.flatnonzero((order == c).any(axis=1)) for c in np.unique(order)}
-            shared = self.spark.sparkContext.broadcast((names, q, by_cell))
-
-            def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-                names, q, by_cell = shared.value
-                best = _Best(len(names), k)
-                for batch in batches:
-                    if not batch.num_rows:
-                        continue
-                    ids, x, cell = _ids(batch.column(0)), _matrix(batch.column(1)), batch.column(2).to_numpy()
-                    for c in np.unique(cell):
-                        rows = np.flatnonzero(cell == c)
-                        asking = by_cell[int(c)]
-                        s = _scores(q[asking], x[rows], metric)
-                        for j, i in enumerate(asking):
-                            best.add(int(i), ids[rows], s[j])
-                yield from best.batches(names)
-
-            near = table.where(F.col("cell").isin(sorted(by_cell))).select(ident, vector, F.col("cell").cast("int"))
-            out = out.unionByName(near.mapInArrow(scan, schema))
-        return _ranked(out, table, ident, queries, query, k)
+        centres, ident = self.centres, self.ident
+
+        def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    order = np.argsort(-_scores(_matrix(batch.column(1)), centres, "cosine"), axis=1, kind="stable")
+                    cells = pa.array(order[:, :nprobe].tolist(), pa.list_(pa.int32()))
+                    yield pa.RecordBatch.from_arrays([*batch.columns, cells], names=[query, query_vector, "_cells"])
+
+        kind = queries.schema[query_vector].dataType.simpleString()
+        routed = queries.select(_typed_id(queries, query), query_vector).mapInArrow(
+            route, f"{query} {_id_type(queries, query)}, {query_vector} {kind}, _cells array<int>")
+        probes = routed.select(query, query_vector, F.explode("_cells").alias("_probe"))
+        gathered, _ = _query_blocks(probes, query, query_vector, F.col("_probe"))
+        chunks = _chunks(table, ident, self.vector, F.col("cell"))
+        return _scored(chunks.join(gathered, "_cell"), table, ident, queries, query, k, metric)
 
 
 def rrf_fuse(rankings: DataFrame, doc: str, system: str = "system", position: str = "position",
