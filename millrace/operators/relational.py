@@ -8,11 +8,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql.types import IntegralType
 
-from millrace.operators.running import BROADCAST_ROWS, Running, find_hot_keys, running
+from millrace.operators.running import BROADCAST_BYTES, Running, find_hot_keys, row_bytes, running
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows. The count stops one row past the bound."""
+def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Broadcast ``df`` if it has at most ``max_rows`` rows, by default as many as fit ``BROADCAST_BYTES``.
+
+    The count stops one row past the bound.
+    """
+    max_rows = BROADCAST_BYTES // row_bytes(df) if max_rows is None else max_rows
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 

@@ -14,12 +14,15 @@ import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import BooleanType, DataType, DatetimeType, NumericType, StringType, StructType
 
 from millrace.session import cut_lineage
 
 HOT_ROWS = 4_000_000
 PIECE_ROWS = 1_000_000
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
+# Bytes allowed for a value whose size the schema does not tell: texts, and everything with parts.
+TEXT_BYTES, NESTED_BYTES = 128, 8192
 
 
 @dataclass(frozen=True)
@@ -44,9 +47,19 @@ class HotKeys:
 NO_HOT_KEYS = HotKeys(None)
 
 
+def row_bytes(df: DataFrame) -> int:
+    """Width of a row by its schema."""
+    def width(kind: DataType) -> int:
+        if isinstance(kind, StructType):
+            return sum(width(f.dataType) for f in kind)
+        return 16 if isinstance(kind, (NumericType, DatetimeType, BooleanType)) else (
+            TEXT_BYTES if isinstance(kind, StringType) else NESTED_BYTES)
+    return 16 + width(df.schema)
+
+
 def hinted(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast ``df`` only when its counted size is small; otherwise let the planner shuffle."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    """Broadcast ``df`` only when its counted rows times their width are small; otherwise let the planner shuffle."""
+    return F.broadcast(df) if rows * row_bytes(df) <= BROADCAST_BYTES else df
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -57,6 +70,14 @@ def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return cond
 
 
+def same_named(keys: list[str], left: str = "l", right: str = "r") -> Column:
+    """Null-safe equality over ``keys`` of two aliased frames."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
+    return cond
+
+
 def find_hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> HotKeys:
     """Keys of ``df`` with more than ``hot_rows`` rows. One job over the key columns only."""
     limit = HOT_ROWS if hot_rows is None else hot_rows

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from millrace.operators.running import NO_HOT_KEYS, Running, find_hot_keys, hinted, running, same_keys
+from millrace.operators.running import NO_HOT_KEYS, Running, find_hot_keys, running, same_named
 
 # Fixed values of the session and alert rules.
 SESSION_GAP_SECONDS = 1800
@@ -23,45 +23,34 @@ def click_filter(df: DataFrame, status: str = "status", amount: str = "amount")
     return df.where((F.col(status) == "success") & a.isNotNull() & ~F.isnan(a) & (a > 0))
 
 
+# Amounts are added up as decimals, so what leaves a frame cancels exactly what once entered it.
+EXACT = "decimal(38,12)"
+
+
 def rolling_mean(df: DataFrame, keys: list[str], second: str, amount: str, seq: str,
-                 seconds: int = ROLLING_SECONDS, spans: int = 64, hot_rows: int = 50_000) -> DataFrame:
+                 seconds: int = ROLLING_SECONDS, hot_rows: int | None = None) -> DataFrame:
     """Mean of ``amount`` over ``(t - seconds, t]`` for every row. Ties show the amount that arrived last.
 
-    Each key is cut into spans of ``spans`` frames, and the last frame of a span is repeated in the
-    next one as history, so one shuffle gives tasks of bounded size. In a span with more than
-    ``hot_rows`` rows the rows of one second are added up first; there a frame holds at most
-    ``seconds`` rows however dense the data.
+    Amounts enter a running sum at their second and leave it ``seconds`` later, so the work does not depend
+    on the width of the frame, and ``running`` splits hot keys. Amounts keep twelve decimal places.
     """
-    span = seconds * spans
-    cols = df.columns
-    feeds_next = F.col(second) > (F.col("_own") + 1) * span - seconds
-    spread = df.withColumn("_own", F.floor(F.col(second) / span).cast("long")).withColumn(
-        "_span", F.explode_outer(F.when(feeds_next, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
-    by = [*keys, "_span"]
-    hot = find_hot_keys(spread, by, hot_rows)
-    w = W.partitionBy(*by).orderBy(second).rangeBetween(-(seconds - 1), 0)
-    here = F.col("_span") == F.col("_own")
-
-    def plain(rows: DataFrame) -> DataFrame:
-        tied = W.partitionBy(*by).orderBy(second).rangeBetween(0, 0)
-        return rows.withColumn("_mean", F.avg(amount).over(w)).withColumn(
-            "_last", F.max(F.struct(F.col(seq).alias("s"), F.col(amount).alias("a"))).over(tied)["a"]).where(here)
-
-    def dense(rows: DataFrame) -> DataFrame:
-        per_second = rows.groupBy(*by, second).agg(
-            F.sum(amount).alias("_sum"), F.count(amount).alias("_n"), F.max_by(amount, seq).alias("_last"))
-        means = per_second.select(*by, second, "_last", (F.sum("_sum").over(w) / F.sum("_n").over(w)).alias("_mean"))
-        mine = rows.where(here)
-        return mine.join(means, same_keys(mine, means, [*by, second])).select(*[mine[c] for c in mine.columns], "_mean", "_last")
-
-    if hot.keys is None:
-        out = plain(spread)
-    else:
-        few = hinted(hot.keys, hot.n_keys)
-        match = same_keys(spread, hot.keys, by)
-        out = plain(spread.join(few, match, "left_anti")).unionByName(dense(spread.join(few, match, "left_semi")))
-    return out.select(*[c for c in cols if c != amount], F.col("_last").alias(amount),
-                      F.col("_mean").alias("rolling_mean_amount"))
+    rows = df.withColumn("_timeless", F.col(second).isNull())
+    by = [*keys, "_timeless"]
+    per_second = rows.groupBy(*by, second).agg(
+        F.sum(F.col(amount).cast(EXACT)).alias("_sum"), F.count(amount).alias("_n"), F.max_by(amount, seq).alias("_last"))
+    enter = per_second.select(*by, F.col(second).alias("_t"), "_sum", "_n")
+    leave = per_second.where(~F.col("_timeless")).select(*by, (F.col(second) + seconds).alias("_t"), -F.col("_sum"), -F.col("_n"))
+    steps = enter.union(leave).groupBy(*by, "_t").agg(
+        F.coalesce(F.sum("_sum"), F.lit(0)).cast(EXACT).alias("_sum"), F.sum("_n").alias("_n"))
+    held = running(steps, by, ["_t"], [Running("_held", "sum", F.col("_sum")), Running("_count", "sum", F.col("_n"))],
+                   hot_rows=hot_rows)
+    means = held.select(*by, F.col("_t").alias(second), (
+        F.col("_held").cast("double") / F.nullif(F.col("_count"), F.lit(0))).alias("_mean"))
+    last = per_second.select(*by, second, "_last")
+    found = last.alias("l").join(means.alias("r"), same_named([*by, second])).select("l.*", "r._mean")
+    return rows.alias("l").join(found.alias("r"), same_named([*by, second])).select(
+        *[F.col(f"l.{c}") for c in df.columns if c != amount], F.col("r._last").alias(amount),
+        F.col("r._mean").alias("rolling_mean_amount"))
 
 
 def _sweep(events: DataFrame, ts: str, width: int, weight: str | None = None) -> tuple[DataFrame, DataFrame]:

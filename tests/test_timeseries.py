@@ -64,7 +64,7 @@ def test_rolling_mean_across_span_edges(spark, hot):
     data = [(rng.choice("ab"), rng.randrange(2000), float(rng.randrange(100)), i) for i in range(600)]
     df = frame(spark, data, "user string, sec long, amount double, seq long")
     got = {r["seq"]: r["rolling_mean_amount"] for r in
-           ts.rolling_mean(df, ["user"], "sec", "amount", "seq", seconds=30, spans=2, hot_rows=hot).collect()}
+           ts.rolling_mean(df, ["user"], "sec", "amount", "seq", seconds=30, hot_rows=hot).collect()}
     for u, t, _, i in data:
         window = [a for v, s, a, _ in data if v == u and t - 30 < s <= t]
         assert got[i] == pytest.approx(sum(window) / len(window))
