@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import versioned as ver
+from millrace.operators.relational import union_sources
 from millrace.plans.registry import query
 from millrace.session import scratch_dir
-from millrace.sources.tables import SnapshotTable, table
+from millrace.sources.tables import SnapshotTable, partitioned_snapshot_write, table
 
 # The batch renames a third of the segments, moves others, leaves some null, and adds new keys.
 BATCH_SQL = """
@@ -110,3 +111,29 @@ def snapshot_delta_join(spark, d):
     previous = c.where(F.col("c_custkey") % 6 != 0).select(ident, (score - (F.col("c_custkey") % 9 - 4)).alias("score"))
     return ver.snapshot_delta_join(current, previous).withColumn(
         "score_prev", F.coalesce("score_prev", F.lit(0))).select("external_id", "name", "score", "score_prev", "score_delta")
+
+
+@query("previous_snapshot", """
+WITH cur AS (SELECT CAST(c_custkey AS VARCHAR) AS external_id, CAST(floor(c_acctbal) AS BIGINT) AS score FROM customer),
+prev AS (SELECT CAST(c_custkey AS VARCHAR) AS external_id, CAST(floor(c_acctbal) AS BIGINT) - (c_custkey % 9 - 4) AS score
+         FROM customer WHERE c_custkey % 6 <> 0)
+SELECT 'Hot Topics' AS query, external_id, cur.score - coalesce(prev.score, 0) AS score_delta
+FROM cur LEFT JOIN prev USING (external_id) WHERE score_delta > 0
+UNION ALL SELECT 'Other', external_id, score FROM cur""")
+def previous_snapshot(spark, d):
+    """Three captures of one query and one of another in a stored table: the newest against the one before."""
+    c, path = table(spark, d, "customer"), scratch_dir(spark, "captures")
+    key, score = F.col("c_custkey"), F.floor("c_acctbal")
+    captures = [("Hot Topics", "20260101_000000", score + 1000, key.isNotNull()), ("Hot Topics", "20260103_000000", score, key.isNotNull()),
+                ("Hot Topics", "20260102_000000", score - (key % 9 - 4), key % 6 != 0),
+                ("Other", "20260104_000000", score, key.isNotNull())]
+    for name, at, value, which in captures:
+        partitioned_snapshot_write(c.where(which).select(
+            key.cast("string").alias("external_id"), value.cast("long").alias("score"), F.lit("shop").alias("source"),
+            F.lit(name).alias("query"), F.lit(at).alias("captured_at")), path)
+    stored = spark.read.schema(
+        "external_id string, score long, source string, query string, captured_at string").parquet(path)
+    newest = {"Hot Topics": "20260103_000000", "Other": "20260104_000000"}
+    return union_sources([ver.snapshot_delta_join(
+        stored.where(F.col("captured_at") == at).select("external_id", "score"), ver.previous_snapshot(stored, "shop", name)
+    ).select(F.lit(name).alias("query"), "external_id", "score_delta") for name, at in newest.items()])
