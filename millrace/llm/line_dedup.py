@@ -210,8 +210,9 @@ def repeated_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SI
     groups = stage_table(line_groups(lines, docs, radius, similarity, blocks), "groups")
     grouped = lines.join(groups, lines["key"] == groups["node"], "left").select("key", "first", "copies", "component")
     kept = grouped.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("first").alias("kept"))
-    affected = grouped.where((F.col("copies") > 1) | F.col("component").isNotNull()).join(
-        kept, "component", "left").select("key", F.coalesce("kept", "first").alias("kept"))
+    # Equal lines without a partner need no look-up; as null keys of a join they would all meet in one task.
+    affected = grouped.where((F.col("copies") > 1) & F.col("component").isNull()).select("key", F.col("first").alias("kept"))
+    affected = affected.union(grouped.join(kept, "component").select("key", "kept"))
     rows = segments.where(F.col("segment") == 0)
     found = rows.join(affected, "key").where(~place.eqNullSafe(F.col("kept")))
     return stage_table(found.select("doc_id", "text_key", "line_no"), "repeated")
