@@ -194,7 +194,7 @@ def trend_normalise(spark, d):
 
 
 def _draw_sql(salt: int, n: int) -> str:
-    return f"((event_id + {salt * 7919}) % 2147483647 * 48271 % 2147483647 % {n})"
+    return f"(CAST('0x' || md5(event_id || ':{salt}')[1:12] AS BIGINT) % {n})"
 
 
 @query("synthetic_transactions", f"""

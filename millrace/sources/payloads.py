@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.functions.jsonx import once
 
@@ -20,7 +20,7 @@ def page_payload_ingest(pages: DataFrame, cursor: str, payload: str, record: str
 
     ``cursor`` is the cursor a page was asked with (null for the first). A null or empty next cursor
     ends the chain. A page named by another one but not landed fails the batch. A ``records`` value
-    that is no list gives no rows.
+    that is no list gives no rows. Of records that share ``dedup_on`` the first by page and position stays.
     """
     read = pages.select(
         F.col(cursor).alias("page"),
@@ -30,8 +30,11 @@ def page_payload_ingest(pages: DataFrame, cursor: str, payload: str, record: str
     lost = asked.join(read.select("page"), "page", "left_anti").limit(1).collect()
     if lost:
         raise MissingPage(f"page {lost[0]['page']} was announced but never arrived")
-    rows = read.select("page", F.explode_outer("_records").alias("r")).where(F.col("r").isNotNull()).select("page", "r.*")
-    return rows.dropDuplicates([dedup_on]) if dedup_on else rows
+    rows = read.select("page", F.posexplode_outer("_records").alias("_pos", "r")).where(F.col("r").isNotNull())
+    if dedup_on:
+        nth = F.row_number().over(W.partitionBy(f"r.{dedup_on}").orderBy("page", "_pos"))
+        rows = rows.withColumn("_nth", nth).where(F.col("_nth") == 1)
+    return rows.select("page", "r.*")
 
 
 # Source names and our column names of a meeting payload.
@@ -85,9 +88,13 @@ STATUS_STEPS = {"success": 80, "failed": 95, "pending": 100}
 
 
 def synthetic_transactions(ids: DataFrame, ident: str, start: str = "2026-01-01T00:00:00") -> DataFrame:
-    """One generated transaction per id, the same on every run and on every retry of a task."""
+    """One generated transaction per id, the same on every run and on every retry of a task.
+
+    Every field draws from its own hash of the id, so fields do not depend on each other.
+    """
     def draw(salt: int, n: int) -> Column:
-        return F.pmod(F.pmod(F.col(ident) + F.lit(salt * 7919), F.lit(2147483647)) * 48271, F.lit(2147483647)) % n
+        digest = F.md5(F.concat(F.col(ident).cast("string"), F.lit(f":{salt}")))
+        return F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") % n
 
     step = draw(4, 100)
     status = F.when(step < STATUS_STEPS["success"], "success").when(step < STATUS_STEPS["failed"], "failed").otherwise(

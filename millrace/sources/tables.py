@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -58,12 +59,6 @@ def warehouse_load(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(loaded.schema).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 class SnapshotTable:
     """A table kept as immutable numbered snapshots with a history of what made each one.
 
@@ -77,9 +72,12 @@ class SnapshotTable:
         self.spark, self.root = spark, root.rstrip("/")
 
     def history(self) -> DataFrame:
-        if not path_exists(self.spark, f"{self.root}/history"):
+        try:
+            return self.spark.read.schema(self.HISTORY).json(f"{self.root}/history/*")
+        except AnalysisException as e:  # nothing was ever committed
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], self.HISTORY)
-        return self.spark.read.schema(self.HISTORY).json(f"{self.root}/history/*")
 
     def latest(self) -> int | None:
         return self.history().agg(F.max("version")).first()[0]
