@@ -16,8 +16,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every neighbour above a node is tied to the node's smallest neighbour."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return both.where(F.col("b") > F.col("a")).join(least, "a").select(
-        F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def line_segments(docs: DataFrame) -> DataFrame:
     keyed = normal.where(F.col("normal") != "").select(
         "doc_id", "text_key", "line_no", F.unhex(F.md5("normal")).alias("key"), F.split("normal", " ").alias("words"))
     words = keyed.select("doc_id", "text_key", "line_no", "key", F.posexplode("words").alias("at", "word"))
-    segment = F.floor(F.col("at") / SEGMENT_WORDS).alias("segment")
+    segment = F.expr(f"at div {SEGMENT_WORDS}").alias("segment")
     summed = words.groupBy("doc_id", "text_key", "line_no", "key", segment).agg(
         F.count(F.lit(1)).alias("n"), *votes(F.xxhash64("word")))
     alone = (F.col("segment") == 0) & (F.col("n") < SEGMENT_WORDS)
@@ -111,12 +111,13 @@ def near_fingerprints(fps: DataFrame, radius: int, blocks: int, similarity: floa
     Pairs whose word counts (between ``shortest`` and ``longest``) differ too much for ``similarity`` are left out.
     """
     chosen = masks(radius, blocks)
-    spread = fps.select("fp", "shortest", "longest", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in chosen]))
-                        .alias("choice", "bits"))
+    # One number names choice and bits: a single long sorts by radix. The exact test of the bits follows.
+    spread = fps.select("fp", "shortest", "longest", F.posexplode(F.array(*[
+        F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(chosen)])).alias("choice", "bucket"))
     x, y = spread.alias("x"), spread.alias("y")
     apart = F.col("x.fp").bitwiseXOR(F.col("y.fp"))
-    on = (F.col("x.choice") == F.col("y.choice")) & (F.col("x.bits") == F.col("y.bits")) & (
-        F.col("x.fp") < F.col("y.fp")) & (F.bit_count(apart) <= radius)
+    on = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.fp") < F.col("y.fp")) & (
+        F.bit_count(apart) <= radius) & (F.col("x.choice") == F.col("y.choice"))
     for a, b in (("x", "y"), ("y", "x")):
         on = on & (F.col(f"{a}.longest") >= F.col(f"{b}.shortest") - most_edits(F.col(f"{b}.shortest"), similarity))
     for i, m in enumerate(chosen[:-1]):  # they meet in every choice they agree on; the first one counts
@@ -196,7 +197,7 @@ def line_groups(lines: DataFrame, docs: DataFrame, radius: int = RADIUS, similar
         F.col("a.key") < F.col("b.key")))
     rest = across.select("a.key", "b.key").union(within.select("a.key", "b.key")).toDF("a", "b")
     more = _verified(rest, held, docs, similarity)
-    return groups if more is None else connected_components(links.union(more))
+    return groups if more is None or more.isEmpty() else connected_components(links.union(more))
 
 
 def repeated_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY,
@@ -227,10 +228,8 @@ def drop_repeated_lines(docs: DataFrame, **options) -> DataFrame:
     document: they lose the same lines. A null text has no lines and stays null. An empty table gives
     no rows. Columns besides doc_id and text are carried in ``doc``, whatever their names.
     """
-    repeated = repeated_lines(docs, **options)
-    gone = repeated.groupBy(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).agg(
+    gone = repeated_lines(docs, **options).groupBy(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).agg(
         F.collect_set("line_no").alias("gone"))
-    gone = _small(gone, repeated.count(), 64)
     own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), F.xxhash64("text").alias("text_key"))
     met = own.join(gone, own["doc.doc_id"].eqNullSafe(gone["_doc"]) & (own["text_key"] == gone["_key"]), "left")
     text = F.col("doc.text")

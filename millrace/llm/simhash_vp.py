@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.llm.components import connected_components
 from millrace.session import stage_table
@@ -199,7 +199,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = SHINGLE_
     return marked.join(of_fp, "fp").select("doc_id", "text_key", "fp", "component_id")
 
 
-def hex_fingerprint(fp) -> F:
+def hex_fingerprint(fp: Column) -> Column:
     """16 lowercase hex digits."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 

@@ -13,7 +13,7 @@ from millrace.llm.chat import render_chats
 from millrace.llm.exact_dedup import build_index, exact_dedup, grow, mark_duplicates
 from millrace.llm.language_id import Compressors, accepted, predict_languages, train_dictionaries
 from millrace.llm.mixing import Targets, rake, sample_mixture, sampling_table
-from millrace.llm.quality import Model, isotonic, score_quality, statistics, train
+from millrace.llm.quality import isotonic, score_quality, statistics
 from millrace.llm.url_filter import judge_urls, labelled_urls
 
 
@@ -285,4 +285,3 @@ def test_isotonic():
 def test_statistics():
     assert not statistics(None).any() and not statistics(b"").any()
     assert np.isfinite(statistics(b" \n ")).all() and np.isfinite(statistics("é|A9!".encode())).all()
-    assert isinstance(train, object) and Model.__dataclass_params__.frozen
