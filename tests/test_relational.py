@@ -207,3 +207,33 @@ def test_token_bucket_wait_model(spark, hot):
             level = max(Fraction(0), level - amount)
             clock = now + wait
             assert out[i] == pytest.approx(float(clock - t))
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(12,6)"])
+def test_token_bucket_on_fractional_times(spark, kind):
+    import random
+    rng = random.Random(5)
+    times = sorted(rng.randrange(0, 60_000) / 1000 for _ in range(250))
+    df = spark.createDataFrame([("k", t, i) for i, t in enumerate(times)], "k string, ts double, seq long")
+    df = df.withColumn("ts", df["ts"].cast(kind))
+    out = rate_limit.token_bucket(df, ["k"], "ts", "seq", 3, 2, 1)
+    assert out.columns == ["k", "ts", "seq", "allowed"] and out.count() == len(times)
+    got, level, last = {r["seq"]: r["allowed"] for r in out.collect()}, 3000, 0
+    for i, t in enumerate(times):
+        now = round(t * 1000)
+        level, last = min(3000, level + (now - last) * 2), now
+        assert got[i] == (level >= 1000)
+        level -= 1000 if level >= 1000 else 0
+
+
+def test_rank_variants_put_null_amounts_last(spark):
+    rows = [("g", 30, 1), ("g", None, 2), ("g", None, 3), ("g", -(2 ** 63), 4), ("g", 30, 5)]
+    out = rel.rank_variants(spark.createDataFrame(rows, "g string, v long, t int"), ["g"], "v", "t").orderBy("t").collect()
+    assert [(r["row_number"], r["rank"], r["dense_rank"]) for r in out] == [(1, 1, 1), (4, 4, 3), (5, 4, 3), (3, 3, 2), (2, 1, 1)]
+
+
+def test_previous_snapshot(spark):
+    stored = spark.createDataFrame([("s", "hot_topics", c, i) for i, c in enumerate(["3", "1", "2", "2"])] + [
+        ("s", "one", "9", 7), ("t", "hot_topics", "8", 8)], "source string, query string, captured_at string, n int")
+    assert sorted(r["n"] for r in ver.previous_snapshot(stored, "s", "Hot Topics").collect()) == [2, 3]
+    assert ver.previous_snapshot(stored, "s", "one") is None and ver.previous_snapshot(stored, "s", "none") is None

@@ -108,3 +108,22 @@ def test_micro_batches(spark, tmp_path):
     ok = spark.read.parquet(f"{out}/ok").withColumn("file", F.input_file_name())
     assert ok.count() == 8 and max(r["count"] for r in ok.groupBy("file").count().collect()) <= 3
     assert sorted(r["violations"][0] for r in spark.read.parquet(f"{out}/dlq").collect()) == ["amount", "json"]
+
+
+def test_missing_state_raises(spark, tmp_path):
+    """A batch whose predecessor's state is gone must not start from nothing."""
+    import shutil
+
+    import pytest
+    folder, out, other = (str(tmp_path / n) for n in ("in", "run", "other"))
+    step = stateful.session_step("user", "ts", ["seq"], 15)
+
+    def run(rows, path):
+        put(spark, folder, rows)
+        stream = win.json_stream(spark, folder, "user string, ts long, seq long")
+        stateful.run_stateful(stream, step, path)
+
+    run([{"user": "a", "ts": 1, "seq": 1}], out)
+    shutil.copytree(f"{out}/checkpoint", f"{other}/checkpoint")  # the progress without the state
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        run([{"user": "a", "ts": 5, "seq": 2}], other)
