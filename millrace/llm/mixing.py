@@ -1,14 +1,17 @@
 """Mix sources to target weights by raking, then sample documents by calibrated probabilities.
 
 Tokens are counted per cell (source x language x topic). Iterative proportional fitting rescales the cell
-weights to each target marginal in turn. The ratio of fitted weight to tokens, divided by its largest value,
-is the probability with which a document of the cell is taken: expected token shares then meet the targets
-and no document is taken twice. All of it is DataFrame expressions; a source with a third of all rows is
-one cell row per language and topic.
+weights to each target marginal in turn. The weights are scaled to the size of the sample, cells with fewer
+tokens than their weight are taken whole, and the others are fitted again under that bound. Weight by tokens is
+then the probability with which a document of the cell is taken; none is taken twice. Unless a size is
+given, it is the largest one of which at most a share of ``UNREACHED`` lies in cells that are too small: a tiny
+cell cannot shrink the sample. All of it is DataFrame expressions; a source with a third of all rows is one cell
+row per language and topic.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -24,6 +27,9 @@ TOPICS = {
     "table": (" | ",),
 }
 WORD = r"\S+"
+# Share of the sample that may be missing because cells have too few tokens.
+UNREACHED = 0.01
+LOG = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -100,6 +106,48 @@ def rake(cells: DataFrame, targets: Targets, rounds: int = 12) -> DataFrame:
     return out.select(*DIMENSIONS, "tokens", "weight", (F.col("weight") / F.col("tokens")).alias("ratio"))
 
 
+def calibrated(raked: DataFrame, size: float | None = None, unreached: float = UNREACHED, rounds: int = 12) -> DataFrame:
+    """Chances of the cells of ``rake``: dimensions, tokens, wanted, taken (expected tokens), chance.
+
+    ``size`` is the tokens wanted in all; by default the most of which a share of ``unreached`` or less is not
+    there when each cell gives its weight or all it has. What cells lack is made up by others of their
+    source, language and topic; what these lack too is the difference of wanted and taken. With
+    ``unreached`` 0 all targets are met, and the cell of the largest ratio sets the size.
+    """
+    everything = W.partitionBy(F.lit(0))
+    out = raked.withColumn("n_all", F.sum("tokens").over(everything))
+    if size is not None:
+        out = out.withColumn("scale", F.least(F.lit(float(size)) / F.col("n_all"), F.lit(1.0)))
+    else:
+        # What is missing at a scale is the most that any of the first cells by ratio lack together.
+        first = everything.orderBy(F.desc("ratio"), *DIMENSIONS).rowsBetween(W.unboundedPreceding, 0)
+        spare = F.sum("weight").over(first) - F.lit(float(unreached)) * F.col("n_all")
+        out = out.withColumn("most", F.when(spare > 0, F.sum("tokens").over(first) / spare))
+        out = out.withColumn("scale", F.least(F.min("most").over(everything), F.lit(1.0)))
+    out = out.withColumn("wanted", F.round(F.col("weight") * F.col("scale"), 6)).withColumn("open", F.col("wanted"))
+    taken = F.least("open", F.col("tokens").cast("double"))
+    if size is not None or unreached > 0:
+        for _ in range(rounds):
+            for dim in DIMENSIONS:
+                per = W.partitionBy(dim)
+                lift = F.sum("wanted").over(per) / F.nullif(F.sum(taken).over(per), F.lit(0.0))
+                # Cells taken whole stay whole; the bound only keeps the number finite.
+                out = out.withColumn("open", F.least(
+                    F.coalesce(F.round(F.col("open") * lift, 6), F.lit(0.0)), F.col("tokens") * F.lit(1e6)))
+    return out.select(*DIMENSIONS, "tokens", "wanted", taken.alias("taken"),
+                      F.round(taken / F.col("tokens"), 9).alias("chance"))
+
+
+def missing_share(cells: DataFrame) -> float:
+    """Share of the wanted tokens that ``calibrated`` cells lack, the largest of the three dimensions."""
+    lacks = []
+    for dim in DIMENSIONS:
+        by = cells.groupBy(dim).agg(F.sum("wanted").alias("wanted"), F.sum("taken").alias("taken"))
+        lacks.append(by.agg((F.sum(F.greatest(F.col("wanted") - F.col("taken"), F.lit(0.0))) /
+                             F.nullif(F.sum("wanted"), F.lit(0.0))).alias("lack")))
+    return lacks[0].union(lacks[1]).union(lacks[2]).agg(F.max("lack")).first()[0] or 0.0
+
+
 def draw(doc_id: Column, text: Column, salt: str) -> Column:
     """A number in [0, 1) that depends on the id (of a null id: on the text) and the salt only."""
     key = F.concat(F.lit(salt + ":"), F.coalesce(doc_id.cast("string"), text, F.lit("")))
@@ -107,19 +155,27 @@ def draw(doc_id: Column, text: Column, salt: str) -> Column:
 
 
 def sampling_table(docs: DataFrame, targets: Targets | None = None, topic: Column | None = None,
-                   rounds: int = 12, salt: str = "mix") -> DataFrame:
+                   rounds: int = 12, salt: str = "mix", size: float | None = None,
+                   unreached: float = UNREACHED) -> DataFrame:
     """Every document with its cell and chance: doc (all its columns), source, lang, topic, tokens, probability, kept.
 
+    ``size`` and ``unreached`` as in ``calibrated``; the share that is not reached is logged.
+
     One row per input row. Documents without words have probability 1: they weigh nothing. Repeated rows of
     one id share one draw. An empty table gives no rows. ``docs`` needs doc_id, text, source and lang; further
     columns, whatever their names, stay inside ``doc``.
     """
     marked = mixed_features(docs, topic)
-    cells = stage_table(rake(stage_table(marked.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells"),
+    raked = stage_table(rake(stage_table(marked.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells"),
                              targets or Targets(), rounds), "raked")
-    top = cells.agg(F.max("ratio").alias("top"))
-    chance = cells.select(*DIMENSIONS, F.round(F.col("ratio") / F.nullif(top.scalar(), F.lit(0.0)), 9)
-                          .alias("chance"))
+    if size is None and unreached == 0:
+        top = raked.agg(F.max("ratio").alias("top"))
+        chance = raked.select(*DIMENSIONS, F.round(F.col("ratio") / F.nullif(top.scalar(), F.lit(0.0)), 9)
+                              .alias("chance"))
+    else:
+        cells = stage_table(calibrated(raked, size, unreached, rounds), "calibrated")
+        LOG.info("mixing: a share of %.6f of the sample is not reached", missing_share(cells))
+        chance = cells.select(*DIMENSIONS, "chance")
     out = marked.join(chance, list(DIMENSIONS), "left").select(
         "doc", *DIMENSIONS, "tokens", F.when(F.col("tokens") == 0, 1.0).otherwise(
             F.coalesce("chance", F.lit(0.0))).alias("probability"))

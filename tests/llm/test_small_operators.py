@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.llm.chat import render_chats
 from millrace.llm.exact_dedup import build_index, exact_dedup, grow, mark_duplicates
 from millrace.llm.language_id import Compressors, accepted, predict_languages, train_dictionaries
-from millrace.llm.mixing import Targets, rake, sample_mixture, sampling_table
+from millrace.llm.mixing import Targets, calibrated, missing_share, rake, sample_mixture, sampling_table
 from millrace.llm.quality import isotonic, score_quality, statistics
 from millrace.llm.url_filter import judge_urls, labelled_urls
 
@@ -175,6 +175,32 @@ def test_sampling(spark):
     assert set(got.doc_id) == set(sample_mixture(mixed(spark, rows).repartition(3), targets=targets).toPandas().doc_id)
 
 
+def test_one_tiny_source_does_not_shrink_the_sample(spark):
+    rng = random.Random(9)
+    rows = [(i, "w " * 50, rng.choice(["en", "en", "de"]), rng.choice("aaab")) for i in range(3000)]
+    few, n = [(9001, "w " * 5, "en", "own")], 3000 * 50
+
+    def kept(rows, **how):
+        return sampling_table(mixed(spark, rows), **how).where("kept").agg(F.sum("tokens")).first()[0] / n
+    alone, beside = kept(rows), kept(rows + few)
+    assert alone > 0.6 and abs(alone - beside) < 0.05
+    assert kept(rows + few, unreached=0) < 0.2  # by the largest ratio
+    assert abs(kept(rows + few, size=0.3 * n) - 0.3) < 0.03
+
+
+def test_cells_that_are_too_small_are_taken_whole_and_reported(spark):
+    cells = [(s, la, "general", n) for s, la, n in (("a", "en", 6000), ("a", "de", 3000), ("b", "en", 900), ("b", "de", 100))]
+    frame = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+    raked = rake(frame, Targets({"source": {"a": 0.5, "b": 0.5}, "lang": {"en": 0.5, "de": 0.5}}, {}))
+    out = calibrated(raked, size=1800).toPandas()  # 450 of b x de are wanted, 100 are there
+    got = out.set_index(["source", "lang"]).taken
+    assert abs(got["b", "de"] - 100) < 1e-6 and abs(got["b", "en"] - 800) < 10
+    assert abs(got["a"].sum() - 900) < 10 and abs(out[out.lang == "de"].taken.sum() - 900) < 10
+    assert missing_share(calibrated(raked, size=1800)) < 0.01
+    assert abs(missing_share(calibrated(raked, size=4000)) - 0.25) < 0.02  # all 1000 of b, 2000 are wanted
+    assert 0 < missing_share(calibrated(raked)) <= 0.011
+
+
 def test_sampling_odd_rows(spark):
     rows = [(1, None, None, None), (2, "", "en", "a"), (3, " \n", "en", "a"), (None, "word", None, "a"),
             (4, "word " * 50_000, "en", "b"), (4, "word " * 50_000, "en", "b"), (5, "mail@x.y", "de", "a")]
