@@ -25,7 +25,6 @@ WINDOW = 2_048
 END_ID = 1
 SHARD_TOKENS = 1_000_000
 SHARD_DOCS = 4_096
-QUERY_TERMS = 12
 NEIGHBOURS = 16
 K1, B = 1.2, 0.75
 CACHE_PIECES = 1_000_000
@@ -215,23 +214,38 @@ class Shard:
         idf = np.log1p((n - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * sizes / sizes.mean())
         self.weight = (idf[self.term] * tf * (K1 + 1) / (tf + norm[self.doc])).astype(np.float32)
-        # Per document its entries by falling weight; words no other document has cannot find one.
+        # Entries by document and term; words no other document has cannot find one.
         useful = np.flatnonzero(df[self.term] > 1)
-        order = useful[np.lexsort((-self.weight[useful], self.doc[useful]))]
+        order = useful[np.argsort(self.doc[useful], kind="stable")]
         self.forward = self.term[order]
         self.begin = np.searchsorted(self.doc[order], np.arange(n + 1))
         self.unused = np.ones(n, bool)
+        self.asked = np.zeros(len(first), np.float32)  # 1 at the terms of the seed
+        self.live, self.live_weight = np.arange(n), self.weight[order]
+        self._keep(np.diff(self.begin) > 0, self.forward, np.diff(self.begin))
+
+    def _keep(self, keep: np.ndarray, terms: np.ndarray, sizes: np.ndarray) -> None:
+        """Leave the documents ``keep`` of those in ``live``, which have ``sizes`` of ``terms``."""
+        entries = np.repeat(keep, sizes)
+        self.live, self.live_sizes = self.live[keep], sizes[keep]
+        self.live_terms, self.live_weight = terms[entries], self.live_weight[entries]
+        self.live_begin = np.cumsum(self.live_sizes) - self.live_sizes
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """Unused documents by falling score of the seed's heaviest terms; only those that share a term."""
-        scores = np.zeros(self.n, np.float32)
-        for t in self.forward[self.begin[seed]:self.begin[seed + 1]][:QUERY_TERMS]:
-            at = slice(self.first[t], self.first[t] + self.df[t])
-            scores[self.doc[at]] += self.weight[at]
-        scores[~self.unused] = 0
-        best = np.argpartition(-scores, NEIGHBOURS)[:NEIGHBOURS] if self.n > NEIGHBOURS else np.arange(self.n)
+        """Unused documents by falling score of all terms of the seed; only those that share a term."""
+        left = self.unused[self.live]
+        if 2 * np.count_nonzero(left) < len(left):
+            self._keep(left, self.live_terms, self.live_sizes)
+        if not len(self.live):
+            return self.live
+        terms = self.forward[self.begin[seed]:self.begin[seed + 1]]
+        self.asked[terms] = 1
+        scores = np.add.reduceat(self.asked[self.live_terms] * self.live_weight, self.live_begin)
+        self.asked[terms] = 0
+        scores[~self.unused[self.live]] = 0
+        best = np.argpartition(-scores, NEIGHBOURS)[:NEIGHBOURS] if len(scores) > NEIGHBOURS else np.arange(len(scores))
         best = best[scores[best] > 0]
-        return best[np.lexsort((best, -scores[best]))]
+        return self.live[best[np.lexsort((best, -scores[best]))]]
 
 
 class Packer:

@@ -58,6 +58,23 @@ def test_bm25_order():
     assert shard.neighbours(0).tolist() == [i for i in np.argsort([-s for s in score]) if i and score[i] > 0]
 
 
+def test_all_terms_of_a_long_seed_count():
+    rng = np.random.default_rng(5)
+    docs = [rng.choice(400, int(rng.integers(100, 900)), p=np.arange(1, 401) / 80200.0) for _ in range(60)]
+    shard, n = Shard(docs), len(docs)
+    df = np.array([sum(t in d for d in docs) for t in range(400)])
+    idf, mean = np.log1p((n - df + 0.5) / (df + 0.5)), np.mean([len(d) for d in docs])
+    left = list(range(n))
+    for seed in rng.permutation(n)[:50].tolist():  # also after most documents are used
+        shard.unused[seed] = False
+        left.remove(seed)
+        score = {i: sum(idf[t] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(docs[i]) / mean))
+                        for t in set(docs[seed].tolist()) for tf in [(docs[i] == t).sum()] if tf) for i in left}
+        got, want = shard.neighbours(seed).tolist(), sorted(left, key=lambda i: -score[i])[:16]
+        assert len(got) == len(want)
+        assert all(abs(score[a] - score[b]) < 1e-3 for a, b in zip(got, want))
+
+
 def test_windows_take_neighbours_first():
     rng = np.random.default_rng(2)
     docs = [np.concatenate([rng.integers(1000 * (i % 4), 1000 * (i % 4) + 60, 40), [1]]) for i in range(80)]
