@@ -1,7 +1,8 @@
 """Pack documents into token windows with their lexical neighbours.
 
-Documents are range-partitioned by a min-hash of their words, so texts that share words meet; ties are
-split by id, so a text with a third of all copies spreads over many tasks. A task reads its range in
+Documents are range-partitioned by the smallest hashes of their words, in order, so texts that share words meet,
+also where many share the first ones; equal sketches are split by id, so a text with a third of all copies spreads
+over many tasks. Neighbours are looked for in a document's own shard only. A task reads its range in
 order and cuts it into shards of bounded size. Each shard has a BM25 inverted index over token ids. A
 window starts with the rest of the last document or the next unused one (the seed); the index returns the
 seed's best unused neighbours, which fill the window greedily. The neighbour that crosses the border is
@@ -27,6 +28,7 @@ SHARD_TOKENS = 1_000_000
 SHARD_DOCS = 4_096
 NEIGHBOURS = 16
 K1, B = 1.2, 0.75
+SKETCH = 8
 CACHE_PIECES = 1_000_000
 CACHE_IDS = 8_000_000
 TEXT_BYTES = 1 << 20
@@ -222,7 +224,7 @@ class Shard:
         self.unused = np.ones(n, bool)
         self.asked = np.zeros(len(first), np.float32)  # 1 at the terms of the seed
         self.live, self.live_weight = np.arange(n), self.weight[order]
-        self._keep(np.diff(self.begin) > 0, self.forward, np.diff(self.begin))
+        self._keep(np.diff(self.begin) > 0, self.forward.astype(np.intp), np.diff(self.begin))
 
     def _keep(self, keep: np.ndarray, terms: np.ndarray, sizes: np.ndarray) -> None:
         """Leave the documents ``keep`` of those in ``live``, which have ``sizes`` of ``terms``."""
@@ -234,13 +236,15 @@ class Shard:
     def neighbours(self, seed: int) -> np.ndarray:
         """Unused documents by falling score of all terms of the seed; only those that share a term."""
         left = self.unused[self.live]
-        if 2 * np.count_nonzero(left) < len(left):
+        if 4 * np.count_nonzero(left) < 3 * len(left):
             self._keep(left, self.live_terms, self.live_sizes)
         if not len(self.live):
             return self.live
         terms = self.forward[self.begin[seed]:self.begin[seed + 1]]
         self.asked[terms] = 1
-        scores = np.add.reduceat(self.asked[self.live_terms] * self.live_weight, self.live_begin)
+        found = self.asked.take(self.live_terms, mode="clip")
+        found *= self.live_weight
+        scores = np.add.reduceat(found, self.live_begin)
         self.asked[terms] = 0
         scores[~self.unused[self.live]] = 0
         best = np.argpartition(-scores, NEIGHBOURS)[:NEIGHBOURS] if len(scores) > NEIGHBOURS else np.arange(len(scores))
@@ -324,7 +328,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id
     lost task gives the same pieces.
     """
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    near = F.array_min(F.transform(F.split("text", " "), lambda w: F.xxhash64(w)))
+    near = F.slice(F.array_distinct(F.sort_array(F.transform(F.split("text", " "), lambda w: F.xxhash64(w)))), 1, SKETCH)
     ranged = own.select(near.alias("near"), "doc_id", F.xxhash64("text").alias("key"), "text",
                         F.octet_length("text").alias("bytes")).repartitionByRange("near", "doc_id", "key")
     ranged = ranged.sortWithinPartitions("near", "doc_id", "key")

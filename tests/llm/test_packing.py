@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from millrace.llm.packing import Packer, Shard, TokenIds, fast_encoder, pack_documents
@@ -124,3 +125,25 @@ def test_pack(spark):
     again = pack_documents(df, PATH, window=256, shard_tokens=5000).collect()
     assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, again), key=str)
     assert pack_documents(df.limit(0), PATH).count() == 0
+
+
+def test_near_copies_with_distant_ids_meet_behind_a_common_smallest_hash(spark):
+    """All documents share their smallest word hash; a shard holds few of them."""
+    rng = random.Random(4)
+
+    def signed(word):
+        h = xxhash.xxh64_intdigest(word.encode(), 42)
+        return h - (h >> 63 << 64)
+    common = [f"common{i}" for i in range(30)]
+    least = min(map(signed, common))
+    words = [w for w in (f"word{i}" for i in range(6000)) if signed(w) > least]
+    docs = []
+    for i in range(60):
+        own = rng.sample(words, 60)
+        docs += [(i, " ".join((common + own) * 50)), (i + 1000, " ".join((common + own[:-1] + ["changed"]) * 50))]
+    rows = pack_documents(spark.createDataFrame(docs, "doc_id long, text string"), PATH, window=512,
+                          shard_tokens=1500).collect()
+    at = {}
+    for r in rows:
+        at.setdefault(r["doc_id"], set()).add(r["sequence_id"])
+    assert sum(bool(at[i] & at[i + 1000]) for i in range(60)) >= 36
