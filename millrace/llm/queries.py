@@ -9,6 +9,7 @@ from millrace.llm.ann import nearest
 from millrace.llm.chat import PART_TURNS, render_chats
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.language_id import held_out, predict_languages, train_dictionaries
+from millrace.llm.lexical import K as TOP, LOWER, TERM, UPPER, ranked_search
 from millrace.llm.line_dedup import drop_repeated_lines
 from millrace.llm.mixing import DIMENSIONS, TOPICS, WORD, Targets, sampling_table
 from millrace.llm.packing import pack_documents
@@ -131,3 +132,22 @@ def op2_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_line_dedup")
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return drop_repeated_lines(table(spark, folder, "documents")).select("doc.doc_id", "lines", "dropped", "text")
+
+
+@query("op13_lexical_search", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}') AS t FROM documents),
+s AS (SELECT count(*)::BIGINT AS n_docs, sum(len(t))::BIGINT AS n_terms FROM d WHERE len(t) > 0),
+tf AS (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d),
+c AS (SELECT r, doc_id, n, term, count(*) AS tf FROM tf GROUP BY ALL),
+q AS (SELECT item_id, unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+             '{TERM}'))) AS term FROM benchmark),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM c WHERE term IN (SELECT term FROM q) GROUP BY term), s),
+p AS (SELECT r, doc_id, term,
+             (1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms)) AS part FROM c, s),
+h AS (SELECT item_id, r, doc_id, sum(w * part)::BIGINT AS score FROM q JOIN w USING (term) JOIN p USING (term) GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM h WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= {TOP}""")
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -1,0 +1,87 @@
+"""Ranked lexical search against brute force in plain integers."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from millrace.llm import lexical as lx
+
+WORDS = [f"w{i}" for i in range(60)] + ["Ünder", "日本", "x_y", "A-B", "7"]
+
+
+def terms(text):
+    return re.findall(lx.TERM, (text or "").translate(str.maketrans(lx.UPPER, lx.LOWER)))
+
+
+def brute(docs, items, k):
+    vectors = [(i, Counter(terms(t))) for i, t in docs if terms(t)]
+    n_docs, n_terms = len(vectors), sum(c.total() for _, c in vectors)
+    df = Counter(t for _, c in vectors for t in c)
+    out = []
+    for item, text in items:
+        scores = []
+        for i, c in vectors:
+            m = 100 - 50 + (50 * c.total() * n_docs) // n_terms
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    * ((1_000_000_000 * c[t]) // (1000 * c[t] + 20 * m)) for t in set(terms(text)) if t in c)
+            if s > 0:
+                scores.append((-s, i is None, i or 0, i))
+        out += [(item, r + 1, s[3], -s[0]) for r, s in enumerate(sorted(scores)[:k])]
+    return sorted(out, key=str)
+
+
+def corpus(seed, n):
+    rng = random.Random(seed)
+    weights = [1 / (r + 1) for r in range(len(WORDS))]
+    docs = [(i, rng.choice([" ", ", ", "\n"]).join(rng.choices(WORDS, weights, k=rng.choice([1, 3, 30, 200]))))
+            for i in range(n)]
+    docs += [(n + j, docs[5][1]) for j in range(n // 3)]  # a third are copies: ties, equal lengths
+    docs += [docs[7], docs[7], (None, docs[5][1]), (None, "w50 w51"), (9000, None), (9001, ""), (9002, "-- ..."),
+             (9003, "w1 " * 30_000 + "w50")]
+    items = [(j, " ".join(rng.choices(WORDS, k=rng.choice([2, 8, 40])))) for j in range(25)]
+    return docs, items + [(3, "w50 W50 w51"), (None, "w2"), (100, None), (101, ""), (102, "nowhere"), (103, "w1")]
+
+
+@pytest.mark.parametrize("bucket,block,long", [(4096, 400_000, 1 / 32), (7, 200, 0.5), (1, 1, 0.1)])
+def test_equals_brute_force(spark, monkeypatch, bucket, block, long):
+    """Also with tiny buckets and blocks, so that bounds, borders and several passes matter."""
+    monkeypatch.setattr(lx, "BUCKET_DOCS", bucket)
+    monkeypatch.setattr(lx, "LONG_SHARE", long)
+    docs, items = corpus(3, 150)
+    if block == 1:
+        items = items[-8:]
+    d = spark.createDataFrame([(i, t, 1, "s") for i, t in docs], "doc_id long, text string, rank int, score string")
+    q = spark.createDataFrame([(i, t, 5) for i, t in items], "item_id long, text string, doc_id long")
+    got = [tuple(r) for r in lx.ranked_search(d.repartition(5), q, k=10, block_terms=block).collect()]
+    assert sorted(got, key=str) == brute(docs, items, 10)
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a")], "item_id long, text string")
+    assert lx.ranked_search(docs.limit(0), items).collect() == []
+    assert lx.ranked_search(docs, items.limit(0)).collect() == []
+    assert lx.ranked_search(docs.selectExpr("doc_id", "'' AS text"), items).collect() == []
+
+
+def test_bucket_bounds():
+    """No row that reaches the threshold is pruned, ties with it included."""
+    rng = np.random.default_rng(5)
+    weights = rng.integers(1, 9000, 40)
+    dense = rng.integers(0, 900, (300, 40)) * (rng.random((300, 40)) < 0.2)
+    dense[:, 0] = 1
+    impacts = dense * weights
+    rows, cols = np.nonzero(impacts)
+    norms = np.sqrt((impacts * dense).sum(axis=1).astype(float))
+    bucket = lx.Bucket(np.arange(300), np.zeros(300, bool), norms, rows, cols, impacts[rows, cols], weights)
+    for _ in range(200):
+        asked = np.sort(rng.choice(40, rng.integers(1, 12), replace=False))
+        exact = impacts[:, asked].sum(axis=1)
+        least = int(np.sort(exact)[rng.integers(200, 300)])
+        found, score = bucket.reach(asked, weights, least)
+        assert found.tolist() == np.flatnonzero((exact >= least) & (exact > 0)).tolist()
+        assert score.tolist() == exact[found].tolist()
