@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.ann import nearest
 from millrace.llm.chat import PART_TURNS, render_chats
+from millrace.llm.collocations import collocations
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.language_id import held_out, predict_languages, train_dictionaries
 from millrace.llm.lexical import K as TOP, LOWER, TERM, UPPER, ranked_search
@@ -151,3 +152,28 @@ k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= {TOP}""")
 def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op11_collocations", r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM t),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+o AS (SELECT lang, unnest([w[i:i], CASE WHEN i < len(w) THEN w[i:i + 1] END, CASE WHEN i + 1 < len(w) THEN w[i:i + 2] END]) AS g
+      FROM g),
+f AS MATERIALIZED (SELECT lang, g, count(*)::HUGEINT AS f FROM o WHERE g IS NOT NULL GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+c AS (SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1 AND f >= 10),
+s AS (SELECT c.lang, c.g, c.a, c.k, x.f AS l, y.f AS r, (1000000 * c.a * c.a) // (x.f * y.f) AS score
+      FROM c JOIN f x ON x.lang = c.lang AND x.g = c.g[1:c.k] JOIN f y ON y.lang = c.lang AND y.g = c.g[c.k + 1:]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+x AS (SELECT lang, a, unnest([g[1:2], g[2:3]]) AS g FROM b WHERE len(g) = 3),
+kept AS (SELECT * FROM b WHERE NOT EXISTS (
+           SELECT 1 FROM x WHERE x.lang = b.lang AND x.g = b.g AND len(b.g) = 2 AND 100 * x.a >= 50 * b.a)),
+ranked AS (SELECT *, array_to_string(g, ' ') AS phrase FROM kept),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM best JOIN n USING (lang) WHERE rank <= 2000""")
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
