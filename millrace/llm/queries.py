@@ -9,6 +9,7 @@ from millrace.llm.ann import nearest
 from millrace.llm.chat import PART_TURNS, render_chats
 from millrace.llm.collocations import collocations
 from millrace.llm.exact_dedup import exact_dedup
+from millrace.llm.html_text import main_texts
 from millrace.llm.language_id import held_out, predict_languages, train_dictionaries
 from millrace.llm.lexical import K as TOP, LOWER, TERM, UPPER, ranked_search
 from millrace.llm.line_dedup import drop_repeated_lines
@@ -177,3 +178,8 @@ SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, sc
 FROM best JOIN n USING (lang) WHERE rank <= 2000""")
 def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations(table(spark, folder, "documents"))
+
+
+@query("op12_html_extraction")
+def op12_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return main_texts(table(spark, folder, "pages"))
