@@ -90,46 +90,3 @@ def heal_json_text(text: Column | str) -> Column:
 def trim_to_object(line: Column | str) -> Column:
     """First ``{`` to last ``}`` of a line that has both in that order, else the line as it is."""
     return F.regexp_replace(line, AROUND_OBJECT, "$1")
-
-
-STRING_TEXT = r'"(?:[^"\\]++|\\.)*+"'
-
-
-def nesting(text: Column) -> Column:
-    """How many objects and lists are open at most in a JSON text; brackets inside strings do not count."""
-    brackets = F.regexp_replace(F.regexp_replace(text, STRING_TEXT, ""), r"[^\[\]{}]", "")
-    step = F.transform(F.split(brackets, ""), lambda c: F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0))
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
-    return F.aggregate(step, start, lambda a, s: F.struct(
-        (a["now"] + s).alias("now"), F.greatest(a["most"], a["now"] + s).alias("most")))["most"]
-
-
-def json_flatten(df: DataFrame, row_id: str, text: str) -> DataFrame:
-    """One row per leaf of a JSON text: dotted ``path``, ``value`` as text and JSON ``type``.
-
-    Each pass opens one level of every object and array with the built-in VARIANT generator; one
-    aggregate over the texts tells how many passes the deepest document needs. List positions are path
-    steps, empty containers leave no row, a JSON null is a leaf.
-    """
-    spark = df.sparkSession
-    rows = once(df.select(F.col(row_id).alias("_row"), F.col(text).alias("_text")), "_v", parsed("_text")).where(
-        F.col("_v").isNotNull())
-    depth = rows.agg(F.max(nesting(F.col("_text")))).first()[0] or 0
-    level = rows.select("_row", F.lit("").alias("_path"), "_v")
-    for _ in range(depth):
-        level = spark.sql(
-            """
-            SELECT _row,
-                   CASE WHEN e.value IS NULL THEN _path
-                        WHEN _path = '' THEN coalesce(e.key, cast(e.pos AS string))
-                        ELSE concat(_path, '.', coalesce(e.key, cast(e.pos AS string))) END AS _path,
-                   coalesce(e.value, _v) AS _v
-            FROM {level}, LATERAL variant_explode_outer(_v) AS e
-            """,
-            level=level,
-        )
-    kind = F.schema_of_variant("_v")
-    leaf = ~(kind.startswith("OBJECT") | kind.startswith("ARRAY"))  # only empty containers are left beside leaves
-    return level.where(leaf).select(
-        F.col("_row").alias("row_id"), F.col("_path").alias("path"),
-        F.when(kind != "VOID", F.col("_v").cast("string")).alias("value"), kind.alias("type"))

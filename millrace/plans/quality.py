@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.jsonx import heal_json_text, json_flatten
+from millrace.functions.jsonpaths import json_flatten
+from millrace.functions.jsonx import heal_json_text
 from millrace.operators import model_outputs as mo, quality as q
 from millrace.plans.registry import EVENTS_SQL, events, query
 from millrace.sources.tables import spread, table

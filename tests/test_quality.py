@@ -2,11 +2,13 @@
 
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.jsonx import heal_json_text, json_flatten, parsed
+from millrace.functions.jsonpaths import json_flatten, leaves
+from millrace.functions.jsonx import heal_json_text, parsed
 from millrace.operators import model_outputs as mo, quality as q
 from millrace.sources import lines as ln, payloads as pay, tables as tab
 
@@ -201,7 +203,7 @@ def test_flatten(spark):
     assert got == {(1, "a.b.0"): "1", (1, "a.b.1.c"): "x", (1, "n"): None, (1, "t"): "true", (1, "f"): "1.5", (2, ""): "root"}
 
 
-@pytest.mark.parametrize("depth", [1, 14, 40])
+@pytest.mark.parametrize("depth", [1, 40, 1000, 20_000])
 def test_flatten_any_depth(spark, depth):
     """Beside a flat row, brackets in strings, and input columns named like the output."""
     deep = "[" * depth + '"{[ \\" ]"' + "]" * depth
@@ -210,6 +212,61 @@ def test_flatten_any_depth(spark, depth):
     assert got == {("r1", ".".join("0" * depth)): '{[ " ]', ("r2", "k"): "5"}
 
 
+def test_flatten_plan_has_no_levels(spark):
+    """One step over the texts, whatever they hold; nothing runs before the result is asked for."""
+    sizes = set()
+    for depth in (1, 500):
+        df = spark.createDataFrame([(1, "[" * depth + "1" + "]" * depth)], "id int, j string")
+        sizes.add(len(json_flatten(df, "id", "j")._jdf.queryExecution().executedPlan().toString().splitlines()))
+    assert len(sizes) == 1
+
+
+def walked(value, path=()):
+    if isinstance(value, dict):
+        return [x for k, v in value.items() for x in walked(v, (*path, k))]
+    if isinstance(value, list):
+        return [x for i, v in enumerate(value) for x in walked(v, (*path, str(i)))]
+    return [(".".join(path), value)]
+
+
+def test_leaves_equal_a_parser():
+    """Random documents with odd keys, escapes and blanks; and texts that lost or gained a character."""
+    rng = random.Random(11)
+
+    def value(depth):
+        kind = rng.random()
+        if depth and kind < 0.3:
+            return {rng.choice(["a", "b.c", "", 'q"', "\\", "日", "\n", "{", "k%d" % rng.randint(0, 9)]): value(depth - 1)
+                    for _ in range(rng.randint(0, 4))}
+        if depth and kind < 0.55:
+            return [value(depth - 1) for _ in range(rng.randint(0, 4))]
+        return rng.choice([None, True, False, 0, -1, 12345678901234567890, 1.5, -2e-7, "", "x", ']"[', "\u00e9\t", "}{"])
+
+    for _ in range(400):
+        doc = value(6)
+        text = json.dumps(doc, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 2]))
+        assert [(p, json.loads(t)) for p, t in leaves(text)] == walked(doc)
+        at = rng.randrange(len(text))
+        hurt = rng.choice([text[:at] + text[at + 1:], text[:at] + rng.choice('{}[],:"1 x') + text[at:], text[:at]])
+        try:
+            doc = json.loads(hurt, strict=True, parse_constant=lambda c: 1 / 0)
+        except (ValueError, ZeroDivisionError):
+            assert leaves(hurt) is None, hurt
+        else:
+            assert [(p, json.loads(t)) for p, t in leaves(hurt)] == walked(doc), hurt
+
+
+@pytest.mark.parametrize("text,found", [
+    ('{"a": 1, "b": {"c": 2}, "a": {"d": 3}}', [("b.c", "2"), ("a.d", "3")]),
+    ('{"a": {"x": 1, "y": [1, 2]}, "a": {}}', []), ('[{"a": 1, "a": 2}, 3]', [("0.a", "2"), ("1", "3")]),
+    (' "s" ', [("", '"s"')]), ("", None), ("  ", None), ("1 2", None), ("[1,]", None), ("[,1]", None), ("{,}", None), ('{"a"}', None),
+    ('{"a":}', None), ("[1 2]", None), ("01", None), ("1.", None), ("NaN", None), ("'a'", None), ("]", None), ("[}", None),
+    ('{"a":1', None), ("9" * 1001, None), ('"\x01"', None), ("truex", None), ("[[]]", []), ("{}", []), (":", None),
+])
+def test_leaves(text, found):
+    assert leaves(text) == found
+
+
 def test_scans(spark, rows, tmp_path):
     path = str(tmp_path / "in")
     lines(spark, ['{"log": "[ERROR] a"}', "", '{"log": "fine"}', '{"log": "b", "t": "ERROR"}', '{"x": "ERROR"}',
