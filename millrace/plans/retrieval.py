@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
 from millrace.functions.vectors import cosine
-from millrace.operators import chunking as ch, search as se
+from millrace.operators import chunking as ch, search as se, segmentation as sg
+from millrace.operators.postings import PostingIndex
 from millrace.operators.relational import checked_broadcast
 from millrace.operators.versioned import upsert_by_key
 from millrace.plans.registry import query
@@ -328,3 +329,46 @@ def rag_build(spark, d):
     return built_by.join(again, "meeting_name").select(
         "meeting_name", "speeches", (F.col("_m") - F.col("_n")).alias("added_by_rerun"),
         (F.col("_longest") <= ch.RECURSIVE_SIZE).alias("within_size"))
+
+
+COMPOUND = 8  # words longer than this are cut
+
+
+@query("segment_words", rf"""
+WITH RECURSIVE w AS (SELECT unnest(regexp_extract_all(lower(text), '{tx.WORD}')) AS w FROM documents),
+c AS (SELECT w, count(*) AS n FROM w WHERE length(w) <= {COMPOUND} GROUP BY w HAVING count(*) >= 10
+      ORDER BY count(*) * length(w) DESC, w LIMIT {sg.SIZE}),
+m AS (SELECT w, CAST(floor({sg.SCALE} * ln(t / n)) AS BIGINT) AS cost FROM c, (SELECT CAST(sum(n) AS DOUBLE) AS t FROM c)),
+r AS (SELECT DISTINCT w AS run FROM w WHERE length(w) > {COMPOUND}),
+ends AS (SELECT run, unnest(range(1, length(run) + 1)) AS e FROM r),
+parts AS (SELECT run, e, unnest(range(1, least({COMPOUND}, e) + 1)) AS k FROM ends),
+priced AS (SELECT run, e, k, coalesce(cost, CASE WHEN k = 1 THEN (SELECT max(cost) + {10 * sg.SCALE} FROM m) END) AS cost
+           FROM parts LEFT JOIN m ON m.w = substr(run, e - k + 1, k)),
+step AS (SELECT run, e, list({{'k': k, 'cost': cost}}) AS options FROM priced WHERE cost IS NOT NULL GROUP BY run, e),
+path AS (SELECT run, 0::BIGINT AS e, [{{'cost': 0::BIGINT, 'words': 0::BIGINT, 'size': 0::BIGINT, 'path': ''}}] AS best FROM r
+  UNION ALL
+  SELECT p.run, p.e + 1, list_prepend(list_sort(list_transform(options, lambda o: {{
+      'cost': p.best[o.k].cost + o.cost, 'words': p.best[o.k].words + 1, 'size': -o.k,
+      'path': p.best[o.k].path || ' ' || substr(p.run, p.e + 2 - o.k, o.k)}}))[1], p.best)[1:{COMPOUND}]
+  FROM path p JOIN step s ON s.run = p.run AND s.e = p.e + 1)
+SELECT run, best[1].path[2:] AS words, best[1].cost AS cost FROM path WHERE e = length(run)""")
+def segment_words(spark, d):
+    """Long words cut along the cheapest path of shorter ones, whose costs are their rarity in the corpus."""
+    words = _documents(spark, d).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(tx.WORD), 0)).alias("word"))
+    counted = stage_table(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
+    short = counted.where((F.length("word") <= COMPOUND) & (F.col("n") >= 10)).orderBy(
+        (F.col("n") * F.length("word")).desc(), "word").limit(sg.SIZE)
+    model = sg.WordModel.of_counts({r["word"]: r["n"] for r in short.toLocalIterator()})
+    runs = counted.where(F.length("word") > COMPOUND).select(F.col("word").alias("run"))
+    return sg.cut_runs(runs, "run", model).select("run", F.array_join("words", " ").alias("words"), "cost")
+
+
+@query("bm25_stored", f"""WITH {bm25_sql(10)}
+SELECT item_id, doc_id, round(score, 6) AS score, rank FROM by_word""")
+def bm25_stored(spark, d):
+    """The full keyword search from an index that is built once; the questions are asked in two calls."""
+    docs = _documents(spark, d).select("doc_id", tx.tokens("text").alias("tokens"))
+    index = PostingIndex.build(docs, "doc_id", "tokens", scratch_dir(spark, "index"))
+    asked = _asked(spark, d)
+    halves = [index.search(asked.where(F.col("item_id") % 2 == i), "item_id", "terms", 10, "doc_id") for i in (0, 1)]
+    return _ranked(halves[0].union(halves[1]))

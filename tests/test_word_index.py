@@ -1,0 +1,145 @@
+"""Words of unspaced scripts, and the stored word index against the full search."""
+
+import itertools
+import random
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import segmentation as sg
+from millrace.operators.chunking import build_chunks, hashed_bag_encoder
+from millrace.operators.postings import PostingIndex
+from millrace.operators.search import bm25_search
+
+NOUNS = ["国会", "予算", "委員会", "経済", "政策", "大臣", "質問", "子育て", "人口", "法律", "改革", "医療"]
+PARTICLES = ["は", "の", "を", "が", "に", "と"]
+VERBS = ["説明します", "議論します", "検討する", "決めました"]
+
+
+def sentences(n, seed):
+    rng = random.Random(seed)
+    for _ in range(n):
+        words = []
+        for _ in range(rng.randint(1, 3)):
+            words += [rng.choice(NOUNS), rng.choice(PARTICLES)]
+        yield [*words, rng.choice(VERBS)]
+
+
+def best_by_hand(model, run):
+    """All ways to cut a run."""
+    options = []
+    for cuts in itertools.product([0, 1], repeat=len(run) - 1):
+        ends = [i + 1 for i, c in enumerate(cuts) if c] + [len(run)]
+        words = [run[a:b] for a, b in zip([0, *ends], ends)]
+        costs = [model.costs.get(w, model.unknown if len(w) == 1 else None) for w in words]
+        if None not in costs:
+            options.append((sum(costs), len(words), [-len(w) for w in words[::-1]], words))
+    return min(options)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_cheapest_path(seed):
+    rng = random.Random(seed)
+    model = sg.WordModel({"".join(rng.choices("abc", k=rng.randint(1, 4))): rng.randint(1, 6) for _ in range(25)}, 9)
+    for _ in range(60):
+        run = "".join(rng.choices("abcd", k=rng.randint(1, 11)))
+        cost, _, _, words = best_by_hand(model, run)
+        assert model.cut(run) == (words, cost)
+    assert model.cut("") == ([], 0) and sg.WordModel({}, 5).cut("xy") == (["x", "y"], 10)
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    texts = spark.createDataFrame([("。".join("".join(s) for s in sentences(4, i)) + "。 The OECD 2024 report",)
+                                   for i in range(300)], "t string").repartition(5)
+    return sg.learn_words(sg.unspaced_runs(texts, "t"))
+
+
+def test_learned_words(spark, learned, tmp_path):
+    """Most boundaries of unseen sentences are found; a model is the same after storing."""
+    right = total = 0
+    for words in sentences(200, 999):
+        found = learned.cut("".join(words))[0]
+        ends = lambda ws: set(itertools.accumulate(map(len, ws)))
+        right, total = right + len(ends(words) & ends(found)), total + len(ends(words) | ends(found))
+    assert right / total > 0.8
+    learned.write(spark, f"{tmp_path}/model")
+    again = sg.WordModel.read(spark, f"{tmp_path}/model")
+    assert (again.costs, again.unknown, again.longest) == (learned.costs, learned.unknown, learned.longest)
+
+
+def test_model_does_not_depend_on_partitions(spark):
+    texts = spark.createDataFrame([("".join(s),) for s in sentences(60, 5)], "t string")
+    models = [sg.learn_words(sg.unspaced_runs(texts.repartition(n), "t")).costs for n in (1, 7)]
+    assert models[0] == models[1] and sg.learn_words(sg.unspaced_runs(texts.limit(0), "t")).costs == {}
+
+
+def test_mixed_texts(spark, learned):
+    rows = [(1, "国会の予算 and the OECD予算2024"), (2, "No run at all"), (3, None), (4, ""), (5, "鱻鱻")]
+    df = spark.createDataFrame(rows, "id int, t string").select("id", sg.segmented_tokens(spark, "t", learned).alias("w"))
+    got = {r["id"]: r["w"] for r in df.collect()}
+    assert got[1][-3:] == ["oecd", "予算", "2024"] and "予算" in got[1][:4] and "the" not in got[1]
+    assert got[2] == ["no", "run", "all"] and got[3] is None and got[4] == [] and got[5] == ["鱻", "鱻"]
+
+
+def test_inner_words_are_found(spark, learned):
+    """A question for a word finds the sentences that hold it; whole sentences as tokens do not."""
+    speeches = spark.createDataFrame(
+        [("M1", f"M1-{i}", "s", "2026-03-12", "n", "".join(words) + "。") for i, words in enumerate(sentences(60, 3))],
+        "issue_id string, speech_id string, speaker string, date string, name_of_meeting string, speech string")
+    chunks = build_chunks(speeches, hashed_bag_encoder(8), words=learned).select(
+        "chunk_id", "content", F.split("content_tokenized", " ").alias("tokens")).cache()
+    asked = spark.createDataFrame([(1, "医療")], "q int, t string").select(
+        "q", sg.segmented_tokens(spark, "t", learned).alias("terms"))
+    hits = bm25_search(chunks, asked, "chunk_id", "tokens", "q", "terms", 100)
+    found = {r["chunk_id"] for r in hits.collect()}
+    wanted = {r["chunk_id"] for r in chunks.where(F.col("content").contains("医療")).collect()}
+    assert wanted and len(found & wanted) >= 0.9 * len(wanted) and found <= wanted
+    plain = build_chunks(speeches, hashed_bag_encoder(8)).select("chunk_id", F.split("content_tokenized", " ").alias("tokens"))
+    assert bm25_search(plain, asked, "chunk_id", "tokens", "q", "terms", 100).count() < len(wanted)
+
+
+def corpus(spark, n, seed):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(120)]
+    weights = [1 / (i + 1) for i in range(120)]
+    rows = [(i, rng.choices(words, weights, k=rng.choice([1, 4, 40]))) for i in range(n)]
+    rows += [(n + i, rows[3][1]) for i in range(n // 3)] + [(2 * n, []), (2 * n + 1, None), (2 * n + 2, ["w0"] * 5000 + ["w119"])]
+    asked = [(i, rng.choices(words, k=rng.randint(1, 6))) for i in range(12)] + [(90, ["nowhere"]), (91, []), (92, ["w0"]), (93, None)]
+    return (spark.createDataFrame(rows, "doc long, words array<string>").repartition(4),
+            spark.createDataFrame(asked, "q int, terms array<string>"))
+
+
+@pytest.mark.parametrize("block_rows,k", [(1024, 10), (3, 5), (1, 3), (7, 10_000)])
+def test_index_equals_full_search(spark, tmp_path, block_rows, k):
+    docs, asked = corpus(spark, 400, 1)
+    index = PostingIndex.build(docs, "doc", "words", f"{tmp_path}/i", buckets=4, block_rows=block_rows)
+    full = bm25_search(docs.withColumn("words", F.coalesce("words", F.array().cast("array<string>"))), asked.where(
+        "terms IS NOT NULL"), "doc", "words", "q", "terms", k)
+    got = PostingIndex(spark, f"{tmp_path}/i").search(asked, "q", "terms", k, "doc")
+    assert sorted(map(tuple, got.select("q", "doc", "score", "rank").collect())) == sorted(
+        map(tuple, full.select("q", "doc", "score", "rank").collect()))
+    assert index.n_docs == 400 + 133 + 3
+
+
+def test_blocks_and_buckets_are_skipped(spark, tmp_path):
+    """One question reads the buckets of its words; blocks that cannot hold a hit are left out."""
+    docs, _ = corpus(spark, 600, 2)
+    index = PostingIndex.build(docs, "doc", "words", f"{tmp_path}/i", buckets=16, block_rows=20)
+    asked = spark.createDataFrame([(1, ["w0", "w90"])], "q int, terms array<string>")
+    found = index.search(asked, "q", "terms", 5, "doc")
+    assert found.count() == 5
+    for name in ("heads", "tails"):
+        told = index.found(name, index.weights(asked, "q", "terms"), 2)
+        assert {r[0] for r in told.select("term").distinct().collect()} <= {"w0", "w90"}
+        assert "PartitionFilters: [bucket" in told._jdf.queryExecution().executedPlan().toString()
+    assert len(list(Path(f"{tmp_path}/i/heads").glob("bucket=*"))) > 2
+    assert index.table("tails").where("term = 'w0'").count() > 5
+
+
+def test_empty_index(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc string, words array<string>")
+    index = PostingIndex.build(docs, "doc", "words", f"{tmp_path}/i")
+    asked = spark.createDataFrame([(1, ["a"])], "q int, terms array<string>")
+    assert index.search(asked, "q", "terms", 5, "doc").collect() == []
