@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from millrace.llm.sampling import in_sample
 from millrace.session import stage_table
 
 FIT_ROWS = 20_000
@@ -74,7 +75,7 @@ def fit(vectors: DataFrame, rows: int, k: int, seed: int = 11) -> Fit:
     dims = len(first["vector"]) if first else 1
     want = max(1, min(FIT_ROWS, FIT_BYTES // (8 * dims)))
     share = min(1.0, want / max(rows, 1))
-    sample = vectors.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000)).orderBy("id").collect()
+    sample = vectors.where(in_sample(F.xxhash64("id"), share)).orderBy("id").collect()
     x = np.array([r["vector"] for r in sample] or [[0.0] * dims])
     rng = np.random.default_rng(seed)
     lists = max(1, min(MAX_LISTS, round(rows ** 0.5), len(x) // 4))

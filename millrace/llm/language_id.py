@@ -20,6 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 SAMPLE_DOCS = 64
+FILL = 4  # times SAMPLE_DOCS, where texts are too short to fill a dictionary
 DICTIONARY_BYTES = 65_536
 BLOCK_BYTES = 2_048
 SHORT_BYTES = 256
@@ -46,15 +47,18 @@ def train_dictionaries(docs: DataFrame, sample_docs: int = SAMPLE_DOCS,
     """Dictionary content per language from the rows of ``docs`` outside the held-out fold.
 
     The rows are ranked by a hash of the id within their language, so the sample does not depend on the
-    layout of the table. Of a long text only a share enters the dictionary.
+    layout of the table. A long text gives a slice at a place that the hash chooses, so what texts begin with alike
+    does not fill the dictionary; where ``sample_docs`` short texts leave it unfilled, up to ``FILL`` times as many are taken.
     """
     share = max(1, dictionary_bytes // sample_docs)
+    places = F.greatest(F.lit(1), F.length("text") - share + 1)
     rows = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.rlike(
         F.coalesce("text", F.lit("")), F.lit(r"\p{L}")))
     rows = rows.select("lang", F.xxhash64("doc_id", F.lit("dictionary")).alias("h"), "doc_id",
-                       F.substring("text", 1, share).alias("piece"))
+                       F.substring("text", F.pmod(F.xxhash64("doc_id", F.lit("slice")), places).cast("int") + 1,
+                                   F.lit(share)).alias("piece"))
     nth = F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id", "piece"))
-    picked = rows.withColumn("nth", nth).where(F.col("nth") <= sample_docs)
+    picked = rows.withColumn("nth", nth).where(F.col("nth") <= FILL * sample_docs)
     out: dict[str, list[bytes]] = {}
     for r in sorted(picked.select("lang", "nth", "piece").collect()):
         out.setdefault(r["lang"], []).append(letters(r["piece"]).encode())

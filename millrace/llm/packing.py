@@ -76,12 +76,19 @@ def fast_encoder(path: str):
     return tiktoken.Encoding("file", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
+def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Places ``start .. start + length`` of each range, one after the other."""
+    before = np.cumsum(length) - length
+    return np.repeat(start - before, length) + np.arange(int(length.sum()))
+
+
 class TokenIds:
     """Token ids of texts, with a cache of pieces between blanks.
 
     A blank alone between two other characters always starts a token, so the ids of a text are those of its
     pieces, each with the blank before it. Pieces are found, hashed (64 bits) and looked up as arrays;
-    only pieces not seen before are encoded.
+    only pieces not seen before are encoded. Every piece is compared with the bytes that its hash stands for; one that
+    only shares the hash is looked up by its bytes.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -98,6 +105,8 @@ class TokenIds:
         # piece 0 is the end of a document
         self.pool, self.at, self.size = [np.array([self.end_id], "<u4")], np.array([0]), np.array([1])
         self.held = 1
+        self.bytes, self.byte_at, self.byte_size = np.zeros(0, np.uint8), np.array([0]), np.array([0])
+        self.odd: dict[bytes, int] = {}  # pieces whose hash stands for another one
 
     def _grow(self, n: int) -> None:
         """Powers of the hash base and of its inverse."""
@@ -142,6 +151,10 @@ class TokenIds:
             if len(at):
                 ids, sizes = encode(data, start[at], stop[at])
                 numbers[at] = np.arange(len(self.at), len(self.at) + len(at))
+                length = stop[at] - start[at]
+                self.byte_at = np.concatenate([self.byte_at, len(self.bytes) + np.cumsum(length) - length])
+                self.byte_size = np.concatenate([self.byte_size, length])
+                self.bytes = np.concatenate([self.bytes, data[_ranges(start[at], length)]])
                 self.at = np.concatenate([self.at, self.held + np.cumsum(sizes) - sizes])
                 self.size = np.concatenate([self.size, sizes])
                 self.pool.append(ids)
@@ -149,6 +162,20 @@ class TokenIds:
         self.pool = [np.concatenate(self.pool)]
         return numbers
 
+    def _settle(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """The numbers of the pieces of ``data``, those corrected whose bytes are not the ones their hash stands for."""
+        length = stop - start
+        wrong = self.byte_size[numbers] != length
+        size = np.where(wrong, 0, length)
+        differ = np.flatnonzero(self.bytes[_ranges(self.byte_at[numbers], size)] != data[_ranges(start, size)])
+        wrong[np.searchsorted(np.cumsum(size), differ, side="right")] = True
+        for i in np.flatnonzero(wrong):
+            piece = data[start[i]:stop[i]].tobytes()
+            if piece not in self.odd:
+                self.odd[piece] = int(self._learn(data, start[i:i + 1], stop[i:i + 1])[0])
+            numbers[i] = self.odd[piece]
+        return numbers
+
     def _cuts(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Positions of blanks that stand alone between two other characters of one text."""
         at = np.flatnonzero(data == 32)
@@ -190,7 +217,8 @@ class TokenIds:
         piece = np.zeros(len(start) + len(texts), np.int64)
         is_end = np.zeros(len(piece), bool)
         is_end[np.cumsum(per_text + 1) - 1] = True
-        piece[~is_end] = self.numbers[place][inverse] if len(start) else []
+        if len(start):
+            piece[~is_end] = self._settle(data, start, stop, self.numbers[place][inverse])
         length = self.size[piece]
         before = np.cumsum(length) - length
         ids = self.pool[0][np.repeat(self.at[piece] - before, length) + np.arange(int(length.sum()))]
@@ -201,7 +229,7 @@ class TokenIds:
 
 
 class Shard:
-    """BM25 over the token ids of at most ``SHARD_DOCS`` documents."""
+    """An inverted BM25 index over the token ids of at most ``SHARD_DOCS`` documents."""
 
     def __init__(self, docs: list[np.ndarray]):
         n = self.n = len(docs)
@@ -211,45 +239,38 @@ class Shard:
         term, self.doc = keys // n, (keys % n).astype(np.int32)
         first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
         df = np.diff(np.r_[first, len(term)])
-        self.first, self.df = first, df
+        self.df = df
         self.term = np.repeat(np.arange(len(first)), df).astype(np.int32)  # terms renumbered by id
         idf = np.log1p((n - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * sizes / sizes.mean())
         self.weight = (idf[self.term] * tf * (K1 + 1) / (tf + norm[self.doc])).astype(np.float32)
-        # Entries by document and term; words no other document has cannot find one.
+        # The terms of each document, for when it is a seed; words no other document has cannot find one.
         useful = np.flatnonzero(df[self.term] > 1)
         order = useful[np.argsort(self.doc[useful], kind="stable")]
         self.forward = self.term[order]
         self.begin = np.searchsorted(self.doc[order], np.arange(n + 1))
         self.unused = np.ones(n, bool)
-        self.asked = np.zeros(len(first), np.float32)  # 1 at the terms of the seed
-        self.live, self.live_weight = np.arange(n), self.weight[order]
-        self._keep(np.diff(self.begin) > 0, self.forward.astype(np.intp), np.diff(self.begin))
+        self.listed = n  # documents that the postings still hold
+        self._keep(df[self.term] > 1)
 
-    def _keep(self, keep: np.ndarray, terms: np.ndarray, sizes: np.ndarray) -> None:
-        """Leave the documents ``keep`` of those in ``live``, which have ``sizes`` of ``terms``."""
-        entries = np.repeat(keep, sizes)
-        self.live, self.live_sizes = self.live[keep], sizes[keep]
-        self.live_terms, self.live_weight = terms[entries], self.live_weight[entries]
-        self.live_begin = np.cumsum(self.live_sizes) - self.live_sizes
+    def _keep(self, entries: np.ndarray) -> None:
+        """Leave these entries in the postings, which are ordered by term."""
+        self.term, self.doc, self.weight = self.term[entries], self.doc[entries], self.weight[entries]
+        self.first = np.searchsorted(self.term, np.arange(len(self.df) + 1))
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """Unused documents by falling score of all terms of the seed; only those that share a term."""
-        left = self.unused[self.live]
-        if 4 * np.count_nonzero(left) < 3 * len(left):
-            self._keep(left, self.live_terms, self.live_sizes)
-        if not len(self.live):
-            return self.live
+        """Unused documents by falling score of all terms of the seed, ties by place; only those that share a term."""
+        left = np.count_nonzero(self.unused)
+        if 4 * left < 3 * self.listed:
+            self._keep(self.unused[self.doc])
+            self.listed = left
         terms = self.forward[self.begin[seed]:self.begin[seed + 1]]
-        self.asked[terms] = 1
-        found = self.asked.take(self.live_terms, mode="clip")
-        found *= self.live_weight
-        scores = np.add.reduceat(found, self.live_begin)
-        self.asked[terms] = 0
-        scores[~self.unused[self.live]] = 0
-        best = np.argpartition(-scores, NEIGHBOURS)[:NEIGHBOURS] if len(scores) > NEIGHBOURS else np.arange(len(scores))
+        entries = _ranges(self.first[terms], self.first[terms + 1] - self.first[terms])
+        scores = np.bincount(self.doc[entries], self.weight[entries], self.n)
+        scores[~self.unused] = 0
+        best = np.argpartition(-scores, NEIGHBOURS)[:NEIGHBOURS] if self.n > NEIGHBOURS else np.arange(self.n)
         best = best[scores[best] > 0]
-        return self.live[best[np.lexsort((best, -scores[best]))]]
+        return best[np.lexsort((best, -scores[best]))]
 
 
 class Packer:

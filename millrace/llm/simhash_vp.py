@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.llm.components import connected_components
+from millrace.llm.sampling import in_sample
 from millrace.session import stage_table
 
 RADIUS = 2
@@ -162,7 +163,7 @@ def linked_fingerprints(distinct: DataFrame, radius: int = RADIUS, leaf_rows: in
     rows = distinct.count()
     # The sample (at most about sample_rows fingerprints) only shapes the tree; every fingerprint is dealt.
     share = min(1.0, sample_rows / max(rows, 1))
-    sample = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(1_000_000)) < int(share * 1_000_000)).toPandas()["fp"]
+    sample = distinct.where(in_sample(F.xxhash64("fp"), share)).toPandas()["fp"]
     tree = build_tree(sample.to_numpy(np.int64).view(np.uint64), min(-(-rows // leaf_rows), max(1, len(sample) // 16)))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

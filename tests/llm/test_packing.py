@@ -37,6 +37,50 @@ def test_token_ids(fast):
         assert [g.tolist() for g in got] == want[at:at + 500]
 
 
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1, 512, 1024, 4096])
+def test_pieces_that_share_a_hash(n):
+    """Words whose polynomial hashes are equal keep their own ids, in one call and across calls."""
+    word = thue_morse(n)
+    other = word.translate(str.maketrans("ab", "ba"))
+    texts = [f"{word} {other} x", other, f"y {other}", word, f"{other}, {word}"]
+    want = plain_ids(texts)
+    encode = TokenIds(PATH, 1)
+    assert [g.tolist() for g in encode(pa.array(texts))] == want
+    assert [encode(pa.array([t]))[0].tolist() for t in texts[::-1]] == want[::-1]
+    alone = TokenIds(PATH, 1)
+    assert [alone(pa.array([t]))[0].tolist() for t in texts] == want
+
+
+def test_random_collisions(monkeypatch):
+    """A hash base that makes most pieces collide."""
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcé,", k=rng.randint(1, 6))) for _ in range(rng.randint(0, 30)))
+             for _ in range(300)]
+    encode = TokenIds(PATH, 1)
+
+    def weak(n):
+        encode.powers = encode.inverse = np.ones(n, np.uint64)
+    encode._grow = weak
+    weak(1 << 20)
+    for at in range(0, 300, 50):
+        assert [g.tolist() for g in encode(pa.array(texts[at:at + 50]))] == plain_ids(texts[at:at + 50])
+    assert len(encode.odd) > 100
+
+
+def test_seeds_read_the_postings_of_their_terms():
+    """A document without a common term costs nothing; used documents leave the postings."""
+    shard = Shard([np.array([1, 2, 3]), np.array([3, 4]), np.array([50, 51]), np.array([50, 60])])
+    entries = shard.first[1:] - shard.first[:-1]
+    assert sorted(entries[entries > 0].tolist()) == [2, 2]  # terms 3 and 50; no other can find a neighbour
+    shard.unused[:2] = False
+    assert shard.neighbours(0).tolist() == [] and shard.neighbours(2).tolist() == [2, 3]
+    assert len(shard.doc) == 2
+
+
 def test_other_tokenizer_files_have_no_fast_path(tmp_path):
     spec = json.load(open(PATH))
     assert fast_encoder(PATH)

@@ -311,3 +311,24 @@ def test_isotonic():
 def test_statistics():
     assert not statistics(None).any() and not statistics(b"").any()
     assert np.isfinite(statistics(b" \n ")).all() and np.isfinite(statistics("é|A9!".encode())).all()
+
+
+def test_sample_shares(spark):
+    """Also shares far below a millionth choose rows; a share of one chooses all."""
+    from millrace.llm.sampling import in_sample
+    keys = spark.range(200_000).select(F.xxhash64("id").alias("h"))
+    assert keys.where(in_sample(F.col("h"), 1.0)).count() == 200_000
+    assert 300 < keys.where(in_sample(F.col("h"), 0.002)).count() < 500
+    tiny = spark.range(1).select(in_sample(F.lit(5).cast("long"), 1e-12).alias("a"), in_sample(
+        F.lit(1 << 40).cast("long"), 1e-12).alias("b")).first()
+    assert tuple(tiny) == (True, False)
+
+
+def test_dictionaries_do_not_see_shared_heads(spark):
+    """Texts that begin alike fill the dictionary with what follows, and short texts with more texts."""
+    from millrace.llm import language_id as li
+    rows = [(i, "same licence head " * 100 + f"word{i} " * 400, "en") for i in range(90)]
+    rows += [(1000 + i, f"kurz{i} wort", "de") for i in range(600)]
+    body = li.train_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert body["en"].count(b"licence") * len("same licence head ") < 0.6 * len(body["en"])
+    assert body["de"].count(b"kurz") == li.FILL * li.SAMPLE_DOCS
