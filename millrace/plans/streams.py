@@ -10,7 +10,7 @@ from millrace.plans.quality import TX_SQL, _answers, obj, pick, quoted
 from millrace.plans.registry import DELAY_SQL, EVENTS_SQL, delayed, events, query
 from millrace.session import scratch_dir
 from millrace.sources.tables import table
-from millrace.streaming import sinks, stateful, windows as win
+from millrace.streaming import keyed, sinks, stateful, windows as win
 
 # Fixed arrival bounds of the slices: 2024-01-11 and 2024-01-21, in microseconds.
 BOUNDS = (1704931200000000, 1705795200000000)
@@ -114,11 +114,9 @@ FROM n GROUP BY user_id, session_no""")
 def stream_sessionize(spark, d):
     """Closed sessions of every batch, and the open ones as the flush at the end."""
     folder, out = scratch_dir(spark, "stream-in"), scratch_dir(spark, "stream-out")
-    step = stateful.session_step("user_id", "sec", ["arrival", "event_id"], 21600)
-    parts = slices(_arriving(spark, d))
-    win.feed(parts, folder, lambda: stateful.run_stateful(win.json_stream(spark, folder, ARRIVING), step, out))
-    closed = spark.read.parquet(f"{out}/out").drop("batch")
-    return closed.unionByName(spark.read.parquet(f"{out}/state/{len(parts) - 1}"))
+    win.feed(slices(_arriving(spark, d)), folder, lambda: keyed.run_sessions(
+        win.json_stream(spark, folder, ARRIVING), "user_id", "sec", ["arrival", "event_id"], 21600, out))
+    return spark.read.parquet(f"{out}/out").unionByName(keyed.open_sessions(spark, out, "user_id"))
 
 
 @query("stream_merge_late", f"""WITH {SLICED_SQL},
@@ -148,14 +146,9 @@ c AS (SELECT *, count(*) OVER (PARTITION BY user_id ORDER BY sec RANGE BETWEEN 8
 SELECT event_id, user_id, sec, CAST(window_count AS BIGINT) AS window_count FROM c WHERE window_count >= 3""")
 def stream_error_alert(spark, d):
     folder, out = scratch_dir(spark, "stream-in"), scratch_dir(spark, "stream-out")
-    step = stateful.alert_step("user_id", "sec", "event_id", 86400)
-
-    def run():
-        s = win.json_stream(spark, folder, ARRIVING)
-        stateful.run_stateful(s.where(F.col("event_type") == "error").select("user_id", "sec", "event_id"), step, out)
-
-    win.feed(slices(_arriving(spark, d), by="us"), folder, run)
-    return spark.read.parquet(f"{out}/out").drop("batch")
+    win.feed(slices(_arriving(spark, d), by="us"), folder, lambda: keyed.run_alerts(
+        win.json_stream(spark, folder, ARRIVING).where(F.col("event_type") == "error"), "user_id", "sec", "event_id", 86400, out))
+    return spark.read.parquet(f"{out}/out")
 
 
 @query("micro_batch_sink", f"""WITH {TX_SQL},

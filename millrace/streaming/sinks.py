@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.jsonx import trim_to_object
 from millrace.operators.model_outputs import streamed_transaction
@@ -28,11 +29,12 @@ def model_lines(lines: DataFrame) -> DataFrame:
 
 
 def split_sink(stream: DataFrame, check: Callable[[DataFrame], DataFrame], path: str, batch_rows: int | None = None,
-               checkpoint: str | None = None, wait: float | None = None) -> None:
+               checkpoint: str | None = None, wait: float | None = None, every: str | None = None) -> StreamingQuery:
     """Write rows without violations to ``ok`` and the others to ``dlq``, each batch under its number.
 
     ``batch_rows`` bounds the rows per file. The checked batch is stored once and both outputs are
-    read from it; running a batch again overwrites what it wrote.
+    read from it; running a batch again overwrites what it wrote. With ``every`` the stream goes on and rows wait for
+    that interval at most: a flush takes what has arrived, in files that are full and one that is not.
     """
     def handle(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
@@ -46,10 +48,12 @@ def split_sink(stream: DataFrame, check: Callable[[DataFrame], DataFrame], path:
             writer.parquet(f"{path}/{name}/batch={batch}")
 
     query = stream.writeStream.foreachBatch(handle).option(
-        "checkpointLocation", checkpoint or f"{path}/checkpoint").trigger(availableNow=True).start()
-    finish(query, wait)
+        "checkpointLocation", checkpoint or f"{path}/checkpoint").trigger(
+        **({"processingTime": every} if every else {"availableNow": True})).start()
+    return query if every else finish(query, wait)
 
 
-def micro_batch_sink(stream: DataFrame, path: str, batch_rows: int = BATCH_ROWS) -> None:
-    """Model output lines to files of at most ``batch_rows`` validated rows; failures go to ``dlq``."""
-    split_sink(stream, model_lines, path, batch_rows)
+def micro_batch_sink(stream: DataFrame, path: str, batch_rows: int = BATCH_ROWS, every: str | None = None) -> StreamingQuery:
+    """Model output lines to files of at most ``batch_rows`` validated rows, after ``every`` interval at the latest;
+    failures go to ``dlq``."""
+    return split_sink(stream, model_lines, path, batch_rows, every=every)
