@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.operators.chains import follow
 from millrace.operators.running import hinted
 from millrace.session import scratch_dir, stage_table
 
+BUCKETS = 64
+
 
 class CycleError(ValueError):
     """The graph has a cycle; ``residual`` holds the nodes that could not be placed."""
@@ -16,39 +19,79 @@ class CycleError(ValueError):
         self.residual = residual
 
 
-def _count(stored: DataFrame) -> int:
-    """Rows of a stored table, from its footers."""
-    return stored.select().count()
+def _raise_cycle(residual: DataFrame) -> None:
+    raise CycleError(residual, sorted({str(r[0]) for r in residual.limit(10).collect()}))
+
+
+def _bucket(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int")
 
 
 def topo_levels(edges: DataFrame, nodes: DataFrame | None = None, node: str = "node",
                 parent: str = "parent") -> DataFrame:
     """Level of every node: 0 without parents, else one above its highest parent.
 
-    Any order by level is a build order. Parents that were never declared count as nodes. Every
-    round drops the edges that lead to nodes just placed and places the nodes left without any, so a
-    round works on the edges that remain; both are tables, and lineage never spans two rounds.
+    Any order by level is a build order. Parents that were never declared count as nodes. A node with one parent lies
+    at a fixed distance below the nearest node above it that has none or several (its anchor), which pointer
+    doubling finds for all of them; so a chain of any length costs the logarithm of it. What remains are nodes with
+    several parents: they wait with a count of missing parents, and a round goes from the anchors just placed
+    along their edges, which are stored once in buckets of the anchor. A round reads the buckets of its frontier
+    and writes the nodes that it touched; lineage never spans two rounds.
     """
     spark = edges.sparkSession
-    links = stage_table(edges.where(F.col(parent).isNotNull()).select(node, parent).distinct(), "links")
-    every = edges.select(node).union(links.select(F.col(parent).alias(node)))
+    kind = edges.schema[node].dataType.simpleString()
+    links = stage_table(edges.where(F.col(parent).isNotNull()).select(
+        F.col(node).alias("node"), F.col(parent).alias("parent")).distinct(), "links")
+    every = edges.select(F.col(node).alias("node")).union(links.select("parent"))
     if nodes is not None:
         every = every.union(nodes.select(node))
-    path, level = scratch_dir(spark, "levels"), 0
-    schema = f"{node} {every.schema[node].dataType.simpleString()}"
-    every.distinct().join(links.select(node).distinct(), node, "left_anti").write.parquet(f"{path}/level=0")
-    placed = spark.read.schema(schema).parquet(f"{path}/level=0")
-    waiting, ready = _count(links), _count(placed)
+    every = stage_table(every.distinct(), "nodes")
+    parents = stage_table(links.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("parent").alias("up")), "parents")
+
+    below = stage_table(follow(parents.where("n = 1"), "node", "up"), "anchors")
+    lost = below.where(F.col("head").isNull()).select("node")
+    if lost.limit(1).count():
+        _raise_cycle(lost.withColumnRenamed("node", node))
+
+    # Edges between anchors: a parent is an anchor itself or hangs below one.
+    several = parents.where("n > 1").select("node", "n")
+    up = links.join(several.select("node"), "node", "left_semi").join(
+        below.select(F.col("node").alias("parent"), "head", "distance"), "parent", "left").select(
+        F.coalesce("head", "parent").alias("anchor"), "node", (F.coalesce("distance", F.lit(0)) + 1).alias("weight"))
+    path = scratch_dir(spark, "anchor-edges")
+    up.groupBy("anchor", "node").agg(F.max("weight").alias("weight"), F.count(F.lit(1)).alias("n")).select(
+        "*", _bucket("anchor").alias("bucket")).repartition("bucket").write.partitionBy("bucket").parquet(path)
+    stored = spark.read.schema(f"anchor {kind}, node {kind}, weight long, n long, bucket int").parquet(path)
+
+    placed = scratch_dir(spark, "levels")
+    roots = every.join(parents.select("node"), "node", "left_anti")
+    roots.select("node", F.lit(0).cast("long").alias("level")).write.parquet(f"{placed}/round=0")
+    schema, turn, waiting = f"node {kind}, level long", 0, several.count()
+    frontier = spark.read.schema(schema).parquet(f"{placed}/round=0")
+    partial = spark.createDataFrame([], f"node {kind}, missing long, level long")
     while waiting:
-        small = hinted(placed.select(F.col(node).alias("_p")), ready)
-        rest = stage_table(links.join(small, F.col(parent) == F.col("_p"), "left_anti"), "links")
-        # A node that waited and waits no more has all its parents placed.
-        level += 1
-        links.select(node).distinct().join(rest.select(node).distinct(), node, "left_anti").write.parquet(
-            f"{path}/level={level}")
-        placed = spark.read.schema(schema).parquet(f"{path}/level={level}")
-        left, ready = _count(rest), _count(placed)
-        if left == waiting:
-            raise CycleError(rest.select(node).distinct(), sorted({str(r[0]) for r in rest.limit(10).collect()}))
-        links, waiting = rest, left
-    return spark.read.schema(f"{schema}, level int").parquet(path)
+        turn += 1
+        here = frontier.count()
+        buckets = [r["bucket"] for r in frontier.select(_bucket("node").alias("bucket")).distinct().collect()]  # below BUCKETS
+        news = stored.where(F.col("bucket").isin(buckets)).join(
+            hinted(frontier.select(F.col("node").alias("anchor"), "level"), here), "anchor").groupBy("node").agg(
+            F.sum("n").alias("got"), F.max(F.col("level") + F.col("weight")).alias("high"))
+        news = stage_table(news, "news")
+        touched = news.join(several, "node").join(partial, "node", "left").select(
+            "node", (F.coalesce("missing", "n") - F.col("got")).alias("missing"),
+            F.greatest("high", F.coalesce("level", F.lit(0))).alias("level"))
+        touched = stage_table(touched, "touched")
+        touched.where("missing = 0").select("node", "level").write.parquet(f"{placed}/round={turn}")
+        frontier = spark.read.schema(schema).parquet(f"{placed}/round={turn}")
+        ready = frontier.count()
+        if not ready:
+            done = spark.read.schema(schema).parquet(placed)
+            _raise_cycle(several.join(done.select("node"), "node", "left_anti").select(F.col("node").alias(node)))
+        waiting -= ready
+        partial = stage_table(partial.join(news.select("node"), "node", "left_anti").unionByName(
+            touched.where("missing > 0")), "partial")
+
+    anchors = spark.read.schema(schema).parquet(placed).select("node", "level")
+    hanging = below.join(anchors.select(F.col("node").alias("head"), "level"), "head").select(
+        "node", (F.col("level") + F.col("distance")).alias("level"))
+    return anchors.unionByName(hanging).select(F.col("node").alias(node), F.col("level").cast("int").alias("level"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from millrace.operators.running import NO_HOT_KEYS, Running, find_hot_keys, running, same_named
+from millrace.operators.running import Running, find_hot_keys, running, same_named
 
 # Fixed values of the session and alert rules.
 SESSION_GAP_SECONDS = 1800
@@ -91,17 +91,19 @@ def error_alert(counted: DataFrame, name: str = "window_count", threshold: int =
     return counted.where(F.col(name) >= threshold)
 
 
-def sessionize_event_time(df: DataFrame, keys: list[str], ts: str, gap: int = SESSION_GAP_SECONDS) -> DataFrame:
+def sessionize_event_time(df: DataFrame, keys: list[str], ts: str, gap: int = SESSION_GAP_SECONDS,
+                          hot_rows: int | None = None) -> DataFrame:
     """Sessions in event time; a pause of ``gap`` or more starts a new one.
 
     Two events of one gap-wide slot always share a session, so slots are added up before the shuffle
-    and the window sees at most one row per key and slot.
+    and the window sees at most one row per key and slot. Keys with very many slots are read in pieces.
     """
     slots = df.groupBy(*keys, F.floor(F.col(ts) / gap).alias("_slot")).agg(
         F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    seen = running(slots, keys, ["_slot"], [Running("_prev", "max", F.col("_hi"), before=True)], hot=NO_HOT_KEYS)
+    hot = find_hot_keys(slots, keys, hot_rows)
+    seen = running(slots, keys, ["_slot"], [Running("_prev", "max", F.col("_hi"), before=True)], hot=hot)
     fresh = F.when(F.col("_prev").isNull() | (F.col("_lo") - F.col("_prev") >= gap), 1).otherwise(0)
-    numbered = running(seen, keys, ["_slot"], [Running("_session", "sum", fresh)], hot=NO_HOT_KEYS)
+    numbered = running(seen, keys, ["_slot"], [Running("_session", "sum", fresh)], hot=hot)
     return numbered.groupBy(*keys, "_session").agg(
         F.min("_lo").alias("session_start"), F.max("_hi").alias("session_end"),
         F.sum("_n").alias("event_count")).drop("_session")

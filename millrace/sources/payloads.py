@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.functions.jsonx import once
+from millrace.operators.chains import follow
+from millrace.session import stage_table
 
+FIRST = ""  # stands for the cursor of the first page, which has none
 RECORDS = "array<struct<id:bigint,name:string,score:bigint>>"
 
 
@@ -13,28 +16,60 @@ class MissingPage(RuntimeError):
     """A page that another page points to never arrived."""
 
 
+class BrokenChain(RuntimeError):
+    """Pages that follow each other in a loop, that two pages announce, or that no chain reaches."""
+
+
+def chain_places(pages: DataFrame) -> DataFrame:
+    """``pages(page, next)`` -> page, place: how many pages come before it, 0 for the first.
+
+    The first page is the one without a cursor, else the one that no page announces. Places are found by pointer
+    doubling, so a chain of a million pages takes twenty rounds.
+    """
+    before = pages.where(F.col("next").isNotNull()).groupBy(F.col("next").alias("page")).agg(
+        F.min("page").alias("up"), F.count(F.lit(1)).alias("n"))
+    twice = before.where("n > 1").limit(1).collect()
+    if twice:
+        raise BrokenChain(f"page {twice[0]['page']} is announced by more than one page")
+    found = stage_table(follow(before, "page", "up"), "places")
+    loop = found.where(F.col("head").isNull()).limit(1).collect()
+    if loop:
+        raise BrokenChain(f"page {loop[0]['node']} lies on a loop or behind one")
+    heads = pages.select("page").join(before.select("page"), "page", "left_anti").limit(2).collect()
+    if len(heads) > 1:
+        first = sorted((r["page"] for r in heads), key=lambda p: (p != FIRST, p))
+        raise BrokenChain(f"no chain that starts at the first page reaches page {first[1]}")
+    return pages.select("page").join(found.select(F.col("node").alias("page"), "distance"), "page", "left").select(
+        "page", F.coalesce("distance", F.lit(0)).alias("place"))
+
+
 def page_payload_ingest(pages: DataFrame, cursor: str, payload: str, record: str = RECORDS,
                         records_key: str = "records", next_key: str = "next_cursor",
                         dedup_on: str | None = None) -> DataFrame:
     """Records of all landed pages.
 
     ``cursor`` is the cursor a page was asked with (null for the first). A null or empty next cursor
-    ends the chain. A page named by another one but not landed fails the batch. A ``records`` value
-    that is no list gives no rows. Of records that share ``dedup_on`` the first by page and position stays.
+    ends the chain. A page named by another one but not landed fails the batch, and so do a loop, a page that two
+    pages announce, and a page that no chain from the first one reaches. A page landed twice counts once. A ``records``
+    value that is no list gives no rows. Of records that share ``dedup_on`` the first by its page's place in
+    the chain and its position stays; records without that field all stay.
     """
-    read = pages.select(
-        F.col(cursor).alias("page"),
+    read = pages.dropDuplicates([cursor]).select(
+        F.coalesce(F.col(cursor).cast("string"), F.lit(FIRST)).alias("page"),
         F.get_json_object(payload, f"$.{next_key}").alias("_next"),
         F.from_json(F.get_json_object(payload, f"$.{records_key}"), record).alias("_records"))
     asked = read.where((F.col("_next").isNotNull()) & (F.col("_next") != "")).select(F.col("_next").alias("page"))
     lost = asked.join(read.select("page"), "page", "left_anti").limit(1).collect()
     if lost:
         raise MissingPage(f"page {lost[0]['page']} was announced but never arrived")
+    places = chain_places(read.select("page", F.when(F.col("_next") != "", F.col("_next")).alias("next")))
     rows = read.select("page", F.posexplode_outer("_records").alias("_pos", "r")).where(F.col("r").isNotNull())
     if dedup_on:
-        nth = F.row_number().over(W.partitionBy(f"r.{dedup_on}").orderBy("page", "_pos"))
-        rows = rows.withColumn("_nth", nth).where(F.col("_nth") == 1)
-    return rows.select("page", "r.*")
+        known = F.col(f"r.{dedup_on}").isNotNull()
+        nth = F.row_number().over(W.partitionBy(f"r.{dedup_on}").orderBy("place", "_pos"))
+        first = rows.where(known).join(places, "page").withColumn("_nth", nth).where(F.col("_nth") == 1)
+        rows = rows.where(~known).select("page", "r").union(first.select("page", "r"))
+    return rows.select(F.when(F.col("page") != FIRST, F.col("page")).alias("page"), "r.*")
 
 
 # Source names and our column names of a meeting payload.

@@ -49,3 +49,12 @@ def test_session_slots_are_added_up_before_the_shuffle(spark):
     df = spark.range(1000).select(F.lit("u").alias("k"), F.col("id").alias("ts"))
     plan = ts.sessionize_event_time(df, ["k"], "ts", 10)._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan and plan.rindex("partial_min") > plan.rindex("Exchange")
+
+
+def test_hot_key_of_event_time_sessions(spark):
+    """A key with as many slots as rows is read in pieces; the sessions stay the same."""
+    data = [("hot", i * 2 + (i // 100) * 5) for i in range(800)] + [(f"k{i % 20}", i * 3) for i in range(200)]
+    df = spark.createDataFrame(data, "k string, ts long")
+    plain = ts.sessionize_event_time(df, ["k"], "ts", 3)
+    split = ts.sessionize_event_time(df, ["k"], "ts", 3, hot_rows=100)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect())) and plain.count() > 20
