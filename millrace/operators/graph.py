@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.chains import follow
 from millrace.operators.running import hinted
 from millrace.session import scratch_dir, stage_table
 
-BUCKETS = 64
+BUCKET_ROWS, MOST_BUCKETS = 1_000_000, 1024  # edges of a bucket; what a round names of its frontier
 
 
 class CycleError(ValueError):
@@ -23,8 +23,8 @@ def _raise_cycle(residual: DataFrame) -> None:
     raise CycleError(residual, sorted({str(r[0]) for r in residual.limit(10).collect()}))
 
 
-def _bucket(column: str):
-    return F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int")
+def _bucket(column: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
 
 
 def topo_levels(edges: DataFrame, nodes: DataFrame | None = None, node: str = "node",
@@ -59,39 +59,40 @@ def topo_levels(edges: DataFrame, nodes: DataFrame | None = None, node: str = "n
         below.select(F.col("node").alias("parent"), "head", "distance"), "parent", "left").select(
         F.coalesce("head", "parent").alias("anchor"), "node", (F.coalesce("distance", F.lit(0)) + 1).alias("weight"))
     path = scratch_dir(spark, "anchor-edges")
+    waiting, n_edges = several.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    buckets = min(MOST_BUCKETS, -(-n_edges // BUCKET_ROWS)) or 1
     up.groupBy("anchor", "node").agg(F.max("weight").alias("weight"), F.count(F.lit(1)).alias("n")).select(
-        "*", _bucket("anchor").alias("bucket")).repartition("bucket").write.partitionBy("bucket").parquet(path)
+        "*", _bucket("anchor", buckets).alias("bucket")).repartition("bucket").write.partitionBy("bucket").parquet(path)
     stored = spark.read.schema(f"anchor {kind}, node {kind}, weight long, n long, bucket int").parquet(path)
 
-    placed = scratch_dir(spark, "levels")
+    # Each round leaves the nodes that it touched; those with nothing missing are placed.
+    rounds, schema = scratch_dir(spark, "levels"), f"node {kind}, missing long, level long"
     roots = every.join(parents.select("node"), "node", "left_anti")
-    roots.select("node", F.lit(0).cast("long").alias("level")).write.parquet(f"{placed}/round=0")
-    schema, turn, waiting = f"node {kind}, level long", 0, several.count()
-    frontier = spark.read.schema(schema).parquet(f"{placed}/round=0")
-    partial = spark.createDataFrame([], f"node {kind}, missing long, level long")
+    roots.select("node", F.lit(0).cast("long").alias("missing"), F.lit(0).cast("long").alias("level")).write.parquet(
+        f"{rounds}/round=0")
+    partial, turn = spark.createDataFrame([], schema), 0
     while waiting:
+        last = spark.read.schema(schema).parquet(f"{rounds}/round={turn}")
+        frontier = last.where("missing = 0").select(F.col("node").alias("anchor"), "level")
+        here = frontier.agg(F.count(F.lit(1)).alias("n"), F.collect_set(_bucket("anchor", buckets)).alias("in")).first()
+        if turn:
+            waiting -= here["n"]
+        if not here["n"]:
+            done = spark.read.schema(schema).parquet(rounds).where("missing = 0")
+            _raise_cycle(several.join(done.select("node"), "node", "left_anti").select(F.col("node").alias(node)))
+        if not waiting:
+            break
         turn += 1
-        here = frontier.count()
-        buckets = [r["bucket"] for r in frontier.select(_bucket("node").alias("bucket")).distinct().collect()]  # below BUCKETS
-        news = stored.where(F.col("bucket").isin(buckets)).join(
-            hinted(frontier.select(F.col("node").alias("anchor"), "level"), here), "anchor").groupBy("node").agg(
+        news = stored.where(F.col("bucket").isin(here["in"])).join(hinted(frontier, here["n"]), "anchor").groupBy("node").agg(
             F.sum("n").alias("got"), F.max(F.col("level") + F.col("weight")).alias("high"))
-        news = stage_table(news, "news")
-        touched = news.join(several, "node").join(partial, "node", "left").select(
+        news.join(several, "node").join(partial, "node", "left").select(
             "node", (F.coalesce("missing", "n") - F.col("got")).alias("missing"),
-            F.greatest("high", F.coalesce("level", F.lit(0))).alias("level"))
-        touched = stage_table(touched, "touched")
-        touched.where("missing = 0").select("node", "level").write.parquet(f"{placed}/round={turn}")
-        frontier = spark.read.schema(schema).parquet(f"{placed}/round={turn}")
-        ready = frontier.count()
-        if not ready:
-            done = spark.read.schema(schema).parquet(placed)
-            _raise_cycle(several.join(done.select("node"), "node", "left_anti").select(F.col("node").alias(node)))
-        waiting -= ready
-        partial = stage_table(partial.join(news.select("node"), "node", "left_anti").unionByName(
+            F.greatest("high", F.coalesce("level", F.lit(0))).alias("level")).write.parquet(f"{rounds}/round={turn}")
+        touched = spark.read.schema(schema).parquet(f"{rounds}/round={turn}")
+        partial = stage_table(partial.join(touched.select("node"), "node", "left_anti").unionByName(
             touched.where("missing > 0")), "partial")
 
-    anchors = spark.read.schema(schema).parquet(placed).select("node", "level")
+    anchors = spark.read.schema(schema).parquet(rounds).where("missing = 0").select("node", "level")
     hanging = below.join(anchors.select(F.col("node").alias("head"), "level"), "head").select(
         "node", (F.col("level") + F.col("distance")).alias("level"))
     return anchors.unionByName(hanging).select(F.col("node").alias(node), F.col("level").cast("int").alias("level"))
