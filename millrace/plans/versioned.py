@@ -8,6 +8,7 @@ from millrace.operators import versioned as ver
 from millrace.operators.relational import union_sources
 from millrace.plans.registry import query
 from millrace.session import scratch_dir
+from millrace.sources.buckets import BucketedTable, create_history, scd2_stored, upsert_stored
 from millrace.sources.tables import SnapshotTable, partitioned_snapshot_write, table
 
 # The batch renames a third of the segments, moves others, leaves some null, and adds new keys.
@@ -78,6 +79,28 @@ def upsert_by_key(spark, d):
     return ver.upsert_by_key(target, _batch(spark, d), ["c_custkey"])
 
 
+@query("stored_upsert", f"""WITH {BATCH_SQL}
+SELECT 0::BIGINT AS version, c_custkey, c_name, c_mktsegment FROM customer
+UNION ALL SELECT 1, c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM batch)
+UNION ALL SELECT 1, * FROM batch""")
+def stored_upsert(spark, d):
+    """The batch goes into a stored table, bucket by bucket; both versions stay readable."""
+    t = BucketedTable(spark, scratch_dir(spark, "buckets"), ["c_custkey"], buckets=8)
+    t.commit(table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment"), "WRITE")
+    upsert_stored(t, _batch(spark, d))
+    return union_sources([t.read(v).select(F.lit(v).cast("long").alias("version"), "*") for v in (0, 1)])
+
+
+@query("stored_scd2_merge", f"WITH {BATCH_SQL} SELECT * FROM merged")
+def stored_scd2_merge(spark, d):
+    """The merge into a stored history, twice: the second run changes nothing."""
+    t = BucketedTable(spark, scratch_dir(spark, "history"), ["c_custkey"], buckets=8)
+    create_history(t, _history(spark, d))
+    for _ in range(2):
+        scd2_stored(t, _batch(spark, d), "c_mktsegment", ["c_name", "c_mktsegment"], "2024-02-01")
+    return t.read()
+
+
 @query("upsert_split", f"""WITH {BATCH_SQL}
 SELECT b.c_custkey, b.c_name, b.c_mktsegment,
        CASE WHEN b.c_custkey IN (SELECT c_custkey FROM customer) THEN 'update' ELSE 'insert' END AS action FROM batch b""")
