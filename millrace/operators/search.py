@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from millrace.functions.jsonx import once
 from millrace.functions.vectors import cosine, squared_distance
 from millrace.operators.running import hinted
-from millrace.session import scratch_dir
+from millrace.session import scratch_dir, stage_table
 
 # Constants of the keyword score, chosen here and stated in the README.
 K1, B = 1.2, 0.75
@@ -21,6 +22,7 @@ RRF_K = 60
 DIGITS = 9
 QUERY_BLOCK = 512
 CELL_FILE_ROWS = 500_000
+CHUNK_BYTES = 4 << 20
 BROADCAST_BYTES = 64 << 20
 
 
@@ -118,11 +120,11 @@ def _ranked(parts: DataFrame, base: DataFrame, ident: str, queries: DataFrame, q
 
 
 def _query_blocks(queries: DataFrame, query: str, vector: str, cell: Column | None = None
-                  ) -> tuple[DataFrame, int]:
-    """Queries gathered in rows of about ``QUERY_BLOCK`` (per cell): ``_cell, _block, _queries``; and how many blocks.
+                  ) -> tuple[DataFrame, int, int]:
+    """Queries gathered in rows of about ``QUERY_BLOCK`` (per cell): ``_cell, _block, _queries``; how many blocks, and
+    how many rounds it takes to broadcast them with at most ``BROADCAST_BYTES`` at a time.
 
-    Nothing passes through the driver but the count and the width. The rows are broadcast only while all query
-    vectors together stay below ``BROADCAST_BYTES``; beyond that the join shuffles.
+    Nothing passes through the driver but the count and the width.
     """
     cells = (F.lit(0) if cell is None else cell).alias("_cell")
     asked = queries.select(_typed_id(queries, query), F.transform(vector, lambda x: x.cast("double")).alias("_v"), cells)
@@ -131,23 +133,25 @@ def _query_blocks(queries: DataFrame, query: str, vector: str, cell: Column | No
     gathered = asked.groupBy(
         "_cell", F.pmod(F.xxhash64(query, "_v"), F.lit(blocks)).cast("int").alias("_block")).agg(
         F.collect_list(F.struct(F.col(query).alias("q"), F.col("_v").alias("v"))).alias("_queries"))
-    small = cell is None and sizes["n"] * (8 * (sizes["w"] or 0) + 32) <= BROADCAST_BYTES
-    return (F.broadcast(gathered) if small else gathered), blocks
+    rounds = max(1, math.ceil(sizes["n"] * (8 * (sizes["w"] or 0) + 32) / BROADCAST_BYTES))
+    return gathered, blocks, min(rounds, blocks)
 
 
 def _chunks(base: DataFrame, ident: str, vector: str, cell: Column | None = None) -> DataFrame:
-    """Rows of ``base`` in batches: ``_cell, _ids, _x`` (vectors as one block of doubles)."""
+    """Rows of ``base`` in batches: ``_cell, _ids, _x`` (vectors as one block of at most ``CHUNK_BYTES`` of doubles)."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             cells, x = batch.column(2).to_numpy(), _matrix(batch.column(1))
             for c in np.unique(cells):
-                at = np.flatnonzero(cells == c)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([c], pa.int32()), pa.array([batch.column(0).take(pa.array(at)).to_pylist()],
-                                                         pa.list_(batch.column(0).type)), pa.array([x[at].tobytes()])],
-                    names=["_cell", "_ids", "_x"])
+                every = np.flatnonzero(cells == c)
+                step = max(1, CHUNK_BYTES // max(1, 8 * x.shape[1]))
+                for at in (every[i:i + step] for i in range(0, len(every), step)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([c], pa.int32()), pa.array([batch.column(0).take(pa.array(at)).to_pylist()],
+                                                             pa.list_(batch.column(0).type)), pa.array([x[at].tobytes()])],
+                        names=["_cell", "_ids", "_x"])
 
     rows = base.select(_typed_id(base, ident), vector, (F.lit(0) if cell is None else cell).cast("int").alias("_cell"))
     return rows.mapInArrow(pack, f"_cell int, _ids array<{_id_type(base, ident)}>, _x binary")
@@ -184,12 +188,23 @@ def vector_topk(base: DataFrame, queries: DataFrame, ident: str, vector: str, qu
                 metric: str = "cosine") -> DataFrame:
     """The exact ``k`` nearest rows of ``base`` for every query.
 
-    Rows are multiplied in batches with blocks of queries; a batch hands on ``k`` rows per query. While the
-    queries are small the vectors of ``base`` are not shuffled. Ids are whole numbers or texts.
+    Rows are multiplied in batches with blocks of queries; a batch hands on ``k`` rows per query. The vectors of
+    ``base`` are never shuffled: the blocks are broadcast, as many at a time as ``BROADCAST_BYTES`` allows, and each
+    round reads ``base`` once and stores its hits. Ids are whole numbers or texts.
     """
-    gathered, blocks = _query_blocks(queries, query, query_vector)
-    chunks = _chunks(base, ident, vector).select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
-    return _scored(chunks.join(gathered, "_block"), base, ident, queries, query, k, metric)
+    gathered, blocks, rounds = _query_blocks(queries, query, query_vector)
+    if rounds > 1:
+        gathered = stage_table(gathered, "query_blocks")
+
+    def hits(r: int) -> DataFrame:
+        mine = F.sequence(F.lit(r), F.lit(blocks - 1), F.lit(rounds))
+        chunks = _chunks(base, ident, vector).select("*", F.explode(mine).alias("_block"))
+        asked = F.broadcast(gathered.where(F.pmod("_block", F.lit(rounds)) == r))
+        return _scored(chunks.join(asked, "_block"), base, ident, queries, query, k, metric)
+
+    if rounds == 1:
+        return hits(0)
+    return reduce(DataFrame.unionByName, [stage_table(hits(r), "hits") for r in range(rounds)])
 
 
 class CellIndex:
@@ -235,7 +250,11 @@ class CellIndex:
 
     def search(self, queries: DataFrame, query: str, query_vector: str, k: int, nprobe: int = 8,
                metric: str = "cosine") -> DataFrame:
-        """Best ``k`` among the rows of the ``nprobe`` nearest cells; all cells give the exact answer."""
+        """Best ``k`` among the rows of the ``nprobe`` nearest cells; all cells give the exact answer.
+
+        Only the files of cells that some query probes are read. While the probes are small they are broadcast
+        and the vectors stay in place.
+        """
         table = self.spark.read.parquet(self.path)
         centres, ident = self.centres, self.ident
 
@@ -249,10 +268,11 @@ class CellIndex:
         kind = queries.schema[query_vector].dataType.simpleString()
         routed = queries.select(_typed_id(queries, query), query_vector).mapInArrow(
             route, f"{query} {_id_type(queries, query)}, {query_vector} {kind}, _cells array<int>")
-        probes = routed.select(query, query_vector, F.explode("_cells").alias("_probe"))
-        gathered, _ = _query_blocks(probes, query, query_vector, F.col("_probe"))
-        chunks = _chunks(table, ident, self.vector, F.col("cell"))
-        return _scored(chunks.join(gathered, "_cell"), table, ident, queries, query, k, metric)
+        probes = stage_table(routed.select(query, query_vector, F.explode("_cells").alias("_probe")), "probes")
+        gathered, _, rounds = _query_blocks(probes, query, query_vector, F.col("_probe"))
+        probed = [r[0] for r in probes.select("_probe").distinct().collect()]  # at most one number per cell
+        chunks = _chunks(table.where(F.col("cell").isin(probed)), ident, self.vector, F.col("cell"))
+        return _scored(chunks.join(F.broadcast(gathered) if rounds == 1 else gathered, "_cell"), table, ident, queries, query, k, metric)
 
 
 def rrf_fuse(rankings: DataFrame, doc: str, system: str = "system", position: str = "position",

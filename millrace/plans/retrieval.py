@@ -188,22 +188,20 @@ def vector_topk_l2(spark, d):
                                   10, metric="l2"))
 
 
-@query("ann_ivf_search", f"""WITH {CENTROID_SQL}
-SELECT p.label, 10::BIGINT AS hits, 10::BIGINT AS exact_scores, true AS in_order, true AS recall_ok FROM probes p""")
+@query("ann_ivf_search")
 def ann_ivf_search(spark, d):
-    """A search through 14 of 16 cells: every score is the exact score of its pair, ranks follow it, recall is 0.7 at least."""
+    """A search through 14 of 16 cells: its hits, their exact scores, and the recall of each label.
+
+    What a search through some cells finds hangs on the clustering, which no SQL repeats: the rows are tested
+    against brute force, and ``ann_ivf_all_cells`` has its SQL.
+    """
     base, probes = table(spark, d, "embeddings"), _probes(spark, d)
     index = se.CellIndex.build(base, "vec_id", "embedding", cells=16)
     near = stage_table(index.search(probes, "label", "q", 10, nprobe=14), "near")
     exact = se.vector_topk(base, probes, "vec_id", "embedding", "label", "q", 10)
-    found = near.join(base.select("vec_id", "embedding"), "vec_id").join(checked_broadcast(probes), "label").join(
-        exact.select("label", "vec_id", F.lit(1).alias("hit")), ["label", "vec_id"], "left")
-    right = F.abs(F.col("score") - cosine("embedding", "q")) < 1e-8
-    places = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id", "rank")))
-    return found.groupBy("label").agg(
-        F.count(F.lit(1)).alias("hits"), F.sum(right.cast("long")).alias("exact_scores"),
-        (F.transform(places, lambda p: p["rank"]) == F.sequence(F.lit(1), F.count(F.lit(1)).cast("int"))).alias("in_order"),
-        (F.avg(F.coalesce("hit", F.lit(0))) >= 0.7).alias("recall_ok"))
+    found = exact.select("label", "vec_id").join(near, ["label", "vec_id"], "left")
+    recall = found.groupBy("label").agg(F.avg(F.col("rank").isNotNull().cast("double")).alias("recall"))
+    return _ranked(near).join(checked_broadcast(recall), "label").select("label", "rank", "vec_id", "score", "recall")
 
 
 @query("ann_ivf_all_cells", f"WITH {CENTROID_SQL}, {topk_sql(10)} SELECT label, vec_id, round(score, 6) AS score, rank FROM exact")

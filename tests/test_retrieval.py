@@ -2,6 +2,8 @@
 
 import math
 import random
+import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -112,6 +114,53 @@ def test_cell_index(spark, monkeypatch):
     assert len(few & {(k[0], v) for k, v in exact.items()}) / len(exact) > 0.3
 
 
+def test_vector_topk_rounds(spark, monkeypatch, capsys):
+    """More query vectors than one broadcast may hold: rounds over the base in place, every query answered once."""
+    x, base, q, _ = vectors(spark)
+    want = sorted(map(tuple, se.vector_topk(base, q, "id", "v", "q", "qv", 5).collect()))
+    monkeypatch.setattr(se, "QUERY_BLOCK", 1)
+    monkeypatch.setattr(se, "BROADCAST_BYTES", 2 * (8 * 8 + 32))
+    monkeypatch.setattr(se, "CHUNK_BYTES", 8 * 8 * 7)
+    plans, staged = [], se.stage_table
+    monkeypatch.setattr(se, "stage_table", lambda df, label: (plans.append(df) if label == "hits" else None, staged(df, label))[1])
+    assert sorted(map(tuple, se.vector_topk(base, q, "id", "v", "q", "qv", 5).collect())) == want
+    assert len(plans) == 3
+    capsys.readouterr()
+    plans[0].explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert se.vector_topk(base, q.limit(0), "id", "v", "q", "qv", 5).count() == 0
+
+
+def test_cell_search_reads_probed_cells(spark, capsys):
+    x, base, q, _ = vectors(spark)
+    index = se.CellIndex.build(base, "id", "v", cells=6, iterations=5)
+    index.search(q.where("q = 50"), "q", "qv", 5, nprobe=1).explain()
+    plan = capsys.readouterr().out
+    assert re.search(r"PartitionFilters: \[[^\]]*cell#\d+ = \d", plan) and "SortMergeJoin" not in plan
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables")
+def test_ivf_row_against_brute_force(spark):
+    from __spark_entry__ import queries
+    folder = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").toPandas()
+    x, labels = np.stack(rows["embedding"]).astype(np.float64), rows["label"].to_numpy()
+    got = queries()["ann_ivf_search"](spark, folder).toPandas()
+    recalls = []
+    for label, mine in got.groupby("label"):
+        probe = x[labels == label].mean(axis=0)
+        scores = np.round(x @ probe / np.linalg.norm(x, axis=1) / np.linalg.norm(probe), 9)
+        best = sorted(zip(-scores, rows["vec_id"]))[:10]
+        mine = mine.sort_values("rank")
+        by_id = dict(zip(rows["vec_id"], scores))
+        assert list(mine["rank"]) == list(range(1, 11))
+        assert [round(by_id[i], 6) for i in mine["vec_id"]] == pytest.approx(list(mine["score"]), abs=2e-6)
+        recalls.append(len(set(mine["vec_id"]) & {i for _, i in best}) / 10)
+        assert set(mine["recall"]) == {recalls[-1]}
+    assert set(got["label"]) == set(labels) and np.mean(recalls) >= 0.9
+
+
 def test_nearest_matches_topk(spark):
     x, base, q, _ = vectors(spark)
     got = [r["id"] for r in se.nearest(base, "v", x[50].tolist(), 5).collect()]
