@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BUCKETS = 8192
-ROUNDS, RATE, DECAY = 120, 60.0, 0.00005
+ROUNDS, RATE, DECAY = 300, 60.0, 0.00005
 GRAMS = (3, 5)
 BLOCK_AT = 0.5
 
@@ -21,25 +21,39 @@ RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
 
 BAD_WORDS = ("casino poker bets jackpot slots roulette pills viagra cheap-meds diet-pills adult xxx porn escort "
              "spam spam-mail ads adserver track tracker click-bait popup malware payday loans torrent warez crack "
-             "free-money win-prize").split()
+             "free-money win-prize gambling betting lottery bingo blackjack sex nude camgirls hookup steroids "
+             "pharmacy-discount replica-watches phishing keygen serial-key hacked coin-doubler get-rich").split()
 GOOD_WORDS = ("library museum school college news weather garden recipes history science travel river music forum "
               "docs wiki council hospital football letters theatre bank poetry maps archive research journal "
               "gallery orchard railway harbour kitchen physics chemistry village market bakery cinema workshop "
               "teacher student children family mountain forest energy climate health courses language north south "
-              "earth heather thread thatch anthem athletics smithy nation station").split()
+              "earth heather thread thatch anthem athletics smithy nation station about contact products article "
+             "blog help shop cart account search category photos sports business technology essex sextant "
+             "better alphabet spoken express training cooking reading building engineering nursing housing painting "
+              "morning spring cycling walking learning").split()
 TEMPLATES = ("https://{}.example.com/en/#", "http://www.{}.example.org/de/#.html", "https://m.{}.example.net/fr/#/",
-             "http://blog.{}.example.com/es/#?page=2", "http://www.{}.example.net/en/#/", "https://m.{}.example.org/es/#")
+             "http://blog.{}.example.com/es/#?page=2", "http://www.{}.example.net/en/#/", "https://m.{}.example.org/es/#",
+             "https://{}.org/", "http://www.best-{}.info/index.php?id=#")
+# The word in the path, on a host without it or with an innocent word (``@``).
+PATH_TEMPLATES = ("https://www.portal.edu/{}/#", "http://shop.example.org/{}/", "https://example.org/a/#/{}.html",
+                  "https://@.org/{}", "http://www.@.co.uk/new-{}/#", "https://@.example.net/pages/{}/index.html",
+                  "http://static.@.io/#/online-{}-1", "https://{}.info/{}/#")
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The built-in small table ``(url, blocked)``: every word in every template, page numbers by hash."""
+    """The built-in small table ``(url, blocked)``: every word in every template, in host, path or both.
+
+    Page numbers and innocent host words are chosen by hash. Both classes have the same shapes, so only words tell.
+    """
     words = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(y).alias("blocked"))
                       for y, ws in ((1, BAD_WORDS), (0, GOOD_WORDS)) for w in ws])
-    shapes = F.array(*[F.lit(t) for t in TEMPLATES])
+    shapes = F.array(*[F.lit(t) for t in TEMPLATES + PATH_TEMPLATES])
     each = spark.range(1).select(F.explode(words).alias("w")).select("w.*", F.explode(shapes).alias("shape"))
     page = F.pmod(F.xxhash64("word", "shape"), F.lit(10_000)).cast("string")
-    return each.select(F.replace(F.replace("shape", F.lit("{}"), F.col("word")), F.lit("#"), page).alias("url"),
-                       "blocked")
+    innocent = F.array(*[F.lit(w) for w in GOOD_WORDS])[
+        F.pmod(F.xxhash64("shape", "word"), F.lit(len(GOOD_WORDS))).cast("int")]
+    filled = F.replace(F.replace("shape", F.lit("{}"), F.col("word")), F.lit("@"), innocent)
+    return each.select(F.replace(filled, F.lit("#"), page).alias("url"), "blocked")
 
 
 def host_of(url: Column) -> Column:
@@ -130,8 +144,10 @@ def judge_urls(pages: DataFrame, labelled: DataFrame | None = None, rules=None,
                buckets: int = BUCKETS, **options) -> DataFrame:
     """``pages(page_id, url)`` -> page_id, host, path, rule, verdict, score; one row per input row.
 
-    The longest fitting rule decides; where none fits, the model does (``block`` from 0.5). Null urls and
-    urls without ``://`` have an empty host and path and are left to the model too. Other columns are not read.
+    The longest fitting rule decides (of rules equally long, the one whose text sorts last); where none fits, the
+    model does (``block`` from 0.5). Null urls and urls without ``://`` have an empty host and path and are left to
+    the model too. Urls of any length are read whole. Repeated rows are judged alike, each for itself; an empty
+    table gives no rows. Other columns are not read.
     """
     rules = RULES if rules is None else rules
     model = train(labelled_urls(pages.sparkSession) if labelled is None else labelled, buckets, **options)
