@@ -3,13 +3,15 @@
 Distinct fingerprints are dealt to the leaves of a vantage-point tree: at each node by whether their Hamming
 distance to the vantage point is at most a threshold. A fingerprint also visits the other side where the
 triangle bound cannot exclude a partner, so every close pair meets in a leaf. The upper tree comes
-from a bounded sample and only steers the dealing. Inside a leaf a local tree prunes the same way and a
+from a bounded sample and only steers the dealing; a leaf too large for one task is dealt again by a tree of
+its own. Inside a leaf a local tree prunes the same way and a
 union-find keeps one spanning forest, so a dense group costs edges in proportion to its size. The edges of
 all leaves go through ``connected_components``.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,6 +29,8 @@ SHINGLE_WORDS = 3
 SEED = 42
 LEAF_ROWS = 8_192
 SAMPLE_ROWS = 16_384
+GROUP_ROWS = 1 << 20  # rows of a leaf, visitors included, that one task searches
+FAN_OUT, FAN_SAMPLE = 16, 1_024  # leaves an overfull leaf is dealt into, and the members that shape their tree
 LOCAL_ROWS = 256
 CHUNK = 65_536
 
@@ -157,8 +161,67 @@ def forest(members: np.ndarray, visitors: np.ndarray, radius: int) -> tuple[np.n
     return nodes[moved], nodes[top[moved]]
 
 
+def _deal_again(rows: DataFrame, radius: int, leaf_rows: int) -> DataFrame:
+    """``rows(leaf, fp, home, members)`` -> (leaf, fp, home) over smaller leaves, by a tree per leaf.
+
+    A tree comes from at most ``FAN_SAMPLE`` members of its leaf and splits them, so every new leaf has fewer
+    members. New leaves are named by a hash: two that share a name are searched together, which is also exact.
+    """
+    def shape(leaf: pd.DataFrame) -> pd.DataFrame:
+        want = min(FAN_OUT, -(-int(leaf["members"].iloc[0]) // leaf_rows))
+        tree = build_tree(leaf["fp"].to_numpy(np.int64).view(np.uint64), want)
+        return pd.DataFrame({"leaf": leaf["leaf"].iloc[:1], "tree": [pickle.dumps(tree)]})
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaf, fps, own = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            names, first, place = np.unique(leaf, return_index=True, return_inverse=True)
+            for k, name in enumerate(names):
+                mine, out = np.flatnonzero(place == k), []
+                deal(pickle.loads(batch.column(3)[int(first[k])].as_py()), fps[mine].view(np.uint64), radius,
+                     lambda child, at, home: out.append((child, mine[at], home & own[mine[at]])))
+                for child, at, home in out:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(at), name)), pa.array(np.full(len(at), child)), pa.array(fps[at]),
+                         pa.array(home)], ["leaf", "child", "fp", "home"])
+
+    nth = F.row_number().over(W.partitionBy("leaf").orderBy(F.xxhash64("fp"), "fp"))
+    sample = rows.where("home").withColumn("nth", nth).where(F.col("nth") <= FAN_SAMPLE)
+    trees = stage_table(sample.groupBy("leaf").applyInPandas(shape, "leaf long, tree binary"), "trees")
+    steered = rows.join(trees, "leaf").select("leaf", "fp", "home", "tree")
+    return steered.mapInArrow(route, "leaf long, child long, fp long, home boolean").select(
+        F.xxhash64("leaf", "child").alias("leaf"), "fp", "home")
+
+
+def fitting_leaves(dealt: DataFrame, radius: int, leaf_rows: int = LEAF_ROWS,
+                   group_rows: int = GROUP_ROWS) -> DataFrame:
+    """``dealt(leaf, fp, home)`` -> the same rows in leaves of bounded size, with a piece number.
+
+    A leaf of more than ``group_rows`` rows is dealt again while it has more than ``leaf_rows`` members. With
+    fewer members its visitors are cut into pieces, and the members go to each piece.
+    """
+    ready = []
+    while True:
+        now = stage_table(dealt, "dealt")
+        sizes = now.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"), F.count_if("home").alias("members"))
+        over = stage_table(sizes.where(F.col("rows") > group_rows), "overfull")
+        many = over.where(F.col("members") > leaf_rows)
+        last = F.coalesce(F.ceil(F.col("rows") / group_rows), F.lit(1)) - 1
+        piece = F.when(F.col("home"), F.sequence(F.lit(0).cast("long"), last)).otherwise(
+            F.array(F.pmod(F.xxhash64("fp"), last + 1)))
+        fits = now.join(many, "leaf", "left_anti").join(over, "leaf", "left")
+        ready.append(fits.select("leaf", F.explode(piece).alias("piece"), "fp", "home"))
+        if many.isEmpty():
+            break
+        dealt = _deal_again(now.join(many, "leaf").select("leaf", "fp", "home", "members"), radius, leaf_rows)
+    whole = ready[0]
+    for more in ready[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
 def linked_fingerprints(distinct: DataFrame, radius: int = RADIUS, leaf_rows: int = LEAF_ROWS,
-                        sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+                        sample_rows: int = SAMPLE_ROWS, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``distinct(fp)`` -> (node, component) of every fingerprint with a partner within ``radius`` bits."""
     rows = distinct.count()
     # The sample (at most about sample_rows fingerprints) only shapes the tree; every fingerprint is dealt.
@@ -180,7 +243,11 @@ def linked_fingerprints(distinct: DataFrame, radius: int = RADIUS, leaf_rows: in
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     dealt = distinct.mapInArrow(route, "leaf long, fp long, home boolean")
-    return connected_components(dealt.groupBy("leaf").applyInPandas(search, "a long, b long"))
+    if rows <= group_rows:  # then no leaf can be larger
+        dealt = dealt.withColumn("piece", F.lit(0))
+    else:
+        dealt = fitting_leaves(dealt, radius, leaf_rows, group_rows)
+    return connected_components(dealt.groupBy("leaf", "piece").applyInPandas(search, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = SHINGLE_WORDS, **options) -> DataFrame:

@@ -8,8 +8,8 @@ import pytest
 import xxhash
 
 from millrace.llm.components import connected_components
-from millrace.llm.simhash_vp import (build_tree, deal, fingerprint, forest, keep_one, linked_fingerprints,
-                                     near_duplicates)
+from millrace.llm.simhash_vp import (build_tree, deal, fingerprint, fitting_leaves, forest, keep_one,
+                                     linked_fingerprints, near_duplicates)
 
 
 def groups(n, pairs):
@@ -79,6 +79,46 @@ def test_linked_over_many_leaves(spark):
     assert len({(r, got[f]) for f, r in zip(fps, want) if f in got}) == len({r for r in want if size[r] > 1})
 
 
+def close_cloud(seed):
+    """Scattered fingerprints, pairs, and a dense ball whose members nearly all visit both sides of a cut."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(-(1 << 63), (1 << 63) - 1, 700)
+    ball = {int(base[7] ^ (1 << i) ^ (1 << j)) for i in range(24) for j in range(i, 24)}
+    return sorted({int(x) for x in base} | {int(x ^ 5) for x in base[:90]} | ball)
+
+
+@pytest.mark.parametrize("leaf_rows,group_rows", [(16, 120), (200, 60), (1, 40)])
+def test_overfull_leaves_are_dealt_again(spark, leaf_rows, group_rows):
+    """A tree of two leaves from a sample of 40; the rest of the dealing is left to the overfull leaves."""
+    fps = close_cloud(4)
+    distinct = spark.createDataFrame([(f,) for f in fps], "fp long")
+    got = dict(map(tuple, linked_fingerprints(distinct, leaf_rows=leaf_rows, sample_rows=40,
+                                              group_rows=group_rows).collect()))
+    u = np.array(fps, np.int64).view(np.uint64)
+    want = groups(len(fps), np.argwhere(np.triu(np.bitwise_count(u[:, None] ^ u[None, :]) <= 2, 1)))
+    size = {r: want.count(r) for r in want}
+    assert set(got) == {f for f, r in zip(fps, want) if size[r] > 1}
+    assert len({(r, got[f]) for f, r in zip(fps, want) if f in got}) == len({r for r in want if size[r] > 1})
+
+
+def test_fitting_leaves_are_bounded_and_whole(spark):
+    fps = close_cloud(5)
+    dealt = spark.createDataFrame([(0, f, True) for f in fps], "leaf long, fp long, home boolean")
+    rows = [tuple(r) for r in fitting_leaves(dealt, 2, 32, 150).collect()]
+    assert {f for _, _, f, home in rows if home} == set(fps)
+    home = {}
+    for leaf, _, f, own in rows:
+        if own:
+            assert home.setdefault(f, leaf) == leaf  # members have one leaf, though several pieces
+    total, members = {}, {}
+    for leaf, piece, _, own in rows:
+        total[leaf, piece] = total.get((leaf, piece), 0) + 1
+        members[leaf, piece] = members.get((leaf, piece), 0) + own
+    crowded = {k for k, n in total.items() if members[k] > 32 and n > 150}
+    assert not crowded and max(total.values()) <= 32 + 2 * 150
+    assert len({leaf for leaf, _ in total}) > 16  # more than one round
+
+
 def test_components(spark):
     rng = random.Random(3)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(0, 300 + i) for i in range(200)]
