@@ -78,6 +78,22 @@ def watermark_tumbling_count(spark, d):
     return _micros(_run_windows(spark, d))
 
 
+@query("watermark_dropped_rows", f"""WITH {_windows_sql(5 * MINUTE, 5 * MINUTE)},
+late AS (SELECT slice, count(DISTINCT (page, start_us)) AS dropped FROM spread JOIN marks USING (slice)
+         WHERE start_us + {5 * MINUTE} <= wm GROUP BY slice),
+seen AS (SELECT slice, count(*) AS rows, max(us) AS newest_us FROM sliced GROUP BY slice)
+SELECT slice AS run, rows, newest_us,
+       max(newest_us) OVER (ORDER BY slice) // 1000 * 1000 - 600000000 AS watermark_us, coalesce(dropped, 0) AS dropped
+FROM seen LEFT JOIN late USING (slice)""")
+def watermark_dropped_rows(spark, d):
+    """What the stream of ``watermark_tumbling_count`` read and dropped in each of its runs."""
+    folder, out = scratch_dir(spark, "stream-in"), scratch_dir(spark, "stream-out")
+    with win.WatermarkLog(spark) as log:
+        win.feed(slices(_arriving(spark, d)), folder, lambda: log.finished(win.run_available(win.tumbling_count(
+            win.observe_arrivals(_timed(spark, folder), "event_time"), "event_time", "page"), out)))
+    return log.frame()
+
+
 @query("sliding_window_stream", f"WITH {_windows_sql(30 * MINUTE, 10 * MINUTE)} SELECT start_us, end_us, page, count FROM closed")
 def sliding_window_stream(spark, d):
     return _micros(_run_windows(spark, d, size="30 minutes", slide="10 minutes"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 # Fixed values of the page-view job.
 WINDOW, DELAY = "5 minutes", "10 minutes"
@@ -62,6 +64,73 @@ def run_available(stream: DataFrame, path: str, mode: str = "append", wait: floa
     return running if every else finish(running, wait)
 
 
+class WatermarkLog(StreamingQueryListener):
+    """What each run of a stream read and what its watermark dropped, one entry per run in the order of starts.
+
+    Reads the progress of every micro batch as it comes (the query object keeps only the last ones) and adds it
+    up, so a run of any length costs one entry. ``observed`` names the metrics of ``observe_arrivals``; streams
+    without them are not logged. Used with ``with``: the listener is on while its block runs.
+    """
+
+    def __init__(self, spark: SparkSession, observed: str = "arrivals"):
+        self.spark, self.observed = spark, observed
+        self.runs: dict[str, dict] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def __enter__(self) -> WatermarkLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        self.ended.setdefault(str(event.runId), threading.Event())
+
+    def onQueryProgress(self, event) -> None:
+        self.add(json.loads(event.progress.json))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.setdefault(str(event.runId), threading.Event()).set()
+
+    def add(self, progress: dict) -> None:
+        """Add one micro batch, as Spark's progress JSON, to its run."""
+        seen = progress.get("observedMetrics", {}).get(self.observed)
+        if seen is None and progress["runId"] not in self.runs:
+            return
+        run = self.runs.setdefault(progress["runId"], {"rows": 0, "newest_us": None, "watermark": None, "dropped": 0})
+        seen = seen or {}
+        run["rows"] += seen.get("rows") or 0
+        newest = [t for t in (run["newest_us"], seen.get("newest_us")) if t is not None]
+        run["newest_us"] = max(newest, default=None)
+        run["watermark"] = progress.get("eventTime", {}).get("watermark", run["watermark"])
+        run["dropped"] += sum(op.get("numRowsDroppedByWatermark", 0) for op in progress.get("stateOperators", []))
+
+    def finished(self, running: StreamingQuery, wait: float = 60) -> None:
+        """Wait until the events of a query that has ended are in; listeners hear of them a little later."""
+        if not self.ended.setdefault(str(running.runId), threading.Event()).wait(wait):
+            raise TimeoutError("no end of the stream was announced")
+
+    def frame(self) -> DataFrame:
+        """One row per run: rows read, newest event time, watermark at its end, and the rows its state refused.
+
+        Spark folds the rows of a batch per window and key before the state sees them, so ``dropped`` counts late
+        windows and keys, not arrivals.
+        """
+        rows = [(n, r["rows"], r["newest_us"], r["watermark"], r["dropped"]) for n, r in enumerate(self.runs.values())]
+        found = self.spark.createDataFrame(rows, "run int, rows bigint, newest_us bigint, mark string, dropped bigint")
+        mark = F.unix_micros(F.to_timestamp("mark"))
+        return found.select("run", "rows", "newest_us", F.when(mark > 0, mark).alias("watermark_us"), "dropped")
+
+
+def observe_arrivals(stream: DataFrame, ts: str, name: str = "arrivals") -> DataFrame:
+    """``stream`` with its row count and newest time observed per micro batch."""
+    return stream.observe(name, F.count(F.lit(1)).alias("rows"), F.max(F.unix_micros(ts)).alias("newest_us"))
+
+
 def newest_rows(updates: DataFrame, keys: list[str]) -> DataFrame:
     """Last version of every row an update-mode stream has written."""
     cols = [c for c in updates.columns if c not in (*keys, "batch", "part")]

@@ -1,6 +1,7 @@
 """Streams: late rows, restarts, repeated batches, bounded runs."""
 
 import json
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -30,6 +31,38 @@ def test_late_rows_are_dropped_after_the_watermark(spark, tmp_path):
     assert dropped == 1
 
 
+def test_watermark_log(spark, tmp_path):
+    """Late rows of one window and page count once; a run without late rows counts none; later runs are not mixed up."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "run")
+    with win.WatermarkLog(spark) as log:
+        def run():
+            stream = win.observe_arrivals(win.json_stream(spark, folder, win.PAGE_VIEW, 1), "event_time")
+            log.finished(win.run_available(win.tumbling_count(stream, "event_time", "page"), out))
+        put(spark, folder, [view("10:01"), view("10:40")])
+        run()
+        put(spark, folder, [view("10:02"), view("10:03"), view("10:02", "q"), view("10:36")])
+        put(spark, folder, [view("11:30")])
+        run()
+        put(spark, folder, [view("11:29"), view("11:00")])
+        run()
+    minute = lambda at: int(datetime.fromisoformat(f"2026-01-01T{at}:00+00:00").timestamp()) * 1_000_000
+    assert [tuple(r) for r in log.frame().orderBy("run").collect()] == [
+        (0, 2, minute("10:40"), minute("10:30"), 0), (1, 5, minute("11:30"), minute("11:20"), 2),
+        (2, 2, minute("11:29"), minute("11:20"), 1)]
+
+
+def test_watermark_log_adds_up_batches(spark):
+    log = win.WatermarkLog(spark)
+    assert log.frame().count() == 0
+    batch = lambda run, **more: {"runId": run, "stateOperators": [], **more}
+    log.add(batch("other", stateOperators=[{"numRowsDroppedByWatermark": 9}]))  # not observed: not ours
+    log.add(batch("a", observedMetrics={"arrivals": {"rows": 0, "newest_us": None}}))
+    for n in range(500):  # more than a query object remembers
+        log.add(batch("a", observedMetrics={"arrivals": {"rows": 2, "newest_us": 1000 - n}},
+                      eventTime={"watermark": "2026-01-01T00:00:00.000Z"}, stateOperators=[{"numRowsDroppedByWatermark": 1}]))
+    assert [tuple(r) for r in log.frame().collect()] == [(0, 1000, 1000, 1767225600000000, 500)]
+
+
 def test_update_and_complete_modes(spark, tmp_path):
     folder = str(tmp_path / "in")
     put(spark, folder, [view("10:01"), view("10:03"), view("10:40")])
