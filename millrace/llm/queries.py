@@ -13,7 +13,7 @@ from millrace.llm.html_text import main_texts
 from millrace.llm.language_id import held_out, predict_languages, train_dictionaries
 from millrace.llm.lexical import K as TOP, LOWER, TERM, UPPER, ranked_search
 from millrace.llm.line_dedup import drop_repeated_lines
-from millrace.llm.mixing import DIMENSIONS, TOPICS, WORD, Targets, sampling_table
+from millrace.llm.mixing import DIMENSIONS, TOPICS, WORD, Targets, UNREACHED, sampling_table
 from millrace.llm.packing import pack_documents
 from millrace.llm.quality import score_quality
 from millrace.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
@@ -52,7 +52,7 @@ def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _mixing_sql(rounds: int = 12) -> str:
-    """The same fit, one window per rescaling, written out."""
+    """The same fit and the same sizing, one window per rescaling, written out."""
     hits = ", ".join(" + ".join(f"(strlen(t) - strlen(replace(t, '{m}', ''))) // {len(m.encode())}" for m in marks)
                      + f" AS h{i}" for i, marks in enumerate(TOPICS.values()))
     best = "greatest(" + ", ".join(f"h{i}" for i in range(len(TOPICS))) + ")"
@@ -65,6 +65,20 @@ def _mixing_sql(rounds: int = 12) -> str:
             steps.append(f"w_{r}_{d} AS MATERIALIZED (SELECT * REPLACE (coalesce(round(weight * t_{d} * n_all / nullif("
                          f"sum(weight) OVER (PARTITION BY {d}), 0), 6), 0) AS weight) FROM {last})")
             last = f"w_{r}_{d}"
+    fitted, last = last, "wanted"
+    for r in range(rounds):
+        for d in DIMENSIONS:
+            lift = f"sum(want) OVER (PARTITION BY {d}) / nullif(sum(least(open, tokens::DOUBLE)) OVER (PARTITION BY {d}), 0)"
+            steps.append(f"o_{r}_{d} AS MATERIALIZED (SELECT * REPLACE (least(coalesce(round(open * ({lift}), 6), 0), "
+                         f"tokens * 1e6::DOUBLE) AS open) FROM {last})")
+            last = f"o_{r}_{d}"
+    sizing = f"""
+first_cells AS (SELECT *, sum(tokens) OVER cells AS there, sum(weight) OVER cells - {UNREACHED}::DOUBLE * n_all AS spare
+                FROM {fitted} WINDOW cells AS (ORDER BY weight / tokens DESC, {", ".join(DIMENSIONS)}
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+sized AS (SELECT *, least(min(CASE WHEN spare > 0 THEN there / spare END) OVER (), 1.0::DOUBLE) AS scale FROM first_cells),
+wanted AS MATERIALIZED (SELECT *, round(weight * scale, 6) AS want, round(weight * scale, 6) AS open FROM sized)"""
+    steps.insert(rounds * len(DIMENSIONS), sizing)
     natural = ", ".join(f"sum(tokens) OVER (PARTITION BY {d})::DOUBLE AS n_{d}" for d in DIMENSIONS)
     raw = ", ".join(f"pow(n_{d} / n_all, {power[d]}) AS r_{d}" for d in DIMENSIONS)
     scaled = ", ".join(f"round(r_{d} / sum(r_{d} * tokens / n_{d}) OVER (), 12) AS t_{d}" for d in DIMENSIONS)
@@ -79,7 +93,7 @@ n AS (SELECT *, sum(tokens) OVER ()::BIGINT AS n_all, {natural} FROM c),
 s AS (SELECT *, {raw} FROM n),
 fit AS MATERIALIZED (SELECT *, {scaled}, tokens::DOUBLE AS weight FROM s),
 {", ".join(steps)},
-p AS (SELECT source, lang, topic, round((weight / tokens) / max(weight / tokens) OVER (), 9) AS chance FROM {last}),
+p AS (SELECT source, lang, topic, round(least(open, tokens::DOUBLE) / tokens, 9) AS chance FROM {last}),
 o AS (SELECT doc_id, t, source, lang, topic, tokens,
              CASE WHEN tokens = 0 THEN 1.0 ELSE coalesce(chance, 0.0) END::DOUBLE AS probability
       FROM m LEFT JOIN p USING (source, lang, topic))
@@ -90,8 +104,7 @@ FROM o"""
 
 @query("op1_mixing", _mixing_sql())
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    # The SQL scales by the largest ratio, so that every target is met.
-    return sampling_table(table(spark, folder, "documents"), unreached=0).select(
+    return sampling_table(table(spark, folder, "documents")).select(
         "doc.doc_id", *DIMENSIONS, "tokens", "probability", "kept")
 
 
