@@ -32,6 +32,7 @@ SKETCH = 8
 CACHE_PIECES = 1_000_000
 CACHE_IDS = 8_000_000
 TEXT_BYTES = 1 << 20
+COMPARED = 1 << 14  # pieces whose bytes are laid side by side at a time
 
 # Fixed: how byte-level BPE files of this kind split a text into words.
 BYTE_LEVEL_SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -167,8 +168,11 @@ class TokenIds:
         length = stop - start
         wrong = self.byte_size[numbers] != length
         size = np.where(wrong, 0, length)
-        differ = np.flatnonzero(self.bytes[_ranges(self.byte_at[numbers], size)] != data[_ranges(start, size)])
-        wrong[np.searchsorted(np.cumsum(size), differ, side="right")] = True
+        for lo in range(0, len(size), COMPARED):
+            own = slice(lo, lo + COMPARED)
+            held = self.bytes[_ranges(self.byte_at[numbers[own]], size[own])]
+            differ = np.flatnonzero(held != data[_ranges(start[own], size[own])])
+            wrong[lo + np.searchsorted(np.cumsum(size[own]), differ, side="right")] = True
         for i in np.flatnonzero(wrong):
             piece = data[start[i]:stop[i]].tobytes()
             if piece not in self.odd:
@@ -199,7 +203,11 @@ class TokenIds:
         start = np.sort(np.concatenate([full, self._cuts(data, offsets)]))
         stop = np.append(start[1:], len(data))
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.powers[:len(data)], out=sums[1:])
+        own = sums[1:]
+        own += data
+        own += np.uint64(1)
+        own *= self.powers[:len(data)]
+        np.cumsum(own, out=own)
         hashes, first, inverse = np.unique((sums[stop] - sums[start]) * self.inverse[start], return_index=True,
                                            return_inverse=True)
         place = np.searchsorted(self.keys, hashes)
@@ -234,8 +242,12 @@ class Shard:
     def __init__(self, docs: list[np.ndarray]):
         n = self.n = len(docs)
         sizes = np.array([len(d) for d in docs])
-        term = np.concatenate(docs).astype(np.int64)
-        keys, tf = np.unique(term * n + np.repeat(np.arange(n), sizes), return_counts=True)
+        keys = np.concatenate(docs).astype(np.int64)
+        keys *= n
+        keys += np.repeat(np.arange(n), sizes)
+        keys.sort()
+        entry = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        tf, keys = np.diff(np.r_[entry, len(keys)]), keys[entry]
         term, self.doc = keys // n, (keys % n).astype(np.int32)
         first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
         df = np.diff(np.r_[first, len(term)])
