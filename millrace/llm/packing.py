@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -93,10 +94,8 @@ class TokenIds:
     """
 
     def __init__(self, path: str, end_id: int):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer, self.fast, self.end_id = Tokenizer.from_file(path), fast_encoder(path), end_id
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.path, self.fast, self.end_id = path, fast_encoder(path), end_id
+        self.added = [t["content"] for t in json.loads(open(path, encoding="utf-8").read())["added_tokens"]]
         self.line_feed = self._ids("\n")[0]
         self._grow(1 << 20)
         self._forget()
@@ -116,6 +115,13 @@ class TokenIds:
         base[0] = back[0] = 1
         self.powers, self.inverse = np.cumprod(base), np.cumprod(back)
 
+    @cached_property
+    def tokenizer(self):
+        """Loaded only where a text needs it: beside the fast encoder it would be a second copy of the vocabulary."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.path)
+
     def _ids(self, text: str) -> list[int]:
         if self.fast is None or any(t in text for t in self.added):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
