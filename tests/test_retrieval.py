@@ -1,5 +1,6 @@
 """Chunks, vectors and rankings: literal cases and brute force."""
 
+import hashlib
 import math
 import random
 import re
@@ -234,3 +235,18 @@ def test_query_and_passage_vectors_differ(spark):
     encoder = ch.hashed_bag_encoder(32)
     a, b = (ch.embed_rows(df, "t", encoder, is_query=x).first()["vector"] for x in (True, False))
     assert a != b
+
+
+def test_embed_rows_near_a_cut(spark, tmp_path):
+    """12 of a length whose square is 24395 are 8.00000003 hundredths after the offset; single precision made 7 of it."""
+    from millrace.plans.retrieval import embed_rows
+
+    slot = lambda w: int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 64
+    words = {slot("passage:"): "passage:"}
+    for i in range(100):
+        words.setdefault(slot(f"w{i}"), f"w{i}")
+    a, b, c = [w for w in words.values() if w != "passage:"][:3]
+    text = " ".join([a] * 12 + [b] * 155 + [c] * 15)
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["slot"]: r["weight"] for r in embed_rows(spark, str(tmp_path)).collect()}
+    assert found[slot(a)] == 8
