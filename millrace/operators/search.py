@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.functions.jsonx import once
 from millrace.functions.vectors import cosine, squared_distance
-from millrace.operators.running import hinted
+from millrace.operators.running import hinted, row_bytes
 from millrace.session import scratch_dir, stage_table
 
 # Constants of the keyword score, chosen here and stated in the README.
@@ -24,6 +24,7 @@ QUERY_BLOCK = 512
 CELL_FILE_ROWS = 500_000
 CHUNK_BYTES = 4 << 20
 BROADCAST_BYTES = 64 << 20
+PIECE_PAIRS = 1_000_000
 
 
 def top_k(scored: DataFrame, query: str, ident: str, score: str, k: int) -> DataFrame:
@@ -40,15 +41,24 @@ def bm25_search(docs: DataFrame, queries: DataFrame, ident: str, tokens: str, qu
     documents in a map-side join, so a word found everywhere is not gathered in one task. Every
     document also counts one empty word, which carries the collection's size through the same
     shuffle: the texts are read and split once.
+
+    The words found are dealt by document. While the questions fit a broadcast, their scores are then added up and cut
+    to ``k`` in place, and the pieces are so many that one meets at most ``PIECE_PAIRS`` pairs of question and document.
     """
     asked = queries.select(query, F.explode(F.array_distinct(terms)).alias("term"))
-    n_asked = asked.count()
+    sizes = asked.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(query).alias("queries")).first()
+    n_asked = sizes["rows"]
+    pieces = []  # as many as the planner thinks right, where the questions do not fit
+    if n_asked * (row_bytes(asked) + 32) <= BROADCAST_BYTES:
+        pieces = [max(docs.sparkSession.sparkContext.defaultParallelism,
+                      math.ceil(docs.count() * sizes["queries"] / PIECE_PAIRS))]
     words = hinted(queries.select(F.explode(F.concat(terms, F.array(F.lit("")))).alias("term")).distinct(), n_asked)
     split = once(docs.select(ident, tokens), "_t", F.concat(tokens, F.array(F.lit("")))).withColumn(
         "_len", F.size("_t") - 1)
     found = (
         split.select(ident, "_len", F.explode_outer("_t").alias("term"))
         .join(words, "term", "left_semi")
+        .repartition(*pieces, ident)
         .groupBy(ident, "_len", "term").agg(F.count(F.lit(1)).alias("_tf"))
     )
     spread = found.groupBy("term").agg(

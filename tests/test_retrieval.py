@@ -250,3 +250,17 @@ def test_embed_rows_near_a_cut(spark, tmp_path):
     spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     found = {r["slot"]: r["weight"] for r in embed_rows(spark, str(tmp_path)).collect()}
     assert found[slot(a)] == 8
+
+
+def test_bm25_pieces_follow_the_pairs(spark, monkeypatch):
+    """The pairs of question and document are added up where the words were dealt to, in pieces of bounded size."""
+    docs = spark.range(400).select(F.col("id").alias("d"), F.array(F.lit("x"), F.concat(F.lit("y"), F.col("id") % 7)).alias("t"))
+    asked = spark.range(10).select(F.col("id").alias("q"), F.array(F.lit("x"), F.concat(F.lit("y"), "id")).alias("w"))
+    whole = se.bm25_search(docs, asked, "d", "t", "q", "w", 5)
+    monkeypatch.setattr(se, "PIECE_PAIRS", 100)
+    cut = se.bm25_search(docs, asked, "d", "t", "q", "w", 5)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"RepartitionByExpression \[d#\d+L\], 40", plan)
+    physical = cut._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning\(q#\d+L, d#\d+L", physical)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.collect()))
