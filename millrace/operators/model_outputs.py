@@ -65,6 +65,7 @@ def tx_validate_dlq(df: DataFrame, index: str, text: str, heal: bool = True) ->
     return good, bad
 
 
+CUSTOMER = ("customer_id", "email", "membership")
 ITEMS = "array<struct<item_id:variant,price:string,quantity:string,qty:string>>"
 
 
@@ -92,9 +93,12 @@ def _text_of(variant: Column) -> Column:
     return F.when(F.schema_of_variant(variant) == "STRING", F.try_variant_get(variant, "$", "string"))
 
 
-def _text_at(v: Column, *places: str) -> Column:
-    """The text at the first of ``places`` that is there; null when that is no JSON string."""
-    return _text_of(F.coalesce(*[F.try_variant_get(v, f"$.{p}", "variant") for p in places]))
+def _texts_at(df: DataFrame, v: str, name: str, places: dict[str, list[str]]) -> DataFrame:
+    """``df`` with a struct ``name`` of texts, each from the first of its ``places`` that is there; null when that is no
+    JSON string. The places are looked up once, although kind and text are both read."""
+    first = F.struct(*[F.coalesce(*[F.try_variant_get(F.col(v), f"$.{p}", "variant") for p in at]).alias(n)
+                       for n, at in places.items()])
+    return once(once(df, "_first", first), name, F.struct(*[_text_of(F.col(f"_first.{n}")).alias(n) for n in places])).drop("_first")
 
 
 def _items(v: Column, renamed: bool = False) -> Column:
@@ -105,10 +109,13 @@ def _items(v: Column, renamed: bool = False) -> Column:
 
 def _costs(items: Column) -> Column:
     """Price times quantity of every item, null where an item breaks its contract."""
+    def read(i: Column) -> Column:
+        return F.struct(i["item_id"].isNotNull().alias("known"), number(i["price"]).alias("price"),
+                        whole_number(i["quantity"]).alias("quantity"))
+
     def cost(i: Column) -> Column:
-        price, quantity = number(i["price"]), whole_number(i["quantity"])
-        return F.when(i["item_id"].isNotNull() & (price > 0) & (quantity > 0), price * quantity)
-    return F.transform(items, cost)
+        return F.when(i["known"] & (i["price"] > 0) & (i["quantity"] > 0), i["price"] * i["quantity"])
+    return F.transform(F.transform(items, read), cost)
 
 
 def order_violations(o: Column, costs: Column) -> Column:
@@ -130,13 +137,19 @@ def order_violations(o: Column, costs: Column) -> Column:
 
 def order_contract(df: DataFrame, text: str) -> DataFrame:
     """Parsed order and its violations, per JSON text."""
+    places = {"order_id": ["order_id"]} | {n: [f"customer.{n}"] for n in CUSTOMER}
+    return _judged(_ordered(df, text, "order", places, False), "order")
+
+
+def _ordered(df: DataFrame, text: str, name: str, places: dict[str, list[str]], renamed: bool) -> DataFrame:
+    """``df`` with the order of a JSON text in the contract's shape, texts taken from ``places``."""
     v = F.col("_v")
+    found = _texts_at(once(df, "_v", parsed(text)), "_v", "_texts", places)
     order = F.struct(
-        _text_at(v, "order_id").alias("order_id"),
-        F.struct(*[_text_at(v, f"customer.{n}").alias(n) for n in ("customer_id", "email", "membership")]).alias("customer"),
-        _items(v).alias("items"), field(v, "total_amount").alias("total_amount"),
+        F.col("_texts.order_id").alias("order_id"), F.struct(*[F.col(f"_texts.{n}").alias(n) for n in CUSTOMER]).alias("customer"),
+        _items(v, renamed).alias("items"), field(v, "total_amount").alias("total_amount"),
         field(v, "order_date").alias("order_date"))
-    return _judged(once(once(df, "_v", parsed(text)), "order", order).drop("_v"), "order")
+    return once(found, name, order).drop("_v", "_texts")
 
 
 def _judged(df: DataFrame, name: str) -> DataFrame:
@@ -155,13 +168,7 @@ ALIASES = {
 
 def drift_normalise(df: DataFrame, text: str, name: str = "order") -> DataFrame:
     """Orders with renamed or flattened fields, mapped back to the contract's shape by fixed aliases."""
-    v = F.col("_v")
-    found = {name: _text_at(v, *places) for name, places in ALIASES.items()}
-    customer = F.struct(*[found[n].alias(n) for n in ("customer_id", "email", "membership")])
-    order = F.struct(
-        found["order_id"].alias("order_id"), customer.alias("customer"), _items(v, renamed=True).alias("items"),
-        field(v, "total_amount").alias("total_amount"), field(v, "order_date").alias("order_date"))
-    return _judged(once(once(df, "_v", parsed(text)), name, order).drop("_v"), name)
+    return _judged(_ordered(df, text, name, ALIASES, True), name)
 
 
 def analysis_violations(v: Column) -> Column:

@@ -8,7 +8,7 @@ from millrace.functions.jsonpaths import json_flatten
 from millrace.functions.jsonx import heal_json_text
 from millrace.operators import model_outputs as mo, quality as q
 from millrace.plans.registry import EVENTS_SQL, events, query
-from millrace.sources.tables import spread, table
+from millrace.sources.tables import TASK_BYTES, spread, table
 
 ID = "event_id"
 
@@ -82,7 +82,7 @@ def transaction_contract(spark, d):
     text = pick(k, 6, {
         1: obj(user_id=user, amount=quoted(whole)), 2: obj(user_id=user, amount=F.concat(whole, F.lit(".5"))),
         3: F.lit('{"user_id": "u1", "amount"'), 4: obj(user_id=user, amount="true")}, obj(user_id=user, amount=whole))
-    out = _listed(q.transaction_contract(spread(table(spark, d, "orders")).select(k, text.alias("value"))))
+    out = _listed(q.transaction_contract(spread(table(spark, d, "orders"), TASK_BYTES).select(k, text.alias("value"))))
     return out.select(k, F.coalesce("amount", F.lit(-1)).alias("amount"), "violations")
 
 
@@ -199,7 +199,7 @@ def json_flatten_query(spark, d):
     deep = obj(status=quoted(F.col("o_orderstatus")), none="null")
     many = F.concat(F.lit("["), quoted(F.col("o_orderpriority")), F.lit(',{"flag":true},{},[]]'))
     text = obj(info=obj(id=F.col("o_custkey").cast("string"), deep=deep), list=F.when(k % 3 == 0, "[]").otherwise(many))
-    rows = spread(table(spark, d, "orders")).select(k, text.alias("value"))
+    rows = spread(table(spark, d, "orders"), TASK_BYTES).select(k, text.alias("value"))
     return json_flatten(rows, "o_orderkey", "value")
 
 
@@ -216,7 +216,7 @@ def _answers(spark, d):
         4: tx(amount=quoted(F.concat(whole, F.lit(".5"))), currency='"eur"'),
         5: tx(amount=F.concat(F.lit("-"), whole)), 6: tx(user_id='"guest_user"', currency='"XYZ"'),
         7: F.lit("I could not find any transaction.")}, tx())
-    return spread(table(spark, d, "events")).select(ID, text.alias("answer"))
+    return spread(table(spark, d, "events"), TASK_BYTES).select(ID, text.alias("answer"))
 
 
 @query("llm_json_heal", """
@@ -281,7 +281,7 @@ def _order_texts(spark, d):
         4: order(customer={"customer_id": quoted(F.concat(F.lit("C"), "l_suppkey")),
                            "customer_email": '"mona@mail.example"', "customer_membership": '"Guest"'}),
         5: order(total="1.0"), 6: F.lit('{"order_id": ')}, order())
-    return spread(table(spark, d, "lineitem")).select("l_orderkey", "l_linenumber", "l_partkey", text.alias("value"))
+    return spread(table(spark, d, "lineitem"), TASK_BYTES).select("l_orderkey", "l_linenumber", "l_partkey", text.alias("value"))
 
 
 ALL_FIELDS = "order_id,customer.customer_id,customer.email,customer.membership,items,total_amount,order_date"
@@ -319,7 +319,7 @@ def first_valid_wins(spark, d):
     costly = pick(ID, 4, {3: F.lit("no answer")}, good)
     call = lambda tier, out, t_in, t_out: F.struct(
         F.lit(tier).alias("tier"), out.alias("output"), t_in.cast("long").alias("t_in"), F.lit(t_out).cast("long").alias("t_out"))
-    calls = spread(table(spark, d, "events")).select(ID, F.explode(F.array(
+    calls = spread(table(spark, d, "events"), TASK_BYTES).select(ID, F.explode(F.array(
         call("cheap", cheap, F.lit(120), 80), call("expensive", costly, 200 + F.col(ID) % 50, 120))).alias("c")).select(ID, "c.*")
     out = mo.first_valid_wins(calls, "event_id", "tier", "output", "t_in", "t_out")
     return out.select(ID, F.coalesce("winner", F.lit("none")).alias("winner"), F.round("cost", 9).alias("cost"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import model_outputs as mo, relational as rel
 from millrace.plans.registry import EVENTS_SQL, events, query
-from millrace.sources.tables import spread, table
+from millrace.sources.tables import TASK_BYTES, spread, table
 
 # Customers know their nation, except every seventh; every tenth has a second, later row elsewhere.
 USERS_SQL = """
@@ -185,7 +185,7 @@ def order_totals(spark, d):
     item = F.struct(F.col("l_extendedprice").cast("string").alias("price"),
                     F.col("l_quantity").cast("string").alias("quantity"))
     handling = F.struct(F.lit("2.5").alias("price"), F.col("l_linenumber").cast("string").alias("quantity"))
-    orders = spread(table(spark, d, "lineitem")).select(
+    orders = spread(table(spark, d, "lineitem"), TASK_BYTES).select(
         F.struct(level.alias("membership")).alias("customer"), F.array(item, handling).alias("items"))
     return rel.order_totals(orders).withColumn("total_revenue", F.round("total_revenue", 0))
 
