@@ -7,6 +7,7 @@ import re
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -264,3 +265,15 @@ def test_bm25_pieces_follow_the_pairs(spark, monkeypatch):
     physical = cut._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"Exchange hashpartitioning\(q#\d+L, d#\d+L", physical)
     assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_recursive_chunks_unpack_few_texts_at_a_time(spark):
+    texts = pa.array(["x" * 10_000] * 1000 + [None, ""])
+    parts = list(ch.text_slices(texts))
+    assert max(p.nbytes for p in parts) <= 1.1 * ch.SLICE_BYTES and sum(map(len, parts)) == len(texts)
+    assert list(ch.text_slices(texts.slice(0, 0))) == []
+    rows = spark.range(600).select("id", F.when(F.col("id") % 5 > 0, F.repeat(F.lit("ab cd\n"), 2000)).alias("t")).coalesce(1)
+    out = rows.select("id", ch.recursive_chunks("t").alias("p")).collect()
+    text = "ab cd\n" * 2000
+    want = [(a, text[a:b]) for a, b in ch.cut_points(text, ch.RECURSIVE_SIZE, ch.RECURSIVE_OVERLAP)]
+    assert all([tuple(p) for p in r["p"]] == (want if r["id"] % 5 else []) for r in out) and len(out) == 600
