@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.chains import follow
-from millrace.operators.running import hinted
+from millrace.operators.running import hinted, shuffled
 from millrace.session import scratch_dir, stage_table
 
 BUCKET_ROWS, MOST_BUCKETS = 1_000_000, 1024  # edges of a bucket; what a round names of its frontier
@@ -55,8 +55,8 @@ def topo_levels(edges: DataFrame, nodes: DataFrame | None = None, node: str = "n
 
     # Edges between anchors: a parent is an anchor itself or hangs below one.
     several = parents.where("n > 1").select("node", "n")
-    up = links.join(several.select("node"), "node", "left_semi").join(
-        below.select(F.col("node").alias("parent"), "head", "distance"), "parent", "left").select(
+    up = links.join(shuffled(several.select("node")), "node", "left_semi").join(
+        shuffled(below.select(F.col("node").alias("parent"), "head", "distance")), "parent", "left").select(
         F.coalesce("head", "parent").alias("anchor"), "node", (F.coalesce("distance", F.lit(0)) + 1).alias("weight"))
     path = scratch_dir(spark, "anchor-edges")
     waiting, n_edges = several.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -67,7 +67,7 @@ def topo_levels(edges: DataFrame, nodes: DataFrame | None = None, node: str = "n
 
     # Each round leaves the nodes that it touched; those with nothing missing are placed.
     rounds, schema = scratch_dir(spark, "levels"), f"node {kind}, missing long, level long"
-    roots = every.join(parents.select("node"), "node", "left_anti")
+    roots = every.join(shuffled(parents.select("node")), "node", "left_anti")
     roots.select("node", F.lit(0).cast("long").alias("missing"), F.lit(0).cast("long").alias("level")).write.parquet(
         f"{rounds}/round=0")
     partial, turn = spark.createDataFrame([], schema), 0
@@ -85,14 +85,14 @@ def topo_levels(edges: DataFrame, nodes: DataFrame | None = None, node: str = "n
         turn += 1
         news = stored.where(F.col("bucket").isin(here["in"])).join(hinted(frontier, here["n"]), "anchor").groupBy("node").agg(
             F.sum("n").alias("got"), F.max(F.col("level") + F.col("weight")).alias("high"))
-        news.join(several, "node").join(partial, "node", "left").select(
+        news.join(shuffled(several), "node").join(shuffled(partial), "node", "left").select(
             "node", (F.coalesce("missing", "n") - F.col("got")).alias("missing"),
             F.greatest("high", F.coalesce("level", F.lit(0))).alias("level")).write.parquet(f"{rounds}/round={turn}")
         touched = spark.read.schema(schema).parquet(f"{rounds}/round={turn}")
-        partial = stage_table(partial.join(touched.select("node"), "node", "left_anti").unionByName(
+        partial = stage_table(partial.join(shuffled(touched.select("node")), "node", "left_anti").unionByName(
             touched.where("missing > 0")), "partial")
 
     anchors = spark.read.schema(schema).parquet(rounds).where("missing = 0").select("node", "level")
-    hanging = below.join(anchors.select(F.col("node").alias("head"), "level"), "head").select(
+    hanging = below.join(shuffled(anchors.select(F.col("node").alias("head"), "level")), "head").select(
         "node", (F.col("level") + F.col("distance")).alias("level"))
     return anchors.unionByName(hanging).select(F.col("node").alias(node), F.col("level").cast("int").alias("level"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.functions.jsonx import once
 from millrace.operators.chains import follow
+from millrace.operators.running import shuffled
 from millrace.session import stage_table
 
 FIRST = ""  # stands for the cursor of the first page, which has none
@@ -35,11 +36,12 @@ def chain_places(pages: DataFrame) -> DataFrame:
     loop = found.where(F.col("head").isNull()).limit(1).collect()
     if loop:
         raise BrokenChain(f"page {loop[0]['node']} lies on a loop or behind one")
-    heads = pages.select("page").join(before.select("page"), "page", "left_anti").limit(2).collect()
+    heads = pages.select("page").join(shuffled(before.select("page")), "page", "left_anti").limit(2).collect()
     if len(heads) > 1:
         first = sorted((r["page"] for r in heads), key=lambda p: (p != FIRST, p))
         raise BrokenChain(f"no chain that starts at the first page reaches page {first[1]}")
-    return pages.select("page").join(found.select(F.col("node").alias("page"), "distance"), "page", "left").select(
+    return pages.select("page").join(
+        shuffled(found.select(F.col("node").alias("page"), "distance")), "page", "left").select(
         "page", F.coalesce("distance", F.lit(0)).alias("place"))
 
 
@@ -59,7 +61,7 @@ def page_payload_ingest(pages: DataFrame, cursor: str, payload: str, record: str
         F.get_json_object(payload, f"$.{next_key}").alias("_next"),
         F.from_json(F.get_json_object(payload, f"$.{records_key}"), record).alias("_records"))
     asked = read.where((F.col("_next").isNotNull()) & (F.col("_next") != "")).select(F.col("_next").alias("page"))
-    lost = asked.join(read.select("page"), "page", "left_anti").limit(1).collect()
+    lost = asked.join(shuffled(read.select("page")), "page", "left_anti").limit(1).collect()
     if lost:
         raise MissingPage(f"page {lost[0]['page']} was announced but never arrived")
     places = chain_places(read.select("page", F.when(F.col("_next") != "", F.col("_next")).alias("next")))
@@ -67,7 +69,7 @@ def page_payload_ingest(pages: DataFrame, cursor: str, payload: str, record: str
     if dedup_on:
         known = F.col(f"r.{dedup_on}").isNotNull()
         nth = F.row_number().over(W.partitionBy(f"r.{dedup_on}").orderBy("place", "_pos"))
-        first = rows.where(known).join(places, "page").withColumn("_nth", nth).where(F.col("_nth") == 1)
+        first = rows.where(known).join(shuffled(places), "page").withColumn("_nth", nth).where(F.col("_nth") == 1)
         rows = rows.where(~known).select("page", "r").union(first.select("page", "r"))
     return rows.select(F.when(F.col("page") != FIRST, F.col("page")).alias("page"), "r.*")
 

@@ -91,3 +91,23 @@ def test_a_page_landed_twice(spark):
     chain = [(None, "a"), ("a", None)]
     out = pay.page_payload_ingest(landed(spark, chain + chain[1:], {"a": [{"id": 1}]}), "cursor", "body")
     assert out.where(F.col("id") == 1).count() == 1
+
+
+def test_rounds_send_nothing_through_the_driver(spark, monkeypatch):
+    """Joins of the rounds are shuffled although these tables are small enough for the planner to broadcast."""
+    from millrace.operators import chains, graph
+
+    plans, stage = [], chains.stage_table
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, label)
+
+    for module in (chains, graph):
+        monkeypatch.setattr(module, "stage_table", seen)
+    links = spark.range(1, 9).selectExpr("id AS node", "id - 1 AS up")
+    assert {r["node"]: r["distance"] for r in chains.follow(links).collect()} == {i: i for i in range(1, 9)}
+    edges = spark.range(2, 40).selectExpr("id AS node", "explode(array(id div 2, id div 3)) AS parent")
+    levels = graph.topo_levels(edges)
+    assert levels.count() == 40
+    assert "BroadcastExchange" not in "".join(plans)
