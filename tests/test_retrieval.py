@@ -277,3 +277,50 @@ def test_recursive_chunks_unpack_few_texts_at_a_time(spark):
     text = "ab cd\n" * 2000
     want = [(a, text[a:b]) for a, b in ch.cut_points(text, ch.RECURSIVE_SIZE, ch.RECURSIVE_OVERLAP)]
     assert all([tuple(p) for p in r["p"]] == (want if r["id"] % 5 else []) for r in out) and len(out) == 600
+
+
+def word_counts(texts, dim):
+    """Hashed counts, word by word."""
+    out = np.zeros((len(texts), dim))
+    for i, t in enumerate(texts):
+        for w in t.lower().split():
+            out[i, int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dim] += 1
+    return out
+
+
+def test_encoder_hashes_each_distinct_word_once(monkeypatch):
+    """Also words parted by any Unicode blank, empty texts and no texts at all."""
+    hashed = []
+    monkeypatch.setattr(ch.hashlib, "md5", lambda b, md5=hashlib.md5: hashed.append(b) or md5(b))
+    blanks = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+    texts = ["", " ", "The theİ x", *[f"{b}a{b}{b}B x{b}" for b in blanks], "w" * 5000]
+    got = ch.hashed_bag_encoder(16, unit=False)(texts)
+    assert sorted(hashed).count(b"x") == 1 and len(hashed) <= 7
+    monkeypatch.undo()
+    assert (got == word_counts(texts, 16)).all() and ch.hashed_bag_encoder(16)([]).shape == (0, 16)
+
+
+def test_neighbours_are_compared_in_batches(spark):
+    """No lambda runs per part of a vector; results equal ``cosine``, nulls and zero vectors included."""
+    rng = random.Random(8)
+    rows = [(i // 40, i, f"s{i}", None if i % 17 == 0 else [0.0] * 3 if i % 13 == 0 else
+             [None if i % 29 == 0 and j == 1 else rng.random() for j in range(3)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc int, pos int, s string, v array<float>")
+    numbered = ch.number_semantic_chunks(df, "doc", "pos", "v", 0.8)
+    assert "zip_with" not in numbered._jdf.queryExecution().optimizedPlan().toString()
+    pairs = spark.createDataFrame([(a[3], b[3]) for a, b in zip(rows, rows[1:])], "a array<float>, b array<float>")
+    near = pairs.select(F.arrow_udf(ch.paired_cosine, "double")("a", "b").alias("got"), cosine("a", "b").alias("want")).collect()
+    assert [r["got"] for r in near] == [r["want"] for r in near] and any(r["got"] for r in near)
+    cuts = [1 if i % 40 == 0 or near[i - 1]["want"] is None or near[i - 1]["want"] < 0.8 else 0 for i in range(200)]
+    want = [sum(cuts[i - i % 40:i + 1]) for i in range(200)]
+    assert [r["chunk_index"] for r in numbered.orderBy("pos").collect()] == want
+
+
+def test_texts_are_tokenized_after_the_shuffle(spark):
+    """The shuffle that finds equal pieces carries each text once."""
+    kinds = ", ".join(f"{c} string" for c in ("issue_id", "speech_id", "speaker", "date", "name_of_meeting", "speech"))
+    built = ch.build_chunks(spark.createDataFrame([("M1", "M1-1", "s", "d", "n", "The cat sat.")], kinds), ch.hashed_bag_encoder(8))
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange hashpartitioning(chunk_id"):]
+    assert "regexp_extract_all" in plan and "regexp_extract_all" not in below
+    assert [r["content_tokenized"] for r in built.collect()] == ["cat sat"]
