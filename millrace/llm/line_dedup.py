@@ -27,6 +27,7 @@ SIMILARITY = 0.8
 BROADCAST_BYTES = 32 << 20
 # Seven counters of nine bits side by side in one number; they hold the votes of 255 words.
 LANE, SEGMENT_WORDS = 9, 255
+STEP = 5  # words whose votes are added up before they are aggregated; divides SEGMENT_WORDS
 ONES = sum(1 << at for at in range(0, BITS - LANE + 1, LANE))
 
 
@@ -40,9 +41,10 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def votes(word_hash: Column) -> list[Column]:
-    """Sums over word hashes: counter ``j`` of sum ``k`` counts bit ``k + LANE * j``."""
-    return [F.sum(F.shiftrightunsigned(word_hash, k).bitwiseAND(F.lit(ONES))).alias(f"s{k}") for k in range(LANE)]
+def votes(*hashes: Column) -> list[Column]:
+    """Sums over the word hashes of a row: counter ``j`` of sum ``k`` counts bit ``k + LANE * j``."""
+    return [F.sum(sum((F.shiftrightunsigned(h, k).bitwiseAND(F.lit(ONES)) for h in hashes[1:]),
+                      F.shiftrightunsigned(hashes[0], k).bitwiseAND(F.lit(ONES)))).alias(f"s{k}") for k in range(LANE)]
 
 
 def majority(n: Column) -> Column:
@@ -63,16 +65,22 @@ def line_segments(docs: DataFrame) -> DataFrame:
     doc_id, text_key, line_no (from 0), key (of the normalised line), segment, n and either fp, for a line of
     one segment, or the sums ``s0 ..``.
     """
-    own = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split(
-        F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
+    # The text is hashed below the generator, once and not for each of its lines.
+    own = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").select(
+        "doc_id", "text_key", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
     # Behind a generator the normalised line is computed once, however often it is read.
     normal = own.select("doc_id", "text_key", "line_no", F.explode(F.array(normalise(F.col("line")))).alias("normal"))
     keyed = normal.where(F.col("normal") != "").select(
         "doc_id", "text_key", "line_no", F.unhex(F.md5("normal")).alias("key"), F.split("normal", " ").alias("words"))
-    words = keyed.select("doc_id", "text_key", "line_no", "key", F.posexplode("words").alias("at", "word"))
+    # A row of the aggregation holds ``STEP`` words; a hash of 0 has no votes.
+    steps = keyed.select("*", F.size("words").alias("size")).select("*", F.explode(F.sequence(
+        F.lit(0), F.col("size") - 1, F.lit(STEP))).alias("at"))
+    words = steps.select("doc_id", "text_key", "line_no", "key", "at", F.least(F.lit(STEP), F.col("size") - F.col("at")).alias("held"), *[
+        F.when(F.col("at") + i < F.col("size"), F.xxhash64(F.get("words", F.col("at") + i))).otherwise(F.lit(0)).alias(f"h{i}")
+        for i in range(STEP)])
     segment = F.expr(f"at div {SEGMENT_WORDS}").alias("segment")
     summed = words.groupBy("doc_id", "text_key", "line_no", "key", segment).agg(
-        F.count(F.lit(1)).alias("n"), *votes(F.xxhash64("word")))
+        F.sum("held").alias("n"), *votes(*[F.col(f"h{i}") for i in range(STEP)]))
     alone = (F.col("segment") == 0) & (F.col("n") < SEGMENT_WORDS)
     return summed.select("doc_id", "text_key", "line_no", "key", "segment", "n", F.when(alone, majority(F.col("n")))
                          .alias("fp"), *[F.when(~alone, F.col(f"s{k}")).alias(f"s{k}") for k in range(LANE)])
@@ -144,12 +152,15 @@ def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, similarity: f
         return None
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     places = stage_table(lines.join(keys, "key", "left_semi").select("key", "first.*"), "places")
-    where = places.select("key", "line_no", F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"))
+    where = places.groupBy(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).agg(
+        F.collect_list(F.struct("key", "line_no")).alias("asked"))
     own = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     found = own.join(_small(where, places.count(), 96), own["doc_id"].eqNullSafe(F.col("_doc")) &
                      (own["text_key"] == F.col("_key")))
-    line = F.get(F.split("text", "\n"), F.col("line_no"))
-    texts = stage_table(found.select("key", _word_codes(line).alias("codes")).dropDuplicates(["key"]), "codes")
+    # A text is split once, below the generator, however many of its lines are asked for.
+    lines_of = found.select(F.split("text", "\n").alias("split"), "asked").select("split", F.explode("asked").alias("at"))
+    line = F.get("split", F.col("at.line_no"))
+    texts = stage_table(lines_of.select("at.key", _word_codes(line).alias("codes")).dropDuplicates(["key"]), "codes")
     a = texts.select(F.col("key").alias("a"), F.col("codes").alias("codes_a"))
     b = texts.select(F.col("key").alias("b"), F.col("codes").alias("codes_b"))
     most = most_edits(F.greatest(F.length("codes_a"), F.length("codes_b")), similarity)

@@ -133,3 +133,12 @@ def test_odd_rows(spark):
     assert left.columns == df.columns
     assert sorted(str(r["doc_id"]) for r in left.collect()) == sorted(["1", "2", "3", "4", "5", "5", "6", "7", "None"])
     assert drop_repeated_lines(frame(spark, [])).count() == 0
+
+
+def test_a_text_is_hashed_once_and_words_are_aggregated_in_steps(spark):
+    """The hash of the whole text lies below the generator of its lines, and a row of the aggregation holds several words."""
+    docs = spark.createDataFrame([(1, "\n".join(f"w{i} x y z u v" for i in range(50)))], "doc_id long, text string")
+    plan = line_segments(docs)._jdf.queryExecution().optimizedPlan().toString()
+    lines = [i for i, line in enumerate(plan.splitlines()) if "Generate posexplode" in line]
+    assert lines and all("xxhash64(text" not in line for line in plan.splitlines()[:max(lines) + 1])
+    assert "xxhash64(text" in plan and "posexplode(words" not in plan
