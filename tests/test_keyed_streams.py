@@ -4,6 +4,7 @@ import json
 import random
 import time
 
+import pandas as pd
 import pytest
 
 from millrace.streaming import keyed, sinks, windows as win
@@ -125,3 +126,39 @@ def rows_of_column(spark, path):
 def test_processors_travel(processor):
     from pyspark import cloudpickle
     assert vars(cloudpickle.loads(cloudpickle.dumps(processor))) == vars(processor)
+
+
+class Held:
+    """One value or list of the store."""
+
+    def __init__(self):
+        self.now = None
+
+    def get(self):
+        return self.now
+
+    def update(self, value):
+        self.now = value
+
+    put = update
+
+
+def test_keys_without_a_result_give_no_frame():
+    """Rows come in several frames and out of order; an empty frame for each silent key would cost as much as a full one."""
+    frames = lambda *parts: iter([pd.DataFrame(p, columns=["t", "s"]) for p in parts])
+    sessions = keyed.ArrivalSessions("k", "t", ["s"], 5)
+    sessions.open = Held()
+    assert list(sessions.handleInputRows(("a",), frames([(3, 2)], [(1, 1)]), None)) == []
+    assert sessions.open.now == (1, 3, 2)
+    out, = sessions.handleInputRows(("a",), frames([(30, 4), (4, 3)]), None)
+    assert out.values.tolist() == [["a", 1, 4, 3]] and sessions.open.now == (30, 30, 1)
+    by_name = keyed.ArrivalSessions("k", "t", ["s"], 5)
+    by_name.open = Held()
+    out, = by_name.handleInputRows((None,), frames([(9, "b")], [(1, "a")], [(2, None)]), None)
+    assert out.values.tolist() == [[None, 1, 1, 1]] and by_name.open.now == (9, 9, 2)
+    counts = keyed.RecentCount("k", "t", "s", 10, threshold=3)
+    counts.recent = Held()
+    counts.recent.now = []
+    assert list(counts.handleInputRows(("a",), frames([(3, 2)], [(1, 1)]), None)) == []
+    out, = counts.handleInputRows(("a",), frames([(20, 9), (4, 5)]), None)
+    assert out.values.tolist() == [["a", 4, 5, 3]] and counts.recent.now == [(20, 1)]
