@@ -31,9 +31,9 @@ STEP = 5  # words whose votes are added up before they are aggregated; divides S
 ONES = sum(1 << at for at in range(0, BITS - LANE + 1, LANE))
 
 
-def normalise(line: Column) -> Column:
-    """Runs of letters and digits in lower case, one blank between them."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+def normalised_words(line: Column) -> Column:
+    """The runs of letters and digits in lower case; joined by blanks they are the normalised line."""
+    return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+"), "")
 
 
 def _let(value: Column, body) -> Column:
@@ -68,10 +68,10 @@ def line_segments(docs: DataFrame) -> DataFrame:
     # The text is hashed below the generator, once and not for each of its lines.
     own = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").select(
         "doc_id", "text_key", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
-    # Behind a generator the normalised line is computed once, however often it is read.
-    normal = own.select("doc_id", "text_key", "line_no", F.explode(F.array(normalise(F.col("line")))).alias("normal"))
-    keyed = normal.where(F.col("normal") != "").select(
-        "doc_id", "text_key", "line_no", F.unhex(F.md5("normal")).alias("key"), F.split("normal", " ").alias("words"))
+    # Behind a generator the words are computed once, however often they are read.
+    normal = own.select("doc_id", "text_key", "line_no", F.explode(F.array(normalised_words(F.col("line")))).alias("words"))
+    keyed = normal.where(F.size("words") > 0).select(
+        "doc_id", "text_key", "line_no", F.unhex(F.md5(F.array_join("words", " "))).alias("key"), "words")
     # A row of the aggregation holds ``STEP`` words; a hash of 0 has no votes.
     steps = keyed.select("*", F.size("words").alias("size")).select("*", F.explode(F.sequence(
         F.lit(0), F.col("size") - 1, F.lit(STEP))).alias("at"))
@@ -119,25 +119,30 @@ def near_fingerprints(fps: DataFrame, radius: int, blocks: int, similarity: floa
     Pairs whose word counts (between ``shortest`` and ``longest``) differ too much for ``similarity`` are left out.
     """
     chosen = masks(radius, blocks)
-    # One number names choice and bits: a single long sorts by radix. The exact test of the bits follows.
-    spread = fps.select("fp", "shortest", "longest", F.posexplode(F.array(*[
-        F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(chosen)])).alias("choice", "bucket"))
+    # Choice and 32 bits of a hash in one small number, which sorts by radix in few passes, and both word counts in
+    # another (a text has fewer than 2 ** 31 words). The exact test of the bits follows.
+    low = (1 << 32) - 1
+    spread = fps.select("fp", F.shiftleft(F.col("longest").cast("long"), 32).bitwiseOR(F.col("shortest")).alias("sizes"), F.explode(
+        F.array(*[F.xxhash64(F.col("fp").bitwiseAND(F.lit(m))).bitwiseAND(F.lit(low)).bitwiseOR(F.lit(i << 32))
+                  for i, m in enumerate(chosen)])).alias("bucket"))
     x, y = spread.alias("x"), spread.alias("y")
-    apart = F.col("x.fp").bitwiseXOR(F.col("y.fp"))
-    on = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.fp") < F.col("y.fp")) & (
-        F.bit_count(apart) <= radius) & (F.col("x.choice") == F.col("y.choice"))
+    apart, choice = F.col("x.fp").bitwiseXOR(F.col("y.fp")), F.shiftright("x.bucket", 32)
+    on = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.fp") < F.col("y.fp")) & (F.bit_count(apart) <= radius)
     for a, b in (("x", "y"), ("y", "x")):
-        on = on & (F.col(f"{a}.longest") >= F.col(f"{b}.shortest") - most_edits(F.col(f"{b}.shortest"), similarity))
-    for i, m in enumerate(chosen[:-1]):  # they meet in every choice they agree on; the first one counts
-        on = on & ((F.col("x.choice") <= i) | (apart.bitwiseAND(F.lit(m)) != 0))
+        shortest = F.col(f"{b}.sizes").bitwiseAND(F.lit(low))
+        on = on & (F.shiftright(f"{a}.sizes", 32) >= shortest - most_edits(shortest, similarity))
+    for i, m in enumerate(chosen):  # they meet in every choice they agree on; the first one counts
+        on = on & ((choice < i) | ((apart.bitwiseAND(F.lit(m)) == 0) == (choice == i)))
     return x.join(y, on).select(F.col("x.fp").alias("x"), F.col("y.fp").alias("y"))
 
 
 def _word_codes(line: Column) -> Column:
-    """A text with one character per word of the normalised line, so that edit distance counts words."""
-    words = F.split(normalise(line), " ")
-    code = F.transform(words, lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(0xF0000)) + 0x10000), 8, "0"))
-    return F.decode(F.unhex(F.array_join(code, "")), "UTF-32")
+    """A text with one character per word of the normalised line, so that edit distance counts words.
+
+    The codes have five hex digits each; with the zeros between and before them a character has eight.
+    """
+    code = F.transform(normalised_words(line), lambda w: F.hex(F.pmod(F.xxhash64(w), F.lit(0xF0000)) + 0x10000))
+    return F.decode(F.unhex(F.concat(F.lit("000"), F.array_join(code, "000"))), "UTF-32")
 
 
 def _small(df: DataFrame, rows: int, width: int) -> DataFrame:
@@ -145,13 +150,8 @@ def _small(df: DataFrame, rows: int, width: int) -> DataFrame:
     return F.broadcast(df) if rows * width <= BROADCAST_BYTES else df
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, similarity: float) -> DataFrame | None:
-    """The pairs ``(a, b)`` of line keys whose texts are similar enough; None when there are no pairs."""
-    pairs = stage_table(pairs, "pairs")
-    if pairs.isEmpty():
-        return None
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    places = stage_table(lines.join(keys, "key", "left_semi").select("key", "first.*"), "places")
+def _codes(places: DataFrame, docs: DataFrame) -> DataFrame:
+    """key and codes of the lines at ``places(key, doc_id, text_key, line_no)``, in one scan of ``docs``."""
     where = places.groupBy(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).agg(
         F.collect_list(F.struct("key", "line_no")).alias("asked"))
     own = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
@@ -160,7 +160,14 @@ def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, similarity: f
     # A text is split once, below the generator, however many of its lines are asked for.
     lines_of = found.select(F.split("text", "\n").alias("split"), "asked").select("split", F.explode("asked").alias("at"))
     line = F.get("split", F.col("at.line_no"))
-    texts = stage_table(lines_of.select("at.key", _word_codes(line).alias("codes")).dropDuplicates(["key"]), "codes")
+    return stage_table(lines_of.select("at.key", _word_codes(line).alias("codes")).dropDuplicates(["key"]), "codes")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame | None:
+    """The pairs ``(a, b)`` of keys of ``texts(key, codes)`` that are similar enough; None when there are no pairs."""
+    pairs = stage_table(pairs, "pairs")
+    if pairs.isEmpty():
+        return None
     a = texts.select(F.col("key").alias("a"), F.col("codes").alias("codes_a"))
     b = texts.select(F.col("key").alias("b"), F.col("codes").alias("codes_b"))
     most = most_edits(F.greatest(F.length("codes_a"), F.length("codes_b")), similarity)
@@ -182,18 +189,20 @@ def line_groups(lines: DataFrame, docs: DataFrame, radius: int = RADIUS, similar
     near = stage_table(near_fingerprints(fps, radius, blocks, similarity), "near")
     shared = fps.where(F.col("lines") > 1).select("fp")
     ends = near.select(F.col("x").alias("fp")).union(near.select("y")).union(shared).distinct()
-    held = able.join(ends, "fp", "left_semi")
+    held = stage_table(able.join(ends, "fp", "left_semi").select("fp", "key", "first"), "held")
+    if held.isEmpty():
+        return lines.limit(0).select(F.col("key").alias("node"), F.col("key").alias("component"))
+    # Every line that is compared below is one of these, so the documents are read for their words once.
+    texts = _codes(held.select("key", "first.*"), docs)
     reps = held.groupBy("fp").agg(F.min("key").alias("rep"))
-    held = stage_table(held.join(reps, "fp").select("fp", "key", "rep", "first"), "held")
+    held = stage_table(held.join(reps, "fp").select("fp", "key", "rep"), "represented")
 
     # Representatives of near fingerprints, and lines with the representative of their own fingerprint.
     reps = held.where(F.col("key") == F.col("rep"))
     a, b = (reps.select(F.col("fp").alias(c), F.col("key").alias(k)) for c, k in (("x", "a"), ("y", "b")))
     pairs = near.join(a, "x").join(b, "y").select("a", "b").union(
         held.where(F.col("key") != F.col("rep")).select("key", "rep"))
-    links = _verified(pairs, held, docs, similarity)
-    if links is None:
-        return lines.limit(0).select(F.col("key").alias("node"), F.col("key").alias("component"))
+    links = _verified(pairs, texts, similarity)
     groups = stage_table(connected_components(links), "groups")
 
     # What that leaves open: near lines of different components of which one is no representative.
@@ -207,7 +216,7 @@ def line_groups(lines: DataFrame, docs: DataFrame, radius: int = RADIUS, similar
     within = a.where("other").join(b.where("other"), (F.col("a.fp") == F.col("b.fp")) & apart & (
         F.col("a.key") < F.col("b.key")))
     rest = across.select("a.key", "b.key").union(within.select("a.key", "b.key")).toDF("a", "b")
-    more = _verified(rest, held, docs, similarity)
+    more = _verified(rest, texts, similarity)
     return groups if more is None or more.isEmpty() else connected_components(links.union(more))
 
 

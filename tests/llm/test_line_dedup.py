@@ -6,6 +6,7 @@ import pytest
 import regex
 import xxhash
 
+from millrace.llm import line_dedup
 from millrace.llm.line_dedup import (BITS, drop_repeated_lines, fingerprinted, line_segments, near_fingerprints,
                                       without_repeated_lines)
 
@@ -142,3 +143,35 @@ def test_a_text_is_hashed_once_and_words_are_aggregated_in_steps(spark):
     lines = [i for i, line in enumerate(plan.splitlines()) if "Generate posexplode" in line]
     assert lines and all("xxhash64(text" not in line for line in plan.splitlines()[:max(lines) + 1])
     assert "xxhash64(text" in plan and "posexplode(words" not in plan
+
+
+def test_words_of_candidate_lines_are_read_once(spark, monkeypatch):
+    """A second round of comparisons uses the words that the first one has read from the documents."""
+    labels, write = [], line_dedup.stage_table
+    monkeypatch.setattr(line_dedup, "stage_table", lambda df, label: labels.append(label) or write(df, label))
+    rng = random.Random(2)
+    words, docs = [f"term{i}" for i in range(150)], []
+    for i in range(30):
+        now = list(words)
+        for _ in range(1 + i % 3):
+            now[rng.randrange(150)] = f"other{i}"
+        docs.append((i, " ".join(now)))
+    assert texts(drop_repeated_lines(frame(spark, docs)).select("doc.doc_id", "text")) == sorted(brute_force(docs), key=str)
+    assert labels.count("pairs") == 2 and labels.count("codes") == 1
+
+
+def test_fingerprints_meet_in_narrow_rows(spark):
+    """A row of the bucket join is three numbers; pairs whose word counts rule a link out are left out."""
+    most = 2 ** 31 - 1
+    rows = [(8, 5, 5), (9, 100, 100), (10, 5, 100), (11, most, most), (1 << 40, 6, 6)]
+    near = near_fingerprints(spark.createDataFrame(rows, "fp long, shortest int, longest long"), 3, 5)
+    assert {tuple(r) for r in near.collect()} == {(8, 10), (9, 10), (8, 1 << 40), (10, 1 << 40)}
+    plan = near._jdf.queryExecution().optimizedPlan()
+    assert [len(plan.children().apply(0).children().apply(side).output().mkString(" ").split()) for side in (0, 1)] == [3, 3]
+
+
+def test_word_codes(spark):
+    """One character a word, whatever stands between the words."""
+    df = spark.createDataFrame([("  Ab, \u00c9t\u00e9 -- x9 \u2167! ab",), ("ab \u00e9t\u00e9 X9 \u2177 AB",)], "line string")
+    a, b = (r[0] for r in df.select(line_dedup._word_codes(df["line"])).collect())
+    assert a == b and len(a) == 5 and a[0] == a[4] and len(set(a)) == 4
