@@ -151,36 +151,37 @@ def _small(df: DataFrame, rows: int, width: int) -> DataFrame:
 
 
 def _codes(places: DataFrame, docs: DataFrame) -> DataFrame:
-    """key and codes of the lines at ``places(key, doc_id, text_key, line_no)``, in one scan of ``docs``."""
+    """id and codes of the lines at ``places(id, doc_id, text_key, line_no)``, in one scan of ``docs``."""
     where = places.groupBy(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).agg(
-        F.collect_list(F.struct("key", "line_no")).alias("asked"))
+        F.collect_list(F.struct("id", "line_no")).alias("asked"))
     own = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     found = own.join(_small(where, places.count(), 96), own["doc_id"].eqNullSafe(F.col("_doc")) &
                      (own["text_key"] == F.col("_key")))
     # A text is split once, below the generator, however many of its lines are asked for.
     lines_of = found.select(F.split("text", "\n").alias("split"), "asked").select("split", F.explode("asked").alias("at"))
     line = F.get("split", F.col("at.line_no"))
-    return stage_table(lines_of.select("at.key", _word_codes(line).alias("codes")).dropDuplicates(["key"]), "codes")
+    return stage_table(lines_of.select("at.id", _word_codes(line).alias("codes")).dropDuplicates(["id"]), "codes")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame | None:
-    """The pairs ``(a, b)`` of keys of ``texts(key, codes)`` that are similar enough; None when there are no pairs."""
+    """The ``pairs(a, b, ..)`` of ids of ``texts(id, codes)`` that are similar enough; None when there are no pairs."""
     pairs = stage_table(pairs, "pairs")
     if pairs.isEmpty():
         return None
-    a = texts.select(F.col("key").alias("a"), F.col("codes").alias("codes_a"))
-    b = texts.select(F.col("key").alias("b"), F.col("codes").alias("codes_b"))
+    a = texts.select(F.col("id").alias("a"), F.col("codes").alias("codes_a"))
+    b = texts.select(F.col("id").alias("b"), F.col("codes").alias("codes_b"))
     most = most_edits(F.greatest(F.length("codes_a"), F.length("codes_b")), similarity)
     near = F.abs(F.length("codes_a") - F.length("codes_b")) <= most
     return stage_table(pairs.join(a, "a").join(b, "b").where(near & (F.call_function(
-        "levenshtein", F.col("codes_a"), F.col("codes_b"), most) >= 0)).select("a", "b"), "links")
+        "levenshtein", F.col("codes_a"), F.col("codes_b"), most) >= 0)).select(*pairs.columns), "links")
 
 
 def line_groups(lines: DataFrame, docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY,
                 blocks: int = BLOCKS) -> DataFrame:
-    """(node, component) of the distinct ``lines(key, fp, n, first)`` that are linked to another one.
+    """(key, first, component) of the distinct ``lines(key, fp, n, first)`` that are near another one.
 
-    Lines so short that a single edit makes them different can have no partner and are left out.
+    A line that is similar enough to none is a component of its own. Lines so short that a single edit makes them
+    different can have no partner and are left out.
     """
     fewest = next(w for w in count(1) if most_edits(w, similarity))
     able = lines.where(F.col("n") >= fewest)
@@ -189,35 +190,42 @@ def line_groups(lines: DataFrame, docs: DataFrame, radius: int = RADIUS, similar
     near = stage_table(near_fingerprints(fps, radius, blocks, similarity), "near")
     shared = fps.where(F.col("lines") > 1).select("fp")
     ends = near.select(F.col("x").alias("fp")).union(near.select("y")).union(shared).distinct()
-    held = stage_table(able.join(ends, "fp", "left_semi").select("fp", "key", "first"), "held")
+    # Written with a number each; pairs, links and components are of these numbers, not of the wider keys.
+    held = stage_table(able.join(ends, "fp", "left_semi").select(
+        "fp", "key", "first", F.monotonically_increasing_id().alias("id")), "held")
     if held.isEmpty():
-        return lines.limit(0).select(F.col("key").alias("node"), F.col("key").alias("component"))
+        return held.select("key", "first", F.col("id").alias("component"))
     # Every line that is compared below is one of these, so the documents are read for their words once.
-    texts = _codes(held.select("key", "first.*"), docs)
-    reps = held.groupBy("fp").agg(F.min("key").alias("rep"))
-    held = stage_table(held.join(reps, "fp").select("fp", "key", "rep"), "represented")
+    texts = _codes(held.select("id", "first.*"), docs)
+    reps = held.groupBy("fp").agg(F.min("id").alias("rep"))
+    held = stage_table(held.join(reps, "fp").select("fp", "key", "first", "id", "rep"), "represented")
 
     # Representatives of near fingerprints, and lines with the representative of their own fingerprint.
-    reps = held.where(F.col("key") == F.col("rep"))
-    a, b = (reps.select(F.col("fp").alias(c), F.col("key").alias(k)) for c, k in (("x", "a"), ("y", "b")))
+    reps = held.where(F.col("id") == F.col("rep"))
+    a, b = (reps.select(F.col("fp").alias(c), F.col("id").alias(k)) for c, k in (("x", "a"), ("y", "b")))
     pairs = near.join(a, "x").join(b, "y").select("a", "b").union(
-        held.where(F.col("key") != F.col("rep")).select("key", "rep"))
-    links = _verified(pairs, texts, similarity)
-    groups = stage_table(connected_components(links), "groups")
+        held.where(F.col("id") != F.col("rep")).select("id", "rep"))
+    groups = connected_components(_verified(pairs, texts, similarity))
 
     # What that leaves open: near lines of different components of which one is no representative.
-    placed = held.join(groups, held["key"] == groups["node"], "left").select(
-        "fp", "key", (F.col("key") != F.col("rep")).alias("other"), F.coalesce("component", "key").alias("component"))
-    placed = stage_table(placed, "placed")
+    placed = stage_table(held.join(groups, held["id"] == groups["node"], "left").select(
+        "fp", "key", "first", "id", (F.col("id") != F.col("rep")).alias("other"),
+        F.coalesce("component", "id").alias("component")), "placed")
     a, b = placed.alias("a"), placed.alias("b")
     apart = F.col("a.component") != F.col("b.component")
     across = near.join(a, F.col("x") == F.col("a.fp")).join(b, (F.col("y") == F.col("b.fp")) & apart & (
         F.col("a.other") | F.col("b.other")))
     within = a.where("other").join(b.where("other"), (F.col("a.fp") == F.col("b.fp")) & apart & (
-        F.col("a.key") < F.col("b.key")))
-    rest = across.select("a.key", "b.key").union(within.select("a.key", "b.key")).toDF("a", "b")
-    more = _verified(rest, texts, similarity)
-    return groups if more is None or more.isEmpty() else connected_components(links.union(more))
+        F.col("a.id") < F.col("b.id")))
+    ends = ["a.id", "b.id", "a.component", "b.component"]
+    more = _verified(across.select(*ends).union(within.select(*ends)).toDF("a", "b", "from", "to"), texts, similarity)
+    placed = placed.select("key", "first", "component")
+    if more is None or more.isEmpty():
+        return placed
+    # Links between whole components; what the first links have tied together is not gone through again.
+    tied = connected_components(more.select(F.col("from").alias("a"), F.col("to").alias("b"))).select(
+        F.col("node").alias("component"), F.col("component").alias("root"))
+    return placed.join(tied, "component", "left").select("key", "first", F.coalesce("root", "component").alias("component"))
 
 
 def repeated_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY,
@@ -229,11 +237,10 @@ def repeated_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SI
         F.min(place).alias("first"), F.max("fp").alias("fp"), F.max("n").alias("n"),
         F.count(F.lit(1)).alias("copies")), "distinct")
     groups = stage_table(line_groups(lines, docs, radius, similarity, blocks), "groups")
-    grouped = lines.join(groups, lines["key"] == groups["node"], "left").select("key", "first", "copies", "component")
-    kept = grouped.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("first").alias("kept"))
-    # Equal lines without a partner need no look-up; as null keys of a join they would all meet in one task.
-    affected = grouped.where((F.col("copies") > 1) & F.col("component").isNull()).select("key", F.col("first").alias("kept"))
-    affected = affected.union(grouped.join(kept, "component").select("key", "kept"))
+    kept = groups.groupBy("component").agg(F.min("first").alias("kept"))
+    # Of the lines without a partner only those with copies have to be looked up.
+    same = lines.where(F.col("copies") > 1).select("key", F.col("first").alias("kept"))
+    affected = same.join(groups, "key", "left_anti").union(groups.join(kept, "component").select("key", "kept"))
     rows = segments.where(F.col("segment") == 0)
     found = rows.join(affected, "key").where(~place.eqNullSafe(F.col("kept")))
     return stage_table(found.select("doc_id", "text_key", "line_no"), "repeated")

@@ -156,6 +156,18 @@ def test_words_of_candidate_lines_are_read_once(spark, monkeypatch):
     assert labels.count("pairs") == 2 and labels.count("codes") == 1
 
 
+def test_links_are_numbers_and_a_second_round_ties_only_components(spark, monkeypatch):
+    """Whichever of the four lines of one fingerprint stands for the others, the pair without it is left to the second round."""
+    seen, tie = [], line_dedup.connected_components
+    monkeypatch.setattr(line_dedup, "connected_components", lambda edges: seen.append((edges.dtypes, edges.count())) or tie(edges))
+    words = [f"term{i}" for i in range(20)]
+    back = words[::-1]
+    docs = [(i, " ".join(ws)) for i, ws in enumerate(ws[:18] + end for ws in (words, back) for end in (ws[18:], ws[:17:-1]))]
+    assert texts(drop_repeated_lines(frame(spark, docs)).select("doc.doc_id", "text")) == sorted(brute_force(docs), key=str)
+    assert [t.count("term") > 0 for _, t in brute_force(docs)] == [True, False, True, False]
+    assert seen == [([("a", "bigint"), ("b", "bigint")], 1)] * 2
+
+
 def test_fingerprints_meet_in_narrow_rows(spark):
     """A row of the bucket join is three numbers; pairs whose word counts rule a link out are left out."""
     most = 2 ** 31 - 1
