@@ -9,8 +9,9 @@ the original vectors in double precision.
 
 Only the fit reads a sample (at most about ``FIT_ROWS`` vectors and ``FIT_BYTES``): centroids, expected list
 sizes and the share of lists to probe for ``RECALL``. Every vector is indexed. Lists are dealt in pieces, so a
-vector that fills a third of the table is no task of its own, and queries meet the chunks of the lists
-they probe through a join of chunks with blocks of queries.
+vector that fills a third of the table is no task of its own. Lists form ``GROUPS``; a query goes once to each
+group that has a list it probes, in a block with others, and blocks meet the chunks of the group in a shuffled
+join. No side of it is broadcast: a few queries look small to the planner and are many times that for all groups.
 """
 
 from __future__ import annotations
@@ -27,13 +28,17 @@ from millrace.session import stage_table
 
 FIT_ROWS = 20_000
 FIT_BYTES = 64 << 20
+SLICE = 1_024
 MAX_LISTS = 1_024
+GROUPS = 64
 CHUNK_ROWS = 2_048
 QUERY_BLOCK = 512
 BLOCK_DIMS = 16
 EPSILON = 2.1
 RECALL = 0.97
 ROUNDS = 8
+SPARSE = 8
+FOLD_ROWS = 500_000
 
 
 def usable(vector: Column) -> Column:
@@ -62,38 +67,46 @@ class Fit:
     def order(self, x: np.ndarray, keep: int) -> np.ndarray:
         """The nearest ``keep`` lists of each row of ``x``, nearest first."""
         d = (self.centroids ** 2).sum(1) - 2 * x @ self.centroids.T
-        return np.argsort(d, axis=1, kind="stable")[:, :keep]
+        return d.argmin(1)[:, None] if keep == 1 else np.argsort(d, axis=1, kind="stable")[:, :keep]
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a ** 2).sum(1)[:, None] - 2 * a @ b.T + (b ** 2).sum(1)
 
 
+def _slices(n: int, rows: int) -> list[slice]:
+    return [slice(i, i + rows) for i in range(0, n, rows)]
+
+
 def fit(vectors: DataFrame, rows: int, k: int, seed: int = 11) -> Fit:
     """K-means on a sample chosen by a hash of the id; probes until the sample's own neighbours are found."""
     first = vectors.first()
     dims = len(first["vector"]) if first else 1
     want = max(1, min(FIT_ROWS, FIT_BYTES // (8 * dims)))
     share = min(1.0, want / max(rows, 1))
-    sample = vectors.where(in_sample(F.xxhash64("id"), share)).orderBy("id").collect()
-    x = np.array([r["vector"] for r in sample] or [[0.0] * dims])
+    sample = vectors.where(in_sample(F.xxhash64("id"), share)).orderBy("id").select("vector").toArrow()
+    x = sample.column(0).combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, dims)
+    x = x if len(x) else np.zeros((1, dims))
     rng = np.random.default_rng(seed)
     lists = max(1, min(MAX_LISTS, round(rows ** 0.5), len(x) // 4))
     c = x[rng.permutation(len(x))[:lists]].copy()
     for _ in range(ROUNDS):
-        at = np.concatenate([_distances(p, c).argmin(1) for p in np.array_split(x, -(-len(x) // 4096))])
+        at = np.concatenate([_distances(x[s], c).argmin(1) for s in _slices(len(x), SLICE)])
         sums, counts = np.zeros_like(c), np.bincount(at, minlength=lists)
         np.add.at(sums, at, x)
         c[counts > 0] = sums[counts > 0] / counts[counts > 0, None]
-    at = np.concatenate([_distances(p, c).argmin(1) for p in np.array_split(x, -(-len(x) // 4096))])
+    at = np.concatenate([_distances(x[s], c).argmin(1) for s in _slices(len(x), SLICE)])
     pieces = np.maximum(1, np.ceil(np.bincount(at, minlength=lists) / len(x) * rows / CHUNK_ROWS)).astype(int)
     rotation = np.linalg.qr(rng.normal(size=(dims, dims)))[0]
     own = Fit(c, rotation, pieces, lists)
     # Neighbours within the sample lie farther off than in the whole table, so this errs towards more probes.
     test = rng.permutation(len(x))[:256]
-    d = _distances(x[test], x)
-    d[np.arange(len(test)), test] = np.inf
-    near = np.argsort(d, 1)[:, :min(k, len(x) - 1)]
+    near = []
+    for some in (test[s] for s in _slices(len(test), 32)):
+        d = _distances(x[some], x)
+        d[np.arange(len(some)), some] = np.inf
+        near.append(np.argsort(d, 1)[:, :min(k, len(x) - 1)])
+    near = np.concatenate(near)
     ranks = own.order(x[test], lists).argsort(1)
     needed = np.sort(np.take_along_axis(ranks, at[near], 1), axis=None)
     probes = int(needed[min(len(needed) - 1, int(RECALL * len(needed)))]) + 1 if len(needed) else lists
@@ -112,8 +125,10 @@ def build_index(vectors: DataFrame, model: Fit) -> DataFrame:
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _rows_of(batch, 1, dims).astype(np.float64)
-            cell = model.order(x, 1)[:, 0] if len(x) else np.zeros(0, np.int64)
+            x = _rows_of(batch, 1, dims)
+            cell = np.zeros(len(x), np.int64)
+            for s in _slices(len(x), SLICE):
+                cell[s] = model.order(x[s].astype(np.float64), 1)[:, 0]
             piece = batch.column(2).to_numpy() % model.pieces[cell]
             yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(piece), batch.column(0), batch.column(1)],
                                              ["cell", "piece", "id", "vector"])
@@ -158,87 +173,150 @@ CHUNK = pa.schema([("cell", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())
                    ("raw", pa.binary())])
 
 
-def adaptive_scan(query: np.ndarray, turned: np.ndarray, own: int, ids: np.ndarray, blocks: list[np.ndarray],
-                  raw: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The best ``k`` of a chunk for one query, its own id left out: positions and exact distances.
+def _exact(queries: np.ndarray, raw: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Distances of the pairs of query ``row`` and vector ``at``."""
+    out = np.empty(len(row))
+    for s in _slices(len(row), 8 * SLICE):
+        out[s] = np.sqrt(((raw[at[s]].astype(np.float64) - queries[row[s]]) ** 2).sum(1))
+    return out
 
-    ``turned`` is the rotated query. A little slack absorbs the single precision of the blocks.
-    """
-    dims, slack = len(query), 1e-5 * float(query @ query)
 
-    def exact(at: np.ndarray) -> np.ndarray:
-        return np.sqrt(((raw[at].astype(np.float64) - query) ** 2).sum(1))
+def _best(k: int, query: np.ndarray, d: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Positions of the ``k`` best of each query, by query, distance and id."""
+    order = np.lexsort((ids, d, query))
+    q = query[order]
+    return order[np.arange(len(q)) - np.searchsorted(q, q) < k]
 
-    alive = np.flatnonzero(ids != own)
-    width = blocks[0].shape[1]
-    part = ((blocks[0] - turned[:width]) ** 2).sum(1)
-    if len(alive) > k:
+
+def adaptive_scans(queries: np.ndarray, turned: np.ndarray, own: np.ndarray, ids: np.ndarray,
+                   blocks: list[np.ndarray], raw: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best ``k`` of a chunk for each query, its own id left out: rows of queries, positions, exact distances.
+
+    ``turned`` holds the rotated queries. A block of dimensions is added for all pairs at once, or for the pairs
+    still alive if these are few. A little slack absorbs the single precision of the blocks.
+    """
+    dims, n, seen = queries.shape[1], len(ids), blocks[0].shape[1]
+    norm = (queries ** 2).sum(1)
+    part = _distances(turned[:, :seen], blocks[0])
+    others = np.full(len(own), n)
+    for q in np.flatnonzero(np.isin(own, ids)):
+        mine = ids == own[q]
+        part[q, mine] = np.inf
+        others[q] -= mine.sum()
+    if n > k:
         # The best by the first block give the bound for the others.
-        some = alive[np.argpartition(part[alive], k - 1)[:k]]
-        bound = float(exact(some).max()) ** 2
-        seen = 0
+        some = np.argpartition(part, k - 1, axis=1)[:, :k]
+        d = _exact(queries, raw, np.repeat(np.arange(len(own)), k), some.ravel()).reshape(-1, k)
+        bound = np.where(others > k, d.max(1) ** 2, np.inf)
+        slack, pairs = 1e-5 * (norm + bound), None
         for block in blocks:
-            if seen:
-                part[alive] += ((block[alive] - turned[seen:seen + block.shape[1]]) ** 2).sum(1)
-            seen += block.shape[1]
+            if block is not blocks[0]:
+                dealt = slice(seen, seen + block.shape[1])
+                seen = dealt.stop
+                if pairs is None:
+                    part += _distances(turned[:, dealt], block)
+                else:
+                    row, at, p = pairs
+                    p = p + ((block[at] - turned[row, dealt]) ** 2).sum(1)
             allowed = bound * (seen / dims) * (1 + (EPSILON / np.sqrt(seen) if seen < dims else 0)) ** 2 + slack
-            alive = alive[part[alive] <= allowed]
-    d = exact(alive)
-    best = np.lexsort((ids[alive], d))[:k]
-    return alive[best], d[best]
+            if pairs is None:
+                np.putmask(part, part > allowed[:, None], np.inf)
+                alive = np.isfinite(part)
+                if seen < dims and SPARSE * np.count_nonzero(alive) < alive.size:
+                    pairs = *np.nonzero(alive), part[alive]
+            else:
+                held = p <= allowed[row]
+                pairs = row[held], at[held], p[held]
+        if pairs:
+            part.fill(np.inf)
+            part[pairs[0], pairs[1]] = pairs[2]
+        # All dimensions are summed now: only what may be among the best is measured on the original vectors.
+        last = np.partition(part, k - 1, axis=1)[:, k - 1].astype(np.float64)
+        row, at = np.nonzero(np.isfinite(part) & (part <= (last + 1e-5 * (norm + last))[:, None]))
+    else:
+        row, at = np.nonzero(np.isfinite(part))
+    d = _exact(queries, raw, row, at)
+    best = _best(k, row, d, ids[at])
+    return row[best], at[best], d[best]
+
+
+def adaptive_scan(query: np.ndarray, turned: np.ndarray, own: int, ids: np.ndarray, blocks: list[np.ndarray],
+                  raw: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``adaptive_scans`` of one query: positions and exact distances."""
+    return adaptive_scans(query[None], turned[None], np.array([own]), ids, blocks, raw, k)[1:]
 
 
 def search(queries: DataFrame, index: DataFrame, model: Fit, k: int,
            probes: int | None = None) -> DataFrame:
     """The ``k`` nearest found of each query ``(id, vector)``: query_id, rank, id, score (Euclidean distance)."""
-    dims, probes = model.rotation.shape[0], probes or model.probes
+    dims, probes, block_rows, groups = model.rotation.shape[0], probes or model.probes, QUERY_BLOCK, GROUPS
     sizes = np.zeros(len(model.centroids), np.int64)
     for r in index.groupBy("cell").agg(F.sum("n").alias("n")).collect():  # a row per list
         sizes[r["cell"]] = r["n"]
     each = queries.groupBy("id").agg(F.min("vector").alias("vector"))
+    kind = np.float64 if "double" in each.schema["vector"].dataType.simpleString() else np.float32
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            order = model.order(_rows_of(batch, 1, dims).astype(np.float64), len(sizes))
-            held = np.cumsum(sizes[order], axis=1)
-            # enough lists for the recall, and enough candidates for k answers besides the query itself
-            count = np.maximum(probes, (held < k + 1).sum(1) + 1)
-            taken = np.arange(len(sizes)) < count[:, None]
-            row, col = np.nonzero(taken & (sizes[order] > 0))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(order[row, col]), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row))],
-                ["cell", "id", "vector"])
+            every, own = _rows_of(batch, 1, dims), batch.column(0).to_numpy()
+            for s in _slices(len(own), block_rows):
+                order = model.order(every[s].astype(np.float64), len(sizes))
+                held = np.cumsum(sizes[order], axis=1)
+                # enough lists for the recall, and enough candidates for k answers besides the query itself
+                count = np.maximum(probes, (held < k + 1).sum(1) + 1)
+                taken = np.zeros(order.shape, bool)
+                np.put_along_axis(taken, order, (np.arange(len(sizes)) < count[:, None]) & (sizes[order] > 0), 1)
+                for g in range(min(groups, len(sizes))):
+                    lists = taken[:, g::groups]
+                    asks = np.flatnonzero(lists.any(1))
+                    if len(asks):
+                        packed = [x[asks].tobytes() for x in (own[s], every[s].astype(kind), lists)]
+                        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip([g, *packed], BLOCK)],
+                                                         schema=BLOCK)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+
+        def folded() -> list[np.ndarray]:
+            q, i, d = (np.concatenate(x) for x in zip(*held))
+            best = _best(k, q, d, i)
+            return [q[best], i[best], d[best]]
+
         for batch in batches:
-            out: list[tuple] = []
-            for c in batch.to_pylist():
-                ids = np.frombuffer(c["ids"], np.int64)
-                blocks = [np.frombuffer(b, np.float32).reshape(len(ids), -1) for b in c["blocks"]]
-                raw = np.frombuffer(c["raw"], np.float32 if len(c["raw"]) == 4 * dims * len(ids) else np.float64)
-                raw = raw.reshape(len(ids), dims)
-                for q in c["queries"]:
-                    v = np.array(q["vector"], np.float64)
-                    at, d = adaptive_scan(v, (v @ model.rotation).astype(np.float32), q["id"], ids, blocks, raw, k)
-                    out += zip([q["id"]] * len(at), ids[at].tolist(), d.tolist())
-            cols = list(zip(*out)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))],
-                                             ["query_id", "id", "score"])
-
-    kinds = each.schema["vector"].dataType.simpleString()
-    blocks = max(1, -(-each.count() // QUERY_BLOCK))
-    probed = each.mapInArrow(route, f"cell long, id long, vector {kinds}")
-    # At most about QUERY_BLOCK queries of a list share a row.
-    grouped = probed.groupBy("cell", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(
-        F.collect_list(F.struct("id", "vector")).alias("queries"))
-    met = index.join(grouped, "cell").select("ids", "blocks", "raw", "queries")
+            for r in range(batch.num_rows):
+                cell, *packed = (batch.column(c)[r] for c in range(batch.num_columns))
+                cell, (own, vectors, lists, ids, raw) = cell.as_py(), (p.as_buffer() for p in packed[:-1])
+                own, ids = np.frombuffer(own, np.int64), np.frombuffer(ids, np.int64)
+                asks = np.flatnonzero(np.frombuffer(lists, bool).reshape(len(own), -1)[:, cell // groups])
+                if not len(asks):
+                    continue
+                blocks = [np.frombuffer(b.as_buffer(), np.float32).reshape(len(ids), -1) for b in packed[-1]]
+                raw = np.frombuffer(raw, np.float32 if len(raw) == 4 * dims * len(ids) else np.float64)
+                v = np.frombuffer(vectors, kind).reshape(len(own), dims)[asks].astype(np.float64)
+                row, at, d = adaptive_scans(v, (v @ model.rotation).astype(np.float32), own[asks], ids, blocks,
+                                            raw.reshape(len(ids), dims), k)
+                held.append([own[asks[row]], ids[at], d])
+                rows += len(row)
+                if rows > FOLD_ROWS:
+                    held = [folded()]
+                    rows = len(held[0][0])
+                    if rows > FOLD_ROWS // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], ["query_id", "id", "score"])
+                        held, rows = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in folded()], ["query_id", "id", "score"])
+
+    asked = each.mapInArrow(route, "part long, own binary, vectors binary, lists binary")
+    stored = index.withColumn("part", F.col("cell") % groups)
+    met = stored.hint("merge").join(asked, "part").select("cell", "own", "vectors", "lists", "ids", "raw", "blocks")
     found = met.mapInArrow(scan, "query_id long, id long, score double")
     nth = F.row_number().over(W.partitionBy("query_id").orderBy("score", "id"))
     return found.withColumn("rank", nth).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
 
+BLOCK = pa.schema([("part", pa.int64()), ("own", pa.binary()), ("vectors", pa.binary()), ("lists", pa.binary())])
+
+
 def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_column: str = "vec_id",
             vector_column: str = "embedding") -> DataFrame:
     """For the rows of ``vectors`` where ``queries`` holds their ``k`` nearest others: query_id, rank, id, score.

@@ -89,3 +89,51 @@ def test_scan_abandons_nothing_that_matters():
         want[q] = np.inf
         hits += len(set(at) & set(np.argsort(want)[:10]))
     assert hits >= 490
+
+
+def test_search_broadcasts_nothing(spark):
+    """A few queries look small, times the lists they probe they are not: no side of the join goes through the driver."""
+    x = np.random.default_rng(7).normal(size=(3000, 16))
+    hits = ann.nearest(table(spark, range(3000), x), F.col("vec_id") % 100 == 0)
+    assert len(hits.collect()) == 300
+    plan = hits._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_folds_and_groups_lose_nothing(spark, monkeypatch):
+    """Every list probed: exact where hits are folded and given out often, whatever the number of groups."""
+    monkeypatch.setattr(ann, "FOLD_ROWS", 40)
+    monkeypatch.setattr(ann, "CHUNK_ROWS", 50)
+    x = np.random.default_rng(8).normal(size=(700, 12)).astype(np.float32).astype(float)
+    ids = list(range(700))
+    every = ann.usable_vectors(table(spark, ids, x), "vec_id", "embedding", (F.col("vec_id") % 20 == 0).alias("asked"))
+    model = ann.fit(every, 700, 10)
+    index = ann.build_index(every.select("id", "vector"), model)
+    want = brute(ids, x, range(0, 700, 20), 10)
+    for groups in (1, 4, 1000):
+        monkeypatch.setattr(ann, "GROUPS", groups)
+        got = found(ann.search(every.where("asked"), index, model, 10, probes=len(model.centroids)))
+        assert {q: [i for _, i in v] for q, v in got.items()} == {q: [i for _, i in v] for q, v in want.items()}
+
+
+def test_blocks_of_queries_are_scanned_as_one_query_is(monkeypatch):
+    """Own ids left out, ties by id, few rows, pairs in place of whole blocks of dimensions."""
+    rng = np.random.default_rng(9)
+    turn = np.linalg.qr(rng.normal(size=(48, 48)))[0]
+    for n, copies, spread in ((5, 1, 0), (10, 1, 0), (11, 1, 0), (400, 130, 0), (600, 1, 40)):
+        raw = rng.normal(size=(n, 48)) + spread * rng.normal(size=(6, 48))[rng.integers(0, 6, n)]
+        raw[:copies] = raw[0]
+        raw, ids = raw.astype(np.float32), rng.permutation(n)
+        turned = (raw @ turn).astype(np.float32)
+        blocks = [np.ascontiguousarray(turned[:, b:b + 16]) for b in range(0, 48, 16)]
+        asks = np.arange(0, n, 3)
+        q = raw[asks].astype(float)
+        for sparse in (1, 10 ** 9):
+            monkeypatch.setattr(ann, "SPARSE", sparse)
+            row, at, d = ann.adaptive_scans(q, turned[asks], ids[asks], ids, blocks, raw, 10)
+            for i, a in enumerate(asks):
+                want = np.sqrt(((raw.astype(float) - q[i]) ** 2).sum(1))
+                order = [j for j in np.lexsort((ids, want)) if j != a][:10]
+                alone = ann.adaptive_scan(q[i], turned[a], ids[a], ids, blocks, raw, 10)
+                assert len(set(at[row == i]) & set(order)) >= min(9, len(order))
+                assert at[row == i].tolist() == alone[0].tolist() and d[row == i].tolist() == want[alone[0]].tolist()
