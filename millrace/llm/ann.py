@@ -31,7 +31,7 @@ FIT_BYTES = 64 << 20
 SLICE = 1_024
 MAX_LISTS = 1_024
 GROUPS = 64
-CHUNK_ROWS = 2_048
+CHUNK_ROWS = 1_024
 QUERY_BLOCK = 512
 BLOCK_DIMS = 16
 EPSILON = 2.1
@@ -189,11 +189,13 @@ def _best(k: int, query: np.ndarray, d: np.ndarray, ids: np.ndarray) -> np.ndarr
 
 
 def adaptive_scans(queries: np.ndarray, turned: np.ndarray, own: np.ndarray, ids: np.ndarray,
-                   blocks: list[np.ndarray], raw: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                   blocks: list[np.ndarray], raw: np.ndarray, k: int,
+                   within: np.ndarray | float = np.inf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The best ``k`` of a chunk for each query, its own id left out: rows of queries, positions, exact distances.
 
     ``turned`` holds the rotated queries. A block of dimensions is added for all pairs at once, or for the pairs
-    still alive if these are few. A little slack absorbs the single precision of the blocks.
+    still alive if these are few. A little slack absorbs the single precision of the blocks. Of vectors farther off
+    than ``within``, the distance of a query's k-th best so far, few are returned.
     """
     dims, n, seen = queries.shape[1], len(ids), blocks[0].shape[1]
     norm = (queries ** 2).sum(1)
@@ -232,6 +234,7 @@ def adaptive_scans(queries: np.ndarray, turned: np.ndarray, own: np.ndarray, ids
             part[pairs[0], pairs[1]] = pairs[2]
         # All dimensions are summed now: only what may be among the best is measured on the original vectors.
         last = np.partition(part, k - 1, axis=1)[:, k - 1].astype(np.float64)
+        last = np.minimum(last, np.square(within))
         row, at = np.nonzero(np.isfinite(part) & (part <= (last + 1e-5 * (norm + last))[:, None]))
     else:
         row, at = np.nonzero(np.isfinite(part))
@@ -258,7 +261,7 @@ def search(queries: DataFrame, index: DataFrame, model: Fit, k: int,
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every, own = _rows_of(batch, 1, dims), batch.column(0).to_numpy()
+            every, own = _rows_of(batch, 1, dims), batch.column(0).to_numpy().astype(np.int64)
             for s in _slices(len(own), block_rows):
                 order = model.order(every[s].astype(np.float64), len(sizes))
                 held = np.cumsum(sizes[order], axis=1)
@@ -275,7 +278,7 @@ def search(queries: DataFrame, index: DataFrame, model: Fit, k: int,
                                                          schema=BLOCK)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
+        held, rows, part, near = [], 0, None, {}
 
         def folded() -> list[np.ndarray]:
             q, i, d = (np.concatenate(x) for x in zip(*held))
@@ -290,11 +293,17 @@ def search(queries: DataFrame, index: DataFrame, model: Fit, k: int,
                 asks = np.flatnonzero(np.frombuffer(lists, bool).reshape(len(own), -1)[:, cell // groups])
                 if not len(asks):
                     continue
+                if part != cell % groups:
+                    part, near = cell % groups, {}
+                best = near.setdefault((own[0], len(own)), np.full((len(own), k), np.inf))  # distances so far
                 blocks = [np.frombuffer(b.as_buffer(), np.float32).reshape(len(ids), -1) for b in packed[-1]]
                 raw = np.frombuffer(raw, np.float32 if len(raw) == 4 * dims * len(ids) else np.float64)
                 v = np.frombuffer(vectors, kind).reshape(len(own), dims)[asks].astype(np.float64)
                 row, at, d = adaptive_scans(v, (v @ model.rotation).astype(np.float32), own[asks], ids, blocks,
-                                            raw.reshape(len(ids), dims), k)
+                                            raw.reshape(len(ids), dims), k, best[asks].max(1))
+                more = np.full((len(asks), k), np.inf)
+                more[row, np.arange(len(row)) - np.searchsorted(row, row)] = d
+                best[asks] = np.partition(np.concatenate([best[asks], more], 1), k - 1, axis=1)[:, :k]
                 held.append([own[asks[row]], ids[at], d])
                 rows += len(row)
                 if rows > FOLD_ROWS:

@@ -137,3 +137,16 @@ def test_blocks_of_queries_are_scanned_as_one_query_is(monkeypatch):
                 alone = ann.adaptive_scan(q[i], turned[a], ids[a], ids, blocks, raw, 10)
                 assert len(set(at[row == i]) & set(order)) >= min(9, len(order))
                 assert at[row == i].tolist() == alone[0].tolist() and d[row == i].tolist() == want[alone[0]].tolist()
+
+
+def test_the_best_so_far_spares_the_rest_and_loses_nothing():
+    rng = np.random.default_rng(10)
+    raw = rng.normal(size=(500, 32)).astype(np.float32)
+    ids, q = np.arange(500), rng.normal(size=(7, 32))
+    args = (q, q.astype(np.float32), np.full(7, -1), ids, [raw[:, :16], raw[:, 16:]], raw, 10)
+    row, at, d = ann.adaptive_scans(*args)
+    limit = np.array([d[row == i][3] for i in range(7)])
+    kept = d <= limit[row]
+    again = ann.adaptive_scans(*args, limit)
+    assert all(np.array_equal(x, y[kept]) for x, y in zip(again, (row, at, d)))
+    assert len(again[0]) == 28
