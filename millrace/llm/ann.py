@@ -17,11 +17,12 @@ join. No side of it is broadcast: a few queries look small to the planner and ar
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from millrace.llm.sampling import in_sample
 from millrace.session import stage_table
@@ -38,6 +39,7 @@ EPSILON = 2.1
 RECALL = 0.97
 ROUNDS = 8
 SPARSE = 8
+BATCH_BYTES = 16 << 20
 FOLD_ROWS = 500_000
 
 
@@ -249,9 +251,26 @@ def adaptive_scan(query: np.ndarray, turned: np.ndarray, own: int, ids: np.ndarr
     return adaptive_scans(query[None], turned[None], np.array([own]), ids, blocks, raw, k)[1:]
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Workers get about ``BATCH_BYTES`` at a time, where the session sets no other size."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(key, None) is None
+    if own:
+        spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if own:
+            spark.conf.unset(key)
+
+
 def search(queries: DataFrame, index: DataFrame, model: Fit, k: int,
            probes: int | None = None) -> DataFrame:
-    """The ``k`` nearest found of each query ``(id, vector)``: query_id, rank, id, score (Euclidean distance)."""
+    """The ``k`` nearest found of each query ``(id, vector)``: query_id, rank, id, score (Euclidean distance).
+
+    The hits are written, so that the size of batches holds for this search alone.
+    """
     dims, probes, block_rows, groups = model.rotation.shape[0], probes or model.probes, QUERY_BLOCK, GROUPS
     sizes = np.zeros(len(model.centroids), np.int64)
     for r in index.groupBy("cell").agg(F.sum("n").alias("n")).collect():  # a row per list
@@ -320,7 +339,9 @@ def search(queries: DataFrame, index: DataFrame, model: Fit, k: int,
     met = stored.hint("merge").join(asked, "part").select("cell", "own", "vectors", "lists", "ids", "raw", "blocks")
     found = met.mapInArrow(scan, "query_id long, id long, score double")
     nth = F.row_number().over(W.partitionBy("query_id").orderBy("score", "id"))
-    return found.withColumn("rank", nth).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    hits = found.withColumn("rank", nth).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    with _small_batches(index.sparkSession):
+        return stage_table(hits, "hits")
 
 
 BLOCK = pa.schema([("part", pa.int64()), ("own", pa.binary()), ("vectors", pa.binary()), ("lists", pa.binary())])

@@ -91,10 +91,15 @@ def test_scan_abandons_nothing_that_matters():
     assert hits >= 490
 
 
-def test_search_broadcasts_nothing(spark):
+def test_search_broadcasts_nothing(spark, monkeypatch):
     """A few queries look small, times the lists they probe they are not: no side of the join goes through the driver."""
     x = np.random.default_rng(7).normal(size=(3000, 16))
-    hits = ann.nearest(table(spark, range(3000), x), F.col("vec_id") % 100 == 0)
+    staged, key = {}, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, stage = spark.conf.get(key), ann.stage_table
+    monkeypatch.setattr(ann, "stage_table", lambda df, label: staged.setdefault(label, df) and stage(df, label))
+    last = ann.nearest(table(spark, range(3000), x), F.col("vec_id") % 100 == 0)
+    assert spark.conf.get(key) == before and last.count() == 300
+    hits = staged.get("hits", last)
     assert len(hits.collect()) == 300
     plan = hits._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
